@@ -1,0 +1,224 @@
+"""Scrub: replace PII by synthetic identities, consistently across tables
+(P8, J6, J7, J10, M1-M19).
+
+Plan for a table ``T`` that is ``n`` hops from the driver::
+
+    link  = key chain driver -> ... -> parent(T)      (keys only, distinct)
+            grouped by the parent's hop columns -> one driver key each
+    ids   = link JOIN identity ON driver key          (parent-sized)
+    out   = T JOIN ids ON T's hop columns             (one shuffle of T)
+            SELECT one mask expression per column
+
+The identity fields are attached to the (small) parent-side key set before
+the big table is touched, so the big table is shuffled once, on the column it
+is joined on; AQE splits a hot key of ``T`` and broadcasts ``ids`` only when
+its materialised size is under the adaptive threshold.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..catalog import ColumnMeta, TableMeta
+from ..functions import identity as idfn
+from ..functions.masks import choice_column, derived_fields, replace_path
+from ..functions.rules import Choice, identity_key, resolve, typed_constant_value
+from .subset import _check_edges, driver_rows, key_chain, q
+
+ID = "__id_"
+DRIVER_KEY = "__driver_key"
+
+
+def identity_table(keys: DataFrame, key_col: str, *, seed: str = idfn.DEFAULT_SEED,
+                   fields: Sequence[str] = idfn.FIELDS, unique: bool = False) -> DataFrame:
+    """One synthetic person per key of ``keys[key_col]``.
+
+    ``unique=True`` states the keys are already distinct (a primary key), which
+    saves the de-duplicating shuffle."""
+    k = keys.select(F.col(key_col).alias("__k")).dropna()
+    if not unique:
+        k = k.distinct()
+    return k.select(*idfn.identity_columns(F.col("__k"), fields, seed))
+
+
+# ---------------------------------------------------------------------------
+# planning (driver side, over metadata only)
+
+def has_driver(meta: TableMeta) -> bool:
+    return meta.driver_table is not None and meta.driver_column is not None
+
+
+def mask_plan(meta: TableMeta, columns: Sequence[str] | None = None) -> dict[str, Choice]:
+    drv = has_driver(meta)
+    names = columns or meta.names
+    return {n: resolve(meta.column(n), drv) for n in names}
+
+
+def nested_plan(meta: TableMeta) -> dict[str, list[tuple[list[str], Choice]]]:
+    """Per JSON column, the PII attribute paths and their choices."""
+    drv = has_driver(meta)
+    out = {}
+    for c in meta.columns:
+        items = []
+        for a in c.nested:
+            if not a.is_pii:
+                continue
+            pseudo = ColumnMeta(name=a.path.split(".")[-1], data_type=a.data_type,
+                                is_pii=True, rule=a.rule)
+            items.append((a.path.split("."), resolve(pseudo, drv)))
+        if items:
+            out[c.name] = items
+    return out
+
+
+def needed_fields(plan: Mapping[str, Choice],
+                  nested: Mapping[str, list[tuple[list[str], Choice]]]) -> list[str]:
+    fields = set()
+    for ch in plan.values():
+        fields |= derived_fields(ch)
+    for items in nested.values():
+        for _, ch in items:
+            fields |= derived_fields(ch)
+    return sorted(fields)
+
+
+def json_schema(df: DataFrame, column: str) -> T.DataType:
+    """Complete schema of a JSON text column, merged over *all* its values.
+
+    ``from_json`` drops whatever its schema lacks, so the schema cannot come
+    from a sample; one aggregate pass computes it and only the schema string
+    (not data) reaches the driver."""
+    ddl = df.select(F.schema_of_variant_agg(F.parse_json(F.col(column)))).first()[0]
+    return T._parse_datatype_string(_variant_ddl(ddl))
+
+
+def _variant_ddl(ddl: str) -> str:
+    # OBJECT<...> of the variant schema is a STRUCT<...> in DDL
+    return ddl.replace("OBJECT<", "STRUCT<")
+
+
+# ---------------------------------------------------------------------------
+# driver link
+
+def driver_link(tables: Mapping[str, DataFrame], meta: TableMeta,
+                primary_keys: Mapping[str, Sequence[str]], *,
+                driver_keys: DataFrame | None = None,
+                driver_filter: Column | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Parent-side hop columns of the last hop -> one driver key each.
+
+    Returns the link and the join pairs (column of T, column of the link).
+    The chain is keys only; the grouping picks one driver key per parent key
+    (min), so T's row count can never grow in the join."""
+    groups = _check_edges(meta)
+    last = groups[-1]
+    drv = meta.driver_column.split(",")[0].strip()
+    pcols = [q(e.parent_table, e.parent_column) for e in last]
+    if len(groups) == 1:
+        rows = driver_rows(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
+        link = rows.select(*[F.col(e.parent_column).alias(q(e.parent_table, e.parent_column))
+                             for e in last], F.col(drv).alias(DRIVER_KEY))
+    else:
+        parent = last[0].parent_table.lower()
+        pk = {k: list(v) for k, v in primary_keys.items()}
+        pk[parent] = list(pk.get(parent, [])) + [e.parent_column for e in last]
+        sub = replace(meta, edges=tuple(e for g in groups[:-1] for e in g))
+        chain = key_chain(tables, sub, pk, driver_keys=driver_keys,
+                          driver_filter=driver_filter, fold=False)
+        link = chain.select(*pcols, F.col(q(meta.driver_table, drv)).alias(DRIVER_KEY))
+    link = link.groupBy(*pcols).agg(F.min(DRIVER_KEY).alias(DRIVER_KEY))
+    pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
+    return link, pairs
+
+
+# ---------------------------------------------------------------------------
+# the scrub itself
+
+def _identity_side(identity: DataFrame, meta: TableMeta, fields: Sequence[str]) -> DataFrame:
+    key = identity_key(meta.driver_rule, meta.driver_column)
+    return identity.select(F.col(key).alias("__idkey"),
+                           *[F.col(f).alias(ID + f) for f in fields])
+
+
+def attach_identity(df: DataFrame, meta: TableMeta, identity: DataFrame,
+                    fields: Sequence[str], *, link: DataFrame | None = None,
+                    pairs: Sequence[tuple[str, str]] = (), how: str = "inner") -> DataFrame:
+    """J6 (table is its own driver) or J7 (through the driver link)."""
+    ids = _identity_side(identity, meta, fields)
+    if meta.is_own_driver or link is None:
+        dcol = meta.driver_column.split(",")[0].strip()
+        return df.join(ids, df[dcol] == ids["__idkey"], how).drop("__idkey")
+    lid = link.join(ids, link[DRIVER_KEY] == ids["__idkey"], "inner") \
+        .drop("__idkey", DRIVER_KEY)
+    cond = reduce(lambda a, b: a & b, [df[t] == lid[k] for t, k in pairs])
+    return df.join(lid, cond, how).drop(*[k for _, k in pairs])
+
+
+def unmatched(df: DataFrame, meta: TableMeta, identity: DataFrame, *,
+              link: DataFrame | None = None, pairs: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Rows the inner identity join would drop."""
+    ids = _identity_side(identity, meta, [])
+    if meta.is_own_driver or link is None:
+        dcol = meta.driver_column.split(",")[0].strip()
+        return df.join(ids, df[dcol] == ids["__idkey"], "left_anti")
+    lid = link.join(ids, link[DRIVER_KEY] == ids["__idkey"], "inner")
+    cond = reduce(lambda a, b: a & b, [df[t] == lid[k] for t, k in pairs])
+    return df.join(lid, cond, "left_anti")
+
+
+def scrub(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None, *,
+          link: DataFrame | None = None, pairs: Sequence[tuple[str, str]] = (),
+          how: str = "inner", json_schemas: Mapping[str, T.DataType] | None = None,
+          columns: Sequence[str] | None = None) -> DataFrame:
+    """The masked table, same columns and types as ``df``.
+
+    ``how="inner"`` drops rows without an identity (the reference's join);
+    ``how="left"`` keeps them with typed constants in the masked columns.
+    """
+    names = list(columns or df.columns)
+    plan = mask_plan(meta, names)
+    nested = {k: v for k, v in nested_plan(meta).items() if k in names}
+    fields = needed_fields(plan, nested)
+    work = df
+    if fields and has_driver(meta):
+        if identity is None:
+            raise ValueError(f"{meta.table_name}: masking needs an identity table")
+        work = attach_identity(df, meta, identity, fields, link=link, pairs=pairs, how=how)
+
+    def idf(f: str) -> Column:
+        return F.col(ID + f)
+
+    schema = df.schema
+    out = []
+    for n in names:
+        dtype = schema[n].dataType
+        cm = meta.column(n)
+        fb = typed_constant_value(cm) if how != "inner" else None
+        col = choice_column(plan[n], F.col(n), dtype, idf, fallback=fb)
+        if n in nested:
+            col = _mask_json(col, n, nested[n], (json_schemas or {}).get(n) or json_schema(df, n),
+                             idf)
+        out.append(col.alias(n))
+    return work.select(*out)
+
+
+def _mask_json(col: Column, name: str, items, schema: T.DataType, idf) -> Column:
+    parsed = F.from_json(col, schema)
+    for path, choice in items:
+        def value(ftype, choice=choice):
+            return choice_column(choice, F.lit(None), ftype, idf)
+        parsed = replace_path(parsed, schema, path, value)
+    return F.when(col.isNull(), col).otherwise(F.to_json(parsed))
+
+
+def describe(meta: TableMeta) -> str:
+    """Human-readable mask plan (for logs and reviews; no data)."""
+    plan = mask_plan(meta)
+    return json.dumps({k: [v.kind, v.field, str(v.value) if v.value is not None else None]
+                       for k, v in plan.items()}, indent=1)

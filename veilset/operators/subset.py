@@ -241,7 +241,8 @@ def extract_related(tables: Mapping[str, DataFrame], meta: TableMeta, *,
 def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,
               primary_keys: Mapping[str, Sequence[str]], *,
               driver_keys: DataFrame | None = None,
-              driver_filter: Column | None = None, upto: int | None = None) -> DataFrame:
+              driver_filter: Column | None = None, upto: int | None = None,
+              fold: bool = True) -> DataFrame:
     """Driver -> parent -> ... -> child, all keys of every hop.
 
     One inner join per hop index (equal-index edges ANDed into one composite
@@ -290,7 +291,7 @@ def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,
             same[q(e.child_table, e.child_column)] = same.get(pc, pc)
         chain = chain.join(child, cond, "inner").select(
             *[chain[c] for c in chain.columns],
-            *[child[c] for c in child.columns if c not in same])
+            *[child[c] for c in child.columns if not fold or c not in same])
     return chain.distinct()
 
 

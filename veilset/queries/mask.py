@@ -1 +1,289 @@
-"""Queries."""
+"""Scrub queries (P8, M1-M19, J6, J7, J10, S12) and their DuckDB oracles.
+
+The oracle side derives the same synthetic identities with DuckDB's own
+functions (``sha256``, hex casts, list indexing) and an unrolled Luhn sum,
+independently of the Spark expressions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import samples
+from ..functions import identity as idfn
+from ..operators import mask, subset
+from ..registry import query
+
+DRIVER = F.col("c_mktsegment") == "BUILDING"
+DRIVER_SQL = "c_mktsegment = 'BUILDING'"
+COVERED = F.col("c_acctbal") >= 0        # identities exist for accounts in good standing
+COVERED_SQL = "c_acctbal >= 0"
+
+# ---------------------------------------------------------------------------
+# identity generator in DuckDB SQL
+
+_S = idfn.DEFAULT_SEED
+
+
+def _u(tag, n, k="k"):
+    return (f"((('0x' || substr(sha256(concat_ws(':', '{_S}', '{tag}', CAST({k} AS VARCHAR))), "
+            f"1, 8))::BIGINT) % {n})")
+
+
+def _pick(tag, values):
+    return "[" + ", ".join(f"'{v}'" for v in values) + f"][{_u(tag, len(values))} + 1]"
+
+
+def _digits(tag, n):
+    parts, i = [], 0
+    while n > 0:
+        size = min(8, n)
+        parts.append(f"lpad(CAST({_u(f'{tag}{i}', 10 ** size)} AS VARCHAR), {size}, '0')")
+        n -= size
+        i += 1
+    return " || ".join(parts)
+
+
+def _luhn(col, length):
+    terms = []
+    for j in range(1, length + 1):
+        d = f"CAST(substr({col}, {j}, 1) AS INTEGER)"
+        if (length - j + 1) % 2 == 1:
+            terms.append(f"(CASE WHEN {d} * 2 > 9 THEN {d} * 2 - 9 ELSE {d} * 2 END)")
+        else:
+            terms.append(d)
+    return f"{col} || CAST((10 - ({' + '.join(terms)}) % 10) % 10 AS VARCHAR)"
+
+
+def identity_cte(source_sql: str) -> str:
+    """``ids`` CTE: one identity per key ``k`` of ``source_sql``."""
+    return f"""
+p AS (SELECT k, '37' || {_digits('cm15_', 12)} AS p15, '4' || {_digits('cm13_', 11)} AS p13,
+             '6' || {_digits('cm11_', 9)} AS p11 FROM ({source_sql})),
+ids AS (SELECT
+  ('0x' || substr(sha256(concat_ws(':', '{_S}', 'id', CAST(k AS VARCHAR))), 1, 15))::BIGINT AS id,
+  {_luhn('p15', 14)} AS cm15, {_luhn('p13', 12)} AS cm13, {_luhn('p11', 10)} AS cm11,
+  k AS cust_id,
+  {_pick('first', idfn.FIRST_NAMES)} AS first_nm,
+  {_pick('mid', idfn.MIDDLE_INITIALS)} AS mid_nm,
+  {_pick('last', idfn.LAST_NAMES)} AS lst_nm,
+  DATE '1940-01-01' + CAST({_u('dob', 22000)} AS INTEGER) AS cm_dob,
+  '9' || {_digits('nid_', 8)} AS nat_id,
+  CAST({_u('income', 180000)} + 20000 AS DOUBLE) AS incom_self,
+  CAST({_u('asset', 5000000)} AS DOUBLE) AS asset_am,
+  {_digits('bank_', 10)} AS bank_acct_no,
+  {_pick('employer', idfn.EMPLOYERS)} AS emplr_nm,
+  concat_ws(' ', CAST({_u('house', 9900)} + 100 AS VARCHAR), {_pick('street', idfn.STREETS)}) AS addr_line1,
+  'Apt ' || CAST({_u('apt', 900)} + 1 AS VARCHAR) AS addr_line2,
+  'Bldg ' || CAST({_u('bldg', 50)} + 1 AS VARCHAR) AS addr_line3,
+  'Floor ' || CAST({_u('floor', 40)} + 1 AS VARCHAR) AS addr_line4,
+  'PO Box ' || CAST({_u('box', 9000)} + 1000 AS VARCHAR) AS addr_line5,
+  {_pick('city', idfn.CITIES)} AS city,
+  {_pick('state', idfn.STATES)} AS state,
+  {_digits('zip_', 5)} AS zip_code,
+  '{idfn.COUNTRY}' AS country,
+  lower({_pick('first', idfn.FIRST_NAMES)} || '.' || {_pick('last', idfn.LAST_NAMES)} || '.' || {_digits('mail_', 4)} || '@example.test') AS email,
+  '555' || {_digits('phone_', 7)} AS phone
+FROM p)"""
+
+
+IDS_ALL = identity_cte("SELECT c_custkey AS k FROM customer")
+IDS_COVERED = identity_cte(f"SELECT c_custkey AS k FROM customer WHERE {COVERED_SQL}")
+
+
+def _identity(t, covered_only=False):
+    cust = t["customer"].where(COVERED) if covered_only else t["customer"]
+    return mask.identity_table(cust, "c_custkey", unique=True)
+
+
+def _t(spark, sf):
+    return samples.load_tables(spark, sf, ("customer", "orders", "lineitem"))
+
+
+@query("src_identity", f"WITH {IDS_ALL} SELECT * FROM ids")
+def src_identity(spark, sf):
+    return _identity(_t(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# member table: one column per rule (own driver, J6)
+
+MEMBER_SQL_COLS = {
+    "c_custkey": "c.c_custkey",
+    "c_name": "concat_ws(' ', i.first_nm, i.mid_nm, i.lst_nm)",
+    "name_first": "i.first_nm", "name_mid": "i.mid_nm", "name_last": "i.lst_nm",
+    "name_title": "CAST(NULL AS VARCHAR)", "emplr_name": "i.emplr_nm",
+    "birth_dt": "CAST(i.cm_dob AS TIMESTAMP)", "birth_mo": "CAST(month(i.cm_dob) AS INTEGER)",
+    "birth_yr": "CAST(year(i.cm_dob) AS INTEGER)", "birth_dd": "CAST(day(i.cm_dob) AS INTEGER)",
+    "card_nbr": "i.cm15", "card13_nbr": "i.cm13", "card11_nbr": "i.cm11",
+    "bank_acct_no": "i.bank_acct_no", "ban_ref": "i.cm15",
+    "addr_line1": "i.addr_line1", "addr_line2": "i.addr_line2", "addr_city": "i.city",
+    "addr_state": "i.state", "addr_zip": "i.zip_code", "addr_country": "i.country",
+    "home_address": "concat_ws(', ', i.addr_line1, i.addr_line2, i.city, i.state, i.zip_code)",
+    "residence_txt": "'abc'", "email_id": "i.email", "cell_phone": "i.phone",
+    "ssn": "i.nat_id", "tax_id": "i.nat_id", "marital_status": "'MARRIED'",
+    "salary_amt": "i.incom_self", "c_acctbal": "i.asset_am",
+    "mr_nbr": "'a'", "note_code": "CAST(4 AS INTEGER)", "flag_cd": "'a'",
+    "doc_date": "TIMESTAMP '2003-05-03 00:00:00'",
+    "c_nationkey": "c.c_nationkey", "c_mktsegment": "c.c_mktsegment",
+}
+
+
+def _member_sql(cols):
+    sel = ", ".join(f"{MEMBER_SQL_COLS[c]} AS {c}" for c in cols)
+    return f"WITH {IDS_ALL} SELECT {sel} FROM customer c JOIN ids i ON i.cust_id = c.c_custkey"
+
+
+def _member_query(name, cols=None):
+    cols = cols or [c.name for c in samples.META["member"].columns]
+
+    def fn(spark, sf):
+        t = _t(spark, sf)
+        member = samples.member_table(t["customer"]).select(*cols)
+        return mask.scrub(member, samples.META["member"], _identity(t))
+    query(name, _member_sql(cols))(fn)
+
+
+_member_query("mask_table")
+_member_query("mask_dob_parts", ["c_custkey", "birth_dt", "birth_mo", "birth_yr", "birth_dd"])
+_member_query("mask_card_number", ["c_custkey", "card_nbr", "card13_nbr", "card11_nbr", "ban_ref"])
+_member_query("mask_name_by_column", ["c_custkey", "c_name", "name_first", "name_mid",
+                                      "name_last", "name_title", "emplr_name"])
+_member_query("mask_address", ["c_custkey", "addr_line1", "addr_line2", "addr_city",
+                               "addr_state", "addr_zip", "addr_country", "home_address",
+                               "residence_txt"])
+_member_query("mask_contact", ["c_custkey", "email_id", "cell_phone"])
+_member_query("mask_national_id", ["c_custkey", "ssn", "tax_id"])
+_member_query("mask_marital", ["c_custkey", "marital_status", "c_mktsegment"])
+_member_query("mask_income", ["c_custkey", "salary_amt", "c_acctbal"])
+_member_query("mask_bank_number", ["c_custkey", "bank_acct_no", "ban_ref"])
+_member_query("mask_constants", ["c_custkey", "mr_nbr", "note_code", "flag_cd", "doc_date",
+                                 "residence_txt"])
+
+_NO_DRIVER_SQL = {
+    "c_custkey": "c_custkey", "c_name": "'abc'", "name_first": "'abc'", "name_mid": "'a'",
+    "name_last": "'abc'", "name_title": "'abc'", "emplr_name": "'abc'",
+    "birth_dt": "TIMESTAMP '2003-05-03 00:00:00'", "birth_mo": "4", "birth_yr": "10",
+    "birth_dd": "4", "card_nbr": "'abc'", "card13_nbr": "'abc'", "card11_nbr": "'abc'",
+    "bank_acct_no": "'abc'", "ban_ref": "'abc'", "addr_line1": "'abc'", "addr_line2": "'abc'",
+    "addr_city": "'abc'", "addr_state": "'a'", "addr_zip": "'abc'", "addr_country": "'a'",
+    "home_address": "'abc'", "residence_txt": "'abc'", "email_id": "'abc'",
+    "cell_phone": "'abc'", "ssn": "'abc'", "tax_id": "'abc'", "marital_status": "'abc'",
+    "salary_amt": "CAST(10 AS DOUBLE)", "c_acctbal": "CAST(10 AS DOUBLE)", "mr_nbr": "'a'",
+    "note_code": "4", "flag_cd": "'a'", "doc_date": "TIMESTAMP '2003-05-03 00:00:00'",
+    "c_nationkey": "c_nationkey", "c_mktsegment": "c_mktsegment",
+}
+
+
+@query("mask_no_driver", "SELECT " + ", ".join(
+    f"{v} AS {k}" if k in ("c_custkey", "c_nationkey", "c_mktsegment") else
+    f"CAST({v} AS {'INTEGER' if k in ('birth_mo', 'birth_yr', 'birth_dd', 'note_code') else 'VARCHAR' if not v.startswith(('TIMESTAMP', 'CAST')) else 'TIMESTAMP' if v.startswith('TIMESTAMP') else 'DOUBLE'}) AS {k}"
+    for k, v in _NO_DRIVER_SQL.items()) + " FROM customer")
+def mask_no_driver(spark, sf):
+    """PII of a table without driver -> typed constants, no join."""
+    t = _t(spark, sf)
+    return mask.scrub(samples.member_table(t["customer"]), samples.META["member_no_driver"])
+
+
+# ---------------------------------------------------------------------------
+# tables reached over hops
+
+_CUSTOMER_SQL = f"""WITH {IDS_ALL}
+SELECT c.c_custkey, concat_ws(' ', i.first_nm, i.mid_nm, i.lst_nm) AS c_name, c.c_nationkey,
+       i.asset_am AS c_acctbal, c.c_mktsegment
+FROM customer c JOIN ids i ON i.cust_id = c.c_custkey WHERE c.{DRIVER_SQL}"""
+
+
+@query("mask_identity", _CUSTOMER_SQL)
+def mask_identity(spark, sf):
+    """The driver table is its own driver."""
+    t = _t(spark, sf)
+    meta = samples.META["customer"]
+    rows = subset.extract_rows(t["customer"], meta, where=DRIVER)
+    return mask.scrub(rows, meta, _identity(t))
+
+
+_ORDERS_SQL = f"""WITH {IDS_ALL}
+SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, i.asset_am AS o_totalprice, o.o_orderdate,
+       o.o_orderpriority
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN ids i ON i.cust_id = c.c_custkey
+WHERE c.{DRIVER_SQL}"""
+
+
+@query("mask_identity_1hop", _ORDERS_SQL)
+def mask_identity_1hop(spark, sf):
+    t = _t(spark, sf)
+    meta = samples.META["orders"]
+    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
+    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
+    return mask.scrub(rows, meta, _identity(t), link=link, pairs=pairs)
+
+
+def _lineitem_sql(ids_cte, how="JOIN", extendedprice="i.asset_am"):
+    return f"""WITH {ids_cte}
+SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,
+       {extendedprice} AS l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag,
+       l.l_linestatus, l.l_shipdate
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey {how} ids i ON i.cust_id = c.c_custkey
+WHERE c.{DRIVER_SQL}"""
+
+
+def mask_lineitem(t, how="inner", covered_only=False):
+    """Extract line items two hops from the driver and mask them."""
+    meta = samples.META["lineitem"]
+    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
+    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
+    return mask.scrub(rows, meta, _identity(t, covered_only), link=link, pairs=pairs, how=how)
+
+
+@query("mask_identity_2hop", _lineitem_sql(IDS_ALL))
+def mask_identity_2hop(spark, sf):
+    return mask_lineitem(_t(spark, sf))
+
+
+@query("mask_identity_left", _lineitem_sql(
+    IDS_COVERED, "LEFT JOIN", "coalesce(i.asset_am, CAST(10 AS DOUBLE))"))
+def mask_identity_left(spark, sf):
+    """Left identity join: rows without an identity keep typed constants."""
+    return mask_lineitem(_t(spark, sf), how="left", covered_only=True)
+
+
+@query("mask_unmatched", f"""
+SELECT l.* FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE c.{DRIVER_SQL} AND NOT (c.{COVERED_SQL})""")
+def mask_unmatched(spark, sf):
+    """Extracted rows the inner identity join would drop."""
+    t = _t(spark, sf)
+    meta = samples.META["lineitem"]
+    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
+    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
+    return mask.unmatched(rows, meta, _identity(t, covered_only=True), link=link, pairs=pairs)
+
+
+# ---------------------------------------------------------------------------
+# nested JSON
+
+def _doc_json_sql(name_sql):
+    # keys in the order the merged JSON schema gives them (sorted)
+    return ("'{\"caseId\":\"' || CAST(o.o_orderkey AS VARCHAR) || '\",\"entities\":[{"
+            "\"identifierType\":\"CUST\",\"identifierValue\":\"' || CAST(c.c_custkey AS VARCHAR) || "
+            f"'\",\"name\":\"' || {name_sql} || '\",\"requestedDocuments\":[{{\"status\":\"' || "
+            "o.o_orderstatus || '\",\"type\":\"INVOICE\"}],\"status\":\"ACTIVE\"}],\"journey\":\"' || "
+            "o.o_orderpriority || '\",\"status\":\"' || o.o_orderstatus || '\"}'")
+
+
+@query("mask_nested_json", f"""WITH {IDS_ALL}
+SELECT o.o_orderkey AS document_request_id, o.o_custkey AS cust_key,
+       o.o_orderpriority AS journey_nm,
+       {_doc_json_sql("concat_ws(' ', i.first_nm, i.mid_nm, i.lst_nm)")} AS request_f1
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN ids i ON i.cust_id = c.c_custkey
+WHERE c.{DRIVER_SQL}""")
+def mask_nested_json(spark, sf):
+    t = _t(spark, sf)
+    t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
+    meta = samples.META["doc_request"]
+    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
+    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
+    return mask.scrub(rows, meta, _identity(t), link=link, pairs=pairs)

@@ -65,7 +65,7 @@ CUSTOMER_COLUMNS = [
 ]
 ORDERS_COLUMNS = [
     col("o_orderkey", "NUMBER", 22, precision=19, pk=True),
-    col("o_custkey", "NUMBER", 22, precision=19, pii=True, rule="cust_id", nullable=False),
+    col("o_custkey", "NUMBER", 22, precision=19, nullable=False),
     col("o_orderstatus", "CHAR", 1),
     col("o_totalprice", "DOUBLE", pii=True, rule="affiliated_pia_income"),
     col("o_orderdate", "DATE", 7),
@@ -142,3 +142,134 @@ def returned_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey").alias("r_orderkey"),
         F.col("l_linenumber").alias("r_linenumber"),
         F.col("l_quantity").alias("r_quantity"))
+
+
+# ---------------------------------------------------------------------------
+# member: one column per masking rule, derived from customer (1 row per customer)
+
+MEMBER_COLUMNS = [
+    col("c_custkey", "NUMBER", 22, precision=19, pk=True),
+    col("c_name", "VARCHAR2", 25, pii=True, rule="secondary_pii_indv_name:full_name_other"),
+    col("name_first", "VARCHAR2", 20, pii=True, rule="secondary_pii_indv_name:first_name"),
+    col("name_mid", "VARCHAR2", 1, pii=True, rule="secondary_pii_indv_name:full_name_other"),
+    col("name_last", "VARCHAR2", 20, pii=True, rule="secondary_pii_indv_name:last_name"),
+    col("name_title", "VARCHAR2", 5, pii=True, rule="secondary_pii_indv_name:full_name_other"),
+    col("emplr_name", "VARCHAR2", 40, pii=True, rule="secondary_pii_indv_name:full_name_other"),
+    col("birth_dt", "DATE", 7, pii=True, rule="secondary_pia_dob"),
+    col("birth_mo", "INTEGER", 2, pii=True, rule="secondary_pia_dob"),
+    col("birth_yr", "INTEGER", 4, pii=True, rule="secondary_pia_dob"),
+    col("birth_dd", "INTEGER", 2, pii=True, rule="secondary_pia_dob"),
+    col("card_nbr", "VARCHAR2", 15, pii=True, rule="primary_pan_acct_nbr_15"),
+    col("card13_nbr", "VARCHAR2", 13, pii=True, rule="primary_pan_acct_nbr13"),
+    col("card11_nbr", "VARCHAR2", 11, pii=True, rule="primary_pan_acct_nbr11"),
+    col("bank_acct_no", "VARCHAR2", 10, pii=True, rule="primary_ban_acct_nbr"),
+    col("ban_ref", "VARCHAR2", 15, pii=True, rule="primary_ban_acct_nbr"),
+    col("addr_line1", "VARCHAR2", 40, pii=True, rule="secondary_pii_address:line1"),
+    col("addr_line2", "VARCHAR2", 40, pii=True, rule="secondary_pii_address:line2"),
+    col("addr_city", "VARCHAR2", 30, pii=True, rule="secondary_pii_address:city"),
+    col("addr_state", "VARCHAR2", 2, pii=True, rule="secondary-pii_address:state"),
+    col("addr_zip", "VARCHAR2", 5, pii=True, rule="secondary-pii_address:zip_code"),
+    col("addr_country", "VARCHAR2", 2, pii=True, rule="secondary_pii_address:country"),
+    col("home_address", "VARCHAR2", 120, pii=True, rule="secondary_pii_address:full_address_other"),
+    col("residence_txt", "VARCHAR2", None, pii=True, rule="secondary_pii_address:full_address_other"),
+    col("email_id", "VARCHAR2", 60, pii=True, rule="secondary_pii_email"),
+    col("cell_phone", "VARCHAR2", 12, pii=True, rule="secondary_pii_telephone_cell_fax"),
+    col("ssn", "VARCHAR2", 9, pii=True, rule="primary_nid_ssn"),
+    col("tax_id", "VARCHAR2", 12, pii=True, rule="secondary_cse_tax_id"),
+    col("marital_status", "VARCHAR2", 10, pii=True, rule="secondary_pia_marital_status"),
+    col("salary_amt", "DOUBLE", pii=True, rule="affiliated_pia_income"),
+    col("c_acctbal", "DOUBLE", pii=True, rule="affiliated_pia_income"),
+    col("mr_nbr", "VARCHAR2", 2, pii=True, rule="secondary_pii_mr_nbr"),
+    col("note_code", "NUMBER", 2, pii=True, rule="secondary_pii_other", precision=2),
+    col("flag_cd", "CHAR", 1, pii=True, rule="secondary_pii_other"),
+    col("doc_date", "DATE", 7, pii=True, rule="secondary_pii_other"),
+    col("c_nationkey", "INTEGER", nullable=False),
+    col("c_mktsegment", "VARCHAR2", 10),
+]
+MEMBER = request("member", MEMBER_COLUMNS, driver=("member", "c_custkey"))
+META["member"] = TableMeta.from_document(MEMBER)
+MEMBER_NO_DRIVER = request("member", MEMBER_COLUMNS, driver=None)
+META["member_no_driver"] = TableMeta.from_document(MEMBER_NO_DRIVER)
+
+
+def member_table(customer: DataFrame) -> DataFrame:
+    """Wide PII table derived from ``customer`` (values are stand-ins that
+    the scrub must replace)."""
+    k = F.col("c_custkey").cast("string")
+    n = F.col("c_nationkey")
+    day0 = F.lit("1970-01-01").cast("date")
+    return customer.select(
+        "c_custkey", "c_name",
+        F.concat(F.lit("First"), k).alias("name_first"),
+        F.substring("c_name", 1, 1).alias("name_mid"),
+        F.concat(F.lit("Last"), k).alias("name_last"),
+        F.substring("c_mktsegment", 1, 2).alias("name_title"),
+        F.concat(F.col("c_mktsegment"), F.lit(" Co")).alias("emplr_name"),
+        F.date_add(day0, n * 100).cast("timestamp_ntz").alias("birth_dt"),
+        (n + 1).alias("birth_mo"), (n + 1950).alias("birth_yr"), (n + 2).alias("birth_dd"),
+        F.lpad(k, 15, "0").alias("card_nbr"), F.lpad(k, 13, "0").alias("card13_nbr"),
+        F.lpad(k, 11, "0").alias("card11_nbr"), F.lpad(k, 10, "1").alias("bank_acct_no"),
+        F.concat(F.lit("BAN"), k).alias("ban_ref"),
+        F.concat(k, F.lit(" Main St")).alias("addr_line1"),
+        F.concat(F.lit("Unit "), n.cast("string")).alias("addr_line2"),
+        F.concat(F.lit("City"), n.cast("string")).alias("addr_city"),
+        F.lit("ST").alias("addr_state"), F.lpad(n.cast("string"), 5, "0").alias("addr_zip"),
+        F.lit("XX").alias("addr_country"),
+        F.concat(k, F.lit(" Main St, City"), n.cast("string")).alias("home_address"),
+        F.concat(F.lit("Residence "), k).alias("residence_txt"),
+        F.concat(F.lit("c"), k, F.lit("@mail.test")).alias("email_id"),
+        F.concat(F.lit("+1"), F.lpad(k, 10, "0")).alias("cell_phone"),
+        F.lpad(k, 9, "0").alias("ssn"), F.concat(F.lit("T"), k).alias("tax_id"),
+        F.substring("c_mktsegment", 1, 1).alias("marital_status"),
+        (F.col("c_acctbal") * 10).alias("salary_amt"), "c_acctbal",
+        F.substring("c_name", 1, 2).alias("mr_nbr"),
+        (n + 10).alias("note_code"), F.substring("c_mktsegment", 1, 1).alias("flag_cd"),
+        F.date_add(day0, n).cast("timestamp_ntz").alias("doc_date"),
+        "c_nationkey", "c_mktsegment")
+
+
+# ---------------------------------------------------------------------------
+# doc_request: a JSON column with a nested PII attribute (entities.name)
+
+DOC_REQUEST_COLUMNS = [
+    col("document_request_id", "NUMBER", 22, precision=19, pk=True),
+    col("cust_key", "NUMBER", 22, precision=19),
+    col("journey_nm", "VARCHAR2", 20),
+    col("request_f1", "jsonb", 0, complex_column_attributes=[
+        {"path": "caseId", "name": "caseId", "rule": None, "isPII": False,
+         "data_type": "string"},
+        {"path": "entities.name", "name": "name",
+         "rule": "<secondary_pii_indv_name: full_name_other>", "isPII": True,
+         "data_type": "string"},
+        {"path": "entities.name", "name": "name",
+         "rule": "<secondary_pii_indv_name: full_name_other>", "isPII": True,
+         "data_type": "string"},
+        {"path": "entities.status", "name": "status", "rule": None, "isPII": False,
+         "data_type": "string"},
+    ]),
+]
+DOC_REQUEST = request("doc_request", DOC_REQUEST_COLUMNS,
+                      edges=[("customer", "c_custkey", "doc_request", "cust_key", 0)])
+META["doc_request"] = TableMeta.from_document(DOC_REQUEST)
+PRIMARY_KEYS["doc_request"] = ["document_request_id"]
+
+
+def doc_request_table(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """One request per order; the JSON names the customer inside ``entities``."""
+    j = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "inner")
+    doc = F.struct(
+        F.col("o_orderkey").cast("string").alias("caseId"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("journey"),
+        F.array(F.struct(
+            F.col("c_name").alias("name"),
+            F.lit("ACTIVE").alias("status"),
+            F.lit("CUST").alias("identifierType"),
+            F.col("c_custkey").cast("string").alias("identifierValue"),
+            F.array(F.struct(F.lit("INVOICE").alias("type"),
+                             F.col("o_orderstatus").alias("status"))).alias("requestedDocuments"),
+        )).alias("entities"))
+    return j.select(F.col("o_orderkey").alias("document_request_id"),
+                    F.col("o_custkey").alias("cust_key"),
+                    F.col("o_orderpriority").alias("journey_nm"),
+                    F.to_json(doc).alias("request_f1"))
