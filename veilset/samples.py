@@ -273,3 +273,46 @@ def doc_request_table(orders: DataFrame, customer: DataFrame) -> DataFrame:
                     F.col("o_custkey").alias("cust_key"),
                     F.col("o_orderpriority").alias("journey_nm"),
                     F.to_json(doc).alias("request_f1"))
+
+
+# ---------------------------------------------------------------------------
+# test-only keys for the bundled queries (real runs pass keys from a secret store)
+TEST_ENV_KEY = b"veilset-test-environment-key-32b"
+TEST_COLUMN_KEYS = {"custkey_db_key": b"veilset-test-column-key-0000016b"[:16],
+                    "name_db_key": b"veilset-test-column-key-24bytes!"[:24]}
+TEST_HASH_SECRET = "veilset-test-hash-secret"
+
+# P3 variant of orders: several PII columns, one rule with priority, a driver column
+ORDERS_P3 = request("orders", [
+    col("o_orderkey", "NUMBER", 22, precision=19, pk=True, pii=True),
+    col("o_custkey", "NUMBER", 22, precision=19, pii=True, rule="cust_id"),
+    col("o_orderstatus", "CHAR", 1),
+    col("o_totalprice", "DOUBLE", pii=True, rule="affiliated_pia_income"),
+    col("o_orderdate", "DATE", 7, pii=True),
+    col("o_orderpriority", "VARCHAR2", 15, pii=True),
+], driver=("orders", "o_orderpriority"))
+META["orders_p3"] = TableMeta.from_document(ORDERS_P3)
+
+# customer as a source that stores its key encrypted with a column key
+CUSTOMER_DB_ENCRYPTED = request("customer", [
+    col("c_custkey", "NUMBER", 22, precision=19, pk=True, pii=True, is_encrypted="YES",
+        hipedAlgorithm="HipedEmbed", encryption_sde_key="custkey_db_key",
+        encryption_sde_useIVMethod="NO"),
+    col("c_name", "VARCHAR2", 25, pii=True, is_encrypted="YES",
+        rule="primary_pan_acct_nbr_15", hipedAlgorithm="KeyBasedCryptoHash",
+        encryption_sde_key="name_db_key"),
+    col("c_nationkey", "INTEGER"),
+    col("c_acctbal", "DOUBLE"),
+    col("c_mktsegment", "VARCHAR2", 10),
+])
+CUSTOMER_DB_ENCRYPTED.update({"driver_column_encrypted": "YES", "eot_encryption_applied": "YES"})
+META["customer_db_encrypted"] = TableMeta.from_document(CUSTOMER_DB_ENCRYPTED)
+CUSTOMER_EOT = dict(CUSTOMER, eot_encryption_applied="YES", driver_column_encrypted="NO")
+META["customer_eot"] = TableMeta.from_document(CUSTOMER_EOT)
+
+PAGES = request("pages", [
+    col("page_id", "NUMBER", 22, precision=19, pk=True),
+    col("url", "VARCHAR2", 2000),
+    col("html", "bytea"),
+], driver=None)
+META["pages"] = TableMeta.from_document(PAGES)
