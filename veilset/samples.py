@@ -57,24 +57,24 @@ def request(table, columns, *, driver=("customer", "c_custkey"), edges=(), filte
 
 
 CUSTOMER_COLUMNS = [
-    col("c_custkey", "NUMBER", 22, precision=19, pk=True),
+    col("c_custkey", "NUMBER", 22, precision=18, pk=True),
     col("c_name", "VARCHAR2", 25, pii=True, rule="secondary_pii_indv_name:full_name_other"),
     col("c_nationkey", "INTEGER", nullable=False),
     col("c_acctbal", "DOUBLE", pii=True, rule="affiliated_pia_income"),
     col("c_mktsegment", "VARCHAR2", 10),
 ]
 ORDERS_COLUMNS = [
-    col("o_orderkey", "NUMBER", 22, precision=19, pk=True),
-    col("o_custkey", "NUMBER", 22, precision=19, nullable=False),
+    col("o_orderkey", "NUMBER", 22, precision=18, pk=True),
+    col("o_custkey", "NUMBER", 22, precision=18, nullable=False),
     col("o_orderstatus", "CHAR", 1),
     col("o_totalprice", "DOUBLE", pii=True, rule="affiliated_pia_income"),
     col("o_orderdate", "DATE", 7),
     col("o_orderpriority", "VARCHAR2", 15),
 ]
 LINEITEM_COLUMNS = [
-    col("l_orderkey", "NUMBER", 22, precision=19, pk=True),
-    col("l_partkey", "NUMBER", 22, precision=19),
-    col("l_suppkey", "NUMBER", 22, precision=19),
+    col("l_orderkey", "NUMBER", 22, precision=18, pk=True),
+    col("l_partkey", "NUMBER", 22, precision=18),
+    col("l_suppkey", "NUMBER", 22, precision=18),
     col("l_linenumber", "INTEGER", pk=True),
     col("l_quantity", "DOUBLE"),
     col("l_extendedprice", "DOUBLE", pii=True, rule="affiliated_pia_income"),
@@ -85,9 +85,9 @@ LINEITEM_COLUMNS = [
     col("l_shipdate", "DATE", 7),
 ]
 EVENTS_COLUMNS = [
-    col("event_id", "NUMBER", 22, precision=19, pk=True),
+    col("event_id", "NUMBER", 22, precision=18, pk=True),
     col("ts", "DATE", 7),
-    col("user_id", "NUMBER", 22, precision=19),
+    col("user_id", "NUMBER", 22, precision=18),
     col("event_type", "VARCHAR2", 10),
     col("value", "DOUBLE"),
     col("props", "VARCHAR2", 4000),
@@ -111,7 +111,7 @@ PRIMARY_KEYS = {
 
 # composite hop: returned lines reference a line item by (order, line number)
 RETURNED_LINES_COLUMNS = [
-    col("r_orderkey", "NUMBER", 22, precision=19, pk=True),
+    col("r_orderkey", "NUMBER", 22, precision=18, pk=True),
     col("r_linenumber", "INTEGER", pk=True),
     col("r_quantity", "DOUBLE"),
 ]
@@ -148,7 +148,7 @@ def returned_lines(lineitem: DataFrame) -> DataFrame:
 # member: one column per masking rule, derived from customer (1 row per customer)
 
 MEMBER_COLUMNS = [
-    col("c_custkey", "NUMBER", 22, precision=19, pk=True),
+    col("c_custkey", "NUMBER", 22, precision=18, pk=True),
     col("c_name", "VARCHAR2", 25, pii=True, rule="secondary_pii_indv_name:full_name_other"),
     col("name_first", "VARCHAR2", 20, pii=True, rule="secondary_pii_indv_name:first_name"),
     col("name_mid", "VARCHAR2", 1, pii=True, rule="secondary_pii_indv_name:full_name_other"),
@@ -232,8 +232,8 @@ def member_table(customer: DataFrame) -> DataFrame:
 # doc_request: a JSON column with a nested PII attribute (entities.name)
 
 DOC_REQUEST_COLUMNS = [
-    col("document_request_id", "NUMBER", 22, precision=19, pk=True),
-    col("cust_key", "NUMBER", 22, precision=19),
+    col("document_request_id", "NUMBER", 22, precision=18, pk=True),
+    col("cust_key", "NUMBER", 22, precision=18),
     col("journey_nm", "VARCHAR2", 20),
     col("request_f1", "jsonb", 0, complex_column_attributes=[
         {"path": "caseId", "name": "caseId", "rule": None, "isPII": False,
@@ -284,8 +284,8 @@ TEST_HASH_SECRET = "veilset-test-hash-secret"
 
 # P3 variant of orders: several PII columns, one rule with priority, a driver column
 ORDERS_P3 = request("orders", [
-    col("o_orderkey", "NUMBER", 22, precision=19, pk=True, pii=True),
-    col("o_custkey", "NUMBER", 22, precision=19, pii=True, rule="cust_id"),
+    col("o_orderkey", "NUMBER", 22, precision=18, pk=True, pii=True),
+    col("o_custkey", "NUMBER", 22, precision=18, pii=True, rule="cust_id"),
     col("o_orderstatus", "CHAR", 1),
     col("o_totalprice", "DOUBLE", pii=True, rule="affiliated_pia_income"),
     col("o_orderdate", "DATE", 7, pii=True),
@@ -295,7 +295,7 @@ META["orders_p3"] = TableMeta.from_document(ORDERS_P3)
 
 # customer as a source that stores its key encrypted with a column key
 CUSTOMER_DB_ENCRYPTED = request("customer", [
-    col("c_custkey", "NUMBER", 22, precision=19, pk=True, pii=True, is_encrypted="YES",
+    col("c_custkey", "NUMBER", 22, precision=18, pk=True, pii=True, is_encrypted="YES",
         hipedAlgorithm="HipedEmbed", encryption_sde_key="custkey_db_key",
         encryption_sde_useIVMethod="NO"),
     col("c_name", "VARCHAR2", 25, pii=True, is_encrypted="YES",
@@ -311,7 +311,7 @@ CUSTOMER_EOT = dict(CUSTOMER, eot_encryption_applied="YES", driver_column_encryp
 META["customer_eot"] = TableMeta.from_document(CUSTOMER_EOT)
 
 PAGES = request("pages", [
-    col("page_id", "NUMBER", 22, precision=19, pk=True),
+    col("page_id", "NUMBER", 22, precision=18, pk=True),
     col("url", "VARCHAR2", 2000),
     col("html", "bytea"),
 ], driver=None)

@@ -1,0 +1,93 @@
+"""JDBC sources (S1-S5) and the JDBC side of load targets (K8).
+
+Only options are built here; Spark's JDBC data source does the reading, in
+parallel when a partition column is given.  Filters written as DataFrame
+predicates on a ``dbtable`` scan are pushed into the database query by
+Catalyst; a semi join with a key DataFrame is not, so small key sets are
+turned into an ``IN`` filter after a size check (see ``subset.semi_join``).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+# fixed values: JDBC URL form and driver class per database kind
+KINDS = {
+    "oracle": ("jdbc:oracle:thin:@//{host}:{port}/{database}", "oracle.jdbc.OracleDriver"),
+    "sqlserver": ("jdbc:sqlserver://{host}:{port};databaseName={database}",
+                  "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
+    "postgresql": ("jdbc:postgresql://{host}:{port}/{database}", "org.postgresql.Driver"),
+    "derby": ("jdbc:derby:{database}", "org.apache.derby.jdbc.EmbeddedDriver"),
+}
+DEFAULT_FETCH_SIZE = 10000
+
+
+@dataclass(frozen=True)
+class JdbcSource:
+    """Where and how to reach one database (credentials passed by the caller)."""
+    kind: str
+    host: str = ""
+    port: int | None = None
+    database: str = ""
+    user: str | None = None
+    password: str | None = field(default=None, repr=False)
+    fetch_size: int | None = DEFAULT_FETCH_SIZE
+    extra: tuple[tuple[str, str], ...] = ()
+
+    def url(self) -> str:
+        if self.kind not in KINDS:
+            raise ValueError(f"no JDBC form for database kind {self.kind!r}")
+        return KINDS[self.kind][0].format(host=self.host, port=self.port or "",
+                                           database=self.database)
+
+    def options(self) -> dict[str, str]:
+        """Options for ``spark.read.format('jdbc')`` of this kind."""
+        opts = {"url": self.url(), "driver": KINDS[self.kind][1]}
+        if self.user is not None:
+            opts["user"] = self.user
+        if self.password is not None:
+            opts["password"] = self.password
+        if self.fetch_size:
+            opts["fetchsize"] = str(self.fetch_size)
+        opts.update(dict(self.extra))
+        return opts
+
+
+def read_table(spark: SparkSession, src: JdbcSource, table: str) -> DataFrame:
+    """S3: a whole table; later DataFrame filters / projections are pushed."""
+    return spark.read.format("jdbc").options(**src.options()).option("dbtable", table).load()
+
+
+def read_query(spark: SparkSession, src: JdbcSource, sql: str) -> DataFrame:
+    """The result of a query (no partitioning)."""
+    return spark.read.format("jdbc").options(**src.options()).option("query", sql).load()
+
+
+def partition_options(column: str, lower: int | str, upper: int | str,
+                      partitions: int) -> dict[str, str]:
+    """Stride partitioning of a scan over ``column``."""
+    if partitions < 1:
+        raise ValueError("partitions must be positive")
+    return {"partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper),
+            "numPartitions": str(partitions)}
+
+
+def read_partitioned(spark: SparkSession, src: JdbcSource, table_or_query: str, *,
+                     column: str, lower, upper, partitions: int) -> DataFrame:
+    """Parallel scan, one range of ``column`` per task.  A query is wrapped
+    as a derived table (``query`` and ``partitionColumn`` cannot be combined)."""
+    t = table_or_query.strip()
+    dbtable = f"({t}) q" if t.lower().startswith("select") else t
+    return (spark.read.format("jdbc").options(**src.options()).option("dbtable", dbtable)
+            .options(**partition_options(column, lower, upper, partitions)).load())
+
+
+def write_table(df: DataFrame, src: JdbcSource, table: str, mode: str, *,
+                truncate: bool = True, batch_size: int = 10000) -> None:
+    """K8: overwrite (truncate, table kept) or append rows, one connection per
+    task."""
+    (df.write.format("jdbc").options(**src.options()).option("dbtable", table)
+     .option("truncate", str(truncate).lower()).option("batchsize", str(batch_size))
+     .mode(mode).save())
