@@ -1 +1,112 @@
-"""Queries."""
+"""Source and sink queries."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from .. import samples
+from ..operators import subset
+from ..registry import query
+from ..session import stage_path
+from ..sinks.files import stage_copy, write_files, write_table
+from ..sources import files
+
+DRIVER = F.col("c_mktsegment") == "BUILDING"
+
+
+def _t(spark, sf):
+    return samples.load_tables(spark, sf, ("customer", "orders", "part"))
+
+
+@query("src_parquet", "SELECT * FROM orders")
+def src_parquet(spark, sf):
+    return files.read_parquet(spark, f"{sf.rstrip('/')}/orders.parquet")
+
+
+@query("src_csv", "SELECT * FROM customer")
+def src_csv(spark, sf):
+    """CSV files with a header row, parsed into the declared types."""
+    path = write_files(_t(spark, sf)["customer"], stage_path(spark, "customer-csv"), "csv")
+    return files.read_csv(spark, path, files.declared_schema(samples.META["customer"]))
+
+
+@query("src_declared_schema", "SELECT * FROM orders")
+def src_declared_schema(spark, sf):
+    """The StructType comes from the column metadata (NUMBER, CHAR,
+    VARCHAR2, DATE with time of day)."""
+    path = write_files(_t(spark, sf)["orders"], stage_path(spark, "orders-csv"), "csv")
+    return files.read_declared(spark, path, samples.META["orders"], "csv")
+
+
+@query("src_mixed_dir", "SELECT * FROM orders")
+def src_mixed_dir(spark, sf):
+    """One folder with CSV and Parquet parts; a ``_stg`` copy inside is
+    not read."""
+    o = _t(spark, sf)["orders"]
+    base = stage_path(spark, "orders-mixed")
+    write_files(o.where(F.col("o_orderstatus") == "F"), f"{base}/part_csv", "csv")
+    write_files(o.where(F.col("o_orderstatus") != "F"), f"{base}/part_parquet", "parquet")
+    write_files(o, f"{base}/orders_stg", "parquet")
+    return files.read_folder(spark, base, files.declared_schema(samples.META["orders"]))
+
+
+@query("src_key_table", """
+SELECT DISTINCT c.c_custkey AS customer_c_custkey, o.o_orderkey AS orders_o_orderkey
+FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey WHERE c.c_mktsegment = 'BUILDING'""")
+def src_key_table(spark, sf):
+    """Key table files with ``TABLE.COLUMN`` headers, names normalised."""
+    t = _t(spark, sf)
+    chain = subset.key_chain(t, samples.META["orders"], samples.PRIMARY_KEYS,
+                             driver_filter=DRIVER)
+    path = write_files(subset.dotted(chain), stage_path(spark, "keys-orders"), "csv")
+    keys = files.read_key_table(spark, path)
+    return keys.select(F.col("customer_c_custkey").cast("bigint"),
+                       F.col("orders_o_orderkey").cast("bigint"))
+
+
+@query("src_key_list", """
+SELECT DISTINCT c_custkey, c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def src_key_list(spark, sf):
+    """A right-padded text key list with composite keys."""
+    t = _t(spark, sf)
+    lines = t["customer"].where(DRIVER).select(
+        F.rpad(F.concat_ws(",", "c_custkey", "c_nationkey"), 24, " ").alias("value"))
+    path = stage_path(spark, "driver-keys")
+    lines.write.text(path)
+    return files.read_key_list(spark, path, ["c_custkey", "c_nationkey"], ["bigint", "int"])
+
+
+@query("sink_csv_roundtrip", "SELECT * FROM orders")
+def sink_csv_roundtrip(spark, sf):
+    """K1: CSV with header, overwrite; read back with the declared schema."""
+    o = _t(spark, sf)["orders"]
+    path = stage_path(spark, "orders-out")
+    write_files(o.where(F.col("o_orderstatus") == "F"), path, "csv")
+    write_files(o, path, "csv", mode="overwrite")
+    return files.read_csv(spark, path, files.declared_schema(samples.META["orders"]))
+
+
+@query("sink_parquet_roundtrip", "SELECT * FROM orders")
+def sink_parquet_roundtrip(spark, sf):
+    """K2: uncompressed Parquet."""
+    path = write_files(_t(spark, sf)["orders"], stage_path(spark, "orders-pq"), "parquet",
+                       compression="none")
+    return files.read_parquet(spark, path)
+
+
+@query("sink_table", "SELECT * FROM orders")
+def sink_table(spark, sf):
+    """K3 / K4: (re)create a catalogue table whose files are in the shared store."""
+    name = f"veilset_orders_{uuid.uuid4().hex[:8]}"
+    write_table(_t(spark, sf)["orders"], name, path=stage_path(spark, name))
+    return spark.table(name)
+
+
+@query("stage_copy", "SELECT * FROM part")
+def stage_copy_query(spark, sf):
+    """K7: a table without PII is copied to ``<table>_stg`` unchanged."""
+    src = write_files(_t(spark, sf)["part"], stage_path(spark, "part"), "csv")
+    dst = stage_copy(spark, src, src + "_stg", "csv")
+    return files.read_csv(spark, dst, _t(spark, sf)["part"].schema)
