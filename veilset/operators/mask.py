@@ -3,15 +3,17 @@
 
 Plan for a table ``T`` that is ``n`` hops from the driver::
 
-    link  = key chain driver -> ... -> parent(T)      (keys only, distinct)
-            grouped by the parent's hop columns -> one driver key each
-    ids   = link JOIN identity ON driver key          (parent-sized)
-    out   = T JOIN ids ON T's hop columns             (one shuffle of T)
-            SELECT one mask expression per column
-
-The identity fields are attached to the (small) parent-side key set before
-the big table is touched, so the big table is shuffled once, on the column it
-is joined on; AQE splits a hot key of ``T`` and broadcasts ``ids`` only when
+    link = driver rows JOIN identity ON driver key     (both keyed by it)
+           JOIN hop tables (key columns only), carrying the identity fields
+           GROUP BY parent(T)'s hop columns -> one identity each
+    out  = T JOIN link ON T's hop columns              (one shuffle of T)
+           SELECT one mask expression per column
+
+The identity fields ride on the (smaller) parent-side key set, so the big
+table is shuffled once, on the column it is joined on, and the link arrives
+already partitioned by that column (the grouping).  The inner join is also
+the extract (T rows whose parent key was reached), so extract and mask are
+one join.  AQE splits a hot key of ``T`` and broadcasts the link only when
 its materialised size is under the adaptive threshold.
 """
 
@@ -19,7 +21,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +31,8 @@ from ..catalog import ColumnMeta, TableMeta
 from ..functions import identity as idfn
 from ..functions.masks import choice_column, derived_fields, replace_path
 from ..functions.rules import Choice, identity_key, resolve, typed_constant_value
-from .subset import _check_edges, driver_rows, key_chain, q
+from ..session import spread
+from .subset import _check_edges, driver_rows, q
 
 ID = "__id_"
 DRIVER_KEY = "__driver_key"
@@ -43,8 +45,7 @@ def identity_table(keys: DataFrame, key_col: str, *, seed: str = idfn.DEFAULT_SE
     ``unique=True`` states the keys are already distinct (a primary key), which
     saves the de-duplicating shuffle."""
     k = keys.select(F.col(key_col).alias("__k")).dropna()
-    if not unique:
-        k = k.distinct()
+    k = k.distinct() if not unique else spread(k)
     return k.select(*idfn.identity_columns(F.col("__k"), fields, seed))
 
 
@@ -105,91 +106,133 @@ def _variant_ddl(ddl: str) -> str:
 
 
 # ---------------------------------------------------------------------------
-# driver link
+# identity link
 
-def driver_link(tables: Mapping[str, DataFrame], meta: TableMeta,
-                primary_keys: Mapping[str, Sequence[str]], *,
-                driver_keys: DataFrame | None = None,
-                driver_filter: Column | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Parent-side hop columns of the last hop -> one driver key each.
-
-    Returns the link and the join pairs (column of T, column of the link).
-    The chain is keys only; the grouping picks one driver key per parent key
-    (min), so T's row count can never grow in the join."""
+MATCHED = ID + "__matched"
+
+
+def _identity_side(identity: DataFrame, meta: TableMeta, fields: Sequence[str]) -> DataFrame:
+    key = identity_key(meta.driver_rule, meta.driver_column)
+    return identity.select(F.col(key).alias("__idkey"), F.lit(True).alias(MATCHED),
+                           *[F.col(f).alias(ID + f) for f in fields])
+
+
+def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity: DataFrame,
+                  fields: Sequence[str], *, how: str = "inner",
+                  driver_keys: DataFrame | None = None,
+                  driver_filter: Column | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """The parent-side hop columns of ``meta``'s last hop, each with the
+    identity fields of its driver row.
+
+    The identity joins the driver rows first (both keyed by the driver key),
+    then the hops are walked with key columns only, carrying the identity
+    fields; a final grouping on the parent key keeps one driver per parent key
+    (the smallest), so a join with the link never multiplies rows.  Returns
+    the link and the join pairs (column of T, column of the link).
+    ``how="left"`` keeps parent keys whose driver has no identity (fields NULL,
+    ``MATCHED`` NULL)."""
     groups = _check_edges(meta)
     last = groups[-1]
-    drv = meta.driver_column.split(",")[0].strip()
+    dtab = meta.driver_table.lower()
+    dcol = meta.driver_column.split(",")[0].strip()
+    ids = _identity_side(identity, meta, fields)
+    drv = driver_rows(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
+    first = {dcol.lower(): dcol, **{e.parent_column.lower(): e.parent_column for e in groups[0]}}
+    base = drv.select(*[F.col(c).alias(q(dtab, c)) for c in first.values()])
+    cur = base.join(ids, base[q(dtab, dcol)] == ids["__idkey"],
+                    "inner" if how == "inner" else "left") \
+        .withColumnRenamed(q(dtab, dcol), DRIVER_KEY).drop("__idkey")
+    if q(dtab, dcol) in [q(e.parent_table, e.parent_column) for e in groups[0]]:
+        cur = cur.withColumn(q(dtab, dcol), F.col(DRIVER_KEY))
+    carried = [DRIVER_KEY, MATCHED] + [ID + f for f in fields]
+    for i, group in enumerate(groups[:-1]):
+        child = group[0].child_table.lower()
+        nxt = {e.parent_column.lower(): e.parent_column for e in groups[i + 1]}
+        hop = {e.child_column.lower(): e.child_column for e in group}
+        cdf = tables[child].select(*[F.col(c).alias(q(child, c))
+                                     for c in {**hop, **nxt}.values()])
+        cond = reduce(lambda a, b: a & b, [cur[q(e.parent_table, e.parent_column)]
+                                           == cdf[q(e.child_table, e.child_column)]
+                                           for e in group])
+        cur = cur.join(cdf, cond, "inner").select(
+            *[cur[c] for c in carried], *[cdf[q(child, c)] for c in nxt.values()])
     pcols = [q(e.parent_table, e.parent_column) for e in last]
-    if len(groups) == 1:
-        rows = driver_rows(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
-        link = rows.select(*[F.col(e.parent_column).alias(q(e.parent_table, e.parent_column))
-                             for e in last], F.col(drv).alias(DRIVER_KEY))
-    else:
-        parent = last[0].parent_table.lower()
-        pk = {k: list(v) for k, v in primary_keys.items()}
-        pk[parent] = list(pk.get(parent, [])) + [e.parent_column for e in last]
-        sub = replace(meta, edges=tuple(e for g in groups[:-1] for e in g))
-        chain = key_chain(tables, sub, pk, driver_keys=driver_keys,
-                          driver_filter=driver_filter, fold=False)
-        link = chain.select(*pcols, F.col(q(meta.driver_table, drv)).alias(DRIVER_KEY))
-    link = link.groupBy(*pcols).agg(F.min(DRIVER_KEY).alias(DRIVER_KEY))
+    best = F.min(F.struct(*[F.col(c) for c in carried])).alias("__best")
+    link = cur.groupBy(*pcols).agg(best).select(
+        *pcols, *[F.col(f"__best.{c}").alias(c) for c in carried if c != DRIVER_KEY])
     pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
     return link, pairs
 
 
-# ---------------------------------------------------------------------------
-# the scrub itself
+def driver_link(tables: Mapping[str, DataFrame], meta: TableMeta,
+                primary_keys: Mapping[str, Sequence[str]] | None = None, *,
+                identity: DataFrame | None = None, fields: Sequence[str] = (),
+                how: str = "inner", driver_keys: DataFrame | None = None,
+                driver_filter: Column | None = None):
+    """Link of ``meta``'s table to its driver's identity (see ``identity_link``);
+    the fields default to those the table's mask plan reads."""
+    if identity is None:
+        raise ValueError("a driver link needs the identity table")
+    if not fields:
+        fields = needed_fields(mask_plan(meta), nested_plan(meta))
+    return identity_link(tables, meta, identity, fields, how=how, driver_keys=driver_keys,
+                         driver_filter=driver_filter)
 
-def _identity_side(identity: DataFrame, meta: TableMeta, fields: Sequence[str]) -> DataFrame:
-    key = identity_key(meta.driver_rule, meta.driver_column)
-    return identity.select(F.col(key).alias("__idkey"),
-                           *[F.col(f).alias(ID + f) for f in fields])
 
+# ---------------------------------------------------------------------------
+# the scrub itself
 
-def attach_identity(df: DataFrame, meta: TableMeta, identity: DataFrame,
+def attach_identity(df: DataFrame, meta: TableMeta, identity: DataFrame | None,
                     fields: Sequence[str], *, link: DataFrame | None = None,
-                    pairs: Sequence[tuple[str, str]] = (), how: str = "inner") -> DataFrame:
-    """J6 (table is its own driver) or J7 (through the driver link)."""
-    ids = _identity_side(identity, meta, fields)
-    if meta.is_own_driver or link is None:
+                    pairs: Sequence[tuple[str, str]] = (), how: str = "inner",
+                    join: str | None = None) -> DataFrame:
+    """J6 (table is its own driver: join the identity on the driver column) or
+    J7 (join the identity link on the table's hop columns)."""
+    if link is None:
+        if identity is None:
+            raise ValueError(f"{meta.table_name}: masking needs an identity table")
+        ids = _identity_side(identity, meta, fields)
         dcol = meta.driver_column.split(",")[0].strip()
         return df.join(ids, df[dcol] == ids["__idkey"], how).drop("__idkey")
-    lid = link.join(ids, link[DRIVER_KEY] == ids["__idkey"], "inner") \
-        .drop("__idkey", DRIVER_KEY)
-    cond = reduce(lambda a, b: a & b, [df[t] == lid[k] for t, k in pairs])
-    return df.join(lid, cond, how).drop(*[k for _, k in pairs])
+    cond = reduce(lambda a, b: a & b, [df[t] == link[k] for t, k in pairs])
+    joined = df.join(link, cond, join or how).drop(*[k for _, k in pairs])
+    if how == "inner":
+        joined = joined.where(F.col(MATCHED).isNotNull())
+    return joined
 
 
-def unmatched(df: DataFrame, meta: TableMeta, identity: DataFrame, *,
+def unmatched(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None, *,
               link: DataFrame | None = None, pairs: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """Rows the inner identity join would drop."""
-    ids = _identity_side(identity, meta, [])
-    if meta.is_own_driver or link is None:
+    """Rows the inner identity join would drop (``link`` built with
+    ``how="left"``)."""
+    if link is None:
+        ids = _identity_side(identity, meta, [])
         dcol = meta.driver_column.split(",")[0].strip()
         return df.join(ids, df[dcol] == ids["__idkey"], "left_anti")
-    lid = link.join(ids, link[DRIVER_KEY] == ids["__idkey"], "inner")
-    cond = reduce(lambda a, b: a & b, [df[t] == lid[k] for t, k in pairs])
-    return df.join(lid, cond, "left_anti")
+    hit = link.where(F.col(MATCHED).isNotNull())
+    cond = reduce(lambda a, b: a & b, [df[t] == hit[k] for t, k in pairs])
+    return df.join(hit, cond, "left_anti")
 
 
 def scrub(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None, *,
           link: DataFrame | None = None, pairs: Sequence[tuple[str, str]] = (),
           how: str = "inner", json_schemas: Mapping[str, T.DataType] | None = None,
-          columns: Sequence[str] | None = None) -> DataFrame:
+          columns: Sequence[str] | None = None, join: str | None = None) -> DataFrame:
     """The masked table, same columns and types as ``df``.
 
     ``how="inner"`` drops rows without an identity (the reference's join);
     ``how="left"`` keeps them with typed constants in the masked columns.
+    ``join`` overrides the join with the link (``"inner"`` with ``how="left"``:
+    rows must be reached from the driver, but may lack an identity).
     """
     names = list(columns or df.columns)
     plan = mask_plan(meta, names)
     nested = {k: v for k, v in nested_plan(meta).items() if k in names}
     fields = needed_fields(plan, nested)
     work = df
-    if fields and has_driver(meta):
-        if identity is None:
-            raise ValueError(f"{meta.table_name}: masking needs an identity table")
-        work = attach_identity(df, meta, identity, fields, link=link, pairs=pairs, how=how)
+    if has_driver(meta) and (fields or link is not None):
+        work = attach_identity(df, meta, identity, fields, link=link, pairs=pairs, how=how,
+                               join=join)
 
     def idf(f: str) -> Column:
         return F.col(ID + f)

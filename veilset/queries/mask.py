@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import samples
 from ..functions import identity as idfn
 from ..operators import mask, subset
+from ..plans.scrub import scrub_related
 from ..registry import query
 
 DRIVER = F.col("c_mktsegment") == "BUILDING"
@@ -213,10 +214,7 @@ WHERE c.{DRIVER_SQL}"""
 @query("mask_identity_1hop", _ORDERS_SQL)
 def mask_identity_1hop(spark, sf):
     t = _t(spark, sf)
-    meta = samples.META["orders"]
-    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
-    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
-    return mask.scrub(rows, meta, _identity(t), link=link, pairs=pairs)
+    return scrub_related(t, samples.META["orders"], _identity(t), driver_filter=DRIVER)
 
 
 def _lineitem_sql(ids_cte, how="JOIN", extendedprice="i.asset_am"):
@@ -231,10 +229,8 @@ WHERE c.{DRIVER_SQL}"""
 
 def mask_lineitem(t, how="inner", covered_only=False):
     """Extract line items two hops from the driver and mask them."""
-    meta = samples.META["lineitem"]
-    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
-    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
-    return mask.scrub(rows, meta, _identity(t, covered_only), link=link, pairs=pairs, how=how)
+    return scrub_related(t, samples.META["lineitem"], _identity(t, covered_only),
+                         driver_filter=DRIVER, how=how)
 
 
 @query("mask_identity_2hop", _lineitem_sql(IDS_ALL))
@@ -258,8 +254,9 @@ def mask_unmatched(spark, sf):
     t = _t(spark, sf)
     meta = samples.META["lineitem"]
     rows = subset.extract_related(t, meta, driver_filter=DRIVER)
-    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
-    return mask.unmatched(rows, meta, _identity(t, covered_only=True), link=link, pairs=pairs)
+    link, pairs = mask.driver_link(t, meta, identity=_identity(t, covered_only=True),
+                                   how="left", driver_filter=DRIVER)
+    return mask.unmatched(rows, meta, link=link, pairs=pairs)
 
 
 # ---------------------------------------------------------------------------
@@ -283,7 +280,4 @@ WHERE c.{DRIVER_SQL}""")
 def mask_nested_json(spark, sf):
     t = _t(spark, sf)
     t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
-    meta = samples.META["doc_request"]
-    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
-    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
-    return mask.scrub(rows, meta, _identity(t), link=link, pairs=pairs)
+    return scrub_related(t, samples.META["doc_request"], _identity(t), driver_filter=DRIVER)

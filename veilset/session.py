@@ -58,3 +58,20 @@ def scratch_root(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared scratch root."""
     return f"{scratch_root(spark)}/veilset/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give CPU-heavy row work (AES, SHA-2) at least one task per core.
+
+    Only when the plan has fewer partitions than the cluster's default
+    parallelism (a small input held in one file split) is it round-robin
+    repartitioned; a large input already has many splits and is left as it
+    is, so no shuffle is added at scale.  Counting partitions plans the query
+    but runs no job."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:            # noqa: BLE001 - e.g. a connect session: leave as is
+        return df
+    return df.repartition(want) if have < want else df
