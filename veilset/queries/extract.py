@@ -14,7 +14,10 @@ from ..session import stage_path
 from ..sinks.files import write_files
 from ..sources.files import read_key_table
 
-DRIVER = F.col("c_mktsegment") == "BUILDING"
+def driver():
+    return F.col("c_mktsegment") == "BUILDING"
+
+
 DRIVER_SQL = "c_mktsegment = 'BUILDING'"
 
 
@@ -23,7 +26,7 @@ def _t(spark, sf):
 
 
 def _building_keys(t):
-    return t["customer"].where(DRIVER).select(F.col("c_custkey").alias("key"))
+    return t["customer"].where(driver()).select(F.col("c_custkey").alias("key"))
 
 
 def _with_filters(meta: TableMeta, filters, operator="AND") -> TableMeta:
@@ -116,7 +119,7 @@ SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE {D
 
 @query("extract_1hop", _ORDERS_1HOP_SQL)
 def extract_1hop(spark, sf):
-    return subset.extract_related(_t(spark, sf), samples.META["orders"], driver_filter=DRIVER)
+    return subset.extract_related(_t(spark, sf), samples.META["orders"], driver_filter=driver())
 
 
 EXTRACT_2HOP_SQL = f"""
@@ -127,7 +130,7 @@ SELECT * FROM lineitem WHERE l_orderkey IN (
 
 @query("extract_2hop", EXTRACT_2HOP_SQL)
 def extract_2hop(spark, sf):
-    return subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=DRIVER)
+    return subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=driver())
 
 
 # --------------------------------------------------------------------------
@@ -144,7 +147,7 @@ def extract_limit(spark, sf):
 SELECT * FROM ({_ORDERS_1HOP_SQL}) ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""")
 def extract_topk(spark, sf):
     meta = replace(samples.META["orders"], limit=20)
-    rows = subset.extract_related(_t(spark, sf), meta, driver_filter=DRIVER)
+    rows = subset.extract_related(_t(spark, sf), meta, driver_filter=driver())
     return subset.apply_order_limit(rows, order=[F.desc("o_totalprice"), "o_orderkey"],
                                     limit=meta.limit)
 
@@ -163,7 +166,7 @@ WHERE c.{DRIVER_SQL}"""
 @query("keys_chain", KEYS_CHAIN_SQL)
 def keys_chain(spark, sf):
     return subset.key_chain(_t(spark, sf), samples.META["lineitem"], samples.PRIMARY_KEYS,
-                            driver_filter=DRIVER)
+                            driver_filter=driver())
 
 
 def _composite_tables(spark, sf):
@@ -172,7 +175,10 @@ def _composite_tables(spark, sf):
     return t
 
 
-_URGENT = F.col("o_orderpriority") == "1-URGENT"
+def urgent():
+    return F.col("o_orderpriority") == "1-URGENT"
+
+
 _RETURNED_SQL = ("SELECT l_orderkey AS r_orderkey, l_linenumber AS r_linenumber, "
                  "l_quantity AS r_quantity FROM lineitem WHERE l_returnflag = 'R'")
 
@@ -184,7 +190,7 @@ SELECT r.* FROM ({_RETURNED_SQL}) r WHERE EXISTS (
     AND l.l_orderkey = r.r_orderkey AND l.l_linenumber = r.r_linenumber)""")
 def join_composite(spark, sf):
     return subset.extract_related(_composite_tables(spark, sf), samples.META["returned_lines"],
-                                  driver_filter=_URGENT)
+                                  driver_filter=urgent())
 
 
 @query("keys_chain_composite", f"""
@@ -194,13 +200,13 @@ JOIN ({_RETURNED_SQL}) r ON r.r_orderkey = l.l_orderkey AND r.r_linenumber = l.l
 WHERE o.o_orderpriority = '1-URGENT'""")
 def keys_chain_composite(spark, sf):
     return subset.key_chain(_composite_tables(spark, sf), samples.META["returned_lines"],
-                            samples.PRIMARY_KEYS, driver_filter=_URGENT)
+                            samples.PRIMARY_KEYS, driver_filter=urgent())
 
 
 @query("keys_distinct", "SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def keys_distinct(spark, sf):
     t = _t(spark, sf)
-    return t["orders"].where(_URGENT).select("o_custkey").distinct()
+    return t["orders"].where(urgent()).select("o_custkey").distinct()
 
 
 @query("keys_level", f"""
@@ -212,7 +218,7 @@ def keys_level(spark, sf):
     """K5: every level's key table written once (skipped if present), then
     the orders level read back from its files."""
     meta = samples.META["lineitem"]
-    chain = subset.key_chain(_t(spark, sf), meta, samples.PRIMARY_KEYS, driver_filter=DRIVER)
+    chain = subset.key_chain(_t(spark, sf), meta, samples.PRIMARY_KEYS, driver_filter=driver())
     base = stage_path(spark, "keys")
     paths = subset.write_level_keys(chain, meta, samples.PRIMARY_KEYS, base)
     back = subset.undotted(read_key_table_raw(spark, paths["orders"]))
@@ -230,7 +236,7 @@ SELECT * FROM customer WHERE c_name IN (
 def key_trim(spark, sf):
     """Right-padded key values are trimmed before they are compared."""
     t = _t(spark, sf)
-    padded = t["customer"].where(DRIVER).select(F.rpad("c_name", 30, " ").alias("key"))
+    padded = t["customer"].where(driver()).select(F.rpad("c_name", 30, " ").alias("key"))
     return subset.semi_join(t["customer"], padded, [("c_name", "key")])
 
 

@@ -13,7 +13,9 @@ from ..session import stage_path
 from ..sinks.files import stage_copy, write_files, write_table
 from ..sources import files
 
-DRIVER = F.col("c_mktsegment") == "BUILDING"
+def driver():
+    return F.col("c_mktsegment") == "BUILDING"
+
 
 
 def _t(spark, sf):
@@ -59,7 +61,7 @@ def src_key_table(spark, sf):
     """Key table files with ``TABLE.COLUMN`` headers, names normalised."""
     t = _t(spark, sf)
     chain = subset.key_chain(t, samples.META["orders"], samples.PRIMARY_KEYS,
-                             driver_filter=DRIVER)
+                             driver_filter=driver())
     path = write_files(subset.dotted(chain), stage_path(spark, "keys-orders"), "csv")
     keys = files.read_key_table(spark, path)
     return keys.select(F.col("customer_c_custkey").cast("bigint"),
@@ -71,7 +73,7 @@ SELECT DISTINCT c_custkey, c_nationkey FROM customer WHERE c_mktsegment = 'BUILD
 def src_key_list(spark, sf):
     """A right-padded text key list with composite keys."""
     t = _t(spark, sf)
-    lines = t["customer"].where(DRIVER).select(
+    lines = t["customer"].where(driver()).select(
         F.rpad(F.concat_ws(",", "c_custkey", "c_nationkey"), 24, " ").alias("value"))
     path = stage_path(spark, "driver-keys")
     lines.write.text(path)

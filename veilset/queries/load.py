@@ -11,7 +11,7 @@ from ..operators import audit, load, subset, validate
 from ..registry import query
 from ..session import stage_path
 from ..sinks.files import write_files
-from .extract import DRIVER, EXTRACT_2HOP_SQL
+from .extract import EXTRACT_2HOP_SQL, driver
 
 NEW_KEY_OFFSET = 1_000_000_000_000
 RESTORE_OFFSET = 5_000_000
@@ -65,7 +65,7 @@ def load_full_refresh(spark, sf):
     """K8 full refresh: the target holds exactly the incoming extract."""
     t = _t(spark, sf)
     target = _target_with(spark, t["orders"], "target-orders")
-    incoming = subset.extract_related(t, samples.META["orders"], driver_filter=DRIVER)
+    incoming = subset.extract_related(t, samples.META["orders"], driver_filter=driver())
     load.load(spark, incoming, target, "full_refresh")
     return target.read(spark)
 
@@ -107,7 +107,7 @@ _RESTORE_MAP_SQL = (f"SELECT c_custkey AS test_key, c_custkey + {RESTORE_OFFSET}
 
 
 def _restore_map(t):
-    return t["customer"].where(DRIVER).select(
+    return t["customer"].where(driver()).select(
         F.col("c_custkey").alias("test_key"),
         (F.col("c_custkey") + RESTORE_OFFSET).alias("prod_key"))
 
@@ -218,7 +218,7 @@ _REQ = samples.META["lineitem"].request_id
 @query("audit_count", f"SELECT count(*) AS records FROM ({EXTRACT_2HOP_SQL})")
 def audit_count(spark, sf):
     """A1: rows written, observed during the write (no second scan)."""
-    rows = subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=DRIVER)
+    rows = subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=driver())
     path = stage_path(spark, "extract")
     n = audit.write_counted(rows, lambda d: write_files(d, path, "csv"))
     return spark.read.option("header", True).csv(path).agg(F.count(F.lit(1)).alias("records")) \
@@ -230,7 +230,7 @@ SELECT '{_REQ}' AS request_id, 'COMPLETE' AS status, 'EXTRACT' AS job_type,
        count(*) AS records_processed FROM ({EXTRACT_2HOP_SQL})""")
 def audit_record(spark, sf):
     """K9: status record of an extract job, appended to the audit table."""
-    rows = subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=DRIVER)
+    rows = subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=driver())
     path = stage_path(spark, "extract")
     n = audit.gated_write(rows, lambda d: write_files(d, path, "csv"))
     rec = audit.audit_record(spark, _REQ, audit.STATUS_COMPLETE, "EXTRACT", n)

@@ -15,9 +15,14 @@ from ..operators import mask, subset
 from ..plans.scrub import scrub_related
 from ..registry import query
 
-DRIVER = F.col("c_mktsegment") == "BUILDING"
+def driver():
+    return F.col("c_mktsegment") == "BUILDING"
+
+
 DRIVER_SQL = "c_mktsegment = 'BUILDING'"
-COVERED = F.col("c_acctbal") >= 0        # identities exist for accounts in good standing
+def covered():
+    return F.col("c_acctbal") >= 0
+        # identities exist for accounts in good standing
 COVERED_SQL = "c_acctbal >= 0"
 
 # ---------------------------------------------------------------------------
@@ -93,7 +98,7 @@ IDS_COVERED = identity_cte(f"SELECT c_custkey AS k FROM customer WHERE {COVERED_
 
 
 def _identity(t, covered_only=False):
-    cust = t["customer"].where(COVERED) if covered_only else t["customer"]
+    cust = t["customer"].where(covered()) if covered_only else t["customer"]
     return mask.identity_table(cust, "c_custkey", unique=True)
 
 
@@ -200,7 +205,7 @@ def mask_identity(spark, sf):
     """The driver table is its own driver."""
     t = _t(spark, sf)
     meta = samples.META["customer"]
-    rows = subset.extract_rows(t["customer"], meta, where=DRIVER)
+    rows = subset.extract_rows(t["customer"], meta, where=driver())
     return mask.scrub(rows, meta, _identity(t))
 
 
@@ -214,7 +219,7 @@ WHERE c.{DRIVER_SQL}"""
 @query("mask_identity_1hop", _ORDERS_SQL)
 def mask_identity_1hop(spark, sf):
     t = _t(spark, sf)
-    return scrub_related(t, samples.META["orders"], _identity(t), driver_filter=DRIVER)
+    return scrub_related(t, samples.META["orders"], _identity(t), driver_filter=driver())
 
 
 def _lineitem_sql(ids_cte, how="JOIN", extendedprice="i.asset_am"):
@@ -230,7 +235,7 @@ WHERE c.{DRIVER_SQL}"""
 def mask_lineitem(t, how="inner", covered_only=False):
     """Extract line items two hops from the driver and mask them."""
     return scrub_related(t, samples.META["lineitem"], _identity(t, covered_only),
-                         driver_filter=DRIVER, how=how)
+                         driver_filter=driver(), how=how)
 
 
 @query("mask_identity_2hop", _lineitem_sql(IDS_ALL))
@@ -253,9 +258,9 @@ def mask_unmatched(spark, sf):
     """Extracted rows the inner identity join would drop."""
     t = _t(spark, sf)
     meta = samples.META["lineitem"]
-    rows = subset.extract_related(t, meta, driver_filter=DRIVER)
+    rows = subset.extract_related(t, meta, driver_filter=driver())
     link, pairs = mask.driver_link(t, meta, identity=_identity(t, covered_only=True),
-                                   how="left", driver_filter=DRIVER)
+                                   how="left", driver_filter=driver())
     return mask.unmatched(rows, meta, link=link, pairs=pairs)
 
 
@@ -280,4 +285,4 @@ WHERE c.{DRIVER_SQL}""")
 def mask_nested_json(spark, sf):
     t = _t(spark, sf)
     t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
-    return scrub_related(t, samples.META["doc_request"], _identity(t), driver_filter=DRIVER)
+    return scrub_related(t, samples.META["doc_request"], _identity(t), driver_filter=driver())

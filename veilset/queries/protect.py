@@ -10,7 +10,10 @@ from ..operators import protect, subset
 from ..registry import query
 from ..sources.files import normalise_columns
 
-DRIVER = F.col("c_mktsegment") == "BUILDING"
+def driver():
+    return F.col("c_mktsegment") == "BUILDING"
+
+
 DRIVER_SQL = "c_mktsegment = 'BUILDING'"
 
 
@@ -98,14 +101,14 @@ def decrypt_column_keys(spark, sf):
 def encrypt_column_keys(spark, sf):
     """Driver column encrypted with its own key (ciphertext: rows only)."""
     t = _t(spark, sf)
-    return _db_encrypted_customer(t).where(DRIVER)
+    return _db_encrypted_customer(t).where(driver())
 
 
 @query("keys_prepare", f"SELECT c_custkey AS key FROM customer WHERE {DRIVER_SQL}")
 def keys_prepare(spark, sf):
     """E5 with EOT applied, source column plain: keys are decrypted."""
     t = _t(spark, sf)
-    keys = t["customer"].where(DRIVER).select(F.col("c_custkey").alias("key"))
+    keys = t["customer"].where(driver()).select(F.col("c_custkey").alias("key"))
     eot = protect.encrypt_columns(keys, ["key"], samples.TEST_ENV_KEY)
     out = protect.prepare_keys(eot, samples.META["customer_eot"], ["key"],
                                env_key=samples.TEST_ENV_KEY)
@@ -119,7 +122,7 @@ def keys_prepare_reencrypt(spark, sf):
     ciphertext (deterministic column mode), then the extract is decrypted."""
     t = _t(spark, sf)
     meta = samples.META["customer_db_encrypted"]
-    keys = t["customer"].where(DRIVER).select(F.col("c_custkey").alias("key"))
+    keys = t["customer"].where(driver()).select(F.col("c_custkey").alias("key"))
     eot = protect.encrypt_columns(keys, ["key"], samples.TEST_ENV_KEY)
     ready = protect.prepare_keys(eot, meta, ["key"], env_key=samples.TEST_ENV_KEY,
                                  column_keys=samples.TEST_COLUMN_KEYS)
