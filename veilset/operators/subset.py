@@ -324,16 +324,16 @@ def write_level_keys(chain: DataFrame, meta: TableMeta,
                      primary_keys: Mapping[str, Sequence[str]], base: str, *,
                      fmt: str = "csv") -> dict[str, str]:
     """K5: write each level's key table under ``base/<table>`` with dotted
-    ``TABLE.COLUMN`` headers; a level already present is left as it is.  The
-    chain is persisted once for all levels (it feeds several writes)."""
-    from pyspark import StorageLevel
+    ``TABLE.COLUMN`` headers; a level already present is left as it is.
 
+    The chain feeds one write per level, so it is computed once and
+    checkpointed to the shared checkpoint folder: its multi-hop lineage is
+    cut, and a lost executor costs a re-read, not a re-run of the joins."""
+    from ..session import scratch_root
     from ..sinks.files import write_files
-    chain = chain.persist(StorageLevel.MEMORY_AND_DISK)
+    scratch_root(chain.sparkSession)          # a shared checkpoint dir must be set
+    chain = chain.checkpoint(eager=True)
     paths = {}
-    try:
-        for table, keys in level_keys(chain, meta, primary_keys):
-            paths[table] = write_files(dotted(keys), f"{base}/{table}", fmt, mode="ignore")
-    finally:
-        chain.unpersist()
+    for table, keys in level_keys(chain, meta, primary_keys):
+        paths[table] = write_files(dotted(keys), f"{base}/{table}", fmt, mode="ignore")
     return paths

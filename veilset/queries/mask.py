@@ -286,3 +286,26 @@ def mask_nested_json(spark, sf):
     t = _t(spark, sf)
     t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
     return scrub_related(t, samples.META["doc_request"], _identity(t), driver_filter=driver())
+
+
+# ---------------------------------------------------------------------------
+# the scrub over a landing folder (Structured Streaming, availableNow)
+
+@query("mask_stream_2hop", _lineitem_sql(IDS_ALL))
+def mask_stream_2hop(spark, sf):
+    """Extract files of line items land in a folder (two arrivals); the
+    streaming scrub masks each file once and the output is read back."""
+    from ..session import stage_path
+    from ..sinks.files import write_files
+    from ..streaming.landing import start_scrub
+    t = _t(spark, sf)
+    meta = samples.META["lineitem"]
+    rows = subset.extract_related(t, meta, driver_filter=driver())
+    landing = stage_path(spark, "landing-lineitem")
+    write_files(rows.where(F.col("l_returnflag") == "R"), f"{landing}/arrival1", "csv")
+    write_files(rows.where(F.col("l_returnflag") != "R"), f"{landing}/arrival2", "csv")
+    link, pairs = mask.driver_link(t, meta, identity=_identity(t), driver_filter=driver())
+    out = stage_path(spark, "scrubbed-lineitem")
+    q = start_scrub(spark, meta, f"{landing}/*", out, link=link, pairs=pairs)
+    q.awaitTermination()
+    return spark.read.parquet(out)

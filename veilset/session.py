@@ -24,6 +24,11 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # broadcast only what a finished shuffle stage measured as small: no
+    # broadcast from file-size estimates, AQE converts to a broadcast join
+    # when the runtime size is under the adaptive threshold
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     # keys handed to aes_encrypt / aes_decrypt appear as literals in plans;
     # keep them out of explain output and logs
