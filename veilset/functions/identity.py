@@ -144,3 +144,23 @@ def field(name: str, key: Column, seed: str = DEFAULT_SEED) -> Column:
 
 def identity_columns(key: Column, fields=FIELDS, seed: str = DEFAULT_SEED) -> list[Column]:
     return [field(f, key, seed).alias(f) for f in fields]
+
+
+class IdentityGenerator:
+    """Identities computed from the driver key by expressions, no table.
+
+    Passed where an identity table is expected, it lets the scrub skip the
+    identity join: every key has exactly one identity (so ``inner`` and
+    ``left`` agree), and the fields are derived next to the row that needs
+    them."""
+
+    def __init__(self, seed: str = DEFAULT_SEED):
+        self.seed = seed
+
+    def field(self, name: str, key: Column) -> Column:
+        return field(name, key, self.seed)
+
+    def table(self, keys, key_col: str, fields=FIELDS):
+        """The same identities as a table (one row per distinct key)."""
+        k = keys.select(F.col(key_col).alias("__k")).dropna().distinct()
+        return k.select(*identity_columns(F.col("__k"), fields, self.seed))

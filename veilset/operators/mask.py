@@ -32,12 +32,17 @@ from ..functions import identity as idfn
 from ..functions.masks import choice_column, derived_fields, replace_path
 from ..functions.rules import Choice, identity_key, resolve, typed_constant_value
 from ..session import spread
-from .subset import _check_edges, driver_rows, q
+from .subset import _check_edges, covers_key, driver_rows, q
 
 ID = "__id_"
 DRIVER_KEY = "__driver_key"
 
 
+def identity_generator(seed: str = idfn.DEFAULT_SEED) -> idfn.IdentityGenerator:
+    """Identities as expressions of the driver key (no identity table, no join)."""
+    return idfn.IdentityGenerator(seed)
+
+
 def identity_table(keys: DataFrame, key_col: str, *, seed: str = idfn.DEFAULT_SEED,
                    fields: Sequence[str] = idfn.FIELDS, unique: bool = False) -> DataFrame:
     """One synthetic person per key of ``keys[key_col]``.
@@ -117,34 +122,40 @@ def _identity_side(identity: DataFrame, meta: TableMeta, fields: Sequence[str])
                            *[F.col(f).alias(ID + f) for f in fields])
 
 
-def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity: DataFrame,
+def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
                   fields: Sequence[str], *, how: str = "inner",
-                  driver_keys: DataFrame | None = None,
-                  driver_filter: Column | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """The parent-side hop columns of ``meta``'s last hop, each with the
-    identity fields of its driver row.
-
-    The identity joins the driver rows first (both keyed by the driver key),
-    then the hops are walked with key columns only, carrying the identity
-    fields; a final grouping on the parent key keeps one driver per parent key
-    (the smallest), so a join with the link never multiplies rows.  Returns
-    the link and the join pairs (column of T, column of the link).
-    ``how="left"`` keeps parent keys whose driver has no identity (fields NULL,
-    ``MATCHED`` NULL)."""
+                  driver_keys: DataFrame | None = None, driver_filter: Column | None = None,
+                  primary_keys: Mapping[str, Sequence[str]] | None = None
+                  ) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """The parent-side hop columns of ``meta``'s last hop, each with its
+    driver key and (for a stored identity table) the identity fields.
+
+    The hops are walked with key columns only.  A stored identity table joins
+    the driver rows first (both keyed by the driver key) and its fields are
+    carried along; an ``IdentityGenerator`` needs no join at all.  When every
+    hop's parent columns are that parent's primary key, each parent key is
+    reached once and the link is used as it is; otherwise a grouping keeps one
+    driver per parent key (the smallest).  Returns the link and the join pairs
+    (column of T, column of the link).  ``how="left"`` keeps parent keys whose
+    driver has no identity (fields NULL, ``MATCHED`` NULL)."""
     groups = _check_edges(meta)
     last = groups[-1]
     dtab = meta.driver_table.lower()
     dcol = meta.driver_column.split(",")[0].strip()
-    ids = _identity_side(identity, meta, fields)
     drv = driver_rows(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
     first = {dcol.lower(): dcol, **{e.parent_column.lower(): e.parent_column for e in groups[0]}}
-    base = drv.select(*[F.col(c).alias(q(dtab, c)) for c in first.values()])
-    cur = base.join(ids, base[q(dtab, dcol)] == ids["__idkey"],
-                    "inner" if how == "inner" else "left") \
-        .withColumnRenamed(q(dtab, dcol), DRIVER_KEY).drop("__idkey")
-    if q(dtab, dcol) in [q(e.parent_table, e.parent_column) for e in groups[0]]:
-        cur = cur.withColumn(q(dtab, dcol), F.col(DRIVER_KEY))
+    cur = drv.select(*[F.col(c).alias(q(dtab, c)) for c in first.values()])
+    generated = isinstance(identity, idfn.IdentityGenerator)
+    if generated:
+        cur = cur.withColumn(MATCHED, F.lit(True))
+        fields = []
+    else:
+        ids = _identity_side(identity, meta, fields)
+        cur = cur.join(ids, cur[q(dtab, dcol)] == ids["__idkey"],
+                       "inner" if how == "inner" else "left").drop("__idkey")
+    cur = cur.withColumn(DRIVER_KEY, F.col(q(dtab, dcol)))
     carried = [DRIVER_KEY, MATCHED] + [ID + f for f in fields]
+    unique = covers_key(dtab, [dcol], primary_keys)
     for i, group in enumerate(groups[:-1]):
         child = group[0].child_table.lower()
         nxt = {e.parent_column.lower(): e.parent_column for e in groups[i + 1]}
@@ -154,29 +165,36 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity: Da
         cond = reduce(lambda a, b: a & b, [cur[q(e.parent_table, e.parent_column)]
                                            == cdf[q(e.child_table, e.child_column)]
                                            for e in group])
+        unique = unique and covers_key(group[0].parent_table, [e.parent_column for e in group],
+                                       primary_keys)
         cur = cur.join(cdf, cond, "inner").select(
             *[cur[c] for c in carried], *[cdf[q(child, c)] for c in nxt.values()])
     pcols = [q(e.parent_table, e.parent_column) for e in last]
-    best = F.min(F.struct(*[F.col(c) for c in carried])).alias("__best")
-    link = cur.groupBy(*pcols).agg(best).select(
-        *pcols, *[F.col(f"__best.{c}").alias(c) for c in carried if c != DRIVER_KEY])
+    unique = unique and covers_key(last[0].parent_table, [e.parent_column for e in last],
+                                   primary_keys)
+    if unique:
+        link = cur.select(*pcols, *carried)
+    else:
+        best = F.min(F.struct(*[F.col(c) for c in carried])).alias("__best")
+        link = cur.groupBy(*pcols).agg(best).select(
+            *pcols, *[F.col(f"__best.{c}").alias(c) for c in carried])
     pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
     return link, pairs
 
 
 def driver_link(tables: Mapping[str, DataFrame], meta: TableMeta,
                 primary_keys: Mapping[str, Sequence[str]] | None = None, *,
-                identity: DataFrame | None = None, fields: Sequence[str] = (),
+                identity=None, fields: Sequence[str] = (),
                 how: str = "inner", driver_keys: DataFrame | None = None,
                 driver_filter: Column | None = None):
-    """Link of ``meta``'s table to its driver's identity (see ``identity_link``);
-    the fields default to those the table's mask plan reads."""
+    """Link of ``meta``'s table to its driver (see ``identity_link``); the
+    fields default to those the table's mask plan reads."""
     if identity is None:
-        raise ValueError("a driver link needs the identity table")
+        raise ValueError("a driver link needs an identity table or generator")
     if not fields:
         fields = needed_fields(mask_plan(meta), nested_plan(meta))
     return identity_link(tables, meta, identity, fields, how=how, driver_keys=driver_keys,
-                         driver_filter=driver_filter)
+                         driver_filter=driver_filter, primary_keys=primary_keys)
 
 
 # ---------------------------------------------------------------------------
@@ -191,6 +209,9 @@ def attach_identity(df: DataFrame, meta: TableMeta, identity: DataFrame | None,
     if link is None:
         if identity is None:
             raise ValueError(f"{meta.table_name}: masking needs an identity table")
+        if isinstance(identity, idfn.IdentityGenerator):
+            dcol = meta.driver_column.split(",")[0].strip()
+            return df.withColumn(DRIVER_KEY, F.col(dcol))
         ids = _identity_side(identity, meta, fields)
         dcol = meta.driver_column.split(",")[0].strip()
         return df.join(ids, df[dcol] == ids["__idkey"], how).drop("__idkey")
@@ -234,8 +255,12 @@ def scrub(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None, *,
         work = attach_identity(df, meta, identity, fields, link=link, pairs=pairs, how=how,
                                join=join)
 
-    def idf(f: str) -> Column:
-        return F.col(ID + f)
+    if isinstance(identity, idfn.IdentityGenerator):
+        def idf(f: str) -> Column:
+            return identity.field(f, F.col(DRIVER_KEY))
+    else:
+        def idf(f: str) -> Column:
+            return F.col(ID + f)
 
     schema = df.schema
     out = []

@@ -51,8 +51,10 @@ def undotted(df: DataFrame) -> DataFrame:
     return df.toDF(*[n.lower().replace(".", "__", 1) for n in df.columns])
 
 
-def typed_keys(keys: DataFrame, pairs: JoinPairs, target: DataFrame) -> DataFrame:
-    """Key columns cast to the target column types, NULL keys dropped, distinct.
+def typed_keys(keys: DataFrame, pairs: JoinPairs, target: DataFrame, *,
+               unique: bool = False) -> DataFrame:
+    """Key columns cast to the target column types, NULL keys dropped, and
+    de-duplicated unless ``unique`` says they already are.
 
     The reference quotes every key as text and turns NULL into 'None'; here a
     NULL key matches nothing, as in any equi-join.
@@ -64,18 +66,23 @@ def typed_keys(keys: DataFrame, pairs: JoinPairs, target: DataFrame) -> DataFram
         if isinstance(keys.schema[k].dataType, T.StringType):
             c = F.rtrim(c)          # key lists arrive right-padded
         cols.append(c.cast(tschema[t].dataType).alias(k))
-    out = keys.select(*cols)
-    return out.dropna(how="any").distinct()
+    out = keys.select(*cols).dropna(how="any")
+    return out if unique else out.distinct()
 
 
 def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
               match: str = "tuple", strategy: str = "join",
-              isin_limit: int = 1000) -> DataFrame:
+              isin_limit: int = 1000, unique: bool = False) -> DataFrame:
     """Rows of ``df`` whose key columns appear in ``keys``.
 
     match="tuple": composite keys compared as tuples (default).
     match="per_column": each column tested on its own and ANDed (the
     reference's reading: keys (1,a),(2,b) also admit (1,b)).
+    unique=True: the key set is known to be duplicate-free (a primary-key
+    projection), so no aggregate sits between its shuffle and the join and
+    AQE can split a hot key of ``df`` (its skew-join rule needs both join
+    inputs to come straight from a shuffle).  Otherwise keys are de-duplicated
+    first (a partial aggregate: hot duplicates collapse map-side).
     strategy="isin"/"auto": when the distinct key set has at most
     ``isin_limit`` rows (checked with a count), use an IN list that is pushed
     into the scan; above the limit fall back to the join.
@@ -86,9 +93,9 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
         for t, k in pairs:
             df = semi_join(df, keys, [(t, k)], strategy=strategy, isin_limit=isin_limit)
         return df
-    kset = typed_keys(keys, pairs, df)
+    kset = typed_keys(keys, pairs, df, unique=unique)
     if strategy in ("isin", "auto") and len(pairs) == 1:
-        small = kset.limit(isin_limit + 1)
+        small = kset.distinct().limit(isin_limit + 1) if unique else kset.limit(isin_limit + 1)
         if small.count() <= isin_limit:        # proven bound before collecting
             t, k = pairs[0]
             values = [r[0] for r in small.collect()]
@@ -181,51 +188,76 @@ def driver_rows(tables: Mapping[str, DataFrame], meta: TableMeta, *,
     return drv
 
 
+def covers_key(table: str, columns: Sequence[str],
+               primary_keys: Mapping[str, Sequence[str]] | None) -> bool:
+    """True when ``columns`` include the table's whole primary key, so their
+    values are unique per row."""
+    pk = [c.lower() for c in (primary_keys or {}).get(table.lower(), [])]
+    return bool(pk) and set(pk) <= {c.lower() for c in columns}
+
+
 def _parent_key_set(tables: Mapping[str, DataFrame], meta: TableMeta,
                     groups: list[list[Edge]], driver_keys: DataFrame | None,
-                    driver_filter: Column | None) -> DataFrame:
-    """Distinct parent-side columns of the last hop in ``groups``.
+                    driver_filter: Column | None,
+                    primary_keys: Mapping[str, Sequence[str]] | None = None
+                    ) -> tuple[DataFrame, bool]:
+    """Parent-side columns of the last hop in ``groups`` and whether they are
+    unique.
 
     Each earlier hop is a semi join of the child table with the parent key set;
     only the columns the next hop needs are kept, so what is shuffled is a
-    projected, de-duplicated key set and never a whole table.
+    projected key set and never a whole table.  A key set that projects the
+    parent's primary key is unique already and is not aggregated (keeps the
+    join open to AQE's skew split); any other key set is de-duplicated.
     """
+    def project(rows, group):
+        table = group[0].parent_table
+        cols = [e.parent_column for e in group]
+        out = rows.select(*[F.col(c).alias(q(table, c)) for c in cols])
+        unique = covers_key(table, cols, primary_keys)
+        return (out if unique else out.distinct()), unique
+
     parent = driver_rows(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
-    pkeys = parent.select(*[F.col(e.parent_column).alias(q(e.parent_table, e.parent_column))
-                            for e in groups[0]]).distinct()
+    pkeys, unique = project(parent, groups[0])
     for i, group in enumerate(groups[:-1]):
         child_name = group[0].child_table.lower()
         nxt = groups[i + 1]
         if nxt[0].parent_table.lower() != child_name:
             raise ValueError("hops must form a chain from the driver to the target")
         pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in group]
-        rows = semi_join(tables[child_name], pkeys, pairs)
-        pkeys = rows.select(*[F.col(e.parent_column).alias(q(e.parent_table, e.parent_column))
-                              for e in nxt]).distinct()
-    return pkeys
+        rows = semi_join(tables[child_name], pkeys, pairs, unique=True)
+        pkeys, unique = project(rows, nxt)
+    return pkeys, unique
 
 
 def hop_keys(tables: Mapping[str, DataFrame], meta: TableMeta, *,
              driver_keys: DataFrame | None = None, driver_filter: Column | None = None,
-             upto: int | None = None) -> DataFrame:
+             upto: int | None = None,
+             primary_keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Distinct child-side hop columns of hop ``upto`` (default: the last hop),
     named ``child__column``: the keys by which that child is extracted."""
     groups = _check_edges(meta)
     if upto is not None:
         groups = groups[: upto + 1]
     last = groups[-1]
-    pkeys = _parent_key_set(tables, meta, groups, driver_keys, driver_filter)
+    pkeys, unique = _parent_key_set(tables, meta, groups, driver_keys, driver_filter,
+                                    primary_keys)
     pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
-    rows = semi_join(tables[last[0].child_table.lower()], pkeys, pairs)
+    rows = semi_join(tables[last[0].child_table.lower()], pkeys, pairs, unique=True)
     return rows.select(*[F.col(e.child_column).alias(q(e.child_table, e.child_column))
                          for e in last]).distinct()
 
 
 def extract_related(tables: Mapping[str, DataFrame], meta: TableMeta, *,
                     driver_keys: DataFrame | None = None,
-                    driver_filter: Column | None = None) -> DataFrame:
+                    driver_filter: Column | None = None,
+                    primary_keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Rows of the target table reached from the driver over all hops,
-    then the request's own filter.  One semi join per hop."""
+    then the request's own filter.  One semi join per hop.
+
+    ``primary_keys`` (table -> key columns) lets hops whose parent columns are
+    a primary key skip de-duplication, so AQE can split hot keys of the
+    (big) child side."""
     if meta.is_own_driver:
         return extract_rows(driver_rows(tables, meta, driver_keys=driver_keys,
                                         driver_filter=driver_filter), meta)
@@ -233,9 +265,10 @@ def extract_related(tables: Mapping[str, DataFrame], meta: TableMeta, *,
     last = groups[-1]
     if last[0].child_table.lower() != meta.table_name.lower():
         raise ValueError("the last hop must end at the target table")
-    pkeys = _parent_key_set(tables, meta, groups, driver_keys, driver_filter)
+    pkeys, _ = _parent_key_set(tables, meta, groups, driver_keys, driver_filter, primary_keys)
     pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
-    return extract_rows(semi_join(tables[meta.table_name.lower()], pkeys, pairs), meta)
+    return extract_rows(semi_join(tables[meta.table_name.lower()], pkeys, pairs, unique=True),
+                        meta)
 
 
 def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,

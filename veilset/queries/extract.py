@@ -119,7 +119,8 @@ SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE {D
 
 @query("extract_1hop", _ORDERS_1HOP_SQL)
 def extract_1hop(spark, sf):
-    return subset.extract_related(_t(spark, sf), samples.META["orders"], driver_filter=driver())
+    return subset.extract_related(_t(spark, sf), samples.META["orders"], driver_filter=driver(),
+                                  primary_keys=samples.PRIMARY_KEYS)
 
 
 EXTRACT_2HOP_SQL = f"""
@@ -130,7 +131,8 @@ SELECT * FROM lineitem WHERE l_orderkey IN (
 
 @query("extract_2hop", EXTRACT_2HOP_SQL)
 def extract_2hop(spark, sf):
-    return subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=driver())
+    return subset.extract_related(_t(spark, sf), samples.META["lineitem"], driver_filter=driver(),
+                                  primary_keys=samples.PRIMARY_KEYS)
 
 
 # --------------------------------------------------------------------------

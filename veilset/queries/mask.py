@@ -98,10 +98,15 @@ IDS_COVERED = identity_cte(f"SELECT c_custkey AS k FROM customer WHERE {COVERED_
 
 
 def _identity(t, covered_only=False):
+    """Stored-style identity table (joined on the driver key)."""
     cust = t["customer"].where(covered()) if covered_only else t["customer"]
     return mask.identity_table(cust, "c_custkey", unique=True)
 
 
+GENERATOR = mask.identity_generator()      # identities as expressions of the key
+PKS = samples.PRIMARY_KEYS
+
+
 def _t(spark, sf):
     return samples.load_tables(spark, sf, ("customer", "orders", "lineitem"))
 
@@ -146,7 +151,7 @@ def _member_query(name, cols=None):
     def fn(spark, sf):
         t = _t(spark, sf)
         member = samples.member_table(t["customer"]).select(*cols)
-        return mask.scrub(member, samples.META["member"], _identity(t))
+        return mask.scrub(member, samples.META["member"], GENERATOR)
     query(name, _member_sql(cols))(fn)
 
 
@@ -209,6 +214,14 @@ def mask_identity(spark, sf):
     return mask.scrub(rows, meta, _identity(t))
 
 
+@query("mask_identity_generated", _CUSTOMER_SQL)
+def mask_identity_generated(spark, sf):
+    """J6 with identities computed from the driver key (no identity join)."""
+    t = _t(spark, sf)
+    meta = samples.META["customer"]
+    return mask.scrub(subset.extract_rows(t["customer"], meta, where=driver()), meta, GENERATOR)
+
+
 _ORDERS_SQL = f"""WITH {IDS_ALL}
 SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, i.asset_am AS o_totalprice, o.o_orderdate,
        o.o_orderpriority
@@ -219,7 +232,8 @@ WHERE c.{DRIVER_SQL}"""
 @query("mask_identity_1hop", _ORDERS_SQL)
 def mask_identity_1hop(spark, sf):
     t = _t(spark, sf)
-    return scrub_related(t, samples.META["orders"], _identity(t), driver_filter=driver())
+    return scrub_related(t, samples.META["orders"], GENERATOR, driver_filter=driver(),
+                         primary_keys=PKS)
 
 
 def _lineitem_sql(ids_cte, how="JOIN", extendedprice="i.asset_am"):
@@ -232,22 +246,32 @@ JOIN customer c ON o.o_custkey = c.c_custkey {how} ids i ON i.cust_id = c.c_cust
 WHERE c.{DRIVER_SQL}"""
 
 
-def mask_lineitem(t, how="inner", covered_only=False):
+def mask_lineitem(t, identity, how="inner"):
     """Extract line items two hops from the driver and mask them."""
-    return scrub_related(t, samples.META["lineitem"], _identity(t, covered_only),
-                         driver_filter=driver(), how=how)
+    return scrub_related(t, samples.META["lineitem"], identity, driver_filter=driver(),
+                         how=how, primary_keys=PKS)
 
 
 @query("mask_identity_2hop", _lineitem_sql(IDS_ALL))
 def mask_identity_2hop(spark, sf):
-    return mask_lineitem(_t(spark, sf))
+    """Extract + mask in one join of the line items; identities computed from
+    the driver key carried by the link."""
+    return mask_lineitem(_t(spark, sf), GENERATOR)
+
+
+@query("mask_identity_2hop_table", _lineitem_sql(IDS_ALL))
+def mask_identity_2hop_table(spark, sf):
+    """Same, with a stored identity table joined to the driver rows."""
+    t = _t(spark, sf)
+    return mask_lineitem(t, _identity(t))
 
 
 @query("mask_identity_left", _lineitem_sql(
     IDS_COVERED, "LEFT JOIN", "coalesce(i.asset_am, CAST(10 AS DOUBLE))"))
 def mask_identity_left(spark, sf):
     """Left identity join: rows without an identity keep typed constants."""
-    return mask_lineitem(_t(spark, sf), how="left", covered_only=True)
+    t = _t(spark, sf)
+    return mask_lineitem(t, _identity(t, covered_only=True), how="left")
 
 
 @query("mask_unmatched", f"""
@@ -259,7 +283,7 @@ def mask_unmatched(spark, sf):
     t = _t(spark, sf)
     meta = samples.META["lineitem"]
     rows = subset.extract_related(t, meta, driver_filter=driver())
-    link, pairs = mask.driver_link(t, meta, identity=_identity(t, covered_only=True),
+    link, pairs = mask.driver_link(t, meta, PKS, identity=_identity(t, covered_only=True),
                                    how="left", driver_filter=driver())
     return mask.unmatched(rows, meta, link=link, pairs=pairs)
 
@@ -285,7 +309,8 @@ WHERE c.{DRIVER_SQL}""")
 def mask_nested_json(spark, sf):
     t = _t(spark, sf)
     t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
-    return scrub_related(t, samples.META["doc_request"], _identity(t), driver_filter=driver())
+    return scrub_related(t, samples.META["doc_request"], GENERATOR, driver_filter=driver(),
+                         primary_keys=PKS)
 
 
 # ---------------------------------------------------------------------------
@@ -304,8 +329,9 @@ def mask_stream_2hop(spark, sf):
     landing = stage_path(spark, "landing-lineitem")
     write_files(rows.where(F.col("l_returnflag") == "R"), f"{landing}/arrival1", "csv")
     write_files(rows.where(F.col("l_returnflag") != "R"), f"{landing}/arrival2", "csv")
-    link, pairs = mask.driver_link(t, meta, identity=_identity(t), driver_filter=driver())
+    link, pairs = mask.driver_link(t, meta, PKS, identity=GENERATOR, driver_filter=driver())
     out = stage_path(spark, "scrubbed-lineitem")
-    q = start_scrub(spark, meta, f"{landing}/*", out, link=link, pairs=pairs)
+    q = start_scrub(spark, meta, f"{landing}/*", out, identity=GENERATOR, link=link,
+                    pairs=pairs)
     q.awaitTermination()
     return spark.read.parquet(out)
