@@ -61,15 +61,21 @@ def subtract_rows(df: DataFrame, other: DataFrame, *, keep_duplicates: bool = Fa
 
 
 def restore_keys(df: DataFrame, mapping: DataFrame, column: str, *, enabled: bool = True,
-                 test_col: str = "test_key", prod_col: str = "prod_key") -> DataFrame:
+                 test_col: str = "test_key", prod_col: str = "prod_key",
+                 unique_map: bool = False) -> DataFrame:
     """Replace test keys by production keys where the map has them.
 
-    One production key per test key (min, partial aggregate), so the left
-    join never multiplies rows; unmapped keys stay as they are."""
+    One production key per test key, so the left join never multiplies rows;
+    unmapped keys stay as they are.  ``unique_map=True`` states the map's test
+    key is unique (its primary key): no aggregate then sits between the map's
+    shuffle and the join, and AQE can split a hot key of ``df``.  Otherwise the
+    map is reduced to the smallest production key per test key (partial
+    aggregate)."""
     if not enabled:
         return df
-    m = (mapping.select(F.col(test_col).alias("__t"), F.col(prod_col).alias("__p"))
-         .groupBy("__t").agg(F.min("__p").alias("__p")))
+    m = mapping.select(F.col(test_col).alias("__t"), F.col(prod_col).alias("__p"))
+    if not unique_map:
+        m = m.groupBy("__t").agg(F.min("__p").alias("__p"))
     out = df.join(m, df[column] == m["__t"], "left")
     return out.select(*[F.coalesce(F.col("__p").cast(df.schema[column].dataType),
                                    df[column]).alias(column)

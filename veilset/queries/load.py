@@ -119,7 +119,7 @@ FROM orders o LEFT JOIN ({_RESTORE_MAP_SQL}) m ON o.o_custkey = m.test_key""")
 def load_restore_keys(spark, sf):
     """Test keys replaced by production keys through the restore map."""
     t = _t(spark, sf)
-    return load.restore_keys(t["orders"], _restore_map(t), "o_custkey")
+    return load.restore_keys(t["orders"], _restore_map(t), "o_custkey", unique_map=True)
 
 
 @query("load_restore_off", "SELECT * FROM orders")
@@ -134,7 +134,7 @@ def load_restore_roundtrip(spark, sf):
     """restore(test -> prod) then the inverse map gives the input back."""
     t = _t(spark, sf)
     m = _restore_map(t)
-    there = load.restore_keys(t["orders"], m, "o_custkey")
+    there = load.restore_keys(t["orders"], m, "o_custkey", unique_map=True)
     back = m.select(F.col("prod_key").alias("test_key"), F.col("test_key").alias("prod_key"))
     return load.restore_keys(there, back, "o_custkey")
 
