@@ -40,12 +40,24 @@ def test_extract_scrub_load_round(spark, tables):
     assert rec3.first().records_processed == n
 
 
-def test_empty_extract_writes_nothing(spark, tables):
+def test_empty_relational_extract_writes_no_rows(spark, tables):
     meta = samples.META["lineitem"]
     out = stage_path(spark, "t-empty")
     rec = run_extract(spark, tables, meta, out,
                       driver_filter=F.col("c_mktsegment") == "NONE")
     assert rec.first().records_processed == 0
+    assert spark.read.option("header", True).csv(out).count() == 0     # no rows
+
+
+def test_empty_filter_extract_is_not_written(spark, tables):
+    from dataclasses import replace
+
+    from veilset.catalog import FilterSpec
+    meta = replace(samples.META["orders"], edges=(), relational=False, extract_type="F",
+                   filters=(FilterSpec("o_orderpriority", "=", ("NONE",)),))
+    out = stage_path(spark, "t-empty2")
+    rec = run_extract(spark, tables, meta, out)
+    assert rec.first().records_processed == 0
     import os
     assert not os.path.exists(out.replace("file:", ""))
 

@@ -32,10 +32,17 @@ def audit_record(spark: SparkSession, request_id: str, status: str, job_type: st
     return spark.createDataFrame([(request_id, status, job_type, int(records))], AUDIT_SCHEMA)
 
 
-def gated_write(df: DataFrame, write: Callable[[DataFrame], object]) -> int:
-    """A2: nothing is written (or encrypted) for an empty extract; otherwise
-    the write is counted.  ``isEmpty`` reads at most one row."""
-    if df.isEmpty():
+def gated_write(df: DataFrame, write: Callable[[DataFrame], object], *,
+                probe: bool = True) -> int:
+    """A2: an empty extract records 0 and encrypts nothing; otherwise the
+    write is counted.
+
+    ``probe=True`` checks ``isEmpty`` first and writes nothing at all for an
+    empty result: right for plans without a shuffle, where the probe stops at
+    the first row.  For plans with shuffles (relational extracts) a probe
+    would run every map stage once more, so ``probe=False`` writes in a single
+    counted pass (an empty result leaves an empty folder, no rows)."""
+    if probe and df.isEmpty():
         return 0
     return write_counted(df, write)
 

@@ -95,10 +95,11 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
         return df
     kset = typed_keys(keys, pairs, df, unique=unique)
     if strategy in ("isin", "auto") and len(pairs) == 1:
-        small = kset.distinct().limit(isin_limit + 1) if unique else kset.limit(isin_limit + 1)
-        if small.count() <= isin_limit:        # proven bound before collecting
-            t, k = pairs[0]
-            values = [r[0] for r in small.collect()]
+        # one bounded job: at most isin_limit + 1 distinct keys reach the driver
+        probe = (kset.distinct() if unique else kset).limit(isin_limit + 1).collect()
+        if len(probe) <= isin_limit:
+            t, _ = pairs[0]
+            values = [r[0] for r in probe]
             return df.where(F.col(t).isin(values)) if values else df.where(F.lit(False))
     elif strategy not in ("join", "isin", "auto"):
         raise ValueError(f"unknown strategy {strategy!r}")

@@ -38,11 +38,14 @@ def run_extract(spark: SparkSession, tables: Mapping[str, DataFrame], meta: Tabl
                 key_base: str | None = None,
                 primary_keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Write the extract (and, for a relational extract, its key tables);
-    return the job's audit record.  Nothing is written for an empty extract."""
+    return the job's audit record.  An empty extract records 0 rows and
+    encrypts nothing; only a shuffle-free extract is probed before writing
+    (see ``audit.gated_write``)."""
     rows = extract_plan(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
     if env_key is not None:
         rows = protect.encrypt_columns(rows, protect.encrypted_key_columns(meta), env_key)
-    n = audit.gated_write(rows, lambda d: write_files(d, out_path, fmt))
+    relational = bool(meta.edges) and not meta.is_own_driver
+    n = audit.gated_write(rows, lambda d: write_files(d, out_path, fmt), probe=not relational)
     if n and key_base and meta.edges and not meta.is_own_driver:
         chain = subset.key_chain(tables, meta, primary_keys or {}, driver_keys=driver_keys,
                                  driver_filter=driver_filter)

@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the query modules (registration happens on import)."""
-    from .queries import extract, io, load, mask, protect  # noqa: F401
+    from .queries import extract, io, jobs, load, mask, protect  # noqa: F401

@@ -47,15 +47,19 @@ def scratch_root(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or a directory already set on the
     context); sets a local one only when none is configured, as in tests.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:             # noqa: BLE001 - a connect session has no context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="veilset-ckpt-")
+    if sc is None:
+        return configured.rstrip("/")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 
