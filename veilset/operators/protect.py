@@ -19,11 +19,16 @@ from ..functions import crypto
 from ..session import spread
 
 BINARY_KINDS = ("bytea", "blob", "raw", "binary")
-BINARY_TEXT_CHARS = 1000          # bytea columns arrive as VARCHAR(1000)
+BINARY_TEXT_CHARS = 1000          # declared target: VARCHAR(1000)
 
 
-def binary_text(col: Column, max_chars: int | None = BINARY_TEXT_CHARS) -> Column:
-    """Binary -> text (UTF-8), bounded by the target VARCHAR length."""
+def binary_text(col: Column, max_chars: int | None = None) -> Column:
+    """Binary -> text (UTF-8), the whole value.
+
+    The target type is a VARCHAR(1000); values longer than that are not cut
+    (a silent prefix loses data) but reported by ``validate.validate_rows``
+    against the declared length.  ``max_chars`` cuts explicitly when a caller
+    wants the bounded column instead."""
     text = col.cast("string")
     return text if max_chars is None else F.substring(text, 1, max_chars)
 

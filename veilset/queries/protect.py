@@ -43,9 +43,9 @@ def project_keep_keys(spark, sf):
     return protect.extract_projection(_t(spark, sf)["orders"], samples.META["orders_p3"])
 
 
-@query("project_binary_text", "SELECT page_id, url, substr(html, 1, 1000) AS html FROM pages")
+@query("project_binary_text", "SELECT page_id, url, html FROM pages")
 def project_binary_text(spark, sf):
-    """A bytea column (raw page bytes) extracted as VARCHAR(1000)."""
+    """A bytea column (raw page bytes) extracted as text, whole."""
     pages = _t(spark, sf)["pages"].withColumn("html", F.encode("html", "UTF-8"))
     return protect.extract_projection(pages, samples.META["pages"])
 
