@@ -11,8 +11,6 @@ from ..catalog import FilterSpec, TableMeta
 from ..operators import subset
 from ..registry import query
 from ..session import stage_path
-from ..sinks.files import write_files
-from ..sources.files import read_key_table
 
 def driver():
     return F.col("c_mktsegment") == "BUILDING"
