@@ -63,3 +63,21 @@ def test_fused_mask_splits_hot_key(spark, skew_conf):
     plan = _final_plan(df)
     assert "skew=true" in plan
     assert df.count() == t["lineitem"].count()
+
+
+def test_stored_identity_one_hop_splits_hot_key(spark, skew_conf):
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    try:
+        t = samples.load_tables(spark, "/root/testdata/sf0.01", ("customer", "orders"))
+        hot = t["customer"].agg(F.min("c_custkey")).first()[0]
+        t["orders"] = t["orders"].repartition(6).withColumn(
+            "o_custkey", F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(hot))
+            .otherwise(F.col("o_custkey")))
+        ident = mask.identity_table(t["customer"], "c_custkey", unique=True)
+        df = scrub_related(t, samples.META["orders"], ident,
+                           driver_filter=F.col("c_mktsegment").isNotNull(),
+                           primary_keys=samples.PRIMARY_KEYS)
+        assert "skew=true" in _final_plan(df)
+        assert df.count() == t["orders"].count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")

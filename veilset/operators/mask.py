@@ -146,15 +146,21 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
     first = {dcol.lower(): dcol, **{e.parent_column.lower(): e.parent_column for e in groups[0]}}
     cur = drv.select(*[F.col(c).alias(q(dtab, c)) for c in first.values()])
     generated = isinstance(identity, idfn.IdentityGenerator)
+    # one hop + stored identity: the link would be keyed like the final join,
+    # leaving no shuffle under it for AQE to split a hot key of T; the identity
+    # is then joined after the link (``attach_identity``) instead of here
+    late = not generated and len(groups) == 1
     if generated:
         cur = cur.withColumn(MATCHED, F.lit(True))
         fields = []
+    elif late:
+        fields = []
     else:
         ids = _identity_side(identity, meta, fields)
         cur = cur.join(ids, cur[q(dtab, dcol)] == ids["__idkey"],
                        "inner" if how == "inner" else "left").drop("__idkey")
     cur = cur.withColumn(DRIVER_KEY, F.col(q(dtab, dcol)))
-    carried = [DRIVER_KEY, MATCHED] + [ID + f for f in fields]
+    carried = [DRIVER_KEY] + ([] if late else [MATCHED]) + [ID + f for f in fields]
     unique = covers_key(dtab, [dcol], primary_keys)
     for i, group in enumerate(groups[:-1]):
         child = group[0].child_table.lower()
@@ -217,6 +223,10 @@ def attach_identity(df: DataFrame, meta: TableMeta, identity: DataFrame | None,
         return df.join(ids, df[dcol] == ids["__idkey"], how).drop("__idkey")
     cond = reduce(lambda a, b: a & b, [df[t] == link[k] for t, k in pairs])
     joined = df.join(link, cond, join or how).drop(*[k for _, k in pairs])
+    if MATCHED not in link.columns:       # stored identity joined after the link
+        ids = _identity_side(identity, meta, fields)
+        joined = joined.join(ids, joined[DRIVER_KEY] == ids["__idkey"],
+                             "inner" if how == "inner" else "left").drop("__idkey")
     if how == "inner":
         joined = joined.where(F.col(MATCHED).isNotNull())
     return joined
@@ -230,7 +240,11 @@ def unmatched(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None,
         ids = _identity_side(identity, meta, [])
         dcol = meta.driver_column.split(",")[0].strip()
         return df.join(ids, df[dcol] == ids["__idkey"], "left_anti")
-    hit = link.where(F.col(MATCHED).isNotNull())
+    if MATCHED in link.columns:
+        hit = link.where(F.col(MATCHED).isNotNull())
+    else:
+        ids = _identity_side(identity, meta, [])
+        hit = link.join(ids, link[DRIVER_KEY] == ids["__idkey"], "left_semi")
     cond = reduce(lambda a, b: a & b, [df[t] == hit[k] for t, k in pairs])
     return df.join(hit, cond, "left_anti")
 

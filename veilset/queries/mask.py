@@ -236,6 +236,15 @@ def mask_identity_1hop(spark, sf):
                          primary_keys=PKS)
 
 
+@query("mask_identity_1hop_table", _ORDERS_SQL)
+def mask_identity_1hop_table(spark, sf):
+    """One hop with a stored identity table: keys-only link first, identity
+    joined after it (keeps the orders join open to AQE's skew split)."""
+    t = _t(spark, sf)
+    return scrub_related(t, samples.META["orders"], _identity(t), driver_filter=driver(),
+                         primary_keys=PKS)
+
+
 def _lineitem_sql(ids_cte, how="JOIN", extendedprice="i.asset_am"):
     return f"""WITH {ids_cte}
 SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,

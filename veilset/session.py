@@ -21,6 +21,9 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even when that needs one more shuffle after it
+    # (a hot key joined twice on the same column)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
