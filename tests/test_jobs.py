@@ -92,3 +92,13 @@ def test_jdbc_options_and_partitions():
                  "numPartitions": "4"}
     with pytest.raises(ValueError):
         jdbc.JdbcSource("cassandra").url()
+
+
+def test_partitioned_scan_wraps_queries():
+    src = jdbc.JdbcSource("postgresql", "db.example", 5432, "dw")
+    o = jdbc.partitioned_scan_options(src, "SELECT * FROM t WHERE x > 1", column="id",
+                                      lower=0, upper=10, partitions=2)
+    assert o["dbtable"] == "(SELECT * FROM t WHERE x > 1) q"
+    assert o["url"] == "jdbc:postgresql://db.example:5432/dw" and o["numPartitions"] == "2"
+    assert jdbc.partitioned_scan_options(src, "schema.t", column="id", lower=0, upper=10,
+                                         partitions=2)["dbtable"] == "schema.t"

@@ -74,14 +74,22 @@ def partition_options(column: str, lower: int | str, upper: int | str,
             "numPartitions": str(partitions)}
 
 
+def partitioned_scan_options(src: JdbcSource, table_or_query: str, *, column: str,
+                             lower, upper, partitions: int) -> dict[str, str]:
+    """All options of a parallel scan.  A query is wrapped as a derived
+    table (``query`` and ``partitionColumn`` cannot be combined)."""
+    t = table_or_query.strip()
+    dbtable = f"({t}) q" if t.lower().startswith(("select", "with")) else t
+    return {**src.options(), "dbtable": dbtable,
+            **partition_options(column, lower, upper, partitions)}
+
+
 def read_partitioned(spark: SparkSession, src: JdbcSource, table_or_query: str, *,
                      column: str, lower, upper, partitions: int) -> DataFrame:
-    """Parallel scan, one range of ``column`` per task.  A query is wrapped
-    as a derived table (``query`` and ``partitionColumn`` cannot be combined)."""
-    t = table_or_query.strip()
-    dbtable = f"({t}) q" if t.lower().startswith("select") else t
-    return (spark.read.format("jdbc").options(**src.options()).option("dbtable", dbtable)
-            .options(**partition_options(column, lower, upper, partitions)).load())
+    """Parallel scan, one range of ``column`` per task."""
+    return spark.read.format("jdbc").options(**partitioned_scan_options(
+        src, table_or_query, column=column, lower=lower, upper=upper,
+        partitions=partitions)).load()
 
 
 def write_table(df: DataFrame, src: JdbcSource, table: str, mode: str, *,
