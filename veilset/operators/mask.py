@@ -161,6 +161,10 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
                        "inner" if how == "inner" else "left").drop("__idkey")
     cur = cur.withColumn(DRIVER_KEY, F.col(q(dtab, dcol)))
     carried = [DRIVER_KEY] + ([] if late else [MATCHED]) + [ID + f for f in fields]
+    if late and [q(e.parent_table, e.parent_column) for e in last] == [q(dtab, dcol)]:
+        # the hop column is the driver key: the identity joins T's own hop
+        # column, whose partitioning the first join already made
+        carried = []
     unique = covers_key(dtab, [dcol], primary_keys)
     for i, group in enumerate(groups[:-1]):
         child = group[0].child_table.lower()
@@ -225,7 +229,8 @@ def attach_identity(df: DataFrame, meta: TableMeta, identity: DataFrame | None,
     joined = df.join(link, cond, join or how).drop(*[k for _, k in pairs])
     if MATCHED not in link.columns:       # stored identity joined after the link
         ids = _identity_side(identity, meta, fields)
-        joined = joined.join(ids, joined[DRIVER_KEY] == ids["__idkey"],
+        dk = joined[DRIVER_KEY] if DRIVER_KEY in link.columns else joined[pairs[0][0]]
+        joined = joined.join(ids, dk == ids["__idkey"],
                              "inner" if how == "inner" else "left").drop("__idkey")
     if how == "inner":
         joined = joined.where(F.col(MATCHED).isNotNull())
@@ -244,7 +249,8 @@ def unmatched(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None,
         hit = link.where(F.col(MATCHED).isNotNull())
     else:
         ids = _identity_side(identity, meta, [])
-        hit = link.join(ids, link[DRIVER_KEY] == ids["__idkey"], "left_semi")
+        dk = link[DRIVER_KEY] if DRIVER_KEY in link.columns else link[pairs[0][1]]
+        hit = link.join(ids, dk == ids["__idkey"], "left_semi")
     cond = reduce(lambda a, b: a & b, [df[t] == hit[k] for t, k in pairs])
     return df.join(hit, cond, "left_anti")
 
