@@ -46,3 +46,15 @@ def test_key_table_header_names(spark):
         .write.option("header", True).csv(path)
     kt = files.read_key_table(spark, path)
     assert kt.columns == ["orders_o_orderkey", "customer_c_custkey"]
+
+
+def test_source_dispatch(spark, tables):
+    from veilset.sources import dispatch
+    assert dispatch.reader_kind("ORACLE") == "jdbc"
+    assert dispatch.reader_kind("sqlserver") == "jdbc"
+    assert dispatch.reader_kind("parquet") == "file"
+    assert dispatch.reader_kind("cassandra") == "connector"
+    with pytest.raises(ValueError):
+        dispatch.reader_kind("mainframe")
+    df = dispatch.read_source(spark, "parquet", path="/root/testdata/sf0.001/nation.parquet")
+    assert df.count() == tables["nation"].count()
