@@ -76,3 +76,18 @@ def test_masked_big_table_is_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lineitem_scans = plan.count("lineitem.parquet")
     assert lineitem_scans == 1
+
+
+def test_keys_are_redacted_in_plans(spark, capsys):
+    from veilset.functions import crypto
+    from veilset.session import RECOMMENDED_CONF
+    key = "spark.sql.redaction.string.regex"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, RECOMMENDED_CONF[key])
+    try:
+        df = spark.range(2).select(crypto.encrypt(F.col("id"), samples.TEST_ENV_KEY).alias("c"))
+        df.explain(True)
+        out = capsys.readouterr().out
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+    assert "redacted" in out and samples.TEST_ENV_KEY.hex().upper() not in out.upper()

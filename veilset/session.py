@@ -35,7 +35,7 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     # keys handed to aes_encrypt / aes_decrypt appear as literals in plans;
     # keep them out of explain output and logs
-    "spark.sql.redaction.string.regex": r"(?i)secret|password|x'[0-9a-f]{32,}'",
+    "spark.sql.redaction.string.regex": r"(?i)0x[0-9a-f]{32,}|secret|password",
 }
 
 
