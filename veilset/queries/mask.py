@@ -174,22 +174,22 @@ _member_query("mask_constants", ["c_custkey", "mr_nbr", "note_code", "flag_cd",
 _NO_DRIVER_SQL = {
     "c_custkey": "c_custkey", "c_name": "'abc'", "name_first": "'abc'", "name_mid": "'a'",
     "name_last": "'abc'", "name_title": "'abc'", "emplr_name": "'abc'",
-    "birth_dt": "TIMESTAMP '2003-05-03 00:00:00'", "birth_mo": "4", "birth_yr": "10",
-    "birth_dd": "4", "card_nbr": "'abc'", "card13_nbr": "'abc'", "card11_nbr": "'abc'",
+    "birth_dt": "TIMESTAMP '2003-05-03 00:00:00'", "birth_mo": "CAST(4 AS INTEGER)",
+    "birth_yr": "CAST(10 AS INTEGER)", "birth_dd": "CAST(4 AS INTEGER)",
+    "card_nbr": "'abc'", "card13_nbr": "'abc'", "card11_nbr": "'abc'",
     "bank_acct_no": "'abc'", "ban_ref": "'abc'", "addr_line1": "'abc'", "addr_line2": "'abc'",
     "addr_city": "'abc'", "addr_state": "'a'", "addr_zip": "'abc'", "addr_country": "'a'",
     "home_address": "'abc'", "residence_txt": "'abc'", "email_id": "'abc'",
     "cell_phone": "'abc'", "ssn": "'abc'", "tax_id": "'abc'", "marital_status": "'abc'",
     "salary_amt": "CAST(10 AS DOUBLE)", "c_acctbal": "CAST(10 AS DOUBLE)", "mr_nbr": "'a'",
-    "note_code": "4", "flag_cd": "'a'", "doc_date": "TIMESTAMP '2003-05-03 00:00:00'",
+    "note_code": "CAST(4 AS INTEGER)", "flag_cd": "'a'",
+    "doc_date": "TIMESTAMP '2003-05-03 00:00:00'",
     "c_nationkey": "c_nationkey", "c_mktsegment": "c_mktsegment",
 }
 
 
-@query("mask_no_driver", "SELECT " + ", ".join(
-    f"{v} AS {k}" if k in ("c_custkey", "c_nationkey", "c_mktsegment") else
-    f"CAST({v} AS {'INTEGER' if k in ('birth_mo', 'birth_yr', 'birth_dd', 'note_code') else 'VARCHAR' if not v.startswith(('TIMESTAMP', 'CAST')) else 'TIMESTAMP' if v.startswith('TIMESTAMP') else 'DOUBLE'}) AS {k}"
-    for k, v in _NO_DRIVER_SQL.items()) + " FROM customer")
+@query("mask_no_driver", "SELECT " + ", ".join(f"{v} AS {k}" for k, v in _NO_DRIVER_SQL.items())
+       + " FROM customer")
 def mask_no_driver(spark, sf):
     """PII of a table without driver -> typed constants, no join."""
     t = _t(spark, sf)
