@@ -207,6 +207,41 @@ def driver_link(tables: Mapping[str, DataFrame], meta: TableMeta,
                          driver_filter=driver_filter, primary_keys=primary_keys)
 
 
+def link_from_key_tables(levels: Mapping[str, DataFrame], meta: TableMeta,
+                         primary_keys: Mapping[str, Sequence[str]] | None = None
+                         ) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """J7 from the key tables an extract wrote (K5), not from the sources.
+
+    ``levels`` maps a parent table to its key table (columns
+    ``table__column``, as ``subset.undotted`` reads them back).  The level of
+    the last hop's parent holds that parent's key and the level below it; the
+    levels are joined downwards (keys only) until the driver key is present.
+    The result has the same shape as ``identity_link`` with an identity
+    generator: parent hop columns, driver key, ``MATCHED``."""
+    groups = _check_edges(meta)
+    last = groups[-1]
+    dkey = q(meta.driver_table, meta.driver_column.split(",")[0].strip())
+    pcols = [q(e.parent_table, e.parent_column) for e in last]
+    link = levels[last[0].parent_table.lower()]
+    i = len(groups) - 1
+    while dkey not in link.columns:
+        if i == 0:
+            raise ValueError(f"key tables do not lead to the driver key {dkey}")
+        i -= 1
+        below = levels[groups[i][0].parent_table.lower()]
+        common = [c for c in link.columns if c in below.columns]
+        if not common:
+            raise ValueError("consecutive key tables share no key column")
+        link = link.join(below, common, "inner")
+    unique = all(covers_key(g[0].parent_table, [e.parent_column for e in g], primary_keys)
+                 for g in groups)
+    link = link.select(*pcols, F.col(dkey).alias(DRIVER_KEY))
+    if not unique:
+        link = link.groupBy(*pcols).agg(F.min(DRIVER_KEY).alias(DRIVER_KEY))
+    link = link.withColumn(MATCHED, F.lit(True))
+    return link, [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
+
+
 # ---------------------------------------------------------------------------
 # the scrub itself
 

@@ -11,7 +11,9 @@ from ..plans.load import run_load
 from ..plans.scrub import run_scrub
 from ..registry import query
 from ..session import stage_path
+from ..operators.subset import undotted
 from ..sources.files import read_declared
+from .extract import read_key_table_raw
 from .mask import GENERATOR, IDS_ALL, _lineitem_sql
 
 DRIVER_SQL = "c_mktsegment = 'BUILDING'"
@@ -26,11 +28,11 @@ def _t(spark, sf):
     return samples.load_tables(spark, sf, ("customer", "orders", "lineitem"))
 
 
-def _extract(spark, t, table):
+def _extract(spark, t, table, keys=None):
     meta = samples.META[table]
     out = stage_path(spark, f"extract-{table}")
-    run_extract(spark, t, meta, out, driver_filter=driver(), key_base=stage_path(spark, "keys"),
-                primary_keys=samples.PRIMARY_KEYS)
+    run_extract(spark, t, meta, out, driver_filter=driver(),
+                key_base=keys or stage_path(spark, "keys"), primary_keys=samples.PRIMARY_KEYS)
     return read_declared(spark, out, meta, "csv")
 
 
@@ -49,12 +51,18 @@ def extract_job(spark, sf):
 
 @query("scrub_job", _lineitem_sql(IDS_ALL))
 def scrub_job(spark, sf):
-    """Scrub job over the extract's files: link to the driver, mask, write."""
+    """Scrub job over the extract's files: the driver link comes from the key
+    tables the extract wrote (no source table is read again), then mask and
+    write."""
     t = _t(spark, sf)
-    rows = _extract(spark, t, "lineitem")
+    keys = stage_path(spark, "keys")
+    rows = _extract(spark, t, "lineitem", keys)
     meta = samples.META["lineitem"]
-    link, pairs = mask.driver_link(t, meta, samples.PRIMARY_KEYS, identity=GENERATOR,
-                                   driver_filter=driver())
+    levels = {name: undotted(read_key_table_raw(spark, f"{keys}/{name}"))
+              for name in ("customer", "orders")}
+    levels = {name: df.select(*[F.col(c).cast("bigint") for c in df.columns])
+              for name, df in levels.items()}
+    link, pairs = mask.link_from_key_tables(levels, meta, samples.PRIMARY_KEYS)
     out = stage_path(spark, "scrubbed")
     run_scrub(spark, rows, meta, out, identity=GENERATOR, link=link, pairs=pairs)
     return spark.read.parquet(out)

@@ -39,6 +39,21 @@ RECOMMENDED_CONF: dict[str, str] = {
 }
 
 
+# Sizing for a large cluster (not applied automatically; depends on the
+# cluster): many initial shuffle partitions that AQE coalesces to ~128 MB,
+# scan splits of 256 MB, and a bounded number of in-flight map outputs.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.shuffle.partitions": "32768",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16MB",
+    "spark.reducer.maxReqsInFlight": "256",
+    "spark.shuffle.io.maxRetries": "10",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def apply_recommended_conf(spark: SparkSession) -> None:
     for k, v in RECOMMENDED_CONF.items():
         spark.conf.set(k, v)
