@@ -102,3 +102,39 @@ def test_partitioned_scan_wraps_queries():
     assert o["url"] == "jdbc:postgresql://db.example:5432/dw" and o["numPartitions"] == "2"
     assert jdbc.partitioned_scan_options(src, "schema.t", column="id", lower=0, upper=10,
                                          partitions=2)["dbtable"] == "schema.t"
+
+
+def test_link_from_key_tables_matches_source_link(spark, tables):
+    """Three tables, composite last hop: the link read from the written key
+    tables equals the link computed from the sources."""
+    t = dict(tables)
+    t["returned_lines"] = samples.returned_lines(t["lineitem"])
+    meta = samples.META["returned_lines"]
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    chain = subset.key_chain(t, meta, samples.PRIMARY_KEYS, driver_filter=urgent, fold=False)
+    base = stage_path(spark, "t-levels")
+    paths = subset.write_level_keys(chain, meta, samples.PRIMARY_KEYS, base)
+    levels = {}
+    for name, path in paths.items():
+        df = subset.undotted(spark.read.option("header", True).csv(path))
+        levels[name] = df.select(*[F.col(c).cast("bigint") for c in df.columns])
+    from_keys, pairs = mask.link_from_key_tables(levels, meta, samples.UNIQUE_KEYS)
+    from_src, pairs2 = mask.driver_link(t, meta, samples.UNIQUE_KEYS,
+                                        identity=mask.identity_generator(), driver_filter=urgent)
+    cols = [k for _, k in pairs] + [mask.DRIVER_KEY]
+    assert pairs == pairs2
+    a, b = from_keys.select(*cols), from_src.select(*cols)
+    # key tables hold only parent keys that lead to a target row (the chain
+    # ends at the target); on those keys both links agree, one row per key
+    keys_only = [k for _, k in pairs]
+    b_on_a = b.join(a.select(*keys_only), keys_only, "left_semi")
+    assert a.count() > 0 and a.exceptAll(b_on_a).count() == 0
+    assert b_on_a.exceptAll(a).count() == 0
+    assert b.groupBy(*keys_only).count().where("count > 1").count() == 0
+
+
+
+def test_unique_key_tables_finds_broken_keys(tables):
+    from veilset.operators import validate
+    got = validate.unique_key_tables(tables, samples.PRIMARY_KEYS)
+    assert got == samples.UNIQUE_KEYS

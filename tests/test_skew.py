@@ -59,7 +59,7 @@ def test_fused_mask_splits_hot_key(spark, skew_conf):
     t = _hot_tables(spark)
     df = scrub_related(t, samples.META["lineitem"], mask.identity_generator(),
                        driver_filter=F.col("c_mktsegment").isNotNull(),
-                       primary_keys=samples.PRIMARY_KEYS)
+                       unique_keys=samples.UNIQUE_KEYS)
     plan = _final_plan(df)
     assert "skew=true" in plan
     assert df.count() == t["lineitem"].count()
@@ -76,7 +76,7 @@ def test_stored_identity_one_hop_splits_hot_key(spark, skew_conf):
         ident = mask.identity_table(t["customer"], "c_custkey", unique=True)
         df = scrub_related(t, samples.META["orders"], ident,
                            driver_filter=F.col("c_mktsegment").isNotNull(),
-                           primary_keys=samples.PRIMARY_KEYS)
+                           unique_keys=samples.UNIQUE_KEYS)
         assert "skew=true" in _final_plan(df)
         assert df.count() == t["orders"].count()
     finally:

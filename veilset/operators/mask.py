@@ -125,7 +125,7 @@ def _identity_side(identity: DataFrame, meta: TableMeta, fields: Sequence[str])
 def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
                   fields: Sequence[str], *, how: str = "inner",
                   driver_keys: DataFrame | None = None, driver_filter: Column | None = None,
-                  primary_keys: Mapping[str, Sequence[str]] | None = None
+                  unique_keys: Mapping[str, Sequence[str]] | None = None
                   ) -> tuple[DataFrame, list[tuple[str, str]]]:
     """The parent-side hop columns of ``meta``'s last hop, each with its
     driver key and (for a stored identity table) the identity fields.
@@ -133,9 +133,11 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
     The hops are walked with key columns only.  A stored identity table joins
     the driver rows first (both keyed by the driver key) and its fields are
     carried along; an ``IdentityGenerator`` needs no join at all.  When every
-    hop's parent columns are that parent's primary key, each parent key is
-    reached once and the link is used as it is; otherwise a grouping keeps one
-    driver per parent key (the smallest).  Returns the link and the join pairs
+    hop's parent columns are a key of that parent known to be unique in the
+    data (``unique_keys``, see ``validate.unique_key_tables``; a declared key
+    the data breaks would multiply rows), each parent key is reached once and
+    the link is used as it is; otherwise a grouping keeps one driver per
+    parent key (the smallest).  Returns the link and the join pairs
     (column of T, column of the link).  ``how="left"`` keeps parent keys whose
     driver has no identity (fields NULL, ``MATCHED`` NULL)."""
     groups = _check_edges(meta)
@@ -165,7 +167,7 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
         # the hop column is the driver key: the identity joins T's own hop
         # column, whose partitioning the first join already made
         carried = []
-    unique = covers_key(dtab, [dcol], primary_keys)
+    unique = covers_key(dtab, [dcol], unique_keys)
     for i, group in enumerate(groups[:-1]):
         child = group[0].child_table.lower()
         nxt = {e.parent_column.lower(): e.parent_column for e in groups[i + 1]}
@@ -176,12 +178,12 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
                                            == cdf[q(e.child_table, e.child_column)]
                                            for e in group])
         unique = unique and covers_key(group[0].parent_table, [e.parent_column for e in group],
-                                       primary_keys)
+                                       unique_keys)
         cur = cur.join(cdf, cond, "inner").select(
             *[cur[c] for c in carried], *[cdf[q(child, c)] for c in nxt.values()])
     pcols = [q(e.parent_table, e.parent_column) for e in last]
     unique = unique and covers_key(last[0].parent_table, [e.parent_column for e in last],
-                                   primary_keys)
+                                   unique_keys)
     if unique:
         link = cur.select(*pcols, *carried)
     else:
@@ -193,7 +195,7 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
 
 
 def driver_link(tables: Mapping[str, DataFrame], meta: TableMeta,
-                primary_keys: Mapping[str, Sequence[str]] | None = None, *,
+                unique_keys: Mapping[str, Sequence[str]] | None = None, *,
                 identity=None, fields: Sequence[str] = (),
                 how: str = "inner", driver_keys: DataFrame | None = None,
                 driver_filter: Column | None = None):
@@ -204,11 +206,11 @@ def driver_link(tables: Mapping[str, DataFrame], meta: TableMeta,
     if not fields:
         fields = needed_fields(mask_plan(meta), nested_plan(meta))
     return identity_link(tables, meta, identity, fields, how=how, driver_keys=driver_keys,
-                         driver_filter=driver_filter, primary_keys=primary_keys)
+                         driver_filter=driver_filter, unique_keys=unique_keys)
 
 
 def link_from_key_tables(levels: Mapping[str, DataFrame], meta: TableMeta,
-                         primary_keys: Mapping[str, Sequence[str]] | None = None
+                         unique_keys: Mapping[str, Sequence[str]] | None = None
                          ) -> tuple[DataFrame, list[tuple[str, str]]]:
     """J7 from the key tables an extract wrote (K5), not from the sources.
 
@@ -233,7 +235,7 @@ def link_from_key_tables(levels: Mapping[str, DataFrame], meta: TableMeta,
         if not common:
             raise ValueError("consecutive key tables share no key column")
         link = link.join(below, common, "inner")
-    unique = all(covers_key(g[0].parent_table, [e.parent_column for e in g], primary_keys)
+    unique = all(covers_key(g[0].parent_table, [e.parent_column for e in g], unique_keys)
                  for g in groups)
     link = link.select(*pcols, F.col(dkey).alias(DRIVER_KEY))
     if not unique:

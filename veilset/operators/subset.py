@@ -331,7 +331,8 @@ def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,
 
 def level_keys(chain: DataFrame, meta: TableMeta,
                primary_keys: Mapping[str, Sequence[str]]) -> list[tuple[str, DataFrame]]:
-    """K5: one distinct key table per hop level, from one (persisted) chain.
+    """K5: one distinct key table per hop level, from one chain built with
+    ``fold=False`` (every table's key columns under its own name).
 
     Level of parent P holds the keys of the previous level plus P's primary
     key; the last entry is the target table with its primary key.

@@ -76,3 +76,15 @@ def split_typed(text: DataFrame, meta: TableMeta) -> tuple[DataFrame, DataFrame]
         *[F.col(k).try_cast(meta.column(k).spark_type()).alias(k) for k in pk],
         F.col("__reject").alias("reject_column"), F.col("__value").alias("reject_value"))
     return good, rejected
+
+
+def unique_key_tables(tables, primary_keys) -> dict[str, list[str]]:
+    """The declared keys that hold in the data: one distributed duplicate
+    check per table (partial aggregate; ``isEmpty`` stops at the first
+    duplicate found).  Plans may skip de-duplicating a key set only for
+    these (see ``mask.identity_link``)."""
+    out = {}
+    for table, key in primary_keys.items():
+        if table in tables and key and duplicate_keys(tables[table], key).isEmpty():
+            out[table] = list(key)
+    return out

@@ -16,7 +16,7 @@ def scrub_related(tables: Mapping[str, DataFrame], meta: TableMeta,
                   identity=None, *,
                   driver_filter: Column | None = None, driver_keys: DataFrame | None = None,
                   how: str = "inner", json_schemas=None,
-                  primary_keys: Mapping[str, list[str]] | None = None) -> DataFrame:
+                  unique_keys: Mapping[str, list[str]] | None = None) -> DataFrame:
     """Extract ``meta``'s table over its hops and mask it, in one join.
 
     The identity link holds exactly the parent keys reached from the driver,
@@ -27,14 +27,14 @@ def scrub_related(tables: Mapping[str, DataFrame], meta: TableMeta,
     if not mask.has_driver(meta) or not meta.has_pii:
         rows = subset.extract_related(tables, meta, driver_keys=driver_keys,
                                       driver_filter=driver_filter,
-                                      primary_keys=primary_keys) if meta.edges else \
+                                      primary_keys=unique_keys) if meta.edges else \
             subset.extract_rows(target, meta)
         return mask.scrub(rows, meta, identity, json_schemas=json_schemas)
     if meta.is_own_driver:
         rows = subset.extract_related(tables, meta, driver_keys=driver_keys,
                                       driver_filter=driver_filter)
         return mask.scrub(rows, meta, identity, how=how, json_schemas=json_schemas)
-    link, pairs = mask.driver_link(tables, meta, primary_keys, identity=identity, how=how,
+    link, pairs = mask.driver_link(tables, meta, unique_keys, identity=identity, how=how,
                                    driver_keys=driver_keys, driver_filter=driver_filter)
     rows = subset.extract_rows(target, meta)          # the request's own filters
     return mask.scrub(rows, meta, identity, link=link, pairs=pairs, how=how, join="inner",

@@ -218,7 +218,8 @@ def keys_level(spark, sf):
     """K5: every level's key table written once (skipped if present), then
     the orders level read back from its files."""
     meta = samples.META["lineitem"]
-    chain = subset.key_chain(_t(spark, sf), meta, samples.PRIMARY_KEYS, driver_filter=driver())
+    chain = subset.key_chain(_t(spark, sf), meta, samples.PRIMARY_KEYS, driver_filter=driver(),
+                             fold=False)
     base = stage_path(spark, "keys")
     paths = subset.write_level_keys(chain, meta, samples.PRIMARY_KEYS, base)
     back = subset.undotted(read_key_table_raw(spark, paths["orders"]))

@@ -62,7 +62,7 @@ def scrub_job(spark, sf):
               for name in ("customer", "orders")}
     levels = {name: df.select(*[F.col(c).cast("bigint") for c in df.columns])
               for name, df in levels.items()}
-    link, pairs = mask.link_from_key_tables(levels, meta, samples.PRIMARY_KEYS)
+    link, pairs = mask.link_from_key_tables(levels, meta, samples.UNIQUE_KEYS)
     out = stage_path(spark, "scrubbed")
     run_scrub(spark, rows, meta, out, identity=GENERATOR, link=link, pairs=pairs)
     return spark.read.parquet(out)

@@ -104,7 +104,7 @@ def _identity(t, covered_only=False):
 
 
 GENERATOR = mask.identity_generator()      # identities as expressions of the key
-PKS = samples.PRIMARY_KEYS
+UKS = samples.UNIQUE_KEYS          # keys verified unique in the data
 
 
 def _t(spark, sf):
@@ -233,7 +233,7 @@ WHERE c.{DRIVER_SQL}"""
 def mask_identity_1hop(spark, sf):
     t = _t(spark, sf)
     return scrub_related(t, samples.META["orders"], GENERATOR, driver_filter=driver(),
-                         primary_keys=PKS)
+                         unique_keys=UKS)
 
 
 @query("mask_identity_1hop_table", _ORDERS_SQL)
@@ -242,7 +242,7 @@ def mask_identity_1hop_table(spark, sf):
     joined after it (keeps the orders join open to AQE's skew split)."""
     t = _t(spark, sf)
     return scrub_related(t, samples.META["orders"], _identity(t), driver_filter=driver(),
-                         primary_keys=PKS)
+                         unique_keys=UKS)
 
 
 def _lineitem_sql(ids_cte, how="JOIN", extendedprice="i.asset_am"):
@@ -258,7 +258,7 @@ WHERE c.{DRIVER_SQL}"""
 def mask_lineitem(t, identity, how="inner"):
     """Extract line items two hops from the driver and mask them."""
     return scrub_related(t, samples.META["lineitem"], identity, driver_filter=driver(),
-                         how=how, primary_keys=PKS)
+                         how=how, unique_keys=UKS)
 
 
 @query("mask_identity_2hop", _lineitem_sql(IDS_ALL))
@@ -292,7 +292,7 @@ def mask_unmatched(spark, sf):
     t = _t(spark, sf)
     meta = samples.META["lineitem"]
     rows = subset.extract_related(t, meta, driver_filter=driver())
-    link, pairs = mask.driver_link(t, meta, PKS, identity=_identity(t, covered_only=True),
+    link, pairs = mask.driver_link(t, meta, UKS, identity=_identity(t, covered_only=True),
                                    how="left", driver_filter=driver())
     return mask.unmatched(rows, meta, link=link, pairs=pairs)
 
@@ -319,7 +319,7 @@ def mask_nested_json(spark, sf):
     t = _t(spark, sf)
     t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
     return scrub_related(t, samples.META["doc_request"], GENERATOR, driver_filter=driver(),
-                         primary_keys=PKS)
+                         unique_keys=UKS)
 
 
 # ---------------------------------------------------------------------------
@@ -338,7 +338,7 @@ def mask_stream_2hop(spark, sf):
     landing = stage_path(spark, "landing-lineitem")
     write_files(rows.where(F.col("l_returnflag") == "R"), f"{landing}/arrival1", "csv")
     write_files(rows.where(F.col("l_returnflag") != "R"), f"{landing}/arrival2", "csv")
-    link, pairs = mask.driver_link(t, meta, PKS, identity=GENERATOR, driver_filter=driver())
+    link, pairs = mask.driver_link(t, meta, UKS, identity=GENERATOR, driver_filter=driver())
     out = stage_path(spark, "scrubbed-lineitem")
     q = start_scrub(spark, meta, f"{landing}/*", out, identity=GENERATOR, link=link,
                     pairs=pairs)

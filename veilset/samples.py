@@ -109,6 +109,13 @@ PRIMARY_KEYS = {
     "returned_lines": ["r_orderkey", "r_linenumber"],
 }
 
+# declared keys that hold in the bundled data (validate.unique_key_tables):
+# the line-item key (l_orderkey, l_linenumber) is declared but repeats
+UNIQUE_KEYS = {
+    "customer": ["c_custkey"],
+    "orders": ["o_orderkey"],
+}
+
 # composite hop: returned lines reference a line item by (order, line number)
 RETURNED_LINES_COLUMNS = [
     col("r_orderkey", "NUMBER", 22, precision=18, pk=True),
