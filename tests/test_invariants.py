@@ -106,3 +106,10 @@ def test_tuple_and_per_column_keys_differ(spark, tables):
     per = subset.semi_join(li, keys, [("l_orderkey", "a"), ("l_linenumber", "b")],
                            match="per_column")
     assert per.count() >= tup.count()
+
+
+def test_upsert_resolves_incoming_duplicates(spark):
+    stored = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    incoming = spark.createDataFrame([(2, "x"), (2, "y"), (3, "z")], "k int, v string")
+    out = sorted(tuple(r) for r in load.upsert(stored, incoming, ["k"]).collect())
+    assert out == [(1, "a"), (2, "y"), (3, "z")]

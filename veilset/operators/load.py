@@ -29,6 +29,8 @@ def survivors(df: DataFrame, key: Sequence[str], order: Sequence[Column | str])
     more than any other key."""
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     rest = [c for c in df.columns if c not in key]
+    if not rest:                                  # key columns only: plain distinct
+        return df.dropDuplicates(list(key))
     best = F.max(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order_cols)],
                           F.struct(*rest).alias("__row")))
     return (df.groupBy(*key).agg(best.alias("__best"))
@@ -37,14 +39,17 @@ def survivors(df: DataFrame, key: Sequence[str], order: Sequence[Column | str])
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: Sequence[str], *,
-           order: Sequence[Column | str] | None = None) -> DataFrame:
+           order: Sequence[Column | str] | None = None,
+           incoming_unique: bool = False) -> DataFrame:
     """Incoming wins; stored rows are kept when their key is not incoming.
 
-    Incoming duplicates are resolved by ``order`` (W5); without an order they
-    must be unique (checked by ``validate.duplicate_keys``)."""
+    Incoming rows sharing a key are reduced to one survivor (W5): the greatest
+    by ``order``, ties (or no order) broken by the whole row, so the result is
+    the same on every run.  ``incoming_unique=True`` skips that aggregate for
+    input already known to have unique keys."""
     inc = incoming.select(*stored.columns)
-    if order:
-        inc = survivors(inc, key, order)
+    if not incoming_unique:
+        inc = survivors(inc, key, order or [])
     kept = stored.join(inc.select(*key), list(key), "left_anti")
     return inc.unionByName(kept)
 
