@@ -3,7 +3,7 @@
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS] and
 prints ONE JSON line: {"metric", "value", "unit", "queries", "sf"}.
 Each query is fully executed (written to the no-op sink, or through its own
-writes) after one warm-up pass, and timed as the best of $BENCH_REPEAT runs.
+writes) after one warm-up pass, and timed as the best of $BENCH_REPEAT (default 3) runs.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ HEADLINE = ["extract_2hop", "keys_chain", "mask_identity_2hop", "encrypt_roundtr
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     scratch = tempfile.mkdtemp(prefix="veilset-bench-")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("veilset-bench")
              .config("spark.ui.enabled", "false")
