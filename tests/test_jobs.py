@@ -138,3 +138,20 @@ def test_unique_key_tables_finds_broken_keys(tables):
     from veilset.operators import validate
     got = validate.unique_key_tables(tables, samples.PRIMARY_KEYS)
     assert got == samples.UNIQUE_KEYS
+
+
+def test_scrub_request_shares_links(spark, tables):
+    """orders and doc_request both hang off customer: one shared link, same
+    results as scrubbing each table on its own."""
+    from veilset.plans.scrub import scrub_related, scrub_request
+    t = dict(tables)
+    t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
+    gen = mask.identity_generator()
+    metas = [samples.META["orders"], samples.META["doc_request"], samples.META["lineitem"]]
+    got = scrub_request(t, metas, gen, driver_filter=driver(), unique_keys=samples.UNIQUE_KEYS)
+    assert set(got) == {"orders", "doc_request", "lineitem"}
+    for m in metas:
+        alone = scrub_related(t, m, gen, driver_filter=driver(), unique_keys=samples.UNIQUE_KEYS)
+        a = got[m.table_name]
+        assert a.schema == alone.schema
+        assert a.exceptAll(alone).count() == 0 and alone.exceptAll(a).count() == 0

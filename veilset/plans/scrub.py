@@ -48,3 +48,48 @@ def run_scrub(spark: SparkSession, rows: DataFrame, meta: TableMeta, out_path: s
     masked = mask.scrub(rows, meta, identity, link=link, pairs=pairs, how=how)
     n = audit.write_counted(masked, lambda d: write_files(d, out_path, fmt))
     return audit.audit_record(spark, meta.request_id, audit.STATUS_COMPLETE, "SCRUB", n)
+
+
+def scrub_request(tables: Mapping[str, DataFrame], metas, identity=None, *,
+                  driver_filter: Column | None = None, driver_keys: DataFrame | None = None,
+                  how: str = "inner",
+                  unique_keys: Mapping[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """All tables of one request, masked; each distinct identity link is built
+    once.
+
+    Tables whose last hop leaves the same parent columns share one link; a
+    link used by more than one table is checkpointed to the shared checkpoint
+    folder (cut lineage, survives executor loss) instead of re-running its
+    hop joins per table.  Returns ``table -> masked DataFrame`` (lazy except
+    for the shared links)."""
+    from ..session import scratch_root
+
+    out: dict[str, DataFrame] = {}
+    shared: dict[tuple, list] = {}
+    for meta in metas:
+        if mask.has_driver(meta) and meta.has_pii and not meta.is_own_driver and meta.edges:
+            groups = subset._check_edges(meta)
+            sig = tuple((e.parent_table.lower(), e.parent_column.lower(), e.index)
+                        for g in groups[:-1] for e in g) + tuple(
+                (e.parent_table.lower(), e.parent_column.lower()) for e in groups[-1])
+            shared.setdefault(sig, []).append(meta)
+        else:
+            out[meta.table_name.lower()] = scrub_related(
+                tables, meta, identity, driver_filter=driver_filter, driver_keys=driver_keys,
+                how=how, unique_keys=unique_keys)
+    for members in shared.values():
+        fields = sorted({f for m in members
+                         for f in mask.needed_fields(mask.mask_plan(m), mask.nested_plan(m))})
+        link, _ = mask.driver_link(tables, members[0], unique_keys, identity=identity,
+                                   fields=fields or ["cust_id"], how=how,
+                                   driver_keys=driver_keys, driver_filter=driver_filter)
+        if len(members) > 1:
+            scratch_root(link.sparkSession)
+            link = link.checkpoint(eager=True)
+        for meta in members:
+            last = subset._check_edges(meta)[-1]
+            pairs = [(e.child_column, subset.q(e.parent_table, e.parent_column)) for e in last]
+            rows = subset.extract_rows(tables[meta.table_name.lower()], meta)
+            out[meta.table_name.lower()] = mask.scrub(
+                rows, meta, identity, link=link, pairs=pairs, how=how, join="inner")
+    return out

@@ -344,3 +344,15 @@ def mask_stream_2hop(spark, sf):
                     pairs=pairs)
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+@query("mask_request_shared_link", _ORDERS_SQL)
+def mask_request_shared_link(spark, sf):
+    """A request over orders and doc_request (both one hop from customer):
+    their identity link is built once and checkpointed; the orders result."""
+    from ..plans.scrub import scrub_request
+    t = _t(spark, sf)
+    t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
+    out = scrub_request(t, [samples.META["orders"], samples.META["doc_request"]], GENERATOR,
+                        driver_filter=driver(), unique_keys=UKS)
+    return out["orders"]
