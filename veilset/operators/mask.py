@@ -31,7 +31,6 @@ from ..catalog import ColumnMeta, TableMeta
 from ..functions import identity as idfn
 from ..functions.masks import choice_column, derived_fields, replace_path
 from ..functions.rules import Choice, identity_key, resolve, typed_constant_value
-from ..session import spread
 from .subset import _check_edges, covers_key, driver_rows, q
 
 ID = "__id_"
@@ -50,7 +49,7 @@ def identity_table(keys: DataFrame, key_col: str, *, seed: str = idfn.DEFAULT_SE
     ``unique=True`` states the keys are already distinct (a primary key), which
     saves the de-duplicating shuffle."""
     k = keys.select(F.col(key_col).alias("__k")).dropna()
-    k = k.distinct() if not unique else spread(k)
+    k = k if unique else k.distinct()
     return k.select(*idfn.identity_columns(F.col("__k"), fields, seed))
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from ..catalog import ColumnMeta, TableMeta
 from ..functions import crypto
-from ..session import spread
 
 BINARY_KINDS = ("bytea", "blob", "raw", "binary")
 BINARY_TEXT_CHARS = 1000          # declared target: VARCHAR(1000)
@@ -97,7 +96,7 @@ def encrypt_columns(df: DataFrame, columns: Sequence[str], key: bytes | str,
     """E1 + P7: replace columns by their ciphertext, order kept."""
     if not columns:
         return df
-    return spread(df).withColumns({c: crypto.encrypt(F.col(c), key, mode) for c in columns})
+    return df.withColumns({c: crypto.encrypt(F.col(c), key, mode) for c in columns})
 
 
 def decrypt_columns(df: DataFrame, columns: Sequence[str], key: bytes | str,
@@ -108,7 +107,7 @@ def decrypt_columns(df: DataFrame, columns: Sequence[str], key: bytes | str,
     if not columns:
         return df
     types = types or {}
-    return spread(df).withColumns({
+    return df.withColumns({
         c: crypto.decrypt(F.col(c), key, mode, dtype=types.get(c, "string")) for c in columns})
 
 

@@ -14,6 +14,7 @@ from ..functions import identity as idfn
 from ..operators import mask, subset
 from ..plans.scrub import scrub_related
 from ..registry import query
+from ..session import spread
 
 def driver():
     return F.col("c_mktsegment") == "BUILDING"
@@ -100,7 +101,7 @@ IDS_COVERED = identity_cte(f"SELECT c_custkey AS k FROM customer WHERE {COVERED_
 def _identity(t, covered_only=False):
     """Stored-style identity table (joined on the driver key)."""
     cust = t["customer"].where(covered()) if covered_only else t["customer"]
-    return mask.identity_table(cust, "c_custkey", unique=True)
+    return mask.identity_table(spread(cust), "c_custkey", unique=True)
 
 
 GENERATOR = mask.identity_generator()      # identities as expressions of the key

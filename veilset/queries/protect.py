@@ -8,6 +8,7 @@ from .. import samples
 from ..functions import crypto
 from ..operators import protect, subset
 from ..registry import query
+from ..session import spread
 from ..sources.files import normalise_columns
 
 def driver():
@@ -72,7 +73,7 @@ def project_default(spark, sf):
 @query("encrypt_roundtrip", "SELECT * FROM orders")
 def encrypt_roundtrip(spark, sf):
     """E1 then E2 on every row: decrypt(encrypt(x)) = x, types restored."""
-    o = _t(spark, sf)["orders"]
+    o = spread(_t(spark, sf)["orders"])      # AES on every row: one task per core
     cols = ["o_orderkey", "o_custkey"]
     enc = protect.encrypt_columns(o, cols, samples.TEST_ENV_KEY)
     return protect.decrypt_columns(enc, cols, samples.TEST_ENV_KEY,

@@ -88,13 +88,16 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df, min_partitions: int | None = None):
-    """Give CPU-heavy row work (AES, SHA-2) at least one task per core.
+    """Give CPU-heavy row work (AES, SHA-2) over a *scan* at least one task
+    per core.
 
-    Only when the plan has fewer partitions than the cluster's default
+    Only when the scan has fewer splits than the cluster's default
     parallelism (a small input held in one file split) is it round-robin
     repartitioned; a large input already has many splits and is left as it
-    is, so no shuffle is added at scale.  Counting partitions plans the query
-    but runs no job."""
+    is, so no shuffle is added at scale.  Call it on scans (and filters /
+    projections of them) only: counting the partitions of a plan that
+    shuffles would run its map stages under AQE, so library operators never
+    call it on their inputs."""
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
     try:
