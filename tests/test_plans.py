@@ -91,3 +91,32 @@ def test_keys_are_redacted_in_plans(spark, capsys):
     finally:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
     assert "redacted" in out and samples.TEST_ENV_KEY.hex().upper() not in out.upper()
+
+
+def test_building_plans_runs_no_jobs(spark, tables):
+    """Extract, chain, fused mask, link, upsert and validation plans are lazy:
+    building them starts no Spark job (actions belong to the caller)."""
+    from veilset.operators import load, mask, validate
+    from veilset.plans.scrub import scrub_related
+    sc = spark.sparkContext
+    st = sc.statusTracker()
+    sc.setJobGroup("lazy-check", "plan building only")
+    try:
+        building = F.col("c_mktsegment") == "BUILDING"
+        subset.extract_related(tables, samples.META["lineitem"], driver_filter=building,
+                               primary_keys=samples.PRIMARY_KEYS)
+        subset.key_chain(tables, samples.META["lineitem"], samples.PRIMARY_KEYS,
+                         driver_filter=building)
+        gen = mask.identity_generator()
+        scrub_related(tables, samples.META["lineitem"], gen, driver_filter=building,
+                      unique_keys=samples.UNIQUE_KEYS)
+        ident = mask.identity_table(tables["customer"], "c_custkey", unique=True)
+        scrub_related(tables, samples.META["orders"], ident, driver_filter=building,
+                      unique_keys=samples.UNIQUE_KEYS)
+        load.upsert(tables["orders"], tables["orders"], ["o_orderkey"])
+        validate.validate_rows(tables["orders"], samples.META["orders"])
+        protect.encrypt_columns(tables["orders"], ["o_orderkey"], samples.TEST_ENV_KEY)
+        jobs = st.getJobIdsForGroup("lazy-check")
+    finally:
+        sc.setJobGroup("", "")
+    assert list(jobs) == []
