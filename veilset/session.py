@@ -75,6 +75,11 @@ def scratch_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = (spark.conf.get("spark.master", None)
+                  or (sc.master if sc is not None else "") or "")
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                             "a machine-local folder would lose staged data")
         configured = tempfile.mkdtemp(prefix="veilset-ckpt-")
     if sc is None:
         return configured.rstrip("/")
