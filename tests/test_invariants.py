@@ -113,3 +113,22 @@ def test_upsert_resolves_incoming_duplicates(spark):
     incoming = spark.createDataFrame([(2, "x"), (2, "y"), (3, "z")], "k int, v string")
     out = sorted(tuple(r) for r in load.upsert(stored, incoming, ["k"]).collect())
     assert out == [(1, "a"), (2, "y"), (3, "z")]
+
+
+def test_hop_keys_are_the_extract_keys(tables):
+    meta = samples.META["lineitem"]
+    keys = subset.hop_keys(tables, meta, driver_filter=driver(),
+                           primary_keys=samples.PRIMARY_KEYS)
+    rows = subset.extract_related(tables, meta, driver_filter=driver())
+    want = rows.select(F.col("l_orderkey").alias("lineitem__l_orderkey")).distinct()
+    assert keys.columns == ["lineitem__l_orderkey"]
+    assert keys.exceptAll(want).count() == 0 and want.exceptAll(keys).count() == 0
+
+
+def test_mask_plan_description():
+    import json
+    plan = json.loads(mask.describe(samples.META["member"]))
+    assert plan["c_custkey"][0] == "keep"
+    assert plan["birth_mo"] == ["identity", "month", None]
+    assert plan["marital_status"] == ["constant", None, "MARRIED"]
+    assert plan["name_title"][0] == "null"
