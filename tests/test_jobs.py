@@ -155,3 +155,15 @@ def test_scrub_request_shares_links(spark, tables):
         a = got[m.table_name]
         assert a.schema == alone.schema
         assert a.exceptAll(alone).count() == 0 and alone.exceptAll(a).count() == 0
+
+
+def test_request_scan_uses_partition_range():
+    from dataclasses import replace
+    src = jdbc.JdbcSource("oracle", "db.example", 1521, "svc")
+    meta = samples.META["orders"]
+    whole = jdbc.request_scan_options(src, meta)
+    assert whole["dbtable"] == "tpch.orders" and "partitionColumn" not in whole
+    ranged = replace(meta, partition_column="o_orderkey", partition_range=("1", "6000000"))
+    o = jdbc.request_scan_options(src, ranged, partitions=16)
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
+        ("o_orderkey", "1", "6000000", "16")

@@ -99,3 +99,23 @@ def write_table(df: DataFrame, src: JdbcSource, table: str, mode: str, *,
     (df.write.format("jdbc").options(**src.options()).option("dbtable", table)
      .option("truncate", str(truncate).lower()).option("batchsize", str(batch_size))
      .mode(mode).save())
+
+
+def request_scan_options(src: JdbcSource, meta, *, partitions: int | None = None,
+                         default_partitions: int = 64) -> dict[str, str]:
+    """S5 from a table request: the whole table, or - when the request names a
+    partition column and its range - a parallel scan over that range.
+    ``partitions`` defaults to ``default_partitions`` (one task each)."""
+    table = f"{meta.schema_name}.{meta.table_name}" if meta.schema_name else meta.table_name
+    if meta.partition_column and meta.partition_range:
+        lo, hi = meta.partition_range
+        return partitioned_scan_options(src, table, column=meta.partition_column, lower=lo,
+                                        upper=hi, partitions=partitions or default_partitions)
+    return {**src.options(), "dbtable": table}
+
+
+def read_request_table(spark: SparkSession, src: JdbcSource, meta, **kw) -> DataFrame:
+    """Scan of a request's table (see ``request_scan_options``); request
+    filters and the extract projection applied afterwards are pushed into the
+    database query by Catalyst."""
+    return spark.read.format("jdbc").options(**request_scan_options(src, meta, **kw)).load()
