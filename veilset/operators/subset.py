@@ -5,18 +5,20 @@ are collected to the driver.  Here a key list is a DataFrame and every hop is
 a join, so key sets of any size stay distributed:
 
 * ``semi_join``: a table restricted to a key set (left semi join; tuple-wise
-  by default, per column on request).  Only when the key set is *counted* to
-  be at most ``isin_limit`` rows is it turned into an ``IN`` list, which the
-  Parquet / JDBC scan can take as a pushed filter.
-* ``hop_keys``: the key set of the target table, reached from the driver keys
-  by one semi join per hop (edges with the same ``index`` form one composite
-  hop), projecting and de-duplicating the join columns before each shuffle.
+  by default, per column on request).  With ``strategy="auto"`` a key set
+  found (by one bounded collect) to hold at most ``isin_limit`` keys becomes
+  an ``IN`` list, which the Parquet / JDBC scan takes as a pushed filter.
+* ``extract_related`` / ``hop_keys``: the target's rows / keys, reached from
+  the driver by one semi join per hop (edges with the same ``index`` form one
+  composite hop), shuffling projected join columns only.
 * ``key_chain``: all keys of every hop side by side (one row per target key),
-  needed to tie every row back to its driver key for masking.
+  for key tables and for tying rows back to their driver.
 
 Skew: a hot key on the streamed side of a semi / inner join is split by AQE's
 skew-join rule (left side splittable for inner, semi, anti and left outer
-joins); key sets are de-duplicated with a partial (map-side) aggregate first.
+joins) - provided the key side comes straight from a shuffle.  Key sets that
+project the parent's declared key are therefore not aggregated; others are
+de-duplicated with a partial (map-side) aggregate first.
 """
 
 from __future__ import annotations
@@ -282,8 +284,10 @@ def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,
     One inner join per hop index (equal-index edges ANDed into one composite
     condition).  Before each join the next table is projected to its primary
     key, its hop columns and the columns the following hop needs, so only key
-    columns are ever shuffled.  Result columns are ``table__column``; the rows
-    are distinct (A3).
+    columns are ever shuffled.  Result columns are ``table__column``; a
+    child's hop column equals its parent's and is kept once, under the
+    parent's name (``fold=True``) or under both names (``fold=False``, as key
+    tables need every table's own key columns); the rows are distinct (A3).
     """
     groups = _check_edges(meta)
     if upto is not None:
