@@ -3,18 +3,21 @@
 
 Plan for a table ``T`` that is ``n`` hops from the driver::
 
-    link = driver rows JOIN identity ON driver key     (both keyed by it)
-           JOIN hop tables (key columns only), carrying the identity fields
-           GROUP BY parent(T)'s hop columns -> one identity each
+    link = driver rows (keys only)
+           JOIN hop tables (key columns only), carrying the driver key
+           [GROUP BY parent(T)'s hop columns, unless they are a key verified
+            unique in the data]
     out  = T JOIN link ON T's hop columns              (one shuffle of T)
            SELECT one mask expression per column
 
-The identity fields ride on the (smaller) parent-side key set, so the big
-table is shuffled once, on the column it is joined on, and the link arrives
-already partitioned by that column (the grouping).  The inner join is also
-the extract (T rows whose parent key was reached), so extract and mask are
-one join.  AQE splits a hot key of ``T`` and broadcasts the link only when
-its materialised size is under the adaptive threshold.
+With the identity generator the identity fields are expressions of the
+driver key, so no identity join exists at all.  A stored identity table joins
+the driver rows (both keyed by the driver key) and its fields ride along the
+link; for a one-hop table it joins after the link instead, on T's own hop
+column, so T's join keeps a shuffle on both sides for AQE to split a hot key.
+The inner join with the link is also the extract (T rows whose parent key
+was reached), so extract and mask are one join.  AQE broadcasts the link only
+when its materialised size is under the adaptive threshold.
 """
 
 from __future__ import annotations
