@@ -8,6 +8,7 @@ from veilset.plans.extract import run_extract
 from veilset.plans.load import run_load
 from veilset.plans.scrub import run_scrub
 from veilset.session import stage_path
+from veilset.sinks.files import write_files
 from veilset.sources import files, jdbc
 
 def driver():
@@ -167,3 +168,25 @@ def test_request_scan_uses_partition_range():
     o = jdbc.request_scan_options(src, ranged, partitions=16)
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
         ("o_orderkey", "1", "6000000", "16")
+
+
+def test_typed_split_in_one_pass(spark, tables):
+    from dataclasses import replace
+
+    from veilset.operators import validate
+    meta = samples.META["orders"]
+    strict = replace(meta, columns=tuple(replace(c, length=10) if c.name == "o_orderpriority"
+                                         else c for c in meta.columns))
+    src = write_files(tables["orders"], stage_path(spark, "t-text"), "csv")
+    text = spark.read.option("header", True).csv(src)
+    sc = spark.sparkContext
+    sc.setJobGroup("split", "one pass")
+    paths = validate.write_typed_split(text, strict, stage_path(spark, "t-split"))
+    jobs = len(sc.statusTracker().getJobIdsForGroup("split"))
+    sc.setJobGroup("", "")
+    assert jobs == 1
+    good, rejected = validate.split_typed(text, strict)
+    g = spark.read.parquet(paths["good"]).select(*good.columns)
+    r = spark.read.parquet(paths["rejected"])
+    assert g.exceptAll(good).count() == 0 and good.exceptAll(g).count() == 0
+    assert r.count() == rejected.count() > 0

@@ -51,12 +51,9 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
         .where(F.col("duplicates") > 1)
 
 
-def split_typed(text: DataFrame, meta: TableMeta) -> tuple[DataFrame, DataFrame]:
-    """U8: text rows -> (rows typed as declared, rejected rows).
-
-    A value is rejected when it is present but does not convert to its type
-    (``try_cast`` gives NULL) or is longer than its declared length.  The
-    rejected side names the first failing column and its raw value."""
+def _typed_and_reason(meta: TableMeta):
+    """Per declared column: the typed value, and the first failing column's
+    name and raw value (NULL when the row is good)."""
     typed_cols, fails = [], []
     for cm in meta.columns:
         raw = F.col(cm.name)
@@ -69,6 +66,17 @@ def split_typed(text: DataFrame, meta: TableMeta) -> tuple[DataFrame, DataFrame]
         fails.append((cm.name, bad))
     reason = F.coalesce(*[F.when(b, F.lit(n)) for n, b in fails])
     value = F.coalesce(*[F.when(b, F.col(n).cast("string")) for n, b in fails])
+    return typed_cols, reason, value
+
+
+def split_typed(text: DataFrame, meta: TableMeta) -> tuple[DataFrame, DataFrame]:
+    """U8: text rows -> (rows typed as declared, rejected rows).
+
+    A value is rejected when it is present but does not convert to its type
+    (``try_cast`` gives NULL) or is longer than its declared length.  The
+    rejected side names the first failing column and its raw value.  Writing
+    both sides: ``write_typed_split`` does it in one pass."""
+    typed_cols, reason, value = _typed_and_reason(meta)
     marked = text.select("*", reason.alias("__reject"), value.alias("__value"))
     good = marked.where(F.col("__reject").isNull()).select(*typed_cols)
     pk = meta.primary_key
@@ -78,6 +86,19 @@ def split_typed(text: DataFrame, meta: TableMeta) -> tuple[DataFrame, DataFrame]
     return good, rejected
 
 
+def write_typed_split(text: DataFrame, meta: TableMeta, path: str, *,
+                      fmt: str = "parquet") -> dict[str, str]:
+    """U8 in one pass: typed rows and rejected rows written by ONE job,
+    partitioned by ``status`` (``good`` / ``rejected``), instead of two
+    scans of the text.  Returns the two folders."""
+    typed_cols, reason, value = _typed_and_reason(meta)
+    out = text.select(*typed_cols, reason.alias("reject_column"), value.alias("reject_value"),
+                      F.when(reason.isNull(), F.lit("good")).otherwise(F.lit("rejected"))
+                      .alias("status"))
+    out.write.mode("overwrite").format(fmt).partitionBy("status").save(path)
+    return {"good": f"{path}/status=good", "rejected": f"{path}/status=rejected"}
+
+
 def unique_key_tables(tables, primary_keys) -> dict[str, list[str]]:
     """The declared keys that hold in the data: one distributed duplicate
     check per table (partial aggregate; ``isEmpty`` stops at the first
