@@ -203,6 +203,18 @@ def validate_types(spark, sf):
     return rejected
 
 
+@query("validate_types_split", """
+SELECT o_orderkey, 'o_orderpriority' AS reject_column, o_orderpriority AS reject_value
+FROM orders WHERE length(o_orderpriority) > 10""")
+def validate_types_split(spark, sf):
+    """U8 written in one pass (good and rejected rows partitioned by status);
+    the rejected side read back."""
+    paths = validate.write_typed_split(_orders_text(spark, sf), _strict_orders(),
+                                       stage_path(spark, "orders-split"))
+    return spark.read.parquet(paths["rejected"]).select(
+        "o_orderkey", "reject_column", "reject_value")
+
+
 @query("validate_types_good", "SELECT * FROM orders WHERE length(o_orderpriority) <= 10")
 def validate_types_good(spark, sf):
     good, _ = validate.split_typed(_orders_text(spark, sf), _strict_orders())
