@@ -1,7 +1,8 @@
 """Local correctness check: every registered query against its DuckDB SQL.
 
 Usage: python tools/check_oracle.py [sf_dir] [name ...]
-Compares row count, column names and an order-insensitive multiset of rows.
+Compares row count, column names and types, and an order-insensitive multiset
+of rows.
 """
 import datetime as dt
 import decimal
@@ -41,6 +42,19 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+                 "float": "FLOAT", "binary": "BLOB", "smallint": "SMALLINT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diff(sdf, con, sql):
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in sdf.schema}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {k: (st[k], dt.get(k)) for k in st if st[k] != dt.get(k)}
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)
@@ -88,6 +102,10 @@ def main():
         problems = []
         if sorted(scols) != sorted(dcols):
             problems.append(f"columns {sorted(scols)} vs {sorted(dcols)}")
+        else:
+            td = type_diff(sdf, con, sql)
+            if td:
+                problems.append(f"types {td}")
         if len(srows) != len(drows):
             problems.append(f"rows {len(srows)} vs {len(drows)}")
         if not problems:
