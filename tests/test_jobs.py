@@ -215,3 +215,9 @@ def test_readme_flow(spark, tables):
     masked = scrub_request(tables, metas, mask.identity_generator(), driver_keys=keys,
                            unique_keys=unique)
     assert {k: v.count() for k, v in masked.items()} == counts
+
+
+def test_jdbc_write_caps_connections():
+    src = jdbc.JdbcSource("postgresql", "db.example", 5432, "dw")
+    o = jdbc.write_options(src, "public.orders")
+    assert o["numPartitions"] == "32" and o["truncate"] == "true" and o["dbtable"] == "public.orders"

@@ -92,13 +92,18 @@ def read_partitioned(spark: SparkSession, src: JdbcSource, table_or_query: str,
         partitions=partitions)).load()
 
 
-def write_table(df: DataFrame, src: JdbcSource, table: str, mode: str, *,
-                truncate: bool = True, batch_size: int = 10000) -> None:
-    """K8: overwrite (truncate, table kept) or append rows, one connection per
-    task."""
-    (df.write.format("jdbc").options(**src.options()).option("dbtable", table)
-     .option("truncate", str(truncate).lower()).option("batchsize", str(batch_size))
-     .mode(mode).save())
+def write_options(src: JdbcSource, table: str, *, truncate: bool = True,
+                  batch_size: int = 10000, max_connections: int = 32) -> dict[str, str]:
+    """K8: options of a JDBC write.  ``numPartitions`` caps the concurrent
+    connections (Spark coalesces to it), so a plan with thousands of tasks
+    does not open thousands of sessions on the database."""
+    return {**src.options(), "dbtable": table, "truncate": str(truncate).lower(),
+            "batchsize": str(batch_size), "numPartitions": str(max_connections)}
+
+
+def write_table(df: DataFrame, src: JdbcSource, table: str, mode: str, **kw) -> None:
+    """K8: overwrite (truncate, table kept) or append rows."""
+    df.write.format("jdbc").options(**write_options(src, table, **kw)).mode(mode).save()
 
 
 def request_scan_options(src: JdbcSource, meta, *, partitions: int | None = None,
