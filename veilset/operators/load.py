@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_path
@@ -131,7 +131,6 @@ def load(spark: SparkSession, incoming: DataFrame, target, mode: str, *,
     if mode not in MODES:
         raise ValueError(f"unknown load mode {mode!r}; one of {MODES}")
     if mode == "load_append":
-        from pyspark.sql import Observation
         obs = Observation("appended")
         target.write(incoming.observe(obs, F.count(F.lit(1)).alias("rows")), "append")
         return int(obs.get["rows"])
@@ -144,10 +143,10 @@ def load(spark: SparkSession, incoming: DataFrame, target, mode: str, *,
     # stage first: never read and overwrite one table in the same job
     stage = stage or stage_path(spark, "load-stage")
     staged = FileTarget(stage, "parquet")
-    staged.write(merged, "overwrite")
-    staged_df = staged.read(spark)
-    target.write(staged_df, "overwrite")
-    n_stage = staged_df.count()
+    obs = Observation("staged")
+    staged.write(merged.observe(obs, F.count(F.lit(1)).alias("rows")), "overwrite")
+    n_stage = int(obs.get["rows"])
+    target.write(staged.read(spark), "overwrite")
     n_target = target.read(spark, incoming.schema).count()
     if n_stage != n_target:
         raise RuntimeError(f"load check failed: stage has {n_stage} rows, target {n_target}")
