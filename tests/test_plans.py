@@ -120,3 +120,15 @@ def test_building_plans_runs_no_jobs(spark, tables):
     finally:
         sc.setJobGroup("", "")
     assert list(jobs) == []
+
+
+def test_large_key_lists_are_pushed_in_chunks(tables):
+    keys = tables["lineitem"].select(F.col("l_orderkey").alias("k"))
+    df = subset.semi_join(tables["lineitem"], keys, [("l_orderkey", "k")], strategy="auto",
+                          isin_limit=5000)
+    n_keys = keys.distinct().count()
+    assert 1000 < n_keys <= 5000
+    plan = _plan(df)
+    pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
+    assert "Or(In(l_orderkey" in pushed
+    assert df.count() == tables["lineitem"].count()

@@ -72,6 +72,16 @@ def typed_keys(keys: DataFrame, pairs: JoinPairs, target: DataFrame, *,
     return out if unique else out.distinct()
 
 
+IN_LIST_MAX = 1000      # values per IN list a source database accepts
+
+
+def in_lists(column: str, values: Sequence) -> Column:
+    """``column IN (...)`` as OR-ed lists of at most ``IN_LIST_MAX`` values, so
+    a pushed filter never exceeds what the source database takes."""
+    chunks = [values[i:i + IN_LIST_MAX] for i in range(0, len(values), IN_LIST_MAX)]
+    return reduce(lambda a, b: a | b, [F.col(column).isin(list(c)) for c in chunks])
+
+
 def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
               match: str = "tuple", strategy: str = "join",
               isin_limit: int = 1000, unique: bool = False) -> DataFrame:
@@ -86,8 +96,9 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
     inputs to come straight from a shuffle).  Otherwise keys are de-duplicated
     first (a partial aggregate: hot duplicates collapse map-side).
     strategy="isin"/"auto": when the distinct key set has at most
-    ``isin_limit`` rows (checked with a count), use an IN list that is pushed
-    into the scan; above the limit fall back to the join.
+    ``isin_limit`` rows (one bounded collect), use IN lists (chunks of
+    ``IN_LIST_MAX``) that are pushed into the scan; above the limit fall back
+    to the join.
     """
     if match not in ("tuple", "per_column"):
         raise ValueError(f"unknown match {match!r}")
@@ -102,7 +113,7 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
         if len(probe) <= isin_limit:
             t, _ = pairs[0]
             values = [r[0] for r in probe]
-            return df.where(F.col(t).isin(values)) if values else df.where(F.lit(False))
+            return df.where(in_lists(t, values)) if values else df.where(F.lit(False))
     elif strategy not in ("join", "isin", "auto"):
         raise ValueError(f"unknown strategy {strategy!r}")
     cond = [df[t] == kset[k] for t, k in pairs]
