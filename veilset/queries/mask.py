@@ -357,3 +357,12 @@ def mask_request_shared_link(spark, sf):
     out = scrub_request(t, [samples.META["orders"], samples.META["doc_request"]], GENERATOR,
                         driver_filter=driver(), unique_keys=UKS)
     return out["orders"]
+
+
+@query("mask_nested_no_driver", """
+SELECT event_id, ts, user_id, event_type, value, '{"k":10}' AS props FROM events""")
+def mask_nested_no_driver(spark, sf):
+    """M15 inside JSON: a PII attribute of a table without driver gets its
+    typed constant; the JSON schema is merged over the whole column."""
+    ev = samples.load_tables(spark, sf, ("events",))["events"]
+    return mask.scrub(ev, samples.META["events_nested"])

@@ -323,3 +323,17 @@ PAGES = request("pages", [
     col("html", "bytea"),
 ], driver=None)
 META["pages"] = TableMeta.from_document(PAGES)
+
+
+# events with a JSON column whose attribute ``k`` is PII; no driver: typed constant
+EVENTS_NESTED = request("events", [
+    col("event_id", "NUMBER", 22, precision=18, pk=True),
+    col("ts", "DATE", 7),
+    col("user_id", "NUMBER", 22, precision=18),
+    col("event_type", "VARCHAR2", 10),
+    col("value", "DOUBLE"),
+    col("props", "jsonb", 0, complex_column_attributes=[
+        {"path": "k", "name": "k", "rule": "<secondary_pii_mr_nbr>", "isPII": True,
+         "data_type": "NUMBER"}]),
+], driver=None)
+META["events_nested"] = TableMeta.from_document(EVENTS_NESTED)
