@@ -1,0 +1,14 @@
+"""One query per operator, over its whole table with production parameters."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from . import quality
+from .common import table
+from .registry import ORACLE, QUERIES, query  # noqa: F401
+
+
+@query("op3_quality_bands")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"))
