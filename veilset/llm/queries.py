@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import quality, simhash, tokenfile, topk
 from .common import table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -12,3 +13,35 @@ from .registry import ORACLE, QUERIES, query  # noqa: F401
 @query("op3_quality_bands")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
+
+
+@query("op7_simhash_bktree")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.cluster(table(spark, sf_dir, "documents"))
+
+
+@query("op4_token_pfor")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_block_topk", sql="""
+    WITH v AS (
+      SELECT vec_id, embedding,
+             list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    q AS (SELECT vec_id AS query_id, min_by(z, embedding) AS y
+          FROM v WHERE vec_id % 20 = 0 GROUP BY vec_id),
+    s AS (SELECT query_id, vec_id,
+                 CAST(list_sum(list_transform(list_zip(y, z),
+                      p -> coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+          FROM q JOIN v ON vec_id <> query_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n
+          FROM s)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
