@@ -27,6 +27,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -52,7 +53,7 @@ class Params:
     percentile: float = 0.9          # share of a block that its width must hold
     ids_per_file: int = 4_000_000    # a file is closed at this many ids
     end_id: int = 1
-    words_cached: int = 400_000      # words whose ids a Python worker remembers
+    words_cached: int = 700_000      # words of a generation that a worker remembers
 
 
 # ---- blocks -----------------------------------------------------------------
@@ -185,39 +186,137 @@ def read_file(data: bytes) -> tuple[list, np.ndarray, np.ndarray, int, int]:
 
 # ---- tokenizing -------------------------------------------------------------
 
-class WordIds(dict):
-    """Word (bytes) to the bytes of its ids.
+# ASCII marks that end a word as a token group of their own.
+_MARKS = b".,;:!?|#$%&*()\"-+=/"
+_UNITS_AT_ONCE = 4096
+_PIECE = 1 << 20          # bytes of text whose words are held at a time
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+
+def _folded(text: bytes) -> bytes:
+    """A-Z folded, as the tokenizer does anyway; not where a special token
+    might be meant, as its case counts."""
+    return text if b"<|" in text else text.lower()
+
+
+class Memo:
+    """A dictionary of bounded size: of its two generations the older is
+    forgotten when the younger is full; what is found moves to the younger."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def recall(self, keys: set[bytes]) -> tuple[dict[bytes, bytes], list[bytes]]:
+        """What is known of ``keys``, and the rest."""
+        known, rest = {}, []
+        for k in keys:
+            v = self.young.get(k) or self.old.get(k)
+            if v is None:
+                rest.append(k)
+            else:
+                known[k] = v
+        return known, rest
+
+    def add(self, found: dict[bytes, bytes]) -> None:
+        if len(self.young) + len(found) > self.limit:
+            self.old, self.young = self.young, {}
+        self.young.update(found)
+
+
+def _packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class WordIds:
+    """Ids of texts from the ids of their words.
 
     The tokenizer drops white space and merges nothing across it, so a text's
-    ids are its words' ids one after another.  Words not seen yet are encoded
-    in one call per batch; the memory is bounded by forgetting all words when
-    ``limit`` are known."""
+    ids are its words' ids one after another.  A word of letters and closing
+    marks falls into these two; A-Z are folded by the tokenizer anyway.  What
+    is not remembered is encoded in one call for many words, whose tokens are
+    told apart by their places in the joined text."""
 
     def __init__(self, path: str, limit: int) -> None:
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.limit = limit
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.words = Memo(limit)
+        self.units = Memo(limit)
+
+    def _encode(self, units: list[bytes]) -> dict[bytes, bytes]:
+        found: dict[bytes, bytes] = {}
+        plain = [u for u in units if u.isalpha()]        # bytes: a-z, A-Z only
+        for u in plain:
+            # letters alone are one token group and their own byte characters:
+            # straight to the merges
+            found[u] = _packed_ids([t.id for t in self.merge(u.lower().decode())])
+        units = [u for u in units if u not in found]
+        for at in range(0, len(units), _UNITS_AT_ONCE):
+            some = units[at:at + _UNITS_AT_ONCE]
+            texts = [u.decode() for u in some]
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ids = np.array(got.ids, "<u4")
+            begin = np.array([o[0] for o in got.offsets], np.int64)
+            cut = (4 * np.searchsorted(begin, starts)).tolist()
+            raw = ids.tobytes()
+            found.update((u, raw[i:j]) for u, i, j in zip(some, cut, cut[1:], strict=False))
+        return found
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.limit:
-            self.clear()
-            new = list(words)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new],
-                                                 add_special_tokens=False)
-        self.update((w, np.array(e.ids, "<u4").tobytes())
-                    for w, e in zip(new, found, strict=True))
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        found, rest = self.words.recall(words)
+        split = []
+        for w in rest:
+            core = w.rstrip(_MARKS)
+            if core and len(core) < len(w) and core.decode().isalpha():
+                split.append((w, core, w[len(core):]))
+            else:
+                split.append((w, w, b""))
+        units, unknown = self.units.recall({u for _, *us in split for u in us if u})
+        fresh = self._encode(unknown)
+        self.units.add(fresh)
+        units |= fresh
+        units[b""] = b""
+        found.update((w, units[a] + units[b]) for w, a, b in split)
+        self.words.add(found)
+        return found
 
-    def ids(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.__getitem__, words))
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian ids of each text."""
+        lists = [_folded(t).split() for t in texts]
+        out: list = []
+        gaps = []
+        missing: set[bytes] = set()
+        for i, ws in enumerate(lists):
+            ps = list(map(self.words.young.get, ws))
+            try:
+                out.append(b"".join(ps))
+            except TypeError:            # holds a None
+                out.append(None)
+                gaps.append((i, ws, ps))
+                missing.update([w for w, p in zip(ws, ps, strict=True) if p is None])
+        found = self._learn(missing) if missing else {}
+        for i, ws, ps in gaps:
+            out[i] = b"".join([found[w] if p is None else p for w, p in zip(ws, ps, strict=True)])
+        return out
+
+    def of_long(self, text: bytes) -> bytes:
+        """The same for one text, a piece at a time."""
+        out, at = [], 0
+        while at < len(text):
+            m = _SPACE.search(text, at + _PIECE)
+            stop = m.start() if m else len(text)
+            out += self.of([text[at:stop]])
+            at = stop
+        return b"".join(out)
 
 
 _KNOWN: dict[tuple[str, int], WordIds] = {}    # per Python worker
 
-_WORDS_AT_ONCE = 100_000
-
 
 def _word_ids(path: str, limit: int) -> WordIds:
     if (path, limit) not in _KNOWN:
@@ -225,17 +324,23 @@ def _word_ids(path: str, limit: int) -> WordIds:
     return _KNOWN[path, limit]
 
 
-def _encode_text(known: WordIds, data: bytes) -> bytes:
-    words = data.split()
-    parts = []
-    for at in range(0, len(words), _WORDS_AT_ONCE):
-        some = words[at:at + _WORDS_AT_ONCE]
-        try:
-            parts.append(known.ids(some))
-        except KeyError:
-            known.learn(set(some))
-            parts.append(known.ids(some))
-    return parts[0] if len(parts) == 1 else b"".join(parts)
+def _encoded(known: WordIds, batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(doc_id, ids) of a batch's rows, some at a time."""
+    held: list[tuple] = []
+    size = 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        data = text.as_py()
+        if len(data) > _PIECE:
+            yield from zip([d for d, _ in held], known.of([t for _, t in held]), strict=True)
+            yield doc_id, known.of_long(data)
+            held, size = [], 0
+            continue
+        held.append((doc_id, data))
+        size += len(data)
+        if size > _PIECE:
+            yield from zip([d for d, _ in held], known.of([t for _, t in held]), strict=True)
+            held, size = [], 0
+    yield from zip([d for d, _ in held], known.of([t for _, t in held]), strict=True)
 
 
 def _write_partition(path: str, p: Params):
@@ -256,18 +361,12 @@ def _write_partition(path: str, p: Params):
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                rows = list(zip(some.column(0).to_pylist(), some.column(1).to_pylist(),
-                                strict=True))
-                if sum(len(t) for _, t in rows) < 8_000_000:
-                    known.learn(set().union(*(t.split() for _, t in rows)))
-                for doc_id, text in rows:
-                    doc_ids.append(doc_id)
-                    texts.append(_encode_text(known, text) + end)
-                    held += len(texts[-1]) // 4
-                    if held >= p.ids_per_file:
-                        yield close()
+            for doc_id, ids in _encoded(known, batch):
+                doc_ids.append(doc_id)
+                texts.append(ids + end)
+                held += len(texts[-1]) // 4
+                if held >= p.ids_per_file:
+                    yield close()
         if doc_ids:
             yield close()
 
