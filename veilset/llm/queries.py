@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash, tokenfile, topk
+from . import pii, quality, simhash, templates, tokenfile, topk, toxicity
 from .common import table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -29,15 +29,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_block_topk", sql="""
     WITH v AS (
       SELECT vec_id, embedding,
-             list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+             list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
       FROM embeddings
       WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     q AS (SELECT vec_id AS query_id, min_by(z, embedding) AS y
           FROM v WHERE vec_id % 20 = 0 GROUP BY vec_id),
     s AS (SELECT query_id, vec_id,
                  CAST(list_sum(list_transform(list_zip(y, z),
-                      p -> coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+                      lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
           FROM q JOIN v ON vec_id <> query_id),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n
           FROM s)
@@ -45,3 +45,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query("op8_pii_disclosure")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity_ftrl")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op1_html_templates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.main_text(table(spark, sf_dir, "pages"))
