@@ -74,20 +74,22 @@ def near(text, found, p):
 
 def terms(docs, p):
     texts = {t or "" for _, t in docs}
-    n_e, n_te, n_t = defaultdict(set), defaultdict(set), defaultdict(int)
+    n_e, n_te, n_t = defaultdict(set), defaultdict(lambda: (set(), set())), defaultdict(int)
     for t in texts:
         found = base(t)
         for k, _, _, v in found:
             n_e[entity(k, v)].add(t)
         for e, ctx, w, *_ in near(t, found, p):
-            n_te[e, w].add(ctx)
+            n_te[e, w][0].add(ctx)
+            n_te[e, w][1].add(t)
         for w in {x.lower() for x in re.findall(r"[^\W\d_]+", t)}:
             n_t[w] += 1
     told = {}
-    for (e, w), ctx in n_te.items():
-        if len(ctx) >= p.min_contexts:
+    for (e, w), seen in n_te.items():
+        n = min(map(len, seen))
+        if n >= p.min_contexts:
             known = math.log2(len(texts) / len(n_e[e]))
-            both = min(len(ctx), n_t[w], len(n_e[e]))
+            both = min(n, n_t[w], len(n_e[e]))
             if known > 0:
                 told[e, w] = math.log2(len(texts) * both / (n_t[w] * len(n_e[e]))) / known
     return {k: v for k, v in told.items() if v >= p.generalise_at}

@@ -15,8 +15,8 @@ at most the entity's own information ``IC(e) = log2(N / n(e))``.  The share
 ``PMI / IC`` is the disclosure: 1 means that the term occurs only with the
 entity.  Terms at ``generalise_at`` or more become a placeholder, at
 ``remove_at`` or more they go.  A pair counts only from ``min_contexts``
-different surroundings on, so copies of one text prove nothing; ``n(t, e)``
-are these surroundings, at most the term's texts.
+different surroundings in as many texts on, so neither copies of a text nor
+lines repeated in it prove anything; ``n(t, e)`` is the smaller of both.
 
 Scale: patterns run once, in the scan; only rows with a span are exploded.
 Term frequencies are counted over every text, but only for the candidate
@@ -57,6 +57,9 @@ _MASK = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
          "term": "[TERM]", "removed": ""}
 
 
+_ALL = 1 << 30          # to the end of an array
+
+
 @dataclass(frozen=True)
 class Params:
     context_chars: int = 120      # characters beside a span that hold its terms
@@ -98,7 +101,7 @@ def _matches(text: Column, kind: str, p: Params) -> Column:
     pattern, gaps = F.lit(PATTERNS[kind]), F.split(text, PATTERNS[kind], -1)
     found = F.filter(
         F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(0)), gaps,
-                     F.slice(gaps, 2, 2**31 - 1)),
+                     F.slice(gaps, 2, _ALL)),
         lambda x: x["0"].isNotNull())
     spans = F.transform(found, lambda x: F.struct(
         F.lit(kind).alias("kind"), x["0"].alias("value"), F.length(x["1"]).alias("gap"),
@@ -166,11 +169,11 @@ def _term_spans(base: DataFrame, p: Params) -> DataFrame:
         "after", F.xxhash64("before", "after").alias("ctx"),
         _words(F.col("before")).alias("left"), _words(F.col("after")).alias("right"))
     # the word cut by the context's far edge, the one that touches the span
-    left = F.when(F.length("before") >= c, F.slice("left", 2, 2**31 - 1)).otherwise(F.col("left"))
+    left = F.when(F.length("before") >= c, F.slice("left", 2, _ALL)).otherwise(F.col("left"))
     left = F.when(F.col("before").rlike(r"[^\x20\x09-\x0D]$"),
                   F.slice(left, 1, F.greatest(F.size(left) - 1, F.lit(0)))).otherwise(left)
     right = F.when(F.col("after").rlike(r"^[^\x20\x09-\x0D]"),
-                   F.slice("right", 2, 2**31 - 1)).otherwise(F.col("right"))
+                   F.slice("right", 2, _ALL)).otherwise(F.col("right"))
     right = F.when(F.length("after") >= c,
                    F.slice(right, 1, F.greatest(F.size(right) - 1, F.lit(0)))).otherwise(right)
     n = p.context_words
@@ -199,10 +202,9 @@ def _term_spans(base: DataFrame, p: Params) -> DataFrame:
 def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFrame,
                 p: Params = Params()) -> DataFrame:
     """kind, entity, term, disclosure: the pairs at ``generalise_at`` or more."""
-    seen = terms.select("kind", "entity", "term", "ctx").distinct().groupBy(
-        "kind", "entity", "term").agg(F.count("*").alias("n_te")).where(
-        F.col("n_te") >= p.min_contexts)
-    pairs = staged(seen, "pii-pairs")
+    seen = terms.groupBy("kind", "entity", "term").agg(
+        F.least(F.count_distinct("ctx"), F.count_distinct("h")).alias("n_te"))
+    pairs = staged(seen.where(F.col("n_te") >= p.min_contexts), "pii-pairs")
     wanted = pairs.select("term").distinct()
     letters = F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))),
                       r"[^\p{L}\p{M}]+", -1)
