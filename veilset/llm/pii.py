@@ -201,10 +201,22 @@ def _term_spans(base: DataFrame, p: Params) -> DataFrame:
 
 def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFrame,
                 p: Params = Params()) -> DataFrame:
-    """kind, entity, term, disclosure: the pairs at ``generalise_at`` or more."""
+    """kind, entity, term, disclosure: the pairs at ``generalise_at`` or more.
+
+    To disclose that much a term may stand in ``n(t, e) * (N / n(e)) ** (1 -
+    generalise_at)`` texts at most.  The texts where it stands beside any
+    entity are known before the corpus is counted, and a term of more than
+    that many goes at once; so no common word is counted over the corpus."""
+    total = float(scan.agg(F.count_distinct("h")).first()[0])
+    n_e = base.select("kind", "entity", "h").distinct().groupBy("kind", "entity").agg(
+        F.count("*").alias("n_e"))
+    near = terms.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
     seen = terms.groupBy("kind", "entity", "term").agg(
-        F.least(F.count_distinct("ctx"), F.count_distinct("h")).alias("n_te"))
-    pairs = staged(seen.where(F.col("n_te") >= p.min_contexts), "pii-pairs")
+        F.least(F.count_distinct("ctx"), F.count_distinct("h")).alias("n_te")).where(
+        F.col("n_te") >= p.min_contexts)
+    most = F.col("n_te") * F.pow(F.lit(total) / F.col("n_e"), F.lit(1 - p.generalise_at))
+    pairs = staged(seen.join(n_e, ["kind", "entity"]).join(near, "term").where(
+        F.col("n_near") <= most * (1 + 1e-9)), "pii-pairs")
     wanted = pairs.select("term").distinct()
     letters = F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))),
                       r"[^\p{L}\p{M}]+", -1)
@@ -212,14 +224,10 @@ def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFr
                         .alias("h"), F.explode(F.array_distinct(letters)).alias("term"))
     n_t = texts.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(
         F.count("*").alias("n_t"))
-    n_e = base.select("kind", "entity", "h").distinct().groupBy("kind", "entity").agg(
-        F.count("*").alias("n_e"))
-    total = scan.agg(F.count_distinct("h")).first()[0]
     both = F.least("n_te", "n_t", "n_e").cast("double")
-    of = F.lit(float(total))
-    known = F.log2(of / F.col("n_e"))
-    share = F.when(known > 0, F.log2(of * both / (F.col("n_t") * F.col("n_e"))) / known)
-    return (pairs.join(n_t, "term").join(n_e, ["kind", "entity"])
+    known = F.log2(F.lit(total) / F.col("n_e"))
+    share = F.when(known > 0, F.log2(F.lit(total) * both / (F.col("n_t") * F.col("n_e"))) / known)
+    return (pairs.join(n_t, "term")
             .select("kind", "entity", "term", share.alias("disclosure"))
             .where(F.col("disclosure") >= p.generalise_at))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality, simhash, templates, tokenfile, topk, toxicity
+from . import licenses, mixing, pieces, pii, quality, simhash, templates, tokenfile, topk, toxicity
 from .common import table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -61,3 +61,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html_templates")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op9_piece_dropout")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op5_temperature_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_compression")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage_path
 from .common import ship_code, staged, text_bytes
+from .memo import Memo
 
 MAGIC = b"PFR1"
 BLOCK = 256          # ids in a block: 8 lanes of 32
@@ -200,32 +201,6 @@ def _folded(text: bytes) -> bytes:
     return text if b"<|" in text else text.lower()
 
 
-class Memo:
-    """A dictionary of bounded size: of its two generations the older is
-    forgotten when the younger is full; what is found moves to the younger."""
-
-    def __init__(self, limit: int) -> None:
-        self.limit = limit
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def recall(self, keys: set[bytes]) -> tuple[dict[bytes, bytes], list[bytes]]:
-        """What is known of ``keys``, and the rest."""
-        known, rest = {}, []
-        for k in keys:
-            v = self.young.get(k) or self.old.get(k)
-            if v is None:
-                rest.append(k)
-            else:
-                known[k] = v
-        return known, rest
-
-    def add(self, found: dict[bytes, bytes]) -> None:
-        if len(self.young) + len(found) > self.limit:
-            self.old, self.young = self.young, {}
-        self.young.update(found)
-
-
 def _packed_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
