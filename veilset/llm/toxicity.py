@@ -15,14 +15,15 @@ Training: labelled rows are thinned by a hash of their id to about
 learners of about ``learner_rows`` rows.  Every learner runs ``epochs`` passes
 over its rows' features; the model is the mean of the learners' weights.  Only
 features, not texts, reach a learner, and the model has at most ``2**bits + 1``
-weights, which bounds what is sent to the executors.
+weights (in fact a few hundred), which bounds what is sent to the executors.
 
 Scoring is one pass over the texts with no shuffle.
 
 Defined cases: a NULL or empty text has no features and gets the score of the
 intercept; texts are read whole, however long; rows with NULL or other labels
 than 0 and 1 are not learnt from; an id labelled both 0 and 1 counts as
-toxic; repeated rows are scored each; without any label every score is 0.5 of
+toxic, and of several texts under one id the smallest is learnt from; repeated
+rows are scored each; without any label every score is 0.5 of
 an untrained model; empty tables give empty results; extra columns are ignored.
 """
 
@@ -49,14 +50,14 @@ _SKIP_FIRST, _SKIP_SECOND = np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F1
 
 @dataclass(frozen=True)
 class Params:
-    bits: int = 18
+    bits: int = 20
     alpha: float = 1.0
     beta: float = 1.0
     l1: float = 6.0
     l2: float = 0.5
     epochs: int = 4
-    max_rows: int = 65_536
-    learner_rows: int = 16_384
+    max_rows: int = 16_384
+    learner_rows: int = 8_192
     stems: tuple[int, ...] = (4, 5, 6, 7)
     words_cached: int = 400_000
 
@@ -197,11 +198,14 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> np.ndarra
     learners = max(1, round(min(total, p.max_rows) / p.learner_rows))
     key = F.pmod(F.xxhash64("doc_id", F.lit("learn")), F.lit(1 << 30))
     some = usable.where(key < int(share * (1 << 30)))
-    texts = docs.select("doc_id", text_bytes("text").alias("text"))
-    rows = texts.join(some, "doc_id").select(
+    # about ``max_rows`` ids whatever the input, so they may be broadcast: no
+    # text moves but those that are learnt from
+    texts = docs.select("doc_id", text_bytes("text").alias("text")).join(
+        F.broadcast(some), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = texts.select(
         "doc_id", "toxic", _features_udf(p)(F.col("text")).alias("found"),
         F.pmod(F.xxhash64("doc_id", F.lit("turn")), F.lit(1 << 30)).alias("turn"))
-    rows = rows.dropDuplicates(["doc_id"])
     weights = rows.withColumn("learner", F.col("turn") % learners).groupBy("learner").applyInPandas(
         _fit_group(p), "bucket int, weight double")
     found = weights.groupBy("bucket").agg((F.sum("weight") / learners).alias("weight")).collect()
