@@ -54,7 +54,7 @@ class Params:
     percentile: float = 0.9          # share of a block that its width must hold
     ids_per_file: int = 4_000_000    # a file is closed at this many ids
     end_id: int = 1
-    words_cached: int = 700_000      # words of a generation that a worker remembers
+    words_cached: int = 500_000      # words of a generation that a worker remembers
 
 
 # ---- blocks -----------------------------------------------------------------
