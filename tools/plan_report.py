@@ -56,7 +56,7 @@ def main():
           "(AQE broadcasts a side once its shuffle stage measured under 32 MB, which at this "
           "scale is every key side), and the at-scale shape with runtime broadcast off (what "
           "a 100 TB run gets when no side is small).  Exchanges list the hash key of each "
-          "shuffle; a RoundRobin exchange is `session.spread` on a one-split input.\n")
+          "shuffle.\n")
     passes = [("as run", None), ("at-scale shape (no broadcast)", "-1")]
     for title, threshold in passes:
         if threshold:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -25,7 +26,7 @@ RULE_PRIORITY: dict[str, int] = {
     "cust_id": 1,
 }
 # algorithm whose values are one-way hashes: never decrypted, never re-encrypted
-KEY_HASH_ALGORITHM = "keybasedcryptohash"
+KEY_HASH_ALGORITHM = "keyed_hash"
 # ---------------------------------------------------------------------------
 
 _TRUE = {"yes", "y", "true", "t", "1"}
@@ -53,6 +54,19 @@ def _get(doc: dict, *names: str, default: Any = None) -> Any:
     return default
 
 
+def rename_fields(doc: Any, aliases: Mapping[str, str] | None) -> Any:
+    """The document with its fields renamed (``their name -> name used here``),
+    at every depth; other documents' vocabularies stay with the caller."""
+    if not aliases:
+        return doc
+    names = {_key(k): v for k, v in aliases.items()}
+    if isinstance(doc, Mapping):
+        return {names.get(_key(k), k): rename_fields(v, aliases) for k, v in doc.items()}
+    if isinstance(doc, (list, tuple)):
+        return [rename_fields(v, aliases) for v in doc]
+    return doc
+
+
 def normalise_rule(rule: str | None) -> str | None:
     """'<primary_pan_acct_nbr_15>' -> 'primary_pan_acct_nbr15', blanks and
     '-' folded, so that every spelling seen in requests compares equal."""
@@ -89,7 +103,7 @@ class ColumnMeta:
     is_nullable: bool = True
     is_encrypted: bool = False
     rule: str | None = None
-    algorithm: str | None = None        # e.g. 'hipedembed', 'keybasedcryptohash'
+    algorithm: str | None = None        # e.g. 'deterministic', 'keyed_hash'
     key_name: str | None = None         # per-column key id for E3 / E4
     use_iv: bool = True                 # per-column key: random IV (GCM) or none (ECB)
     nested: tuple[NestedAttribute, ...] = ()
@@ -136,7 +150,7 @@ class TableMeta:
     driver_column: str | None = None
     driver_rule: str | None = None
     driver_column_encrypted: bool = False
-    eot_encryption_applied: bool = False
+    keys_encrypted: bool = False
     filters: tuple[FilterSpec, ...] = ()
     operator: str = "AND"
     limit: int | None = None
@@ -207,9 +221,11 @@ class TableMeta:
 
     # -- construction ------------------------------------------------------
     @classmethod
-    def from_document(cls, doc: dict | str) -> "TableMeta":
-        if isinstance(doc, str):
-            doc = json.loads(doc)
+    def from_document(cls, doc: dict | str,
+                      aliases: Mapping[str, str] | None = None) -> "TableMeta":
+        """The request document as metadata; ``aliases`` renames the fields of
+        documents that use other names."""
+        doc = rename_fields(json.loads(doc) if isinstance(doc, str) else doc, aliases)
         cols = tuple(_column_from(c) for c in (_get(doc, "column_list") or []))
         edges = tuple(
             Edge(
@@ -244,9 +260,9 @@ class TableMeta:
             edges=edges,
             driver_table=_get(doc, "driver_table"),
             driver_column=_get(doc, "driver_column"),
-            driver_rule=normalise_rule(_get(doc, "driver_column_sde_rule")),
+            driver_rule=normalise_rule(_get(doc, "driver_column_rule")),
             driver_column_encrypted=_flag(_get(doc, "driver_column_encrypted")),
-            eot_encryption_applied=_flag(_get(doc, "eot_encryption_applied")),
+            keys_encrypted=_flag(_get(doc, "keys_encrypted")),
             filters=filters,
             operator=str(_get(doc, "operator", default="AND") or "AND").upper(),
             limit=_get(doc, "limit"),
@@ -280,8 +296,8 @@ def _column_from(c: dict) -> ColumnMeta:
             )
         )
     length = _int_or_none(_get(c, "column_length"))
-    algorithm = _get(c, "hipedAlgorithm", "algorithm")
-    use_iv = _get(c, "encryption_sde_useIVMethod", "use_iv")
+    algorithm = _get(c, "algorithm")
+    use_iv = _get(c, "use_iv")
     return ColumnMeta(
         name=_get(c, "column_name"),
         data_type=str(_get(c, "data_type", default="VARCHAR2")),
@@ -295,7 +311,7 @@ def _column_from(c: dict) -> ColumnMeta:
         is_encrypted=_flag(_get(c, "is_encrypted")),
         rule=normalise_rule(_get(c, "rule")),
         algorithm=str(algorithm).replace(" ", "").lower() if algorithm else None,
-        key_name=_get(c, "encryption_sde_key", "key_name"),
+        key_name=_get(c, "key_name"),
         use_iv=True if use_iv is None else _flag(use_iv),
         nested=tuple(nested),
     )

@@ -73,24 +73,52 @@ def choice_column(choice: Choice, original: Column, dtype: T.DataType,
     return out
 
 
-def replace_path(col: Column, dtype: T.DataType, path: list[str],
-                 value: Callable[[T.DataType], Column]) -> Column:
-    """Set the attribute at ``path`` inside a struct / array tree.
-
-    Arrays on the way are mapped element by element (``transform``); structs
-    get the field replaced (``withField``).  A NULL struct or an absent
-    attribute stays absent.
+def mask_variant(node: Column, path: list[str], value: Callable[[T.DataType], Column],
+                 arrays: int = 3) -> Column:
+    """Replace the attribute at ``path`` of a JSON node (VARIANT), whatever
+    shape the node has in this row.
+
+    Objects get the attributes of that name (in any case) replaced, arrays are
+    mapped element by element (up to ``arrays`` arrays inside one another), an
+    absent attribute and an explicit null stay as they are.  A node that the
+    path cannot enter (a plain value, an array nested too deep) may itself
+    hold what the path was to mask, so it becomes null: nothing passes.
     """
-    if isinstance(dtype, T.ArrayType):
-        return F.transform(col, lambda x: replace_path(x, dtype.elementType, path, value))
-    if not isinstance(dtype, T.StructType) or not path:
-        return col
-    name = path[0]
-    if name not in dtype.fieldNames():
-        return col
-    ftype = dtype[name].dataType
-    if len(path) == 1:
-        new = F.when(col[name].isNull(), F.lit(None).cast(ftype)).otherwise(value(ftype))
-    else:
-        new = replace_path(col[name], ftype, path[1:], value)
-    return F.when(col.isNull(), col).otherwise(col.withField(name, new))
+    null = F.parse_json(F.lit("null"))
+    kind = F.schema_of_variant(node)
+    empty = node.isNull() | F.is_variant_null(node)
+    parts = F.try_variant_get(node, "$", "array<variant>")
+    in_array = F.to_variant_object(F.transform(
+        parts, lambda x: mask_variant(x, path, value, arrays - 1))) if arrays else null
+    if not path:
+        def as_type(dtype: T.DataType) -> Column:
+            return F.coalesce(value(dtype).cast("variant"), null)
+        return (F.when(empty, node)
+                .when(kind == "BIGINT", as_type(T.LongType()))
+                .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), as_type(T.DoubleType()))
+                .when(kind == "BOOLEAN", as_type(T.BooleanType()))
+                .when(kind.startswith("ARRAY"), in_array)
+                .otherwise(as_type(T.StringType())))
+    name = path[0].lower()
+    fields = F.try_variant_get(node, "$", "map<string,variant>")
+    in_object = F.to_variant_object(F.transform_values(fields, lambda k, v: F.when(
+        F.lower(k) == name, mask_variant(v, path[1:], value, arrays)).otherwise(v)))
+    return (F.when(empty, node)
+            .when(kind.startswith("OBJECT"), in_object)
+            .when(kind.startswith("ARRAY"), in_array)
+            .otherwise(null))
+
+
+def _bound(path: list[str], value: Callable[[T.DataType], Column]):
+    return lambda node: mask_variant(node, path, value)
+
+
+def mask_json(col: Column, items: list[tuple[list[str], Callable[[T.DataType], Column]]]) -> Column:
+    """JSON text with every path of ``items`` masked.  Text that is no JSON
+    cannot be searched for personal data and becomes NULL.  Attributes that no
+    path names keep their values; white space and key order are the writer's."""
+    node = F.try_parse_json(col)
+    for path, value in items:
+        # bind the node to a lambda variable, so that it is one expression
+        node = F.element_at(F.transform(F.array(node), _bound(path, value)), 1)
+    return F.to_json(node)

@@ -42,17 +42,34 @@ def typed_literal(value: str, dtype: T.DataType) -> Column:
     return F.lit(str(value))
 
 
+def _moment(value: str) -> _dt.datetime:
+    """A date, or a date with a time of day; anything else is an error."""
+    return _dt.datetime.fromisoformat(str(value).strip())
+
+
+def _has_time(value: str) -> bool:
+    return len(str(value).strip()) > 10
+
+
 def _next_day(value: str, dtype: T.DataType) -> Column:
-    day = _dt.date.fromisoformat(str(value).strip()[:10]) + _dt.timedelta(days=1)
+    day = _moment(value).date() + _dt.timedelta(days=1)
     return F.lit(day.isoformat()).cast(dtype)
 
 
 def _day_start(value: str, dtype: T.DataType) -> Column:
-    return F.lit(str(value).strip()[:10]).cast(dtype)
+    """The bound as given: the start of its day, or the moment it names.  A
+    time of day cannot be compared with a column of plain dates."""
+    if _has_time(value):
+        if isinstance(dtype, T.DateType):
+            raise ValueError(f"{value!r} has a time of day, the column holds dates")
+        return F.lit(_moment(value).isoformat(sep=" ")).cast(dtype)
+    return F.lit(_moment(value).date().isoformat()).cast(dtype)
 
 
 def day_comparison(col: Column, cond: str, value: str, dtype: T.DataType) -> Column:
     """compare a DATE column with a day, written as a half-open range."""
+    if _has_time(value):                  # a moment, not a day
+        return _PY_OPS[cond](col, _day_start(value, dtype))
     lo, hi = _day_start(value, dtype), _next_day(value, dtype)
     return {
         "=": (col >= lo) & (col < hi),

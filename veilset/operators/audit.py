@@ -8,6 +8,8 @@ itself: one pass over the source instead of the reference's count-then-write
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,35 @@ def audit_record(spark: SparkSession, request_id: str, status: str, job_type: st
     return spark.createDataFrame([(request_id, status, job_type, int(records))], AUDIT_SCHEMA)
 
 
+@dataclass
+class Outcome:
+    """What a job has to report when it ends."""
+
+    spark: SparkSession
+    request_id: str
+    job_type: str
+    records: int = 0
+    status: str = STATUS_COMPLETE
+
+    def record(self) -> DataFrame:
+        return audit_record(self.spark, self.request_id, self.status, self.job_type, self.records)
+
+
+@contextmanager
+def recorded(spark: SparkSession, request_id: str, job_type: str, path: str | None):
+    """K9 around a job: its record is appended to ``path`` (if given) when it
+    ends, with FAILED when it ends in an error, which is passed on."""
+    done = Outcome(spark, request_id, job_type)
+    try:
+        yield done
+    except Exception:
+        done.status, done.records = STATUS_FAILED, 0
+        raise
+    finally:
+        if path is not None:
+            append_audit(done.record(), path)
+
+
 def gated_write(df: DataFrame, write: Callable[[DataFrame], object], *,
                 probe: bool = True) -> int:
     """A2: an empty extract records 0 and encrypts nothing; otherwise the

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage_path
+from .. import csvio
+from ..session import path_exists, remove_path, stage_path
 from ..sources import jdbc
 
 MODES = ("full_refresh", "load_append", "upsert")
@@ -74,13 +76,17 @@ def restore_keys(df: DataFrame, mapping: DataFrame, column: str, *, enabled: boo
     unmapped keys stay as they are.  ``unique_map=True`` states the map's test
     key is unique (its primary key): no aggregate then sits between the map's
     shuffle and the join, and AQE can split a hot key of ``df``.  Otherwise the
-    map is reduced to the smallest production key per test key (partial
-    aggregate)."""
+    map is reduced to one production key per test key (partial aggregate); a
+    test key with several production keys is an error."""
     if not enabled:
         return df
     m = mapping.select(F.col(test_col).alias("__t"), F.col(prod_col).alias("__p"))
     if not unique_map:
-        m = m.groupBy("__t").agg(F.min("__p").alias("__p"))
+        clash = F.raise_error(F.concat(F.lit("several production keys for test key "),
+                                       F.col("__t").cast("string")))
+        m = m.groupBy("__t").agg(F.min("__p").alias("__p"), F.max("__p").alias("__q")).select(
+            "__t", F.when(F.col("__p").eqNullSafe(F.col("__q")), F.col("__p")).otherwise(
+                clash.cast(mapping.schema[prod_col].dataType)).alias("__p"))
     out = df.join(m, df[column] == m["__t"], "left")
     return out.select(*[F.coalesce(F.col("__p").cast(df.schema[column].dataType),
                                    df[column]).alias(column)
@@ -95,10 +101,13 @@ class FileTarget:
     path: str
     fmt: str = "parquet"
 
+    def exists(self, spark: SparkSession) -> bool:
+        return path_exists(spark, self.path)
+
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         r = spark.read.format(self.fmt)
         if self.fmt == "csv":
-            r = r.option("header", True)
+            r = r.options(**csvio.READ).option("header", True)
         if schema is not None:
             r = r.schema(schema)
         return r.load(self.path)
@@ -106,7 +115,7 @@ class FileTarget:
     def write(self, df: DataFrame, mode: str) -> None:
         w = df.write.format(self.fmt).mode(mode)
         if self.fmt == "csv":
-            w = w.option("header", True)
+            w = w.options(**csvio.WRITE).option("header", True)
         w.save(self.path)
 
 
@@ -115,6 +124,9 @@ class JdbcTarget:
     source: jdbc.JdbcSource
     table: str
 
+    def exists(self, spark: SparkSession) -> bool:
+        return True           # a database table is created by its owner
+
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         return jdbc.read_table(spark, self.source, self.table)
 
@@ -124,22 +136,36 @@ class JdbcTarget:
 
 def load(spark: SparkSession, incoming: DataFrame, target, mode: str, *,
          key: Sequence[str] = (), order: Sequence[Column | str] | None = None,
-         stage: str | None = None) -> int:
+         stage: str | None = None, report: dict | None = None) -> int:
     """K8: write ``incoming`` to ``target``; returns the rows now in the target
     for ``upsert`` / ``full_refresh`` (checked against the stage), else the
-    rows appended."""
+    rows appended.
+
+    An upsert evaluates ``incoming`` once: it is reduced to one row per key,
+    staged and counted, before the target is touched.  Rows with a NULL in
+    their key cannot be told apart and are an error.  A target that does not
+    exist yet is empty.  ``report`` (if given) gets the rows read, and the
+    rows that lost to another row of their key.  Stages are removed at the
+    end, as they hold production data."""
     if mode not in MODES:
         raise ValueError(f"unknown load mode {mode!r}; one of {MODES}")
     if mode == "load_append":
         obs = Observation("appended")
         target.write(incoming.observe(obs, F.count(F.lit(1)).alias("rows")), "append")
         return int(obs.get["rows"])
+    stages = []
     if mode == "full_refresh":
         merged = incoming
     else:
         if not key:
             raise ValueError("upsert needs the primary key")
-        merged = upsert(target.read(spark, incoming.schema), incoming, key, order=order)
+        unique, counts = _stage_unique(spark, incoming, key, order)
+        stages.append(unique.path)
+        if report is not None:
+            report.update(counts)
+        rows = unique.read(spark, incoming.schema)
+        merged = upsert(target.read(spark, incoming.schema), rows, key, incoming_unique=True) \
+            if target.exists(spark) else rows
     # stage first: never read and overwrite one table in the same job
     stage = stage or stage_path(spark, "load-stage")
     staged = FileTarget(stage, "parquet")
@@ -150,4 +176,24 @@ def load(spark: SparkSession, incoming: DataFrame, target, mode: str, *,
     n_target = target.read(spark, incoming.schema).count()
     if n_stage != n_target:
         raise RuntimeError(f"load check failed: stage has {n_stage} rows, target {n_target}")
+    for path in (*stages, stage):
+        remove_path(spark, path)
     return n_target
+
+
+def _stage_unique(spark: SparkSession, incoming: DataFrame, key: Sequence[str],
+                  order: Sequence[Column | str] | None) -> tuple[FileTarget, dict]:
+    """``incoming`` with one row per key, written to a stage and counted."""
+    seen, left = Observation("incoming"), Observation("unique")
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    rows = incoming.observe(seen, F.count(F.lit(1)).alias("rows"),
+                            F.count_if(no_key).alias("no_key"))
+    unique = survivors(rows, key, order or []).observe(left, F.count(F.lit(1)).alias("rows"))
+    out = FileTarget(stage_path(spark, "load-incoming"), "parquet")
+    out.write(unique, "overwrite")
+    if seen.get["no_key"]:
+        remove_path(spark, out.path)
+        raise ValueError(f"{seen.get['no_key']} incoming rows have no value in their key "
+                         f"{list(key)}")
+    n = int(seen.get["rows"])
+    return out, {"incoming": n, "duplicates": n - int(left.get["rows"])}

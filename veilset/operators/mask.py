@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..catalog import ColumnMeta, TableMeta
 from ..functions import identity as idfn
-from ..functions.masks import choice_column, derived_fields, replace_path
+from ..functions.masks import choice_column, derived_fields, mask_json
 from ..functions.rules import Choice, identity_key, resolve, typed_constant_value
 from .subset import _check_edges, covers_key, driver_rows, q
 
@@ -97,21 +97,6 @@ def needed_fields(plan: Mapping[str, Choice],
     return sorted(fields)
 
 
-def json_schema(df: DataFrame, column: str) -> T.DataType:
-    """Complete schema of a JSON text column, merged over *all* its values.
-
-    ``from_json`` drops whatever its schema lacks, so the schema cannot come
-    from a sample; one aggregate pass computes it and only the schema string
-    (not data) reaches the driver."""
-    ddl = df.select(F.schema_of_variant_agg(F.parse_json(F.col(column)))).first()[0]
-    return T._parse_datatype_string(_variant_ddl(ddl))
-
-
-def _variant_ddl(ddl: str) -> str:
-    # OBJECT<...> of the variant schema is a STRUCT<...> in DDL
-    return ddl.replace("OBJECT<", "STRUCT<")
-
-
 # ---------------------------------------------------------------------------
 # identity link
 
@@ -296,7 +281,7 @@ def unmatched(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None,
 
 def scrub(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None, *,
           link: DataFrame | None = None, pairs: Sequence[tuple[str, str]] = (),
-          how: str = "inner", json_schemas: Mapping[str, T.DataType] | None = None,
+          how: str = "inner",
           columns: Sequence[str] | None = None, join: str | None = None) -> DataFrame:
     """The masked table, same columns and types as ``df``.
 
@@ -329,19 +314,14 @@ def scrub(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None, *,
         fb = typed_constant_value(cm) if how != "inner" else None
         col = choice_column(plan[n], F.col(n), dtype, idf, fallback=fb)
         if n in nested:
-            col = _mask_json(col, n, nested[n], (json_schemas or {}).get(n) or json_schema(df, n),
-                             idf)
+            col = mask_json(col, [(path, partial(_nested_value, choice, idf=idf))
+                                  for path, choice in nested[n]])
         out.append(col.alias(n))
     return work.select(*out)
 
 
-def _mask_json(col: Column, name: str, items, schema: T.DataType, idf) -> Column:
-    parsed = F.from_json(col, schema)
-    for path, choice in items:
-        def value(ftype, choice=choice):
-            return choice_column(choice, F.lit(None), ftype, idf)
-        parsed = replace_path(parsed, schema, path, value)
-    return F.when(col.isNull(), col).otherwise(F.to_json(parsed))
+def _nested_value(choice: Choice, ftype: T.DataType, *, idf) -> Column:
+    return choice_column(choice, F.lit(None), ftype, idf)
 
 
 def describe(meta: TableMeta) -> str:

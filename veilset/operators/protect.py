@@ -162,11 +162,11 @@ def prepare_keys(keys: DataFrame, meta: TableMeta, key_columns: Sequence[str], *
                  driver_meta: TableMeta | None = None) -> DataFrame:
     """E5: driver keys as the source stores them.
 
-    EOT not applied -> as they are; applied -> decrypt with the environment
+    keys not encrypted -> as they are; applied -> decrypt with the environment
     key; applied and the source column encrypted -> decrypt, then encrypt
     with the column's own key so they compare equal to the source values.
     """
-    if not meta.eot_encryption_applied:
+    if not meta.keys_encrypted:
         return keys
     plain = decrypt_columns(keys, key_columns, env_key)
     if meta.driver_column_encrypted:

@@ -5,8 +5,8 @@ are collected to the driver.  Here a key list is a DataFrame and every hop is
 a join, so key sets of any size stay distributed:
 
 * ``semi_join``: a table restricted to a key set (left semi join; tuple-wise
-  by default, per column on request).  With ``strategy="auto"`` a key set
-  found (by one bounded collect) to hold at most ``isin_limit`` keys becomes
+  by default, per column on request).  With ``strategy="isin"`` a short
+  key set (one bounded collect, an error beyond ``isin_limit`` keys) becomes
   an ``IN`` list, which the Parquet / JDBC scan takes as a pushed filter.
 * ``extract_related`` / ``hop_keys``: the target's rows / keys, reached from
   the driver by one semi join per hop (edges with the same ``index`` form one
@@ -58,28 +58,41 @@ def typed_keys(keys: DataFrame, pairs: JoinPairs, target: DataFrame, *,
     """Key columns cast to the target column types, NULL keys dropped, and
     de-duplicated unless ``unique`` says they already are.
 
-    The reference quotes every key as text and turns NULL into 'None'; here a
-    NULL key matches nothing, as in any equi-join.
+    A NULL key matches nothing, as in any equi-join.  Text is compared without
+    padding at its end (on the table's side too, see ``key_column``).  A key
+    that the column's type cannot hold exactly (1.7 for a whole number, text
+    that is no number) is an error: it must not match another key.
     """
     tschema = target.schema
     cols = []
     for t, k in pairs:
-        c = F.col(k)
-        if isinstance(keys.schema[k].dataType, T.StringType):
+        c, own, want = F.col(k), keys.schema[k].dataType, tschema[t].dataType
+        if isinstance(own, T.StringType):
             c = F.rtrim(c)          # key lists arrive right-padded
-        cols.append(c.cast(tschema[t].dataType).alias(k))
+        cast = c.cast(want)
+        if isinstance(own, T.FractionalType) and isinstance(want, T.IntegralType):
+            cast = F.when(c.isNull() | (cast == c), cast).otherwise(F.raise_error(F.concat(
+                F.lit(f"key for {t} is not a whole number: "), c.cast("string"))).cast(want))
+        cols.append(cast.alias(k))
     out = keys.select(*cols).dropna(how="any")
     return out if unique else out.distinct()
 
 
+def key_column(df: DataFrame, name: str) -> Column:
+    """A table's key column as keys are compared with it: text unpadded."""
+    c = df[name]
+    return F.rtrim(c) if isinstance(df.schema[name].dataType, T.StringType) else c
+
+
 IN_LIST_MAX = 1000      # values per IN list a source database accepts
 
 
-def in_lists(column: str, values: Sequence) -> Column:
+def in_lists(column: Column | str, values: Sequence) -> Column:
     """``column IN (...)`` as OR-ed lists of at most ``IN_LIST_MAX`` values, so
     a pushed filter never exceeds what the source database takes."""
     chunks = [values[i:i + IN_LIST_MAX] for i in range(0, len(values), IN_LIST_MAX)]
-    return reduce(lambda a, b: a | b, [F.col(column).isin(list(c)) for c in chunks])
+    col = F.col(column) if isinstance(column, str) else column
+    return reduce(lambda a, b: a | b, [col.isin(list(c)) for c in chunks])
 
 
 def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
@@ -95,10 +108,10 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
     AQE can split a hot key of ``df`` (its skew-join rule needs both join
     inputs to come straight from a shuffle).  Otherwise keys are de-duplicated
     first (a partial aggregate: hot duplicates collapse map-side).
-    strategy="isin"/"auto": when the distinct key set has at most
-    ``isin_limit`` rows (one bounded collect), use IN lists (chunks of
-    ``IN_LIST_MAX``) that are pushed into the scan; above the limit fall back
-    to the join.
+    strategy="isin" is the caller's choice for short key lists against a
+    source database: the distinct keys (one bounded collect, an error beyond
+    ``isin_limit``) become IN lists of ``IN_LIST_MAX`` that are pushed into
+    the scan.
     """
     if match not in ("tuple", "per_column"):
         raise ValueError(f"unknown match {match!r}")
@@ -107,16 +120,18 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
             df = semi_join(df, keys, [(t, k)], strategy=strategy, isin_limit=isin_limit)
         return df
     kset = typed_keys(keys, pairs, df, unique=unique)
-    if strategy in ("isin", "auto") and len(pairs) == 1:
+    if strategy not in ("join", "isin"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "isin" and len(pairs) == 1:
         # one bounded job: at most isin_limit + 1 distinct keys reach the driver
         probe = (kset.distinct() if unique else kset).limit(isin_limit + 1).collect()
         if len(probe) <= isin_limit:
             t, _ = pairs[0]
             values = [r[0] for r in probe]
-            return df.where(in_lists(t, values)) if values else df.where(F.lit(False))
-    elif strategy not in ("join", "isin", "auto"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    cond = [df[t] == kset[k] for t, k in pairs]
+            return df.where(in_lists(key_column(df, t), values)) if values \
+                else df.where(F.lit(False))
+        raise ValueError(f"more than {isin_limit} keys for {t}: use strategy='join'")
+    cond = [key_column(df, t) == kset[k] for t, k in pairs]
     return df.join(kset, reduce(lambda a, b: a & b, cond), "left_semi")
 
 

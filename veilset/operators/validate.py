@@ -17,6 +17,8 @@ def _checks(df: DataFrame, meta: TableMeta) -> list[tuple[str, str, F.Column]]:
     out = []
     for cm in meta.columns:
         if cm.name not in df.columns:
+            if not cm.is_nullable:         # a declared column that is not there fails
+                out.append((cm.name, "missing", F.lit(True)))
             continue
         c = F.col(cm.name)
         if not cm.is_nullable:
@@ -52,21 +54,29 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def _typed_and_reason(meta: TableMeta):
-    """Per declared column: the typed value, and the first failing column's
-    name and raw value (NULL when the row is good)."""
+    """Per declared column: the typed value; the first failing column's name
+    and raw value (NULL when the row is good); and all failing columns with
+    their raw values."""
     typed_cols, fails = [], []
     for cm in meta.columns:
-        raw = F.col(cm.name)
+        raw = F.col(f"`{cm.name}`")
         dt = cm.spark_type()
         typed = raw.try_cast(dt) if not isinstance(dt, T.StringType) else raw
         bad = raw.isNotNull() & typed.isNull()
         if cm.kind in _STRINGS and cm.length:
             bad = bad | (F.length(raw) > cm.length)
+        if not cm.is_nullable:
+            bad = bad | raw.isNull()
+        bad = F.coalesce(bad, F.lit(False))
         typed_cols.append(typed.alias(cm.name))
         fails.append((cm.name, bad))
     reason = F.coalesce(*[F.when(b, F.lit(n)) for n, b in fails])
-    value = F.coalesce(*[F.when(b, F.col(n).cast("string")) for n, b in fails])
-    return typed_cols, reason, value
+    value = F.coalesce(*[F.when((reason == n) & b, F.col(f"`{n}`").cast("string"))
+                         for n, b in fails])
+    every = F.filter(F.array(*[F.when(b, F.struct(
+        F.lit(n).alias("column"), F.col(f"`{n}`").cast("string").alias("value")))
+        for n, b in fails]), lambda x: x.isNotNull())
+    return typed_cols, reason, value, every
 
 
 def split_typed(text: DataFrame, meta: TableMeta) -> tuple[DataFrame, DataFrame]:
@@ -76,7 +86,7 @@ def split_typed(text: DataFrame, meta: TableMeta) -> tuple[DataFrame, DataFrame]
     (``try_cast`` gives NULL) or is longer than its declared length.  The
     rejected side names the first failing column and its raw value.  Writing
     both sides: ``write_typed_split`` does it in one pass."""
-    typed_cols, reason, value = _typed_and_reason(meta)
+    typed_cols, reason, value, _ = _typed_and_reason(meta)
     marked = text.select("*", reason.alias("__reject"), value.alias("__value"))
     good = marked.where(F.col("__reject").isNull()).select(*typed_cols)
     pk = meta.primary_key
@@ -90,9 +100,14 @@ def write_typed_split(text: DataFrame, meta: TableMeta, path: str, *,
                       fmt: str = "parquet") -> dict[str, str]:
     """U8 in one pass: typed rows and rejected rows written by ONE job,
     partitioned by ``status`` (``good`` / ``rejected``), instead of two
-    scans of the text.  Returns the two folders."""
-    typed_cols, reason, value = _typed_and_reason(meta)
+    scans of the text.  A rejected row also holds every failing column with
+    its raw value (``rejects``) and the raw row as JSON (``reject_row``, NULLs
+    included).  Returns the two folders."""
+    typed_cols, reason, value, every = _typed_and_reason(meta)
+    raw = F.to_json(F.struct(*[F.col(f"`{c}`") for c in text.columns]),
+                    {"ignoreNullFields": "false"})
     out = text.select(*typed_cols, reason.alias("reject_column"), value.alias("reject_value"),
+                      every.alias("rejects"), F.when(reason.isNotNull(), raw).alias("reject_row"),
                       F.when(reason.isNull(), F.lit("good")).otherwise(F.lit("rejected"))
                       .alias("status"))
     out.write.mode("overwrite").format(fmt).partitionBy("status").save(path)

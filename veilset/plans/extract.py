@@ -15,39 +15,64 @@ from ..sinks.files import write_files
 
 def extract_plan(tables: Mapping[str, DataFrame], meta: TableMeta, *,
                  driver_keys: DataFrame | None = None,
-                 driver_filter: Column | None = None) -> DataFrame:
+                 driver_filter: Column | None = None,
+                 primary_keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """The rows and columns an extract writes (lazy; a single pass over the
     source when executed)."""
     if meta.relational or meta.extract_type == "R" or driver_keys is not None:
         if meta.edges or meta.is_own_driver:
             rows = subset.extract_related(tables, meta, driver_keys=driver_keys,
-                                          driver_filter=driver_filter)
+                                          driver_filter=driver_filter,
+                                          primary_keys=primary_keys)
         else:
             raise ValueError(f"{meta.table_name}: relational extract without relationship")
     else:
         rows = subset.extract_rows(tables[meta.table_name.lower()], meta)
-    rows = protect.extract_projection(rows, meta)
+    # order and limit see the source's values, not the NULLs put in their place
     if meta.limit is not None or meta.order:
         rows = subset.apply_order_limit(rows, meta)
-    return rows
+    return protect.extract_projection(rows, meta)
 
 
 def run_extract(spark: SparkSession, tables: Mapping[str, DataFrame], meta: TableMeta,
                 out_path: str, *, fmt: str = "csv", env_key: bytes | str | None = None,
                 driver_keys: DataFrame | None = None, driver_filter: Column | None = None,
                 key_base: str | None = None,
-                primary_keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                primary_keys: Mapping[str, Sequence[str]] | None = None,
+                encrypt: bool = True, column_keys: Mapping[str, bytes] | None = None,
+                audit_path: str | None = None) -> DataFrame:
     """Write the extract (and, for a relational extract, its key tables);
-    return the job's audit record.  An empty extract records 0 rows and
+    return the job's audit record.
+
+    PII that stays in the extract (keys) is encrypted with ``env_key``; such
+    columns without a key are an error unless the caller says
+    ``encrypt=False``.  ``driver_keys`` of a request whose keys arrive
+    encrypted are made ready with ``env_key`` and ``column_keys`` first.  With
+    ``audit_path`` the record is appended there, also when the job fails.
+  An empty extract records 0 rows and
     encrypts nothing; only a shuffle-free extract is probed before writing
     (see ``audit.gated_write``)."""
-    rows = extract_plan(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
-    if env_key is not None:
-        rows = protect.encrypt_columns(rows, protect.encrypted_key_columns(meta), env_key)
+    secret = protect.encrypted_key_columns(meta) if encrypt else []
+    if secret and env_key is None:
+        raise ValueError(f"{meta.table_name}: no key to encrypt {secret}")
+    if driver_keys is not None and meta.keys_encrypted:
+        driver_keys = protect.prepare_keys(driver_keys, meta, driver_keys.columns,
+                                           env_key=env_key, column_keys=column_keys)
+    with audit.recorded(spark, meta.request_id, "EXTRACT", audit_path) as done:
+        done.records = _write(spark, tables, meta, out_path, fmt, secret, env_key, driver_keys,
+                              driver_filter, key_base, primary_keys)
+    return done.record()
+
+
+def _write(spark: SparkSession, tables, meta: TableMeta, out_path: str, fmt: str, secret,
+           env_key, driver_keys, driver_filter, key_base, primary_keys) -> int:
+    rows = extract_plan(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter,
+                        primary_keys=primary_keys)
+    rows = protect.encrypt_columns(rows, secret, env_key)
     relational = bool(meta.edges) and not meta.is_own_driver
     n = audit.gated_write(rows, lambda d: write_files(d, out_path, fmt), probe=not relational)
     if n and key_base and meta.edges and not meta.is_own_driver:
         chain = subset.key_chain(tables, meta, primary_keys or {}, driver_keys=driver_keys,
                                  driver_filter=driver_filter, fold=False)
         subset.write_level_keys(chain, meta, primary_keys or {}, key_base)
-    return audit.audit_record(spark, meta.request_id, audit.STATUS_COMPLETE, "EXTRACT", n)
+    return n

@@ -1,33 +1,57 @@
-"""Load job (reference lifecycle 3.3) as DataFrame steps:
-files (declared schema) -> key restore -> validation -> full refresh /
-append / upsert through a stage -> audit record."""
+"""Load job as DataFrame steps: files -> typed rows and rejects -> key restore
+-> key check -> full refresh / append / upsert through a stage -> audit record."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..catalog import TableMeta
 from ..operators import audit, load, validate
-from ..sources.files import read_declared
+from ..session import remove_path, stage_path
+from ..sinks.files import write_files
+from ..sources.files import read_declared_text
 
 
 def run_load(spark: SparkSession, path: str, meta: TableMeta, target, mode: str, *,
              fmt: str = "csv", restore_map: DataFrame | None = None,
              restore_column: str | None = None, order: Sequence[Column | str] | None = None,
-             fail_on_invalid: bool = True) -> DataFrame:
-    """Load one table's files into ``target``; returns the audit record."""
-    rows = read_declared(spark, path, meta, fmt)
-    if restore_map is not None and restore_column:
-        rows = load.restore_keys(rows, restore_map, restore_column)
-    if fail_on_invalid:
-        report = validate.validate_rows(rows, meta).where(F.col("failures") > 0)
-        bad = report.limit(20).collect()          # bounded: at most 20 report rows
-        if bad:
-            raise ValueError(f"{meta.table_name}: rows fail their metadata: "
-                             + ", ".join(f"{r.column_name}:{r.check_name}={r.failures}"
-                                         for r in bad))
-    n = load.load(spark, rows, target, mode, key=meta.primary_key, order=order)
-    return audit.audit_record(spark, meta.request_id, audit.STATUS_COMPLETE, "LOAD", n)
+             fail_on_invalid: bool = True, rejects_path: str | None = None,
+             check_keys: bool | None = None, audit_path: str | None = None) -> DataFrame:
+    """Load one table's files into ``target``; returns the audit record.
+
+    The files are read once, as text, and split into rows that fit their
+    declared types, lengths and NOT NULL columns, and rejects.  With
+    ``fail_on_invalid`` any reject fails the job before the target is touched;
+    otherwise the good rows are loaded, and the rejects (raw row, and every
+    failing column with its raw value) are written to ``rejects_path`` (by
+    default a folder of the shared scratch root).  A
+    primary key that repeats fails the job too (``check_keys``, by default as
+    ``fail_on_invalid``; an upsert keeps one row per key instead).  With
+    ``audit_path`` the record is appended there, with FAILED if the job fails.
+    """
+    rejects_path = rejects_path or stage_path(spark, "load-rejects")
+    check = fail_on_invalid if check_keys is None else check_keys
+    with audit.recorded(spark, meta.request_id, "LOAD", audit_path) as done:
+        stage = stage_path(spark, "load-split")
+        text = read_declared_text(spark, path, meta, fmt)
+        validate.write_typed_split(text, meta, stage)
+        rejected = spark.read.parquet(stage).where("status = 'rejected'")
+        kinds = rejected.groupBy("reject_column").count().collect()   # a row per column at most
+        if kinds and fail_on_invalid:
+            remove_path(spark, stage)
+            raise ValueError(f"{meta.table_name}: rows fail their metadata: " + ", ".join(
+                sorted(f"{r['reject_column']}={r['count']}" for r in kinds)))
+        if kinds:
+            write_files(rejected.drop("status", *meta.names), rejects_path, "parquet")
+        rows = spark.read.parquet(stage).where("status = 'good'").select(*meta.names)
+        if restore_map is not None and restore_column:
+            rows = load.restore_keys(rows, restore_map, restore_column)
+        if check and mode != "upsert" and meta.primary_key and \
+                not validate.duplicate_keys(rows, meta.primary_key).isEmpty():
+            remove_path(spark, stage)
+            raise ValueError(f"{meta.table_name}: the primary key {meta.primary_key} repeats")
+        done.records = load.load(spark, rows, target, mode, key=meta.primary_key, order=order)
+        remove_path(spark, stage)
+    return done.record()

@@ -15,7 +15,7 @@ from ..sinks.files import write_files
 def scrub_related(tables: Mapping[str, DataFrame], meta: TableMeta,
                   identity=None, *,
                   driver_filter: Column | None = None, driver_keys: DataFrame | None = None,
-                  how: str = "inner", json_schemas=None,
+                  how: str = "inner",
                   unique_keys: Mapping[str, list[str]] | None = None) -> DataFrame:
     """Extract ``meta``'s table over its hops and mask it, in one join.
 
@@ -29,16 +29,15 @@ def scrub_related(tables: Mapping[str, DataFrame], meta: TableMeta,
                                       driver_filter=driver_filter,
                                       primary_keys=unique_keys) if meta.edges else \
             subset.extract_rows(target, meta)
-        return mask.scrub(rows, meta, identity, json_schemas=json_schemas)
+        return mask.scrub(rows, meta, identity)
     if meta.is_own_driver:
         rows = subset.extract_related(tables, meta, driver_keys=driver_keys,
                                       driver_filter=driver_filter)
-        return mask.scrub(rows, meta, identity, how=how, json_schemas=json_schemas)
+        return mask.scrub(rows, meta, identity, how=how)
     link, pairs = mask.driver_link(tables, meta, unique_keys, identity=identity, how=how,
                                    driver_keys=driver_keys, driver_filter=driver_filter)
     rows = subset.extract_rows(target, meta)          # the request's own filters
-    return mask.scrub(rows, meta, identity, link=link, pairs=pairs, how=how, join="inner",
-                      json_schemas=json_schemas)
+    return mask.scrub(rows, meta, identity, link=link, pairs=pairs, how=how, join="inner")
 
 
 def run_scrub(spark: SparkSession, rows: DataFrame, meta: TableMeta, out_path: str, *,
@@ -57,7 +56,7 @@ def scrub_request(tables: Mapping[str, DataFrame], metas, identity=None, *,
     """All tables of one request, masked; each distinct identity link is built
     once.
 
-    Tables whose last hop leaves the same parent columns share one link; a
+    Tables that reach the driver by the same inner hops share one link; a
     link used by more than one table is checkpointed to the shared checkpoint
     folder (cut lineage, survives executor loss) instead of re-running its
     hop joins per table.  Returns ``table -> masked DataFrame`` (lazy except
@@ -69,9 +68,14 @@ def scrub_request(tables: Mapping[str, DataFrame], metas, identity=None, *,
     for meta in metas:
         if mask.has_driver(meta) and meta.has_pii and not meta.is_own_driver and meta.edges:
             groups = subset._check_edges(meta)
-            sig = tuple((e.parent_table.lower(), e.parent_column.lower(), e.index)
-                        for g in groups[:-1] for e in g) + tuple(
-                (e.parent_table.lower(), e.parent_column.lower()) for e in groups[-1])
+            # every edge of the inner hops with both its ends (two tables may
+            # reach the driver by different columns of one table), the columns
+            # that the last hop leaves, and the driver with its rule
+            sig = (tuple((e.parent_table.lower(), e.parent_column.lower(),
+                          e.child_table.lower(), e.child_column.lower(), e.index)
+                         for g in groups[:-1] for e in g),
+                   tuple((e.parent_table.lower(), e.parent_column.lower()) for e in groups[-1]),
+                   meta.driver_table.lower(), meta.driver_column.lower(), meta.driver_rule)
             shared.setdefault(sig, []).append(meta)
         else:
             out[meta.table_name.lower()] = scrub_related(

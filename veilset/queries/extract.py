@@ -241,6 +241,16 @@ def key_trim(spark, sf):
     return subset.semi_join(t["customer"], padded, [("c_name", "key")])
 
 
+@query("key_trim_table", f"""
+SELECT c_custkey, rpad(c_name, 30, ' ') AS c_name FROM customer WHERE {DRIVER_SQL}""")
+def key_trim_table(spark, sf):
+    """The table's column is padded (a CHAR column), the keys are not."""
+    t = _t(spark, sf)
+    padded = t["customer"].select("c_custkey", F.rpad("c_name", 30, " ").alias("c_name"))
+    keys = t["customer"].where(driver()).select(F.col("c_name").alias("key"))
+    return subset.semi_join(padded, keys, [("c_name", "key")])
+
+
 # --------------------------------------------------------------------------
 # F1-F10 on single tables
 

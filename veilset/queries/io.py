@@ -112,3 +112,64 @@ def stage_copy_query(spark, sf):
     src = write_files(_t(spark, sf)["part"], stage_path(spark, "part"), "csv")
     dst = stage_copy(spark, src, src + "_stg", "csv")
     return files.read_csv(spark, dst, _t(spark, sf)["part"].schema)
+
+
+# ---------------------------------------------------------------------------
+# CSV keeps what it is given: line breaks, quotes, blanks, empty strings, NULLs
+
+def _csv_text(name):
+    @query(f"sink_csv_{name}", f"SELECT * FROM {name}")
+    def roundtrip(spark, sf):
+        """K1 + S6 on long texts: written as CSV, read back as it was."""
+        df = samples.load_tables(spark, sf, (name,))[name]
+        path = write_files(df, stage_path(spark, f"{name}-csv"), "csv")
+        return files.read_csv(spark, path, df.schema)
+
+    return roundtrip
+
+
+for _name in ("documents", "pages", "conversations"):
+    _csv_text(_name)
+
+
+@query("sink_csv_odd_text", """
+SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || c_name
+  WHEN 3 THEN c_name || ' ' WHEN 4 THEN c_name || chr(10) || c_name WHEN 5 THEN '"' || c_name || ',"'
+  WHEN 6 THEN '\\' || c_name || '\\' ELSE chr(13) || chr(10) || c_name || chr(9) END AS note
+FROM customer""")
+def sink_csv_odd_text(spark, sf):
+    """K1 / K7: NULL beside the empty string, blanks at both ends, line breaks,
+    quotes and backslashes; copied once more as a stage before it is read."""
+    c = _t(spark, sf)["customer"]
+    k = F.col("c_custkey") % 8
+    note = (F.when(k == 0, F.lit(None)).when(k == 1, F.lit(""))
+            .when(k == 2, F.concat(F.lit("  "), "c_name")).when(k == 3, F.concat("c_name", F.lit(" ")))
+            .when(k == 4, F.concat("c_name", F.lit("\n"), "c_name"))
+            .when(k == 5, F.concat(F.lit('"'), "c_name", F.lit(',"')))
+            .when(k == 6, F.concat(F.lit("\\"), "c_name", F.lit("\\")))
+            .otherwise(F.concat(F.lit("\r\n"), "c_name", F.lit("\t"))))
+    df = c.select("c_custkey", note.alias("note"))
+    src = write_files(df, stage_path(spark, "odd-csv"), "csv")
+    return files.read_csv(spark, stage_copy(spark, src, src + "_stg", "csv"), df.schema)
+
+
+@query("src_csv_reordered", "SELECT * FROM orders")
+def src_csv_reordered(spark, sf):
+    """The header's columns come in another order, with one more among
+    them; declared columns are found by name."""
+    o = _t(spark, sf)["orders"]
+    mixed = o.select(*reversed(o.columns), F.lit("x").alias("extra"))
+    path = write_files(mixed, stage_path(spark, "orders-reordered"), "csv")
+    return files.read_declared(spark, path, samples.META["orders"], "csv")
+
+
+@query("src_mixed_dir_below_stage", "SELECT * FROM orders")
+def src_mixed_dir_below_stage(spark, sf):
+    """S8 on a base folder that itself lies below a folder named as a stage."""
+    o = _t(spark, sf)["orders"]
+    base = stage_path(spark, "area_stg") + "_stg/run"
+    late = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    write_files(o.where(late), f"{base}/part_csv", "csv")
+    write_files(o.where(~late), f"{base}/part_parquet", "parquet")
+    write_files(o, f"{base}/orders_stg", "parquet")
+    return files.read_folder(spark, base, files.declared_schema(samples.META["orders"]))

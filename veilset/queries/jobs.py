@@ -11,6 +11,7 @@ from ..plans.load import run_load
 from ..plans.scrub import run_scrub
 from ..registry import query
 from ..session import stage_path
+from ..sinks.files import write_files
 from ..operators.subset import undotted
 from ..sources.files import read_declared
 from .extract import read_key_table_raw
@@ -88,3 +89,102 @@ def load_job(spark, sf):
         F.col("c_custkey").alias("test_key"), (F.col("c_custkey") + RESTORE_OFFSET).alias("prod_key"))
     run_load(spark, out, meta, target, "upsert", restore_map=restore, restore_column="o_custkey")
     return target.read(spark)
+
+
+# ---------------------------------------------------------------------------
+# jobs on what is not clean, and with their options
+
+ENV_KEY = samples.TEST_ENV_KEY
+
+
+@query("load_job_rejects", """
+SELECT o_orderkey, 'good' AS side, CAST(NULL AS VARCHAR) AS columns, CAST(NULL AS VARCHAR) AS vals
+FROM orders WHERE o_orderkey % 7 <> 0
+UNION ALL
+SELECT o_orderkey, 'rejected', CASE WHEN o_orderkey % 2 = 0 THEN 'o_custkey,o_orderdate'
+         ELSE 'o_orderdate' END,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'c' || CAST(o_custkey AS VARCHAR) || ',not a date'
+         ELSE 'not a date' END
+FROM orders WHERE o_orderkey % 7 = 0""")
+def load_job_rejects(spark, sf):
+    """U4 + U8 + K8: a file with bad keys and dates; the good rows are loaded,
+    every reject keeps its failing columns with their raw values."""
+    o = _t(spark, sf)["orders"]
+    meta = samples.META["orders"]
+    bad = F.col("o_orderkey") % 7 == 0
+    worse = bad & (F.col("o_orderkey") % 2 == 0)
+    text = o.select(*[F.col(c).cast("string").alias(c) for c in o.columns]).withColumns({
+        "o_orderdate": F.when(bad, F.lit("not a date")).otherwise(F.col("o_orderdate")),
+        "o_custkey": F.when(worse, F.concat(F.lit("c"), "o_custkey"))
+        .otherwise(F.col("o_custkey"))})
+    src = write_files(text, stage_path(spark, "orders-bad"), "csv")
+    target = load.FileTarget(stage_path(spark, "target-orders"), "parquet")
+    rejects = stage_path(spark, "rejects")
+    run_load(spark, src, meta, target, "full_refresh", fail_on_invalid=False,
+             rejects_path=rejects)
+    none = F.lit(None).cast("string")
+    good = target.read(spark).select("o_orderkey", F.lit("good").alias("side"),
+                                     none.alias("columns"), none.alias("vals"))
+    raw = F.get_json_object("reject_row", "$.o_orderkey").cast("bigint")
+    return good.unionAll(spark.read.parquet(rejects).select(
+        raw, F.lit("rejected"),
+        F.array_join(F.transform("rejects", lambda x: x["column"]), ","),
+        F.array_join(F.transform("rejects", lambda x: x["value"]), ",")))
+
+
+@query("load_job_failed", f"""
+SELECT '{samples.META['orders'].request_id}' AS request_id, 'FAILED' AS status,
+       'LOAD' AS job_type, CAST(0 AS BIGINT) AS records_processed""")
+def load_job_failed(spark, sf):
+    """K9: orders whose primary key repeats fail the load before the target is
+    touched; the audit table has the FAILED record."""
+    o = _t(spark, sf)["orders"]
+    src = write_files(o.unionAll(o.where("o_orderstatus = 'F'")), stage_path(spark, "twice"), "csv")
+    target = load.FileTarget(stage_path(spark, "target-orders"), "parquet")
+    log = stage_path(spark, "audit")
+    try:
+        run_load(spark, src, samples.META["orders"], target, "full_refresh", audit_path=log)
+    except ValueError:
+        pass
+    record = spark.read.parquet(log)
+    return record if not target.exists(spark) else record.limit(0)
+
+
+@query("extract_job_ordered", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice, o_orderdate,
+       o_orderpriority
+FROM (SELECT * FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25)""")
+def extract_job_ordered(spark, sf):
+    """The limit follows the order of a PII column's own values, which the
+    extract then leaves out."""
+    from dataclasses import replace
+    meta = replace(samples.META["orders"], edges=(), relational=False, extract_type="F",
+                   order=("o_totalprice", "o_orderkey"), limit=25)
+    out = stage_path(spark, "ordered")
+    run_extract(spark, _t(spark, sf), meta, out)
+    return read_declared(spark, out, meta, "csv")
+
+
+@query("extract_job_encrypted", f"""
+SELECT o_orderkey, o_orderstatus, true AS differs
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE {DRIVER_SQL})""")
+def extract_job_encrypted(spark, sf):
+    """E1 in the job: a primary key that is PII is written as ciphertext
+    (``differs``: no cipher equals its plain value, and all are distinct)."""
+    from dataclasses import replace
+    from ..operators import protect
+    t = _t(spark, sf)
+    meta = samples.META["orders"]
+    secret = replace(meta, columns=tuple(
+        replace(c, is_pii=True) if c.name == "o_orderkey" else c for c in meta.columns))
+    out = stage_path(spark, "encrypted")
+    run_extract(spark, t, secret, out, fmt="parquet", env_key=ENV_KEY, driver_filter=driver(),
+                primary_keys=samples.PRIMARY_KEYS)
+    cipher = spark.read.parquet(out).select(F.col("o_orderkey").alias("cipher"), "o_orderkey",
+                                            "o_orderstatus")
+    plain = protect.decrypt_columns(cipher, ["o_orderkey"], ENV_KEY, types={"o_orderkey": "bigint"})
+    n = plain.groupBy("cipher").agg(F.count("*").alias("n")).withColumnRenamed("cipher", "c")
+    return plain.join(n, F.col("cipher") == F.col("c")).select(
+        "o_orderkey", "o_orderstatus",
+        ((F.col("cipher") != F.col("o_orderkey").cast("string")) & (F.col("n") == 1))
+        .alias("differs"))

@@ -14,7 +14,6 @@ from ..functions import identity as idfn
 from ..operators import mask, subset
 from ..plans.scrub import scrub_related
 from ..registry import query
-from ..session import spread
 
 def driver():
     return F.col("c_mktsegment") == "BUILDING"
@@ -101,7 +100,7 @@ IDS_COVERED = identity_cte(f"SELECT c_custkey AS k FROM customer WHERE {COVERED_
 def _identity(t, covered_only=False):
     """Stored-style identity table (joined on the driver key)."""
     cust = t["customer"].where(covered()) if covered_only else t["customer"]
-    return mask.identity_table(spread(cust), "c_custkey", unique=True)
+    return mask.identity_table(cust, "c_custkey", unique=True)
 
 
 GENERATOR = mask.identity_generator()      # identities as expressions of the key
@@ -323,6 +322,62 @@ def mask_nested_json(spark, sf):
                          unique_keys=UKS)
 
 
+# one row in six shapes: array, object, other case, null, explicit null, plain
+# value; beside it what must stay: an integer, a decimal, a null, a text
+_SHAPES = """CASE {k} % 6
+  WHEN 0 THEN '[{{"name":"{n}","rank":1}},{{"name":"{n}","rank":2.5}}]'
+  WHEN 1 THEN '{{"name":"{n}","rank":3}}' WHEN 2 THEN '{{"NAME":"{n}"}}'
+  WHEN 3 THEN '[[{{"name":["{n}",null]}}],{{"rank":null}}]' WHEN 4 THEN '{{"name":null}}'
+  ELSE {plain} END"""
+
+
+def _shaped_sql(name, plain):
+    return ("'{\"a\":1,\"b\":2.5,\"c\":null,\"entities\":' || "
+            + _SHAPES.format(k="conv_id", n=name, plain=plain) + " || ',\"t\":\"x\"}'")
+
+
+@query("mask_nested_mixed", f"""
+SELECT conv_id, turn, CASE WHEN conv_id % 11 = 0 THEN NULL
+  ELSE {_shaped_sql("abc", "'null'")} END AS doc, false AS leaks
+FROM conversations""")
+def mask_nested_mixed(spark, sf):
+    """M18 fails closed: the PII path meets an array in one row, an object in
+    the next, other spellings, nulls and plain values; ``leaks`` tells whether
+    the role's name is left anywhere (the plain value holds it too)."""
+    c = samples.load_tables(spark, sf, ("conversations",))["conversations"]
+    real = F.concat(F.lit("Real "), F.coalesce("role", F.lit("nobody")))
+    doc = F.when(F.col("conv_id") % 11 == 0, F.lit(None)).otherwise(F.replace(
+        F.expr(_shaped_sql("@@", "'\"@@\"'")), F.lit("@@"), real))
+    rows = c.select("conv_id", "turn", doc.alias("doc"))
+    out = mask.scrub(rows, samples.META["shaped"])
+    return out.withColumn("leaks", F.coalesce(F.contains("doc", F.lit("Real")), F.lit(False)))
+
+
+@query("mask_request_two_paths", f"""WITH {IDS_ALL},
+shift AS (SELECT o_orderkey, xor(o_custkey, 1) AS o_payer FROM orders)
+SELECT 'buyer' AS path, l.l_orderkey, l.l_linenumber, i.asset_am AS l_extendedprice
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey JOIN ids i ON i.cust_id = c.c_custkey
+WHERE c.{DRIVER_SQL}
+UNION ALL
+SELECT 'payer', l.l_orderkey, l.l_linenumber, i.asset_am
+FROM lineitem l JOIN shift o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_payer = c.c_custkey JOIN ids i ON i.cust_id = c.c_custkey
+WHERE c.{DRIVER_SQL}""")
+def mask_request_two_paths(spark, sf):
+    """Two tables of a request reach the customer over the same table by
+    different columns; each gets the identities of its own path."""
+    from ..plans.scrub import scrub_request
+    t = _t(spark, sf)
+    t["orders"] = t["orders"].withColumn("o_payer", F.col("o_custkey").bitwiseXOR(F.lit(1)))
+    t["payment"] = t["lineitem"]
+    out = scrub_request(t, [samples.META["lineitem"], samples.META["payment"]], GENERATOR,
+                        driver_filter=driver(), unique_keys=UKS)
+    cols = ["l_orderkey", "l_linenumber", "l_extendedprice"]
+    return out["lineitem"].select(F.lit("buyer").alias("path"), *cols).unionAll(
+        out["payment"].select(F.lit("payer"), *cols))
+
+
 # ---------------------------------------------------------------------------
 # the scrub over a landing folder (Structured Streaming, availableNow)
 
@@ -347,6 +402,26 @@ def mask_stream_2hop(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("mask_stream_restart", _lineitem_sql(IDS_ALL))
+def mask_stream_restart(spark, sf):
+    """A second arrival, processed by a second call with the default
+    checkpoint: it resumes beside its output, so every row is there once."""
+    from ..session import stage_path
+    from ..sinks.files import write_files
+    from ..streaming.landing import start_scrub
+    t = _t(spark, sf)
+    meta = samples.META["lineitem"]
+    rows = subset.extract_related(t, meta, driver_filter=driver())
+    link, pairs = mask.driver_link(t, meta, UKS, identity=GENERATOR, driver_filter=driver())
+    landing, out = stage_path(spark, "landing-twice"), stage_path(spark, "scrubbed-twice")
+    first = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    for i, part in enumerate((first, ~first)):
+        write_files(rows.where(part), f"{landing}/arrival{i}", "csv")
+        start_scrub(spark, meta, f"{landing}/*", out, identity=GENERATOR, link=link,
+                    pairs=pairs).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query("mask_request_shared_link", _ORDERS_SQL)
 def mask_request_shared_link(spark, sf):
     """A request over orders and doc_request (both one hop from customer):

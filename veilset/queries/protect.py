@@ -8,7 +8,6 @@ from .. import samples
 from ..functions import crypto
 from ..operators import protect, subset
 from ..registry import query
-from ..session import spread
 from ..sources.files import normalise_columns
 
 def driver():
@@ -70,14 +69,16 @@ def project_default(spark, sf):
     return protect.null_default(c)
 
 
-@query("encrypt_roundtrip", "SELECT * FROM orders")
+@query("encrypt_roundtrip", "SELECT *, true AS differs FROM orders")
 def encrypt_roundtrip(spark, sf):
     """E1 then E2 on every row: decrypt(encrypt(x)) = x, types restored."""
-    o = spread(_t(spark, sf)["orders"])      # AES on every row: one task per core
+    o = _t(spark, sf)["orders"]
     cols = ["o_orderkey", "o_custkey"]
-    enc = protect.encrypt_columns(o, cols, samples.TEST_ENV_KEY)
-    return protect.decrypt_columns(enc, cols, samples.TEST_ENV_KEY,
-                                   types={c: o.schema[c].dataType for c in cols})
+    enc = protect.encrypt_columns(o.withColumn("plain", F.col("o_orderkey").cast("string")), cols,
+                                  samples.TEST_ENV_KEY).withColumn("cipher", F.col("o_orderkey"))
+    dec = protect.decrypt_columns(enc, cols, samples.TEST_ENV_KEY,
+                                  types={c: o.schema[c].dataType for c in cols})
+    return dec.withColumn("differs", F.col("cipher") != F.col("plain")).drop("plain", "cipher")
 
 
 def _db_encrypted_customer(t):
@@ -87,45 +88,61 @@ def _db_encrypted_customer(t):
                                             ["c_custkey"])
 
 
-@query("decrypt_column_keys", "SELECT * FROM customer")
+@query("decrypt_column_keys", "SELECT *, true AS differs FROM customer")
 def decrypt_column_keys(spark, sf):
     """Decrypt with the column's own key and mode; the one-way hashed
     column passes through."""
     t = _t(spark, sf)
     meta = samples.META["customer_db_encrypted"]
-    return protect.decrypt_with_column_keys(_db_encrypted_customer(t), meta,
-                                            samples.TEST_COLUMN_KEYS,
-                                            types={"c_custkey": "bigint"})
+    enc = _db_encrypted_customer(t).withColumn("cipher", F.col("c_custkey"))
+    dec = protect.decrypt_with_column_keys(enc, meta, samples.TEST_COLUMN_KEYS,
+                                           types={"c_custkey": "bigint"})
+    return dec.withColumn("differs", F.col("cipher") != F.col("c_custkey").cast("string")) \
+        .drop("cipher")
 
 
-@query("encrypt_column_keys")
+@query("encrypt_column_keys", f"""
+SELECT c_custkey AS plain, true AS differs, true AS restored, 1 AS ciphers
+FROM customer WHERE {DRIVER_SQL}""")
 def encrypt_column_keys(spark, sf):
-    """Driver column encrypted with its own key (ciphertext: rows only)."""
+    """The driver column encrypted with its own key: the cipher differs
+    from the value, decrypts to it, and is the same each time (so that it can
+    be matched); every value has a cipher of its own."""
     t = _t(spark, sf)
-    return _db_encrypted_customer(t).where(driver())
+    meta = samples.META["customer_db_encrypted"]
+    own = t["customer"].where(driver())
+    both = own.unionAll(own).withColumn("plain", F.col("c_custkey"))
+    enc = protect.encrypt_with_column_keys(both, meta, samples.TEST_COLUMN_KEYS, ["c_custkey"]) \
+        .withColumn("cipher", F.col("c_custkey"))
+    dec = protect.decrypt_with_column_keys(enc, meta, samples.TEST_COLUMN_KEYS,
+                                           types={"c_custkey": "bigint"})
+    return dec.groupBy("plain").agg(
+        F.bool_and(F.col("cipher") != F.col("plain").cast("string")).alias("differs"),
+        F.bool_and(F.col("c_custkey") == F.col("plain")).alias("restored"),
+        F.count_distinct("cipher").cast("int").alias("ciphers"))
 
 
 @query("keys_prepare", f"SELECT c_custkey AS key FROM customer WHERE {DRIVER_SQL}")
 def keys_prepare(spark, sf):
-    """E5 with EOT applied, source column plain: keys are decrypted."""
+    """E5 with encrypted keys, source column plain: keys are decrypted."""
     t = _t(spark, sf)
     keys = t["customer"].where(driver()).select(F.col("c_custkey").alias("key"))
-    eot = protect.encrypt_columns(keys, ["key"], samples.TEST_ENV_KEY)
-    out = protect.prepare_keys(eot, samples.META["customer_eot"], ["key"],
+    cipher = protect.encrypt_columns(keys, ["key"], samples.TEST_ENV_KEY)
+    out = protect.prepare_keys(cipher, samples.META["customer_encrypted_keys"], ["key"],
                                env_key=samples.TEST_ENV_KEY)
     return out.select(F.col("key").cast("bigint"))
 
 
 @query("keys_prepare_reencrypt", f"SELECT * FROM customer WHERE {DRIVER_SQL}")
 def keys_prepare_reencrypt(spark, sf):
-    """E5 with EOT applied and an encrypted source column: keys are decrypted
+    """E5 with encrypted keys and an encrypted source column: keys are decrypted
     and re-encrypted with the column key, then matched against the stored
     ciphertext (deterministic column mode), then the extract is decrypted."""
     t = _t(spark, sf)
     meta = samples.META["customer_db_encrypted"]
     keys = t["customer"].where(driver()).select(F.col("c_custkey").alias("key"))
-    eot = protect.encrypt_columns(keys, ["key"], samples.TEST_ENV_KEY)
-    ready = protect.prepare_keys(eot, meta, ["key"], env_key=samples.TEST_ENV_KEY,
+    cipher = protect.encrypt_columns(keys, ["key"], samples.TEST_ENV_KEY)
+    ready = protect.prepare_keys(cipher, meta, ["key"], env_key=samples.TEST_ENV_KEY,
                                  column_keys=samples.TEST_COLUMN_KEYS)
     source = _db_encrypted_customer(t)
     rows = subset.semi_join(source, ready, [("c_custkey", "key")])

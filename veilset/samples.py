@@ -28,8 +28,8 @@ def col(name, data_type, length=None, *, pk=False, pii=False, rule=None, nullabl
         "is_primary_key": "YES" if pk else "NO", "is_foreign_key": "NO",
         "is_pii": "YES" if pii else "NO", "rule": f"<{rule}>" if rule else None,
         "is_nullable": "YES" if nullable and not pk else "NO",
-        "is_encrypted": None, "hipedAlgorithm": None, "encryption_sde_key": None,
-        "encryption_sde_useIVMethod": None,
+        "is_encrypted": None, "algorithm": None, "key_name": None,
+        "use_iv": None,
     }
     doc.update(extra)
     return doc
@@ -47,8 +47,8 @@ def request(table, columns, *, driver=("customer", "c_custkey"), edges=(), filte
              "index": i} for (p, pc, c, cc, i) in edges] or None,
         "driver_table": driver[0] if driver else None,
         "driver_column": driver[1] if driver else None,
-        "driver_column_sde_rule": driver_rule,
-        "driver_column_encrypted": "NO", "eot_encryption_applied": "NO",
+        "driver_column_rule": driver_rule,
+        "driver_column_encrypted": "NO", "keys_encrypted": "NO",
         "filter_criteria": [{"column_name": c, "condition": op, "value": list(v)}
                             for c, op, v in filters],
         "operator": operator, "limit": limit, "order": order,
@@ -303,19 +303,19 @@ META["orders_p3"] = TableMeta.from_document(ORDERS_P3)
 # customer as a source that stores its key encrypted with a column key
 CUSTOMER_DB_ENCRYPTED = request("customer", [
     col("c_custkey", "NUMBER", 22, precision=18, pk=True, pii=True, is_encrypted="YES",
-        hipedAlgorithm="HipedEmbed", encryption_sde_key="custkey_db_key",
-        encryption_sde_useIVMethod="NO"),
+        algorithm="deterministic", key_name="custkey_db_key",
+        use_iv="NO"),
     col("c_name", "VARCHAR2", 25, pii=True, is_encrypted="YES",
-        rule="primary_pan_acct_nbr_15", hipedAlgorithm="KeyBasedCryptoHash",
-        encryption_sde_key="name_db_key"),
+        rule="primary_pan_acct_nbr_15", algorithm="keyed_hash",
+        key_name="name_db_key"),
     col("c_nationkey", "INTEGER"),
     col("c_acctbal", "DOUBLE"),
     col("c_mktsegment", "VARCHAR2", 10),
 ])
-CUSTOMER_DB_ENCRYPTED.update({"driver_column_encrypted": "YES", "eot_encryption_applied": "YES"})
+CUSTOMER_DB_ENCRYPTED.update({"driver_column_encrypted": "YES", "keys_encrypted": "YES"})
 META["customer_db_encrypted"] = TableMeta.from_document(CUSTOMER_DB_ENCRYPTED)
-CUSTOMER_EOT = dict(CUSTOMER, eot_encryption_applied="YES", driver_column_encrypted="NO")
-META["customer_eot"] = TableMeta.from_document(CUSTOMER_EOT)
+CUSTOMER_ENCRYPTED_KEYS = dict(CUSTOMER, keys_encrypted="YES", driver_column_encrypted="NO")
+META["customer_encrypted_keys"] = TableMeta.from_document(CUSTOMER_ENCRYPTED_KEYS)
 
 PAGES = request("pages", [
     col("page_id", "NUMBER", 22, precision=18, pk=True),
@@ -337,3 +337,20 @@ EVENTS_NESTED = request("events", [
          "data_type": "NUMBER"}]),
 ], driver=None)
 META["events_nested"] = TableMeta.from_document(EVENTS_NESTED)
+
+# a JSON column whose ``entities`` take any shape; no driver: typed constants
+SHAPED = request("shaped", [
+    col("conv_id", "NUMBER", 22, precision=18, pk=True),
+    col("turn", "NUMBER", 22, precision=18),
+    col("doc", "jsonb", 0, complex_column_attributes=[
+        {"path": "entities.name", "name": "name",
+         "rule": "<secondary_pii_indv_name: full_name_other>", "isPII": True,
+         "data_type": "string"}]),
+], driver=None)
+META["shaped"] = TableMeta.from_document(SHAPED)
+
+# line items again, reaching the customer by the orders' other column
+PAYMENT = request("payment", LINEITEM_COLUMNS,
+                  edges=[("customer", "c_custkey", "orders", "o_payer", 0),
+                         ("orders", "o_orderkey", "payment", "l_orderkey", 1)])
+META["payment"] = TableMeta.from_document(PAYMENT)

@@ -92,21 +92,15 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/veilset/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Give CPU-heavy row work (AES, SHA-2) over a *scan* at least one task
-    per core.
-
-    Only when the scan has fewer splits than the cluster's default
-    parallelism (a small input held in one file split) is it round-robin
-    repartitioned; a large input already has many splits and is left as it
-    is, so no shuffle is added at scale.  Call it on scans (and filters /
-    projections of them) only: counting the partitions of a plan that
-    shuffles would run its map stages under AQE, so library operators never
-    call it on their inputs."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:            # noqa: BLE001 - e.g. a connect session: leave as is
-        return df
-    return df.repartition(want) if have < want else df
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged data on whatever file system holds it."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)

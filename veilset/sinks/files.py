@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import csvio
+
 FORMATS = ("csv", "parquet", "json", "orc")
 
 
@@ -24,7 +26,8 @@ def write_files(df: DataFrame, path: str, fmt: str = "csv", *, header: bool = Tr
         raise ValueError(f"unknown output format {fmt!r}; one of {FORMATS}")
     w = df.write.format(fmt).mode(mode)
     if fmt == "csv":
-        w = w.option("header", header)
+        w = w.options(**csvio.WRITE).option("header", header).option(
+            "maxRecordsPerFile", csvio.RECORDS_PER_FILE)
     if compression is not None:
         w = w.option("compression", compression)
     if partition_by:
@@ -48,7 +51,7 @@ def stage_copy(spark: SparkSession, src: str, dst: str, fmt: str, *,
                header: bool = True) -> str:
     """K7: copy of a table without PII (``<table>_stg``), same format."""
     if fmt == "csv":
-        df = spark.read.option("header", header).csv(src)
+        df = spark.read.options(**csvio.READ).option("header", header).csv(src)
     else:
         df = spark.read.format(fmt).load(src)
     return write_files(df, dst, fmt, header=header)

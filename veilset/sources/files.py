@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import csvio
 from ..catalog import TableMeta, normalise_name
 
 KNOWN_FORMATS = ("csv", "parquet")
@@ -27,12 +28,30 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
              *, header: bool = True, **options) -> DataFrame:
     """CSV with a header row.  With a declared schema no inference pass is
-    made; without one the schema is inferred (an extra pass over the files)."""
-    r = spark.read.option("header", header)
-    for k, v in options.items():
-        r = r.option(k, v)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(paths if isinstance(paths, str) else list(paths))
+    made; without one the schema is inferred (an extra pass over the files).
+
+    Declared columns are found by their name in the header, whatever its
+    order; a file whose header differs from the first one's, a declared column
+    that is absent and a value that its type cannot hold are errors (see
+    ``validate`` for reading with rejects).  Without a header columns go by
+    position."""
+    r = spark.read.options(**csvio.READ).option("header", header).options(**options)
+    paths = paths if isinstance(paths, str) else list(paths)
+    if schema is None:
+        return r.option("inferSchema", True).csv(paths)
+    if not header:
+        return r.schema(schema).csv(paths)
+    found = r.csv(paths)                       # names from the header, all text
+    by_name = {c.strip().lower(): c for c in found.columns}
+    absent = [f.name for f in schema.fields if f.name.lower() not in by_name]
+    if absent and found.columns:
+        raise ValueError(f"columns {absent} are not in the header {found.columns}")
+    if not found.columns:                      # no file holds a line
+        return spark.createDataFrame([], schema)
+    text = r.schema(T.StructType([T.StructField(c, T.StringType()) for c in found.columns]))
+    return text.csv(paths).select(*[
+        F.col(f"`{by_name[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+        for f in schema.fields])
 
 
 def declared_schema(meta: TableMeta) -> T.StructType:
@@ -54,6 +73,22 @@ def read_declared(spark: SparkSession, path: str, meta: TableMeta, fmt: str = "c
         for f in schema.fields])
 
 
+def read_declared_text(spark: SparkSession, path: str, meta: TableMeta,
+                       fmt: str = "csv") -> DataFrame:
+    """The declared columns before any conversion: CSV as text, found by name
+    in the header; self-describing formats as they are.  For splitting into
+    typed rows and rejects (``validate``)."""
+    names = meta.names
+    if fmt == "csv":
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        return read_csv(spark, path, text)
+    df = spark.read.format(fmt).load(path)
+    absent = [n for n in names if n not in df.columns]
+    if absent:
+        raise ValueError(f"columns {absent} are not in {df.columns}")
+    return df.select(*names)
+
+
 def folder_formats(spark: SparkSession, path: str, limit: int = 32) -> list[str]:
     """File extensions present under ``path`` (hidden and ``_`` files skipped).
 
@@ -76,6 +111,9 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType, *,
     unioned by name.  Sub-folders ending in ``skip_suffix`` (stage copies) are
     left out; an unknown extension is an error, not a silent skip."""
     exts = [e for e in folder_formats(spark, path) if e not in ("crc",)]
+    # stage folders are looked for below the base only, not in its own path
+    base = _folder_uri(spark, path)
+    below = F.substr(F.col("_metadata.file_path"), F.lit(len(base) + 1))
     unknown = [e for e in exts if e not in formats]
     if unknown:
         raise ValueError(f"unknown file kinds {unknown} under {path}")
@@ -83,15 +121,24 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType, *,
     for ext in exts:
         r = (spark.read.schema(schema).option("recursiveFileLookup", "true")
              .option("pathGlobFilter", f"*.{ext}"))
-        df = r.option("header", header).csv(path) if ext == "csv" else r.parquet(path)
+        df = r.options(**csvio.READ).option("header", header).csv(path) if ext == "csv" \
+            else r.parquet(path)
         if skip_suffix:
-            df = df.where(~F.col("_metadata.file_path").rlike(f"{skip_suffix}/"))
+            df = df.where(~F.contains(below, F.lit(f"{skip_suffix}/")))
         parts.append(df.select(*schema.fieldNames()))
     if not parts:
         return spark.createDataFrame([], schema)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _folder_uri(spark: SparkSession, path: str) -> str:
+    """``path`` as the files below it report it (full URI, escaped)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toUri().toString().rstrip("/") + "/"
+
+
 def normalise_columns(df: DataFrame) -> DataFrame:
     """Header names lower case, '.' -> '_'."""
     return df.toDF(*[normalise_name(c) for c in df.columns])
@@ -103,7 +150,7 @@ def read_key_table(spark: SparkSession, path: str, *, fmt: str = "csv") -> DataF
     The header option drops the header row (no positional row drop, no RDD);
     names come back normalised (``table_column``)."""
     if fmt == "csv":
-        df = spark.read.option("header", True).csv(path)
+        df = spark.read.options(**csvio.READ).option("header", True).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
     return normalise_columns(df)
@@ -116,7 +163,11 @@ def read_key_list(spark: SparkSession, path: str, columns: Sequence[str],
     separated by ``sep``.  Values are trimmed (lists arrive right-padded),
     typed, and de-duplicated; blank lines are skipped."""
     lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
-    parts = F.split(F.col("value"), sep, -1)
+    parts = F.split(F.col("value"), "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E", -1)
+    # a line with more or fewer parts than the key is an error, not a shorter key
+    parts = F.when(F.size(parts) == len(columns), parts).otherwise(F.raise_error(F.concat(
+        F.lit(f"key list: {len(columns)} parts expected in line: "), F.col("value")))
+        .cast("array<string>"))
     cols = []
     for i, name in enumerate(columns):
         c = F.trim(parts.getItem(i))

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import TableMeta
+from .. import csvio
 from ..operators import mask
-from ..session import stage_path
 
 
 def landing_stream(spark: SparkSession, path: str, meta: TableMeta, *, fmt: str = "csv",
@@ -26,7 +26,7 @@ def landing_stream(spark: SparkSession, path: str, meta: TableMeta, *, fmt: str
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        return r.option("header", True).csv(path)
+        return r.options(**csvio.READ).option("header", True).csv(path)
     return r.format(fmt).load(path)
 
 
@@ -34,11 +34,16 @@ def start_scrub(spark: SparkSession, meta: TableMeta, landing: str, out_path: st
                 identity: DataFrame | None = None, link: DataFrame | None = None, pairs=(),
                 how: str = "inner", fmt: str = "csv", checkpoint: str | None = None,
                 available_now: bool = True) -> StreamingQuery:
-    """Start masking the files under ``landing`` into Parquet at ``out_path``."""
+    """Start masking the files under ``landing`` into Parquet at ``out_path``.
+
+    The checkpoint belongs to the output: unless one is given it lies below
+    ``out_path`` (readers skip names that start with an underscore), so a
+    second call on the same output resumes there, and files that have landed
+    since are added once."""
     rows = landing_stream(spark, landing, meta, fmt=fmt)
     masked = mask.scrub(rows, meta, identity, link=link, pairs=pairs, how=how)
     w = (masked.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint or stage_path(spark, "scrub-stream-ckpt"))
+         .option("checkpointLocation", checkpoint or f"{out_path.rstrip('/')}/_scrub_checkpoint")
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
