@@ -9,12 +9,14 @@ no Python UDF.  Modes:
   blocks show; only for per-column keys of sources that store it so.
 
 A joinable token that does not reveal equal blocks is a keyed hash
-(``sha2(secret || value, 256)``), kept beside a GCM ciphertext when needed.
+(HMAC-SHA-256), kept beside a GCM ciphertext when needed.
 Keys are parameters (bytes or str of 16/24/32 bytes), never config values.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,5 +64,18 @@ def decrypt(col: Column, key: bytes | str, mode: str = "GCM", *,
 
 
 def keyed_hash(col: Column, secret: str) -> Column:
-    """One-way, joinable token: equal inputs give equal tokens."""
-    return F.sha2(F.concat(F.lit(secret), col.cast("string")), 256)
+    """One-way, joinable token: equal inputs give equal tokens.
+
+    HMAC-SHA-256 (RFC 2104), hex: unlike a hash of secret and value run
+    together, no token can be extended, and no secret and value can be cut
+    differently to give the same token."""
+    inner, outer = hmac_pads(secret)
+    message = F.concat(F.lit(bytearray(inner)), col.cast("string").cast("binary"))
+    return F.sha2(F.concat(F.lit(bytearray(outer)), F.unhex(F.sha2(message, 256))), 256)
+
+
+def hmac_pads(secret: str) -> tuple[bytes, bytes]:
+    """The secret as HMAC's inner and outer block."""
+    key = secret.encode("utf-8")
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    return bytes(b ^ 0x36 for b in key), bytes(b ^ 0x5C for b in key)

@@ -2,12 +2,21 @@
 
 Every field is derived from ``sha2(seed:tag:key)``, so one key always gets
 the same person, in every table and every run, without a lookup table of
-its own.  All expressions are built-in functions (whole-stage codegen); the
-card numbers carry a valid Luhn check digit.
+its own.  All expressions are built-in functions; the card numbers carry a
+valid Luhn check digit (an unrolled sum of digits).
+
+Numbers that must differ from person to person (cards, national id, bank
+account) are a keyed permutation of the key, not a hash: whole-number keys
+below ``10 ** n`` never share an ``n``-digit number.  Other keys (text, or
+numbers beyond that) get hashed digits, as before.
+
+The seed is a secret: whoever knows it can compute a key's identity.  The
+default is for tests.
 """
 
 from __future__ import annotations
 
+import hashlib
 import string
 
 from pyspark.sql import Column
@@ -64,13 +73,39 @@ def digits(key: Column, tag: str, n: int, seed: str = DEFAULT_SEED) -> Column:
     return F.concat(*parts)
 
 
-def luhn_complete(payload: Column) -> Column:
-    """``payload`` digits followed by their Luhn check digit."""
-    rev = F.reverse(F.split(payload, ""))
-    weighted = F.transform(rev, lambda d, i: F.when(
-        i % 2 == 0, F.when(d.cast("int") * 2 > 9, d.cast("int") * 2 - 9)
-        .otherwise(d.cast("int") * 2)).otherwise(d.cast("int")))
-    total = F.aggregate(weighted, F.lit(0), lambda acc, x: acc + x)
+def permutation(tag: str, n: int, seed: str = DEFAULT_SEED) -> list[tuple[int, int]]:
+    """Factor and offset of the two rounds of ``unique_digits``: factors have
+    no divisor in common with 10 and keep every product within 64 bits."""
+    out = []
+    for turn in range(2):
+        h = int(hashlib.sha256(f"{seed}:{tag}:{turn}".encode()).hexdigest(), 16)
+        high = 9 * 10 ** (18 - n)
+        factor = high // 10 + h % (high - high // 10 - 10)
+        while factor % 2 == 0 or factor % 5 == 0:
+            factor += 1
+        out.append((factor, h // 10 ** 20 % 10 ** n))
+    return out
+
+
+def unique_digits(key: Column, tag: str, n: int, seed: str = DEFAULT_SEED) -> Column:
+    """``n`` decimal digits (at most 12), different for different whole-number
+    keys from 0 to ``10 ** n - 1``: multiplied and shifted modulo ``10 ** n``,
+    twice, with the digits reversed in between."""
+    m = 10 ** n
+    (a, b), (c, d) = permutation(tag, n, seed)
+    k = key.cast("string").try_cast("bigint")
+    first = F.lpad(((k * F.lit(a) + F.lit(b)) % F.lit(m)).cast("string"), n, "0")
+    second = (F.reverse(first).cast("bigint") * F.lit(c) + F.lit(d)) % F.lit(m)
+    return F.when((k >= 0) & (k < m), F.lpad(second.cast("string"), n, "0")).otherwise(
+        digits(key, tag, n, seed))
+
+
+def luhn_complete(payload: Column, n: int) -> Column:
+    """``payload`` (``n`` digits) followed by their Luhn check digit."""
+    total = F.lit(0)
+    for i in range(n):
+        d = F.substring(payload, n - i, 1).cast("int")
+        total = total + (d if i % 2 else F.when(d > 4, d * 2 - 9).otherwise(d * 2))
     return F.concat(payload, ((10 - total % 10) % 10).cast("string"))
 
 
@@ -91,11 +126,11 @@ def field(name: str, key: Column, seed: str = DEFAULT_SEED) -> Column:
     if name == "cust_id":
         return key
     if name == "cm15":
-        return luhn_complete(F.concat(F.lit("37"), digits(key, "cm15_", 12, s)))
+        return luhn_complete(F.concat(F.lit("37"), unique_digits(key, "cm15_", 12, s)), 14)
     if name == "cm13":
-        return luhn_complete(F.concat(F.lit("4"), digits(key, "cm13_", 11, s)))
+        return luhn_complete(F.concat(F.lit("4"), unique_digits(key, "cm13_", 11, s)), 12)
     if name == "cm11":
-        return luhn_complete(F.concat(F.lit("6"), digits(key, "cm11_", 9, s)))
+        return luhn_complete(F.concat(F.lit("6"), unique_digits(key, "cm11_", 9, s)), 10)
     if name == "first_nm":
         return pick(key, "first", FIRST_NAMES, s)
     if name == "mid_nm":
@@ -105,13 +140,13 @@ def field(name: str, key: Column, seed: str = DEFAULT_SEED) -> Column:
     if name == "cm_dob":
         return F.date_add(F.lit("1940-01-01").cast("date"), uniform(key, "dob", 22000, s).cast("int"))
     if name == "nat_id":
-        return F.concat(F.lit("9"), digits(key, "nid_", 8, s))
+        return F.concat(F.lit("9"), unique_digits(key, "nid_", 8, s))
     if name == "incom_self":
         return (uniform(key, "income", 180000, s) + 20000).cast("double")
     if name == "asset_am":
         return uniform(key, "asset", 5000000, s).cast("double")
     if name == "bank_acct_no":
-        return digits(key, "bank_", 10, s)
+        return unique_digits(key, "bank_", 10, s)
     if name == "emplr_nm":
         return pick(key, "employer", EMPLOYERS, s)
     if name == "addr_line1":

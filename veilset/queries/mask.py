@@ -50,6 +50,13 @@ def _digits(tag, n):
     return " || ".join(parts)
 
 
+def _unique(tag, n, k="k"):
+    (a, b), (c, d) = idfn.permutation(tag, n)
+    m = 10 ** n
+    first = f"lpad(CAST((CAST({k} AS BIGINT) * {a} + {b}) % {m} AS VARCHAR), {n}, '0')"
+    return f"lpad(CAST((CAST(reverse({first}) AS BIGINT) * {c} + {d}) % {m} AS VARCHAR), {n}, '0')"
+
+
 def _luhn(col, length):
     terms = []
     for j in range(1, length + 1):
@@ -64,8 +71,8 @@ def _luhn(col, length):
 def identity_cte(source_sql: str) -> str:
     """``ids`` CTE: one identity per key ``k`` of ``source_sql``."""
     return f"""
-p AS (SELECT k, '37' || {_digits('cm15_', 12)} AS p15, '4' || {_digits('cm13_', 11)} AS p13,
-             '6' || {_digits('cm11_', 9)} AS p11 FROM ({source_sql})),
+p AS (SELECT k, '37' || {_unique('cm15_', 12)} AS p15, '4' || {_unique('cm13_', 11)} AS p13,
+             '6' || {_unique('cm11_', 9)} AS p11 FROM ({source_sql})),
 ids AS (SELECT
   ('0x' || substr(sha256(concat_ws(':', '{_S}', 'id', CAST(k AS VARCHAR))), 1, 15))::BIGINT AS id,
   {_luhn('p15', 14)} AS cm15, {_luhn('p13', 12)} AS cm13, {_luhn('p11', 10)} AS cm11,
@@ -74,10 +81,10 @@ ids AS (SELECT
   {_pick('mid', idfn.MIDDLE_INITIALS)} AS mid_nm,
   {_pick('last', idfn.LAST_NAMES)} AS lst_nm,
   DATE '1940-01-01' + CAST({_u('dob', 22000)} AS INTEGER) AS cm_dob,
-  '9' || {_digits('nid_', 8)} AS nat_id,
+  '9' || {_unique('nid_', 8)} AS nat_id,
   CAST({_u('income', 180000)} + 20000 AS DOUBLE) AS incom_self,
   CAST({_u('asset', 5000000)} AS DOUBLE) AS asset_am,
-  {_digits('bank_', 10)} AS bank_acct_no,
+  {_unique('bank_', 10)} AS bank_acct_no,
   {_pick('employer', idfn.EMPLOYERS)} AS emplr_nm,
   concat_ws(' ', CAST({_u('house', 9900)} + 100 AS VARCHAR), {_pick('street', idfn.STREETS)}) AS addr_line1,
   'Apt ' || CAST({_u('apt', 900)} + 1 AS VARCHAR) AS addr_line2,
@@ -116,6 +123,19 @@ def src_identity(spark, sf):
     return _identity(_t(spark, sf))
 
 
+@query("mask_unique_numbers", """
+SELECT count(DISTINCT o_orderkey) AS keys, count(DISTINCT o_orderkey) AS cm15,
+       count(DISTINCT o_orderkey) AS cm13, count(DISTINCT o_orderkey) AS cm11,
+       count(DISTINCT o_orderkey) AS nat_id, count(DISTINCT o_orderkey) AS bank FROM orders""")
+def mask_unique_numbers(spark, sf):
+    """As many different numbers as keys."""
+    names = {"cm15": "cm15", "cm13": "cm13", "cm11": "cm11", "nat_id": "nat_id",
+             "bank_acct_no": "bank"}
+    ids = GENERATOR.table(_t(spark, sf)["orders"], "o_orderkey", ["cust_id", *names])
+    return ids.agg(F.count_distinct("cust_id").alias("keys"),
+                   *[F.count_distinct(f).alias(n) for f, n in names.items()])
+
+
 # ---------------------------------------------------------------------------
 # member table: one column per rule (own driver, J6)
 

@@ -160,8 +160,15 @@ def hash_passthrough(spark, sf):
     return protect.encrypt_with_column_keys(out, meta, samples.TEST_COLUMN_KEYS, ["c_name"])
 
 
+def _hmac_sql(column):
+    """HMAC-SHA-256 in DuckDB's own functions."""
+    inner, outer = (f"unhex('{p.hex()}')" for p in crypto.hmac_pads(samples.TEST_HASH_SECRET))
+    return (f"sha256({outer} || unhex(sha256({inner} || "
+            f"encode(CAST({column} AS VARCHAR)))))")
+
+
 @query("hash_key", f"""
-SELECT c_custkey, sha256('{samples.TEST_HASH_SECRET}' || CAST(c_custkey AS VARCHAR)) AS cust_token
+SELECT c_custkey, {_hmac_sql("c_custkey")} AS cust_token
 FROM customer""")
 def hash_key(spark, sf):
     c = _t(spark, sf)["customer"]
@@ -170,7 +177,7 @@ def hash_key(spark, sf):
 
 
 @query("encrypt_joinable", f"""
-SELECT o.o_orderkey, sha256('{samples.TEST_HASH_SECRET}' || CAST(o.o_custkey AS VARCHAR)) AS cust_token,
+SELECT o.o_orderkey, {_hmac_sql("o.o_custkey")} AS cust_token,
        c.c_mktsegment
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
 def encrypt_joinable(spark, sf):
