@@ -150,35 +150,45 @@ class Model:
         self.words[variant].add(found)
         return found
 
-    def _piece(self, words: list[str], start: int, base: int) -> bytes:
-        n = len(words)
+    def _which(self, n: int, start: int, base: int) -> list[int]:
+        """Variants of the words from number ``start`` on."""
         if self.p.variants == 1 or not self.threshold:
-            which = [0] * n
-        else:
-            with np.errstate(over="ignore"):
-                x = (np.arange(start, start + n, dtype=np.uint64) + np.uint64(base)) \
-                    * np.uint64(_GOLD)
-                x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX)
-            which = (x >> np.uint64(65 - self.p.variants.bit_length())).tolist()
+            return [0] * n
+        with np.errstate(over="ignore"):
+            x = (np.arange(start, start + n, dtype=np.uint64) + np.uint64(base)) \
+                * np.uint64(_GOLD)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX)
+        return (x >> np.uint64(65 - self.p.variants.bit_length())).tolist()
+
+    def _ids(self, lists: list[tuple[list[str], list[int]]]) -> list[bytes]:
+        """Ids of several word lists with their variants; words not met yet
+        are learnt for all of them at once."""
         get = [m.young.get for m in self.words]
-        parts = [get[v](w) for v, w in zip(which, words, strict=True)]
-        try:
-            return b"".join(parts)
-        except TypeError:                  # holds a None: words not met yet
-            missing: list[set[str]] = [set() for _ in self.words]
-            for v, w, p in zip(which, words, parts, strict=True):
-                if p is None:
-                    missing[v].add(w)
-            found = [self._learn(v, m) if m else {} for v, m in enumerate(missing)]
-            return b"".join([found[v][w] if p is None else p
-                             for v, w, p in zip(which, words, parts, strict=True)])
+        out: list = []
+        gaps = []
+        missing: list[set[str]] = [set() for _ in self.words]
+        for i, (words, which) in enumerate(lists):
+            parts = [get[v](w) for v, w in zip(which, words, strict=True)]
+            try:
+                out.append(b"".join(parts))
+            except TypeError:              # holds a None
+                out.append(None)
+                holes = [j for j, p in enumerate(parts) if p is None]
+                gaps.append((i, parts, holes))
+                for j in holes:
+                    missing[which[j]].add(words[j])
+        found = [self._learn(v, m) if m else {} for v, m in enumerate(missing)]
+        for i, parts, holes in gaps:
+            words, which = lists[i]
+            for j in holes:
+                parts[j] = found[which[j]][words[j]]
+            out[i] = b"".join(parts)
+        return out
 
-    def encode(self, text: str, key: str = "") -> np.ndarray:
-        """Ids of a text; ``key`` (say, the document's id) picks the variants."""
-        if not text:
-            return np.zeros(0, "<u4")
+    def _pieces_of(self, text: str, key: str) -> Iterator[tuple[list[str], list[int]]]:
+        """The text's words and their variants, a stretch of it at a time."""
         base = xxhash.xxh64_intdigest(key, self.p.seed)
-        out, at, start = [], 0, 0
+        at, start = 0, 0
         while at < len(text):
             # cut where a run of spaces starts; its first space opens a word
             stop = text.find(" ", at + _PIECE)
@@ -191,10 +201,31 @@ class Model:
                 words = [w[1:] for w in _SPACES.findall(some)]
             else:
                 words = some.split(" ")
-            out.append(self._piece(words, start, base))
+            yield words, self._which(len(words), start, base)
             start += len(words)
             at = stop
-        return np.frombuffer(b"".join(out), "<u4")
+
+    def encode(self, text: str, key: str = "") -> np.ndarray:
+        """Ids of a text; ``key`` (say, the document's id) picks the variants."""
+        return np.frombuffer(b"".join(
+            b"".join(self._ids([p])) for p in self._pieces_of(text, key)), "<u4")
+
+    def encode_many(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
+        """The same for several texts; short ones are dealt with together."""
+        out: list = [None] * len(texts)
+        held: list[tuple[int, tuple]] = []
+        size = 0
+        for i, (text, key) in enumerate(zip(texts, keys, strict=True)):
+            if not text or len(text) > _PIECE:
+                out[i] = self.encode(text, key)
+            else:
+                held.append((i, next(self._pieces_of(text, key))))
+                size += len(text)
+            if held and (size > _PIECE or i == len(texts) - 1):
+                for (j, _), raw in zip(held, self._ids([p for _, p in held]), strict=True):
+                    out[j] = np.frombuffer(raw, "<u4")
+                held, size = [], 0
+        return out
 
     def decode(self, ids) -> bytes:
         """The text's UTF-8 bytes (without the space put before it)."""
@@ -223,8 +254,8 @@ def encode(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFrame:
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = _model(model_path, p)
         for doc_ids, texts in batches:
-            found = [model.encode((t.as_py() or b"").decode(), _key(d.as_py()))
-                     for d, t in zip(doc_ids, texts, strict=True)]
+            found = model.encode_many([(t.as_py() or b"").decode() for t in texts],
+                                      [_key(d.as_py()) for d in doc_ids])
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
@@ -262,9 +293,10 @@ def round_trip(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFr
         model = _model(model_path, p)
         for doc_ids, texts in batches:
             cols: list[list] = [[] for _ in _TRIP]
-            for d, t in zip(doc_ids, texts, strict=True):
-                data = t.as_py() or b""
-                ids = model.encode(data.decode(), _key(d.as_py()))
+            given = [t.as_py() or b"" for t in texts]
+            every = model.encode_many([t.decode() for t in given],
+                                      [_key(d.as_py()) for d in doc_ids])
+            for data, ids in zip(given, every, strict=True):
                 back = model.decode(ids.tolist())
                 row = (len(ids), zlib.crc32(ids), len(back.decode()), zlib.crc32(back),
                        back == data)

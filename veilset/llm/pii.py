@@ -150,13 +150,20 @@ def _words(text: Column) -> Column:
     word = r"[^\x20\x09-\x0D]+"
     zipped = F.filter(F.arrays_zip(F.regexp_extract_all(text, F.lit(word), F.lit(0)),
                                    F.split(text, word, -1)), lambda x: x["0"].isNotNull())
-    def before(i: Column, measure) -> Column:
-        return F.aggregate(F.slice(zipped, F.lit(1), i + 1), F.lit(0),
-                           lambda a, x: a + measure(x["1"]) + measure(x["0"]))
-    return F.transform(zipped, lambda x, i: F.struct(
-        x["0"].alias("w"),
-        (before(i, F.length) - F.length(x["0"])).alias("at"),
-        (before(i, F.octet_length) - F.octet_length(x["0"])).alias("at_byte")))
+
+    def place(z: Column, i: Column, measure) -> Column:
+        """What stands before the i-th word, by ``measure``."""
+        return F.aggregate(F.slice(z, F.lit(1), i), F.lit(0),
+                           lambda a, x: a + measure(x["1"]) + measure(x["0"])) \
+            + measure(F.element_at(z, i + 1)["1"])
+
+    def words(z: Column) -> Column:
+        return F.transform(z, lambda x, i: F.struct(
+            x["0"].alias("w"), place(z, i, F.length).alias("at"),
+            place(z, i, F.octet_length).alias("at_byte")))
+
+    # bound to a lambda variable, so that the text is taken apart once
+    return F.element_at(F.transform(F.array(zipped), words), 1)
 
 
 def _term_spans(base: DataFrame, p: Params) -> DataFrame:
@@ -237,7 +244,7 @@ def spans(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     start_byte, end_byte, disclosure (NULL for base spans)."""
     scan = _scan(docs, p)
     base = staged(_base(scan), "pii-base")
-    terms = _term_spans(base, p)
+    terms = staged(_term_spans(base, p), "pii-terms")
     told = disclosures(docs, scan, base, terms, p)
     place = ["doc_id", "h", "start", "end", "start_byte", "end_byte"]
     extra = terms.join(told, ["kind", "entity", "term"]).groupBy(*place).agg(
