@@ -31,6 +31,7 @@ columns are ignored by :func:`find` and carried by :func:`sanitise`.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,15 +109,18 @@ def _matches(text: Column, kind: str, p: Params) -> Column:
         F.octet_length(x["1"]).alias("gap_bytes"),
         F.right(x["1"], F.lit(p.context_chars)).alias("before"),
         F.left(x["2"], F.lit(p.context_chars)).alias("after")))
-    need = _NEEDS[kind]
-    may = F.contains(text, F.lit(need)) if need else text.rlike(PATTERNS[kind])
-    if kind == "ip":
-        may = may & text.rlike(r"[0-9]\.[0-9]")
-    return F.when(may, spans).otherwise(F.array().cast(
+    return F.when(_may_match(text, kind), spans).otherwise(F.array().cast(
         "array<struct<kind:string,value:string,gap:int,gap_bytes:int,before:string,"
         "after:string>>"))
 
 
+def _may_match(text: Column, kind: str) -> Column:
+    """Cheap test that every text with a match of the kind passes."""
+    need = _NEEDS[kind]
+    may = F.contains(text, F.lit(need)) if need else text.rlike(PATTERNS[kind])
+    return may & text.rlike(r"[0-9]\.[0-9]") if kind == "ip" else may
+
+
 def _scan(docs: DataFrame, p: Params) -> DataFrame:
     """doc_id, text hash and the raw matches of every row (staged)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -296,11 +300,14 @@ def sanitise(docs: DataFrame, p: Params = Params()) -> DataFrame:
     masks = islands.groupBy("doc_id", "h").agg(
         F.array_sort(F.collect_list(F.struct("a", "b", "label"))).alias("m")).select(
         F.col("doc_id").alias("mask_id"), F.col("h").alias("mask_h"), "m")
-    packed = docs.select(
-        F.col("doc_id").alias("own_id"),
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own_h"),
-        whole_row(docs))
-    joined = packed.join(masks, F.col("own_id").eqNullSafe(F.col("mask_id"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    packed = docs.select(F.col("doc_id").alias("own_id"), F.xxhash64(text).alias("own_h"),
+                         whole_row(docs),
+                         reduce(lambda a, b: a | b, [_may_match(text, k) for k in KINDS])
+                         .alias("may"))
+    # texts without a span stay where they are; only the others meet their masks
+    plain = packed.where("NOT may").select("row")
+    joined = packed.where("may").join(masks, F.col("own_id").eqNullSafe(F.col("mask_id"))
                          & (F.col("own_h") == F.col("mask_h")), "left")
     raw = F.col("row.text").cast("binary")
     # text between the masks: zip each mask with the end of the one before it
@@ -315,6 +322,7 @@ def sanitise(docs: DataFrame, p: Params = Params()) -> DataFrame:
     new = {"text": F.col("new_text"),
            "n_chars": F.when(F.col("row.n_chars").isNotNull(), F.length("new_text"))
            .cast("long") if "n_chars" in docs.columns else None}
-    return unpack_row(out.select(F.struct(*[
+    masked = out.select(F.struct(*[
         (new[c] if new.get(c) is not None else F.col(f"row.`{c}`")).alias(c)
-        for c in docs.columns]).alias("row")))
+        for c in docs.columns]).alias("row"))
+    return unpack_row(masked.unionAll(plain))
