@@ -125,8 +125,8 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
     if strategy == "isin" and len(pairs) == 1:
         # one bounded job: at most isin_limit + 1 distinct keys reach the driver
         probe = (kset.distinct() if unique else kset).limit(isin_limit + 1).collect()
+        t, _ = pairs[0]
         if len(probe) <= isin_limit:
-            t, _ = pairs[0]
             values = [r[0] for r in probe]
             return df.where(in_lists(key_column(df, t), values)) if values \
                 else df.where(F.lit(False))
