@@ -8,7 +8,10 @@ import pytest
 import corpus_pipeline
 from veilset.llm import pieces
 
-from . import test_mixing, test_pii, test_quality, test_simhash
+from . import test_mixing as of_mixing
+from . import test_pii as of_pii
+from . import test_quality as of_quality
+from . import test_simhash as of_simhash
 from .helpers import MESSY, SF1, empty, messy
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,14 +39,14 @@ def test_names_and_columns(stages):
 
 def test_quality(stages):
     given, made, _ = stages[0]
-    want = [r for r in given if not test_quality.brute(r["text"])[5]
-            and test_quality.brute_kept(r["text"])]
+    want = [r for r in given if not of_quality.brute(r["text"])[5]
+            and of_quality.brute_kept(r["text"])]
     assert sorted(made) == sorted(want)
 
 
 def test_simhash(stages):
     given, made, _ = stages[1]
-    groups = test_simhash.brute_groups([test_simhash.brute_print(r["text"]) for r in given],
+    groups = of_simhash.brute_groups([of_simhash.brute_print(r["text"]) for r in given],
                                        [r["doc_id"] for r in given])
     assert sorted(made) == sorted(r for r, g in zip(given, groups, strict=True)
                                   if r["doc_id"] == g)
@@ -57,8 +60,8 @@ def test_pii(stages):
         new = got[r["doc_id"]]
         assert new["n_chars"] == len(new["text"])
         assert (new["lang"], new["source"]) == (r["lang"], r["source"])
-        found = test_pii.base(r["text"])
-        assert not test_pii.base(new["text"])
+        found = of_pii.base(r["text"])
+        assert not of_pii.base(new["text"])
         if not found:
             assert new["text"] == r["text"]
         else:
@@ -74,11 +77,11 @@ def test_mixing(stages):
     assert set(have) == set(shown)                        # nothing dropped, nothing new
     size, now = Counter(), Counter()
     for r in given:
-        size[r["source"]] += test_mixing.tokens(r["text"])
+        size[r["source"]] += of_mixing.tokens(r["text"])
     for r in made:
-        now[r["source"]] += test_mixing.tokens(r["text"])
+        now[r["source"]] += of_mixing.tokens(r["text"])
     for s, n in size.items():
-        longest = max(test_mixing.tokens(r["text"]) for r in given if r["source"] == s)
+        longest = max(of_mixing.tokens(r["text"]) for r in given if r["source"] == s)
         assert n <= now[s] <= 1.5 * n + longest
 
 

@@ -14,16 +14,9 @@ class Memo:
 
     def recall(self, keys: set) -> tuple[dict, list]:
         """What is known of ``keys``, and the rest."""
-        known, rest = {}, []
-        for k in keys:
-            v = self.young.get(k)
-            if v is None:
-                v = self.old.get(k)
-            if v is None:
-                rest.append(k)
-            else:
-                known[k] = v
-        return known, rest
+        young, old = self.young, self.old
+        known = {k: young[k] if k in young else old[k] for k in keys if k in young or k in old}
+        return known, [k for k in keys if k not in known]
 
     def add(self, found: dict) -> None:
         if len(self.young) + len(found) > self.limit:

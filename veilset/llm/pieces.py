@@ -31,6 +31,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +128,8 @@ class Model:
     def _cut(self, word: str) -> list[str]:
         """The word's units: parts that no piece connects."""
         beside, at, out = self.beside, 0, []
+        if beside.issuperset(map(add, word, word[1:])):
+            return [word]
         for i in range(1, len(word)):
             if word[i - 1:i + 1] not in beside:
                 out.append(word[at:i])
