@@ -92,3 +92,29 @@ def test_empty_table(spark):
 ])
 def test_markup(page, want):
     assert T.extract(T.parse(page)) == want
+
+
+def test_templates_inside_articles_go(spark):
+    """A box of neutral class in every article; copies and headings prove nothing."""
+    rows = [(i, f"http://h.example/{i}", f"<body><article><h2>Summary</h2><p>Story {i}, <i>et al."
+             f"</i></p><div class=box><p>Get our letter</p></div></article></body>")
+            for i in range(8)]
+    rows += [(100 + i, f"http://c.example/{i}", "<article><p>One text.</p><p>And more.</p>"
+              "</article>") for i in range(9)]
+    got = {r[0]: r[2] for r in run(spark, rows)}
+    for i in range(8):
+        assert got[i] == f"Summary\n\nStory {i}, et al."
+    assert {got[100 + i] for i in range(9)} == {"One text.\n\nAnd more."}
+
+
+def test_an_article_of_known_blocks_only_stays(spark):
+    rows = [(i, f"http://h.example/{i}", f"<article><p>Shared.</p>{f'<p>Own {i}.</p>' * (i > 0)}"
+             "</article>") for i in range(8)]
+    got = {r[0]: r[2] for r in run(spark, rows)}
+    assert got[0] == "Shared." and got[3] == "Own 3."
+
+
+def test_a_teaser_card_is_not_the_page():
+    page = ("<body><article><h3>Read next</h3></article><div><h1>Title</h1><p>"
+            + "main text " * 20 + "</p></div></body>")
+    assert "main text" in T.extract(T.parse(page))

@@ -4,19 +4,23 @@ A page is parsed to a tree of elements.  What its site repeats is found by
 counting: the hash of every element subtree (tag, class, role and text of all
 below) is counted per host, and a subtree that recurs on at least
 ``min_pages`` pages and on ``min_share`` of the host's pages is template and
-deleted.  Inside the page's own article (``article`` or ``main``) nothing is
-template, as two pages may share a paragraph, or a whole text.
+deleted.  Inside the page's own article (``article`` or ``main``) the same holds,
+but there different articles are counted, not pages, so copies of an article
+prove nothing; only whole blocks are counted (no headings, list items, table
+cells or words inside a line, which recur without being template), and an
+article that would be left empty stays whole.
 
 Besides, elements whose tag, role or class name says that they are no text of
 the article are dropped (navigation, headers and footers of the page, asides,
 forms, scripts, adverts, notices, reader comments).  If the page marks its
-article, only that is taken.
+article, only that is taken, unless more text is left outside it than inside: then
+the mark is on a teaser and the whole page is taken.
 
 Text: character references are decoded, white space inside a block becomes
 one space, blocks are trimmed and joined by an empty line.
 
 Scale: subtree hashes are distinct per page and counted with map-side
-combine, so a host that holds a third of all pages is no hot group; a host's
+combine (those inside articles once per article, dealt by host, hash and article), so a host that holds a third of all pages is no hot group; a host's
 list holds at most (subtrees of a page / ``min_share``) hashes.  The lists are
 staged, so Spark knows their size and broadcasts them only if they are small;
 else pages join them by host, and AQE splits a hot host's pages.
@@ -40,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code, staged, text_bytes
+from .common import rows_to_struct, ship_code, staged, text_bytes
 
 # HTML's element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -80,6 +84,11 @@ DROP_NAMES = frozenset(
 # Such names outside the article only (inside it they may hold its title).
 OUTER_NAMES = frozenset({"header", "topbar", "site"})
 ARTICLE = frozenset({"article", "main"})
+# Blocks that may be template inside an article.
+INNER = BLOCK - ARTICLE - frozenset(
+    "body caption dd dt figcaption h1 h2 h3 h4 h5 h6 head hr html li summary tbody td tfoot th "
+    "thead title tr".split())
+_INSIDE = 0x5851F42D4C957F2D     # tells hashes inside articles from those outside
 
 # A comment; a tag; a declaration; what starts as a tag but is none.  Possessive
 # repeats and no "<" inside a tag (but in quotes) keep matching linear.
@@ -106,7 +115,8 @@ class Node:
     tag: str
     attrs: str = ""
     children: list = field(default_factory=list)     # nodes and strings
-    digest: int = 0
+    digest: int = 0                                  # 0: is or holds an article
+    content: int = 0
 
 
 def parse(page: str) -> Node:
@@ -181,13 +191,11 @@ def dropped(node: Node, inside: bool) -> bool:
 def digest(node: Node) -> int:
     """Hash of a subtree: tag, class and role, words of the text, children.
     An article, and what contains one, is no template: its hash is 0."""
-    if node.tag in ARTICLE:
-        return 0
     h = xxhash.xxh64(node.tag)
     if node.attrs:
         a = _attrs(node)
         h.update(f"|{a.get('class', '')}|{a.get('role', '')}")
-    article = False
+    article = node.tag in ARTICLE
     for c in node.children:
         if isinstance(c, str):
             if c := _SPACE.sub(" ", c).strip():
@@ -195,8 +203,9 @@ def digest(node: Node) -> int:
         else:
             below = digest(c)
             article |= below == 0
-            h.update(below.to_bytes(8, "little"))
-    node.digest = 0 if article else h.intdigest()
+            h.update((below or c.content).to_bytes(8, "little"))
+    node.content = h.intdigest()
+    node.digest = 0 if article else node.content
     return node.digest
 
 
@@ -220,6 +229,25 @@ def outer_subtrees(root: Node) -> set[int]:
     return found
 
 
+def inner_subtrees(root: Node) -> tuple[int | None, set[int]]:
+    """Hash of the page's articles (None without one), and hashes of the blocks
+    in them.  Follows :func:`outer_subtrees`, which hashes the tree."""
+    found: set[int] = set()
+
+    def walk(node: Node) -> None:
+        for c in node.children:
+            if isinstance(c, Node) and c.tag not in VOID:
+                if c.digest and c.tag in INNER:
+                    found.add(_signed(c.digest ^ _INSIDE))
+                walk(c)
+
+    articles = _inner(root)
+    for a in articles:
+        walk(a)
+    content = xxhash.xxh64(b"".join(a.content.to_bytes(8, "little") for a in articles))
+    return (_signed(content.intdigest()) if articles else None), found
+
+
 def _inner(root: Node) -> list[Node]:
     """The page's outermost articles that are not dropped: ``article``
     elements, or ``main`` where it holds none."""
@@ -235,10 +263,13 @@ def _inner(root: Node) -> list[Node]:
     return within(root)
 
 
-def extract(root: Node, template: frozenset[int] = frozenset()) -> str:
-    """Main text of a parsed page."""
+def _text(nodes: list[Node], inside: bool, template: frozenset[int],
+          shared: bool = True) -> tuple[str, list[int]]:
+    """Text of what stands in the nodes, and how much of it (in characters, without
+    white space) is outside and inside articles.  ``shared``: whether templates inside articles go."""
     blocks: list[str] = []
     line: list[str] = []
+    size = [0, 0]
 
     def close() -> None:
         text = " ".join(html.unescape("".join(line)).split())
@@ -246,10 +277,16 @@ def extract(root: Node, template: frozenset[int] = frozenset()) -> str:
         if text:
             blocks.append(text)
 
+    def recurs(c: Node, inside: bool) -> bool:
+        if inside:
+            return shared and c.tag in INNER and _signed(c.digest ^ _INSIDE) in template
+        return _signed(c.digest) in template
+
     def walk(node: Node, inside: bool) -> None:
         for c in node.children:
             if isinstance(c, str):
                 line.append(c)
+                size[inside] += len("".join(c.split()))
                 continue
             if c.tag in VOID:
                 if c.tag in ("br", "hr"):
@@ -257,7 +294,7 @@ def extract(root: Node, template: frozenset[int] = frozenset()) -> str:
                 if c.tag == "hr":
                     close()
                 continue
-            if dropped(c, inside) or not inside and _signed(c.digest) in template:
+            if dropped(c, inside) or template and c.digest and recurs(c, inside):
                 # a dropped block parts the text around it
                 if c.tag in BLOCK:
                     close()
@@ -269,17 +306,24 @@ def extract(root: Node, template: frozenset[int] = frozenset()) -> str:
             else:
                 walk(c, inside)
 
-    articles = _inner(root)
-    if articles:
-        for a in articles:
-            walk(a, True)
-            close()
-    else:
-        if template:
-            digest(root)
-        walk(root, False)
+    for n in nodes:
+        walk(n, inside)
         close()
-    return "\n\n".join(blocks)
+    return "\n\n".join(blocks), size
+
+
+def extract(root: Node, template: frozenset[int] = frozenset()) -> str:
+    """Main text of a parsed page."""
+    if template:
+        digest(root)
+    articles = _inner(root)
+    if not articles:
+        return _text([root], False, template)[0]
+    found = [_text([a], True, template)[0] or _text([a], True, template, False)[0]
+             for a in articles]
+    text = "\n\n".join(t for t in found if t)
+    page, (outside, inside) = _text([root], False, template)
+    return page if outside > max(inside, len("".join(text.split()))) else text
 
 
 # ---- Spark ------------------------------------------------------------------
@@ -288,12 +332,21 @@ def _page(data: bytes | None) -> Node:
     return parse((data or b"").decode())
 
 
+_SEEN = pa.struct([("outer", pa.list_(pa.int64())), ("content", pa.int64()),
+                   ("inner", pa.list_(pa.int64()))])
+
+
 def _hashes_udf():
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf("struct<outer:array<long>,content:long,inner:array<long>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([sorted(outer_subtrees(_page(v.as_py()))) for v in batch],
-                           pa.list_(pa.int64()))
+            rows = []
+            for v in batch:
+                root = _page(v.as_py())
+                outer = sorted(outer_subtrees(root))
+                content, inner = inner_subtrees(root)
+                rows.append((outer, content, sorted(inner)))
+            yield rows_to_struct(rows, _SEEN)
 
     return run.asNondeterministic()
 
@@ -313,14 +366,24 @@ def _text_udf():
 def templates(pages: DataFrame, p: Params = Params()) -> DataFrame:
     """host, template (hashes of the subtrees that recur on it)."""
     host = F.lower(F.coalesce(F.regexp_extract("url", _HOST, 1), F.lit("")))
-    seen = pages.select(host.alias("host"), _hashes_udf()(text_bytes("html")).alias("found"))
-    # a NULL hash stands for the page itself, so that one count serves both
-    each = seen.select("host", F.explode(F.concat(
-        F.array(F.lit(None).cast("long")), "found")).alias("subtree"))
-    counted = staged(each.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(
+    seen = pages.select(host.alias("host"), _hashes_udf()(text_bytes("html")).alias("s"))
+    # a NULL hash stands for the page or the article itself, so that one count serves all;
+    # inside articles (content not NULL) each different article counts once
+    one = F.array(F.lit(None).cast("long"))
+    entry = lambda content: lambda x: F.struct(
+        x.alias("subtree"), content.cast("long").alias("content"))
+    outer = F.transform(F.concat(one, F.col("s.outer")), entry(F.lit(None)))
+    inner = F.transform(F.concat(one, F.col("s.inner")), entry(F.col("s.content")))
+    each = seen.select("host", F.explode(F.when(F.col("s.content").isNull(), outer).otherwise(
+        F.concat(outer, inner))).alias("e")).select("host", "e.*")
+    inside = F.col("content").isNotNull()
+    per = each.groupBy("host", "subtree", "content").agg(F.count("*").alias("n")).select(
+        "host", "subtree", inside.alias("inside"), F.when(inside, 1).otherwise(F.col("n"))
+        .alias("n"))
+    counted = staged(per.groupBy("host", "subtree", "inside").agg(F.sum("n").alias("n")).where(
         f"subtree IS NULL OR n >= {p.min_pages}"), "html-counts")
-    pages_of = counted.where("subtree IS NULL").select("host", F.col("n").alias("pages"))
-    often = counted.where("subtree IS NOT NULL").join(pages_of, "host").where(
+    pages_of = counted.where("subtree IS NULL").select("host", "inside", F.col("n").alias("pages"))
+    often = counted.where("subtree IS NOT NULL").join(pages_of, ["host", "inside"]).where(
         F.col("n") >= F.col("pages") * p.min_share)
     return staged(often.groupBy("host").agg(
         F.sort_array(F.collect_list("subtree")).alias("template")), "html-templates")
