@@ -123,3 +123,38 @@ def test_own_templates(spark):
     got = L.scan(messy(spark, [(1, "use of this thing needs a license from Zork", "en", "a")]),
                  {"Zork": "needs a license from Zork"}).first()
     assert got["licenses"] == "Zork"
+
+
+HEADER = ("This program is free software; you can redistribute it and/or modify it under the "
+          "terms of the GNU {}General Public License as published by the Free Software "
+          "Foundation; either version {} of the License, or (at your option) any later version.")
+
+
+def test_telling_words_and_numbers_count_on_both_sides():
+    for extra, number, want in [("", "2", ["GPL-2.0-or-later-header"]),
+                                ("", "3", ["GPL-3.0-or-later-header"]), ("", "4", []),
+                                ("Lesser ", "3", ["LGPL-3.0-or-later-header"]),
+                                ("Lesser ", "2.1", ["LGPL-2.1-or-later-header"]),
+                                ("Affero ", "3", ["AGPL-3.0-or-later-header"]),
+                                ("Affero ", "2", []), ("Apache ", "3", [])]:
+        assert names(HEADER.format(extra, number)) == want, (extra, number)
+
+
+def test_a_rejected_place_does_not_end_the_window():
+    text = HEADER.format("", "4") + " " + HEADER.format("", "3")
+    assert names(text, scanner(templates={k: v for k, v in L.TEMPLATES.items() if k ==
+                                          "GPL-3.0-or-later-header"})) == [
+        "GPL-3.0-or-later-header"]
+
+
+def test_the_license_that_holds_another_wins():
+    bsd = L.TEMPLATES["BSD-3-Clause-text"]
+    assert names(bsd.replace("the copyright holder nor", "Zork Inc. nor")) == ["BSD-3-Clause-text"]
+    # another third clause makes no BSD-2 of it; bullets may stand for numbers
+    assert names(bsd[:bsd.index("endorse")] + prose(40)) == []
+    bullets = bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    assert names(bullets) == ["BSD-3-Clause-text"]
+    assert names(bullets.replace("the copyright holder nor", "Zork nor")) == ["BSD-3-Clause-text"]
+    assert names(f"{prose(9)}\n{L.TEMPLATES['BSD-2-Clause-text']}\n{prose(9)}") == [
+        "BSD-2-Clause-text"]
+    assert names("GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n") == ["GPL-3.0-body"]

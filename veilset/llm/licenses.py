@@ -6,7 +6,9 @@ template as zstandard's raw dictionary; templates are ranked by the bytes that
 they save, as a share of the template's own size, and those that save enough
 are confirmed by exact wording: the words of the template are aligned with the
 block's, and the words that differ must be few enough for the template's
-length, none of them a word that tells licenses apart.
+length, and on neither side (missing, added or changed) a word that tells
+licenses apart or a number.  Numbers of list items are no words.  A text that
+goes on as a longer license does where the template ends is not the template's.
 
 A candidate block is a run of lines from one that holds a cue word ("license",
 "copyright", ...) to another, no more than ``gap`` lines from one such line to
@@ -21,8 +23,8 @@ are a parameter, small and sent with the code.
 
 Defined cases: NULL and empty texts have no blocks; a template found several
 times counts each time; of finds that
-overlap the one with fewer differences stays, then the longer template, then
-the smaller name; repeated rows are scanned
+overlap the one that agrees in most words stays (so a license that holds another
+one whole wins), then the one with fewer differences, then the smaller name; repeated rows are scanned
 each; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -77,11 +79,64 @@ TEMPLATES = {
         "disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
         "notice, this list of conditions and the following disclaimer in the documentation "
         "and/or other materials provided with the distribution."),
+    "BSD-3-Clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source "
+        "code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. 3. Neither the name of the "
+        "copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."),
+    "BSD-4-Clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source "
+        "code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. 3. All advertising materials "
+        "mentioning features or use of this software must display the following "
+        "acknowledgement: This product includes software developed by the organization. 4. "
+        "Neither the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior "
+        "written permission."),
     "GPL-3.0": "licensed under the GNU General Public License, version 3",
     "GPL-3.0-or-later-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version."),
+    "GPL-2.0-or-later-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version."),
+    "LGPL-2.0-or-later-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Library General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version."),
+    "LGPL-2.1-or-later-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version."),
+    "LGPL-3.0-or-later-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version."),
+    "AGPL-3.0-or-later-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version."),
+    "GPL-2.0-only-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License version 2 as published by the Free Software "
+        "Foundation."),
+    # the long licenses by their titles
+    "GPL-2.0-body": "GNU General Public License Version 2, June 1991",
+    "GPL-3.0-body": "GNU General Public License Version 3, 29 June 2007",
+    "LGPL-2.0-body": "GNU Library General Public License Version 2, June 1991",
+    "LGPL-2.1-body": "GNU Lesser General Public License Version 2.1, February 1999",
+    "LGPL-3.0-body": "GNU Lesser General Public License Version 3, 29 June 2007",
+    "AGPL-3.0-body": "GNU Affero General Public License Version 3, 19 November 2007",
+    "Apache-2.0-body": "Apache License Version 2.0, January 2004",
     "GPL-2.0": "licensed under the GNU General Public License, version 2",
     "LGPL-3.0": "licensed under the GNU Lesser General Public License, version 3",
     "AGPL-3.0": "licensed under the GNU Affero General Public License, version 3",
@@ -100,7 +155,7 @@ TEMPLATES = {
 }
 CUES = (b"licen", b"copyright", b"permission", b"redistribut", b"warrant", b"public domain",
         b"free software", b"unencumbered")
-# Words that tell one license from another: these must not differ.
+# Words that tell one license from another: these, and numbers, must not differ.
 TELLING = frozenset(
     "affero apache boost bsd by cc cc0 gnu isc lesser mit mozilla nc nd public sa unlicense "
     "general".split())
@@ -108,6 +163,11 @@ TELLING = frozenset(
 # Words of which every template holds one, as stems.
 _CUE = re.compile("licen|copyright|permission|redistribut|warrant|public|software|unencumbered")
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
+_KIND = re.compile("-(?:text|header|notice|body)$")
+_DIGIT = re.compile(r"\d")
+# The number of a list item: one or two digits, a point or bracket behind them,
+# and before them no word that they could belong to ("version 3.").
+_ITEM = re.compile(r"(?:\A|[:;.,*#/(])\s*\(?(\d{1,2})[.)](?=\s)")
 
 
 @dataclass(frozen=True)
@@ -123,6 +183,16 @@ def words_of(text: str) -> list[tuple[str, int, int]]:
     return [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
 
 
+def placed_words(text: str) -> tuple[list[tuple[str, int, int]], list[str]]:
+    """Words but for the numbers of lists, and for each what tells licenses
+    apart in it: its parts that are such words, or a number; else empty."""
+    items = {m.start(1) for m in _ITEM.finditer(text)}
+    placed = [w for w in words_of(text) if w[1] not in items]
+    return placed, [w if _DIGIT.search(w) else
+                    " ".join(x for x in re.split("[.-]", w) if x in TELLING)
+                    for w, _, _ in placed]
+
+
 def differences(template: list[str], block: list[str]) -> tuple[int, int, int]:
     """Fewest word differences (missing, added or changed) between the
     template and a stretch of the block, and that stretch (start, end)."""
@@ -159,13 +229,21 @@ class Scanner:
         self.frame = len(self.plain.compress(b""))
         self.templates = []
         for name, text in sorted(templates.items()):
-            data = " ".join(w for w, _, _ in words_of(text)).encode()
+            placed, tells = placed_words(text)
+            words = [w for w, _, _ in placed]
+            data = " ".join(words).encode()
             raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            words = [w for w, _, _ in words_of(text)]
             if not any(map(_CUE.search, words)):
                 raise ValueError(f"template {name} holds no cue word")
             self.templates.append((name, words, zstandard.ZstdCompressor(
-                level=p.level, dict_data=raw), len(self.plain.compress(data)) - self.frame))
+                level=p.level, dict_data=raw), len(self.plain.compress(data)) - self.frame,
+                [t for t in tells if t], frozenset(words)))
+        # where a template is how another license starts: the words that follow there
+        self.goes_on = {name: {tuple(other[len(words):len(words) + 4])
+                               for longer, other, *_ in self.templates
+                               if len(other) > len(words) and other[:len(words)] == words
+                               and _KIND.sub("", longer) != _KIND.sub("", name)}
+                        for name, words, *_ in self.templates}
         self.margin = max((len(t) for t in templates.values()), default=0) * 3 // 2
 
     def blocks(self, text: str) -> list[tuple[int, str]]:
@@ -205,20 +283,24 @@ class Scanner:
                 yield max(0, c - 2 * size), min(n, c + 2 * size)
                 reach = c + size
 
-    def found(self, words: list[str], template: tuple) -> Iterator[tuple]:
+    def found(self, words: list[str], tells: list[str], template: tuple) -> Iterator[tuple]:
         """(first word, word behind the last, saving, differences) of each time
         that a template stands in a window."""
-        name, own, *_ = template
+        _, own, _, _, own_tells, distinct = template
+        most = self.p.differing * len(own)
         todo = [(0, len(words))]
         while todo:
             a, b = todo.pop()
-            if b <= a or (saving := self.saving(words[a:b], template)) < self.p.min_saving:
+            # each word of the template that the window lacks is a difference
+            if b <= a or len(distinct.difference(words[a:b])) > most or \
+                    (saving := self.saving(words[a:b], template)) < self.p.min_saving:
                 continue
             n, i, j = differences(own, words[a:b])
-            if n > self.p.differing * len(own) or \
-                    n and set(own) & TELLING - set(words[a + i:a + j]):
+            if n > most:
                 continue
-            yield a + i, a + j, saving, n
+            # with a word that tells differing, it is another license; look on beside it
+            if not n or [t for t in tells[a + i:a + j] if t] == own_tells:
+                yield a + i, a + j, saving, n
             todo += [(a, a + i), (a + j, b)]
 
     def scan(self, text: str) -> tuple[int, list[tuple]]:
@@ -229,17 +311,19 @@ class Scanner:
         blocks = self.blocks(text)
         every: set[tuple] = set()
         for place, block in blocks:
-            placed = words_of(block)
+            placed, tells = placed_words(block)
             words = [w for w, _, _ in placed]
             cues = [i for i, w in enumerate(words) if _CUE.search(w)]
             for t in self.templates:
                 for a, b in self.windows(cues, len(words), len(t[1])):
-                    for i, j, saving, n in self.found(words[a:b], t):
+                    for i, j, saving, n in self.found(words[a:b], tells[a:b], t):
+                        if tuple(words[a + j:a + j + 4]) in self.goes_on[t[0]]:
+                            continue
                         every.add((place + placed[a + i][1], place + placed[a + j - 1][2], t[0],
                                    round(saving, 6), n, len(t[1])))
-        # of finds that overlap: the best wording, then the longer template
+        # of finds that overlap: the most words in agreement, then the best wording
         kept: list[tuple] = []
-        for f in sorted(every, key=lambda f: (f[4], -f[5], f[2], f[0], -f[3])):
+        for f in sorted(every, key=lambda f: (f[4] - f[5], f[4], f[2], f[0], -f[3])):
             if all(f[1] <= k[0] or k[1] <= f[0] for k in kept):
                 kept.append(f[:5])
         return len(blocks), sorted(kept)
