@@ -191,3 +191,18 @@ def test_sanitise_keeps_columns_and_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.find(messy(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_terms_go_wherever_they_stand_with_their_entity(spark):
+    """Far from the address, and a second time in the text; not in other texts."""
+    rnd = random.Random(5)
+    say = lambda k: " ".join(rnd.choice(["river", "table", "green", "house"])
+                             for _ in range(k))
+    docs = [(i, f"Far: Quillfeather! {say(30)} far@mail.example {say(30)} (Wimblestone), "
+                f"quillfeather's {say(3)}") for i in range(6)]
+    docs += [(100 + i, f"{say(30)} u{i}@mail.example {say(6)}") for i in range(60)]
+    got = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, docs)).collect()}
+    for d, t in docs[:6]:
+        assert not re.search("quillfeather|wimblestone|far@", got[d], re.I)
+        assert "river" in got[d] or "river" not in t
+    assert all(got[d] == re.sub(r"u\d+@mail.example", "[EMAIL]", t) for d, t in docs[6:])

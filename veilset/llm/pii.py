@@ -18,6 +18,10 @@ entity.  Terms at ``generalise_at`` or more become a placeholder, at
 different surroundings in as many texts on, so neither copies of a text nor
 lines repeated in it prove anything; ``n(t, e)`` is the smaller of both.
 
+:func:`find` reports the terms beside base spans.  :func:`sanitise` also takes
+every word of a text that holds the entity as a candidate, however far from the
+span, and masks each occurrence of a disclosing term in all texts with its entity.
+
 Scale: patterns run once, in the scan; only rows with a span are exploded.
 Term frequencies are counted over every text, but only for the candidate
 terms, after map-side aggregation.  No value of any entity reaches the driver.
@@ -210,6 +214,25 @@ def _term_spans(base: DataFrame, p: Params) -> DataFrame:
     ).where("term != ''")
 
 
+def _words_with(docs: DataFrame, base: DataFrame, p: Params) -> DataFrame:
+    """kind, entity, term, h, ctx: the words of each distinct text that holds an
+    entity of at least ``min_contexts`` texts (others can have no term)."""
+    holds = base.select("kind", "entity", "h").distinct()
+    several = holds.join(holds.groupBy("kind", "entity").agg(F.count("*").alias("n")).where(
+        F.col("n") >= p.min_contexts), ["kind", "entity"], "left_semi")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    may = reduce(lambda a, b: a | b, [_may_match(text, k) for k in KINDS])
+    core = F.transform(
+        F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: ~w.rlike("[@0-9]")),
+        lambda w: F.lower(F.regexp_extract(
+            w, r"^[^\p{L}\p{M}]*([\p{L}\p{M}]{3,})[^\p{L}\p{M}]*$", 1)))
+    words = docs.where(may).select(F.xxhash64(text).alias("h"), core.alias("w"))
+    known = several.select("h").distinct()
+    each = words.join(known, "h", "left_semi").select(
+        "h", F.explode(F.array_distinct("w")).alias("term")).where("term != ''").distinct()
+    return each.join(several, "h").select("kind", "entity", "term", "h", F.col("h").alias("ctx"))
+
+
 def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFrame,
                 p: Params = Params()) -> DataFrame:
     """kind, entity, term, disclosure: the pairs at ``generalise_at`` or more.
@@ -246,6 +269,12 @@ def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFr
 def spans(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     """The scan (doc_id, h per row) and all spans: doc_id, h, kind, start, end,
     start_byte, end_byte, disclosure (NULL for base spans)."""
+    scan, found, _ = _spans(docs, p)
+    return scan.select("doc_id", "h"), found
+
+
+def _spans(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The scan, all spans and the base spans."""
     scan = _scan(docs, p)
     base = staged(_base(scan), "pii-base")
     terms = staged(_term_spans(base, p), "pii-terms")
@@ -255,7 +284,7 @@ def spans(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
         F.max("disclosure").alias("disclosure"))
     found = base.select(*place, "kind", F.lit(None).cast("double").alias("disclosure")).unionAll(
         extra.select(*place, F.lit("term").alias("kind"), "disclosure"))
-    return scan.select("doc_id", "h"), staged(found, "pii-spans")
+    return scan, staged(found, "pii-spans"), base
 
 
 def find(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -284,7 +313,18 @@ def find(docs: DataFrame, p: Params = Params()) -> DataFrame:
 def sanitise(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs`` with every span masked in ``text``; other columns untouched,
     but for ``n_chars`` (if there), which follows the text."""
-    _, found = spans(docs, p)
+    scan, found, base = _spans(docs, p)
+    wide = staged(_words_with(docs, base, p), "pii-words")
+    told = disclosures(docs, scan, base, wide, p)
+    # terms of each text with their entity, the strongest disclosure of each
+    each = base.select("doc_id", "h", "kind", "entity").distinct().join(
+        told, ["kind", "entity"]).groupBy("doc_id", "h", "term").agg(
+        F.max("disclosure").alias("d"))
+    which = lambda c: F.array_join(F.array_sort(F.collect_list(
+        F.when(c, F.col("term")))), "|")
+    in_text = each.groupBy("doc_id", "h").agg(
+        which(F.col("d") >= p.remove_at).alias("gone"),
+        which(F.col("d") < p.remove_at).alias("general"))
     kind = F.when(F.col("kind") != "term", F.col("kind")).when(
         F.col("disclosure") >= p.remove_at, F.lit("removed")).otherwise(F.lit("term"))
     labels = F.create_map(*[F.lit(x) for kv in _MASK.items() for x in kv])
@@ -297,9 +337,11 @@ def sanitise(docs: DataFrame, p: Params = Params()) -> DataFrame:
                .groupBy("doc_id", "h", "island")
                .agg(F.min("start_byte").alias("a"), F.max("end_byte").alias("b"),
                     F.min_by("label", F.struct("start_byte", "end_byte", "kind")).alias("label")))
-    masks = islands.groupBy("doc_id", "h").agg(
+    listed = islands.groupBy("doc_id", "h").agg(
         F.array_sort(F.collect_list(F.struct("a", "b", "label"))).alias("m")).select(
         F.col("doc_id").alias("mask_id"), F.col("h").alias("mask_h"), "m")
+    masks = listed.join(in_text, F.col("mask_id").eqNullSafe(F.col("doc_id"))
+                        & (F.col("mask_h") == F.col("h")), "left").drop("doc_id", "h")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     packed = docs.select(F.col("doc_id").alias("own_id"), F.xxhash64(text).alias("own_h"),
                          whole_row(docs),
@@ -313,9 +355,19 @@ def sanitise(docs: DataFrame, p: Params = Params()) -> DataFrame:
     # text between the masks: zip each mask with the end of the one before it
     pairs = F.arrays_zip(F.col("m"), F.concat(F.array(F.lit(0).cast("long")),
                                               F.transform("m", lambda x: x["b"])))
+
+    def without(piece: Column) -> Column:
+        for name, label in (("gone", "removed"), ("general", "term")):
+            words = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{M}])(?:"), F.col(name),
+                             F.lit(r")(?![\p{L}\p{M}])"))
+            piece = F.when(F.coalesce(F.col(name), F.lit("")) == "", piece).otherwise(
+                F.regexp_replace(piece, words, F.lit(_MASK[label])))
+        return piece
+
     pieces = F.transform(pairs, lambda x: F.concat(
-        F.substring(raw, (x["1"] + 1).cast("int"),
-                    F.coalesce(x["m"]["a"] - x["1"], F.lit(2**31 - 1)).cast("int")).cast("string"),
+        without(F.substring(
+            raw, (x["1"] + 1).cast("int"),
+            F.coalesce(x["m"]["a"] - x["1"], F.lit(2**31 - 1)).cast("int")).cast("string")),
         F.coalesce(x["m"]["label"], F.lit(""))))
     text = F.when(F.col("m").isNull(), F.col("row.text")).otherwise(F.array_join(pieces, ""))
     out = joined.select("row", text.alias("new_text"))
