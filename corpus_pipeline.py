@@ -46,8 +46,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens: the sequences to train on."""
-    tokens = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """doc_id, ids, n_tokens: the sequences to train on, another for each showing."""
+    tokens = pieces.encode(pieces.showings(docs), public_tokenizers.path("piece_bpe_32k.model"))
     return tokens.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 

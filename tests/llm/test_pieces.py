@@ -121,3 +121,25 @@ def test_encode_and_decode_are_inverse_on_a_table(spark):
 def test_empty_table(spark):
     assert P.round_trip(empty(spark), PATH).collect() == []
     assert P.decode(P.encode(empty(spark), PATH), PATH).collect() == []
+
+
+def test_every_occurrence_draws_its_own(model):
+    """Far more than a few segmentations, as the agenda makes them, at the right rate."""
+    word, n = "internationalization", 4000
+    base = P.xxhash.xxh64_intdigest("k", model.p.seed)
+    which = P._occurrences(n, base).tolist()
+    want = [model.merged(" " + word, v) for v in which]
+    assert model.encode(" ".join([word] * n), "k").tolist() == [i for x in want for i in x]
+    assert len({tuple(x) for x in want}) > 20
+    pair = next(u for u in (" a", " t", " th") if len(model._agenda(u, 0, ())[1]) == 1)
+    plain = model._agenda(pair, 0, ())[0]
+    varied = sum(model.merged(pair, v) != plain for v in which)
+    assert 0.07 * n < varied < 0.13 * n
+
+
+def test_showings_differ(spark):
+    text = "internationalization of the unbelievable reconsiderations " * 5
+    docs = messy(spark, [(1, text, "en", "a")] * 3 + [(2, text, "en", "a")])
+    got = P.encode(P.showings(docs), PATH).collect()
+    assert len({tuple(r["ids"]) for r in got}) == 4
+    assert sorted(r["doc_id"] for r in got) == [1, 1, 1, 2]

@@ -5,14 +5,17 @@ is a piece are candidates, the best piece is merged first, and merging makes
 new candidates.  With dropout every candidate that comes up is skipped with a
 given probability, so the same word falls into different pieces here and
 there, all made by the model's own merges.  Which candidate is skipped is a
-keyed hash of (seed, variant, characters, place), never a random draw: a task
-that runs again gives the same ids.  Each occurrence of a word takes one of
-``variants`` keys by a hash of (seed, document, position).
+keyed hash of (seed, occurrence, characters, place), never a random draw: a task
+that runs again gives the same ids.  Each occurrence has a key of its own, a
+64-bit hash of (seed, document, showing, position), so no two share their skips.
 
 Exactness: no piece holds white space behind another character, so a text is
 cut before each run of spaces without changing any merge; likewise between two
-characters that no piece holds side by side.  What a worker has segmented it
-remembers, in a memory of bounded size.  Without dropout the ids equal the
+characters that no piece holds side by side.  A worker remembers, in a memory of
+bounded size, only what does not depend on keys: units, and for a unit and the
+candidates skipped so far the ids without further skips and the candidates that
+still come up.  Keys are tried on those for all occurrences at once; where one
+is skipped, the walk goes on from there, so the ids are the agenda's own.  Without dropout the ids equal the
 sentencepiece library's, but for the character U+2581, which the library
 cannot tell from a space; here it is written in byte pieces, so every text
 decodes to itself.
@@ -36,24 +39,48 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship_code, text_bytes
-from .memo import Memo
 
 _MASK = (1 << 64) - 1
 _GOLD, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93      # odd constants (fixed values)
 _SPACES = re.compile(" +[^ ]*")
 _PIECE = 1 << 20          # characters of text handled at a time
+_LONG = 32                # units of more characters are segmented each by itself
 
 
 @dataclass(frozen=True)
 class Params:
     dropout: float = 0.1
     seed: int = 7
-    variants: int = 4             # a power of two
-    remembered: int = 500_000     # words of a generation that a worker remembers
+    variants: int = 4             # a power of two; keeps the keys of seeds apart
+    remembered: int = 500_000     # segmentations that a worker remembers
+
+
+class _Numbers:
+    """A growing array."""
+
+    def __init__(self, kind: type) -> None:
+        self.n, self.room = 0, np.zeros(1024, kind)
+
+    def add(self, values: list[int]) -> None:
+        if self.n + len(values) > len(self.room):
+            self.room = np.concatenate([self.room, np.zeros(
+                len(self.room) + len(values), self.room.dtype)])
+        self.room[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+    def all(self) -> np.ndarray:
+        return self.room[:self.n]
+
+
+def _occurrences(n: int, base: int) -> np.ndarray:
+    """Keys of the units of a text, by their position."""
+    x = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_GOLD)) ^ np.uint64(base)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(_MIX)
+    return x ^ (x >> np.uint64(29))
 
 
 class Model:
@@ -81,23 +108,32 @@ class Model:
                 self.rank[piece] = (-sp.get_score(i), i)
                 self.bytes_of.append(piece.encode())
         self.beside = {piece[i:i + 2] for piece in self.rank for i in range(len(piece) - 1)}
-        self.words = [Memo(p.remembered // p.variants) for _ in range(p.variants)]
-        self.units = [Memo(p.remembered // p.variants) for _ in range(p.variants)]
+        self._forget()
         self.threshold = int(p.dropout * (1 << 32))
 
     # ---- one unit ----
 
+    def _key(self, unit: str, variant: int) -> int:
+        return xxhash.xxh64_intdigest(unit, self.p.seed * self.p.variants + variant & _MASK)
+
     def merged(self, unit: str, variant: int) -> list[int]:
         """Ids of a unit by the agenda, skipping what the keyed hash says."""
+        return self._agenda(unit, variant, None)[0]
+
+    def _agenda(self, unit: str, variant: int,
+                skips: tuple[int, ...] | None) -> tuple[list[int], list[int]]:
+        """Ids of a unit, and the places of the candidates that come up.  Skipped
+        are those with numbers in ``skips``, or what the keyed hash says."""
         n = len(unit)
-        rank, threshold = self.rank, self.threshold
+        rank = self.rank
+        threshold = self.threshold if skips is None else 0
+        seen: list[int] = []
         end = list(range(1, n + 1))        # where the symbol that starts here ends
         before = list(range(-1, n))        # where the symbol before starts
         agenda = [(r[0], i, i + 1, i + 2) for i in range(n - 1)
                   if (r := rank.get(unit[i:i + 2])) is not None]
         heapify(agenda)
-        key = xxhash.xxh64_intdigest(unit, self.p.seed * self.p.variants + variant) \
-            if threshold else 0
+        key = self._key(unit, variant) if threshold else 0
         while agenda:
             _, i, j, k = heappop(agenda)
             if end[i] != j or end[j] != k:
@@ -106,6 +142,10 @@ class Model:
                 x = (key ^ (i * 1_000_003 + j * 8191 + k) * _GOLD) * _MIX & _MASK
                 if (x ^ x >> 29) * _MIX >> 31 & 0xFFFFFFFF < threshold:
                     continue
+            elif skips is not None:
+                seen.append((i * 1_000_003 + j * 8191 + k) * _GOLD & _MASK)
+                if len(seen) - 1 in skips:
+                    continue
             end[i], end[j] = k, 0
             if k < n:
                 before[k] = i
@@ -123,7 +163,7 @@ class Model:
             else:
                 ids += [self.byte_id[b] for b in unit[i:end[i]].encode()]
             i = end[i]
-        return ids
+        return ids, seen
 
     def _cut(self, word: str) -> list[str]:
         """The word's units: parts that no piece connects."""
@@ -139,59 +179,96 @@ class Model:
 
     # ---- texts ----
 
-    def _learn(self, variant: int, words: set[str]) -> dict[str, bytes]:
-        found, rest = self.words[variant].recall(words)
-        cut = [(w, self._cut(" " + w)) for w in rest]
-        units, unknown = self.units[variant].recall({u for _, us in cut for u in us})
-        fresh = {}
-        for u in unknown:
-            ids = self.merged(u, variant)
-            fresh[u] = struct.pack(f"<{len(ids)}I", *ids)
-        self.units[variant].add(fresh)
-        units |= fresh
-        found.update((w, b"".join([units[u] for u in us])) for w, us in cut)
-        self.words[variant].add(found)
+    def _forget(self) -> None:
+        self.cuts: dict[str, list[str]] = {}             # word to units
+        self.roots: dict[str, int] = {}                  # unit to its state without skips
+        # by state: unit and skips, packed ids, number of candidates still to come
+        # and where they start in ``codes``, states after a skip of one of them
+        self.state: list[tuple[str, tuple[int, ...]]] = []
+        self.packed: list[bytes] = []
+        self.coming, self.first = _Numbers(np.int64), _Numbers(np.int64)
+        self.codes = _Numbers(np.uint64)
+        self.after: dict[tuple[int, int], int] = {}
+
+    def _new_state(self, unit: str, skips: tuple[int, ...]) -> int:
+        ids, seen = self._agenda(unit, 0, skips)
+        seen = seen[skips[-1] + 1:] if skips else seen
+        self.state.append((unit, skips))
+        self.packed.append(struct.pack(f"<{len(ids)}I", *ids))
+        self.coming.add([len(seen) if self.threshold else 0])
+        self.first.add([self.codes.n])
+        self.codes.add(seen)
+        return len(self.state) - 1
+
+    def _next_state(self, state: int, at: int) -> int:
+        """The state behind one where candidate ``at`` of those to come is skipped."""
+        found = self.after.get((state, at))
+        if found is None:
+            unit, skips = self.state[state]
+            found = self._new_state(unit, (*skips, (skips[-1] + 1 if skips else 0) + at))
+            self.after[state, at] = found
         return found
 
-    def _which(self, n: int, start: int, base: int) -> list[int]:
-        """Variants of the words from number ``start`` on."""
-        if self.p.variants == 1 or not self.threshold:
-            return [0] * n
-        with np.errstate(over="ignore"):
-            x = (np.arange(start, start + n, dtype=np.uint64) + np.uint64(base)) \
-                * np.uint64(_GOLD)
+    def _units_of(self, words: list[str]) -> list[str]:
+        cuts = self.cuts
+        for w in set(words).difference(cuts):
+            cuts[w] = self._cut(" " + w)
+        return [u for w in words for u in cuts[w]]
+
+    def _ids(self, lists: list[tuple[list[str], int]]) -> list[bytes]:
+        """Ids of several unit lists, each with its key."""
+        if len(self.state) + len(self.cuts) > self.p.remembered:
+            self._forget()
+        cut = [(self._units_of(words), base) for words, base in lists]
+        units = [u for us, _ in cut for u in us]
+        roots = self.roots
+        for u in set(units).difference(roots):
+            # long units are segmented by themselves, each occurrence anew
+            roots[u] = self._new_state(u, ()) if len(u) <= _LONG or not self.threshold else -1
+        now = np.fromiter(map(roots.__getitem__, units), np.int64, len(units))
+        which = np.concatenate([_occurrences(len(us), base) for us, base in cut]) \
+            if cut else np.zeros(0, np.uint64)
+        long_ = np.flatnonzero(now < 0).tolist()
+        now[long_] = 0
+        open_ = np.flatnonzero(self.coming.all()[now] > 0) if units and self.threshold else \
+            np.zeros(0, np.int64)
+        if long_:
+            open_ = np.setdiff1d(open_, long_)
+        key = self._key
+        keys = np.fromiter((key(units[i], v) for i, v in zip(
+            open_.tolist(), which[open_].tolist(), strict=True)), np.uint64, len(open_))
+        while len(open_):
+            n = self.coming.all()[now[open_]]
+            starts = np.cumsum(n) - n
+            at = np.arange(int(n.sum())) - np.repeat(starts, n)
+            x = self.codes.all()[np.repeat(self.first.all()[now[open_]], n) + at]
+            x = (np.repeat(keys, n) ^ x) * np.uint64(_MIX)
             x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX)
-        return (x >> np.uint64(65 - self.p.variants.bit_length())).tolist()
-
-    def _ids(self, lists: list[tuple[list[str], list[int]]]) -> list[bytes]:
-        """Ids of several word lists with their variants; words not met yet
-        are learnt for all of them at once."""
-        get = [m.young.get for m in self.words]
-        out: list = []
-        gaps = []
-        missing: list[set[str]] = [set() for _ in self.words]
-        for i, (words, which) in enumerate(lists):
-            parts = [get[v](w) for v, w in zip(which, words, strict=True)]
-            try:
-                out.append(b"".join(parts))
-            except TypeError:              # holds a None
-                out.append(None)
-                holes = [j for j, p in enumerate(parts) if p is None]
-                gaps.append((i, parts, holes))
-                for j in holes:
-                    missing[which[j]].add(words[j])
-        found = [self._learn(v, m) if m else {} for v, m in enumerate(missing)]
-        for i, parts, holes in gaps:
-            words, which = lists[i]
-            for j in holes:
-                parts[j] = found[which[j]][words[j]]
-            out[i] = b"".join(parts)
+            skip = (x >> np.uint64(31)) & np.uint64(0xFFFFFFFF) < np.uint64(self.threshold)
+            none = 1 << 30
+            hit = np.minimum.reduceat(np.where(skip, at, none), starts)
+            left = hit < none
+            open_, keys, hit = open_[left], keys[left], hit[left]
+            pairs, back = np.unique(now[open_] << 20 | hit, return_inverse=True)
+            then = np.array([self._next_state(p >> 20, p & 0xFFFFF) for p in pairs.tolist()],
+                            np.int64)
+            now[open_] = then[back] if len(open_) else now[open_]
+            more = self.coming.all()[now[open_]] > 0
+            open_, keys = open_[more], keys[more]
+        packed = list(map(self.packed.__getitem__, now.tolist())) if self.packed else \
+            [b""] * len(units)
+        for i in long_:
+            ids = self.merged(units[i], int(which[i]))
+            packed[i] = struct.pack(f"<{len(ids)}I", *ids)
+        out, a = [], 0
+        for us, _ in cut:
+            out.append(b"".join(packed[a:a + len(us)]))
+            a += len(us)
         return out
 
-    def _pieces_of(self, text: str, key: str) -> Iterator[tuple[list[str], list[int]]]:
-        """The text's words and their variants, a stretch of it at a time."""
-        base = xxhash.xxh64_intdigest(key, self.p.seed)
-        at, start = 0, 0
+    def _pieces_of(self, text: str, key: str) -> Iterator[tuple[list[str], int]]:
+        """The text's words and the key, a stretch of it at a time."""
+        at = 0
         while at < len(text):
             # cut where a run of spaces starts; its first space opens a word
             stop = text.find(" ", at + _PIECE)
@@ -204,12 +281,11 @@ class Model:
                 words = [w[1:] for w in _SPACES.findall(some)]
             else:
                 words = some.split(" ")
-            yield words, self._which(len(words), start, base)
-            start += len(words)
+            yield words, xxhash.xxh64_intdigest(f"{key}@{at}" if at else key, self.p.seed)
             at = stop
 
     def encode(self, text: str, key: str = "") -> np.ndarray:
-        """Ids of a text; ``key`` (say, the document's id) picks the variants."""
+        """Ids of a text; ``key`` (say, the document's id) picks the skips."""
         return np.frombuffer(b"".join(
             b"".join(self._ids([p])) for p in self._pieces_of(text, key)), "<u4")
 
@@ -245,26 +321,37 @@ def _model(path: str, p: Params) -> Model:
     return _MODELS[path, p]
 
 
-def _key(doc_id: int | None) -> str:
-    return str(doc_id)
+def _key(doc_id: int | None, showing: int = 0) -> str:
+    return f"{doc_id}#{showing}" if showing else str(doc_id)
+
+
+def showings(docs: DataFrame) -> DataFrame:
+    """doc_id, text, showing: rows repeated under one id and text are numbered."""
+    same = Window.partitionBy("doc_id", "h").orderBy("h")
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h")).select(
+        "doc_id", "text", (F.row_number().over(same) - 1).alias("showing"))
 
 
 def encode(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFrame:
-    """doc_id, ids (array of int): a row per row of ``docs``."""
+    """doc_id, ids (array of int): a row per row of ``docs``.  Rows of one id differ
+    in their skips by the column ``showing`` (see :func:`showings`), if there."""
     ship_code(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = _model(model_path, p)
-        for doc_ids, texts in batches:
-            found = model.encode_many([(t.as_py() or b"").decode() for t in texts],
-                                      [_key(d.as_py()) for d in doc_ids])
+        for doc_ids, shown, texts in batches:
+            found = model.encode_many(
+                [(t.as_py() or b"").decode() for t in texts],
+                [_key(d.as_py(), n.as_py()) for d, n in zip(doc_ids, shown, strict=True)])
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
+    showing = F.col("showing") if "showing" in docs.columns else F.lit(0)
     return docs.select("doc_id", run.asNondeterministic()(
-        F.col("doc_id"), text_bytes("text")).alias("ids"))
+        F.col("doc_id"), showing.cast("int"), text_bytes("text")).alias("ids"))
 
 
 def decode(tokens: DataFrame, model_path: str, p: Params = Params()) -> DataFrame:
