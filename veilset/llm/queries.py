@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, pieces, pii, quality, simhash, templates, tokenfile, topk, toxicity
+from . import fim, licenses, mixing, pieces, pii, quality, simhash, templates, tokenfile, topk, toxicity
 from .common import table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -77,3 +77,36 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_compression")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_fim_rank_index", sql="""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+             sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+      FROM documents),
+    r AS (
+      SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n,
+             CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS x,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                       OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+                  WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm'
+                  ELSE 'psm' END AS form
+      FROM d),
+    c AS (
+      SELECT doc_id, t, n, form,
+             coalesce(array_to_string(u[1:least(x, y)], ''), '') AS pre,
+             coalesce(array_to_string(u[least(x, y) + 1:greatest(x, y)], ''), '') AS mid,
+             coalesce(array_to_string(u[greatest(x, y) + 1:], ''), '') AS suf
+      FROM r)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+           sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                            WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+                            ELSE t END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM c""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
