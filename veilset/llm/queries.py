@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fim, licenses, mixing, pieces, pii, quality, simhash, templates, tokenfile, topk, toxicity
+from . import (
+    alignment,
+    fim,
+    licenses,
+    mixing,
+    pieces,
+    pii,
+    quality,
+    simhash,
+    templates,
+    tokenfile,
+    topk,
+    toxicity,
+    warc,
+)
 from .common import table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -110,3 +124,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM c""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_warc_chunks", sql="""
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest,
+           CASE WHEN strlen(html) >= 100 AND row_number() OVER w > 1
+                THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN strlen(html) >= 100 AND row_number() OVER w > 1
+                THEN first_value(page_id) OVER w END AS refers_to
+    FROM pages
+    WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST)""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
