@@ -35,11 +35,13 @@ as they occur; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +50,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship_code, staged, text_bytes
-from .memo import Memo
 
 _STRETCH = 1 << 20        # characters of a text handled at a time
-_REMEMBER = 48            # longer units are learned anew each time
-_LEARN = 1 << 18          # characters of unknown units encoded in one call
+_LEARN = 1 << 12          # characters of unknown units encoded in one call
+_UNIT = 64                # characters of a remembered unit, on average, at most
 # a cut: before a run of spaces behind other than white space, and before the one
 # space between other white space and other than white space
 _CUT = re.compile(r"(?<=\S)(?= )|(?<=[^\S ])(?= \S)")
@@ -62,7 +63,7 @@ _ODD = re.compile(r"\s \s|  ")
 @dataclass(frozen=True)
 class Params:
     batch_chars: int = 16_000_000     # characters of text that share a batch
-    remembered: int = 200_000         # units of a generation that a worker remembers
+    remembered: int = 400_000         # units that a worker remembers
 
 
 def _byte_values() -> dict[str, int]:
@@ -73,6 +74,29 @@ def _byte_values() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
 
 
+class _Numbers:
+    """A growing array."""
+
+    def __init__(self, kind: type) -> None:
+        self.n, self.room = 0, np.zeros(1024, kind)
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.room):
+            self.room = np.concatenate([self.room[:self.n], np.zeros(
+                self.n + len(values) + 1024, self.room.dtype)])
+        self.room[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+    def all(self) -> np.ndarray:
+        return self.room[:self.n]
+
+
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... (n of them) of every pair, in a row."""
+    stop = np.cumsum(n)
+    return np.repeat(first - stop + n, n) + np.arange(int(stop[-1]) if len(stop) else 0)
+
+
 class Aligner:
     """Both tokenizers and what is known of units."""
 
@@ -101,8 +125,18 @@ class Aligner:
         # decimal ids with what follows them: a group reads a1,a2|b1;
         self.text = [f"{i}{end}" for end in ",|" for i in range(len(self.a_bytes))]
         self.b_from = len(self.text)
-        self.text += [f"{i}{end}" for end in ",;" for i in range(len(self.b_bytes))]
-        self.units = Memo(p.remembered)
+        self.text += [f"{i}{end}" for end in (",", ";", ";\n")
+                      for i in range(len(self.b_bytes))]
+        self.remembered = p.remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}          # of a unit, -1 if its bytes differ
+        self.chars = 0
+        # by number: groups, numbers of tokens (B's in the upper half), links
+        self.groups: list[str] = []
+        self.tokens, self.first, self.n = (_Numbers(np.int64) for _ in range(3))
+        self.links = _Numbers(np.uint64)
 
     # ---- ends of tokens ----
 
@@ -119,7 +153,8 @@ class Aligner:
         ids = np.array(found.ids, np.int64)
         if b"".join(map(self.a_bytes.__getitem__, found.ids)) != data:
             return None
-        spans = np.array(found.offsets, np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(found.offsets), np.int64,
+                            2 * len(ids)).reshape(-1, 2)
         if len(data) == len(text):
             byte_at = np.arange(len(text) + 1)
         else:
@@ -141,9 +176,10 @@ class Aligner:
         ids = np.array(ids, np.int64)
         return ids, self._refined(ends, sure, self.b_len[ids])
 
-    def _aligned(self, units: list[str]) -> list[tuple[str, bytes, int]] | None:
-        """Per unit: its groups, its links (id pairs) and its numbers of tokens (B's
-        in the upper half); None if bytes differ.  The units follow each other."""
+    def _aligned(self, units: list[str]) -> tuple | None:
+        """Groups (a text per unit), numbers of tokens (B's in the upper half), links
+        and their number per unit; None if bytes differ.  The units follow each
+        other in one text."""
         text = "".join(units)
         data = text.encode()
         a, b = self._a_ends(text, data), self._b_ends(text, data)
@@ -152,42 +188,48 @@ class Aligner:
         (a_ids, a_ends), (b_ids, b_ends) = a, b
         ends, at_a, at_b = np.intersect1d(a_ends, b_ends, assume_unique=True,
                                           return_indices=True)
-        links = ((b_ids[at_b] << 32) | a_ids[at_a]).astype("<u8")
+        links = ((b_ids[at_b] << 32) | a_ids[at_a]).astype(np.uint64)
+        stops = np.cumsum(np.fromiter(map(len, units) if len(data) == len(text) else
+                                      (len(u.encode()) for u in units), np.int64, len(units)))
+        cut_a = np.searchsorted(a_ends, stops, "right")
+        cut_b = np.searchsorted(b_ends, stops, "right")
+        cut = np.searchsorted(ends, stops, "right")
+        if not (np.array_equal(a_ends[cut_a - 1], stops)
+                and np.array_equal(b_ends[cut_b - 1], stops)):
+            raise ValueError("a token crosses two units")
         # tokens in the order of groups, A's before B's, each with what follows it
         last_a, last_b = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
-        last_a[at_a], last_b[at_b] = 1, 1
+        last_a[at_a], last_b[at_b], last_b[cut_b - 1] = 1, 1, 2
         shown = np.concatenate([a_ids + last_a * len(self.a_bytes),
                                 self.b_from + b_ids + last_b * len(self.b_bytes)])
         group = np.concatenate([2 * np.searchsorted(ends, a_ends),
                                 2 * np.searchsorted(ends, b_ends) + 1])
         order = np.argsort(group, kind="stable")
-        words = list(map(self.text.__getitem__, shown[order].tolist()))
-        stops = np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in units])
-        cut_a = np.searchsorted(a_ends, stops, "right")
-        cut_b = np.searchsorted(b_ends, stops, "right")
-        cut = np.searchsorted(ends, stops, "right")
-        if not (np.array_equal(a_ends[cut_a - 1], stops)
-                and np.array_equal(b_ends[cut_b - 1], stops)):
-            raise ValueError("a token crosses two units")
-        raw = links.tobytes()
-        out = []
-        i = j = k = 0
-        for x, y, z in zip(cut_a.tolist(), cut_b.tolist(), cut.tolist(), strict=True):
-            out.append(("".join(words[i + j:x + y]), raw[8 * k:8 * z],
-                        (x - i) | (y - j) << 32))
-            i, j, k = x, y, z
-        return out
+        groups = "".join(map(self.text.__getitem__, shown[order].tolist())).split("\n")[:-1]
+        return (groups, np.diff(cut_a, prepend=0) | np.diff(cut_b, prepend=0) << 32,
+                links, np.diff(cut, prepend=0))
 
     # ---- units ----
 
-    def _alone(self, unit: str) -> tuple[str, bytes, int] | None:
-        found = self._aligned([" a", unit])
-        return found and found[1]
-
-    def _learn(self, units: set[str]) -> dict:
-        """What the units hold; None for one whose bytes differ."""
-        found, rest = self.units.recall(units)
-        fresh: dict = {}
+    def _keep(self, units: list[str], found: tuple | None, skip: int = 0) -> None:
+        """Remember what ``_aligned`` found of the units behind the first ``skip``."""
+        if found is None:
+            self.number.update((u, -1) for u in units)
+            return
+        groups, tokens, links, n = found
+        at = len(self.groups)
+        self.number.update(zip(units, range(at, at + len(units)), strict=True))
+        before = int(n[:skip].sum())
+        self.first.add(self.links.n + np.cumsum(n[skip:]) - n[skip:])
+        self.links.add(links[before:])
+        self.n.add(n[skip:])
+        self.tokens.add(tokens[skip:])
+        self.groups += groups[skip:]
+
+    def _alone(self, unit: str) -> None:
+        self._keep([unit], self._aligned([" a", unit]), 1)
+
+    def _learn(self, units: set[str]) -> None:
         some: list[str] = []
         size = 0
 
@@ -195,23 +237,25 @@ class Aligner:
             nonlocal some, size
             if some:
                 # the first one stands in for a text's start
-                known = self._aligned([" a", *some])
-                known = [self._alone(u) for u in some] if known is None else known[1:]
-                fresh.update(zip(some, known, strict=True))
+                found = self._aligned([" a", *some])
+                if found is None:
+                    for u in some:
+                        self._alone(u)
+                else:
+                    self._keep(some, found, 1)
             some, size = [], 0
 
-        for u in rest:
+        for u in units:
+            self.chars += len(u)
             # white space at an end could join the next unit's
             if u[-1].isspace() or "▁" in u:
-                fresh[u] = self._alone(u)
+                self._alone(u)
                 continue
             some.append(u)
             size += len(u)
             if size > _LEARN:
                 encode()
         encode()
-        self.units.add({u: v for u, v in fresh.items() if len(u) <= _REMEMBER})
-        return found | fresh
 
     @staticmethod
     def units_of(text: str) -> list[str]:
@@ -230,32 +274,45 @@ class Aligner:
             yield text[at:stop]
             at = stop
 
-    def of(self, texts: list[str]) -> Iterator[list[tuple[list[str], bytes, int]] | None]:
-        """Per text, per stretch: groups per unit, links, numbers of tokens."""
-        lists = [self.units_of(" " + t) for t in texts]
-        young = self.units.young.get
-        firsts = [list(map(young, us)) for us in lists]
-        missing = {u for us, vs in zip(lists, firsts, strict=True)
-                   for u, v in zip(us, vs, strict=True) if v is None}
-        found = self._learn(missing) if missing else {}
-        for us, vs in zip(lists, firsts, strict=True):
-            vs = [found[u] if v is None else v for u, v in zip(us, vs, strict=True)]
-            if None in vs:
-                yield None
-                continue
-            groups, links, tokens = zip(*vs, strict=True)
-            yield [(groups, b"".join(links), sum(tokens))]
-
-    def of_long(self, text: str) -> list | None:
+    def _found(self, lists: list[list[str]]) -> list[tuple | None]:
+        """Per list of units: groups, links, numbers of tokens; None if bytes differ."""
+        if len(self.number) > self.remembered or self.chars > _UNIT * self.remembered:
+            self._forget()
+        units = list(chain.from_iterable(lists))
+        numbers = list(map(self.number.get, units))
+        missing = {u for u, k in zip(units, numbers, strict=True) if k is None}
+        if missing:
+            self._learn(missing)
+            numbers = list(map(self.number.__getitem__, units))
+        at = np.array(numbers, np.int64)
+        ends = np.cumsum([0, *map(len, lists)])
+        good = np.minimum.reduceat(at, ends[:-1]) >= 0
+        if not good.all():
+            at = np.maximum(at, 0)
+        if not self.groups:
+            return [None] * len(lists)
+        tokens = np.add.reduceat(self.tokens.all()[at], ends[:-1]).tolist()
+        n = self.n.all()[at]
+        links = self.links.all()[_ranges(self.first.all()[at], n)]
+        cut = np.concatenate([[0], np.cumsum(n)])[ends].tolist()
+        ends = ends.tolist()
+        return [("".join(map(self.groups.__getitem__, numbers[ends[i]:ends[i + 1]])),
+                 links[cut[i]:cut[i + 1]], tokens[i]) if good[i] else None
+                for i in range(len(lists))]
+
+    def of(self, texts: list[str]) -> list[list[tuple] | None]:
+        """Per text, per stretch: groups, links, numbers of tokens.  The texts, none
+        of them empty, are one stretch each."""
+        found = self._found([self.units_of(" " + t) for t in texts]) if texts else []
+        return [f and [f] for f in found]
+
+    def of_long(self, text: str) -> list[tuple] | None:
         out = []
         for some in self.stretches(text):
-            units = self.units_of(some)
-            known = self._learn(set(units))
-            vs = [known[u] for u in units]
-            if None in vs:
+            found, = self._found([self.units_of(some)])
+            if found is None:
                 return None
-            groups, links, tokens = zip(*vs, strict=True)
-            out.append((groups, b"".join(links), sum(tokens)))
+            out.append(found)
         return out
 
 
@@ -289,15 +346,14 @@ class _Batch:
         self.times: list[np.ndarray] = []
 
     def add(self, doc_id, parts: list | None) -> None:
-        digest, n_a, n_b, n_groups = hashlib.sha256(), 0, 0, 0
-        raw = []
+        digest, n_a, n_b, raw = hashlib.sha256(), 0, 0, []
         for groups, links, tokens in parts or ():
-            shown = "".join(groups)[:-1].encode()
-            digest.update(b";" + shown if raw else shown)
+            digest.update(f";{groups[:-1]}".encode() if raw else groups[:-1].encode())
             raw.append(links)
             n_a, n_b = n_a + (tokens & 0xFFFFFFFF), n_b + (tokens >> 32)
-            n_groups += len(links) // 8
-        pairs, times = np.unique(np.frombuffer(b"".join(raw), "<u8"), return_counts=True)
+        n_groups = sum(map(len, raw))
+        pairs, times = np.unique(np.concatenate([*raw, np.zeros(0, np.uint64)]),
+                                 return_counts=True)
         self.docs.append((doc_id, n_a, n_b, n_groups, digest.hexdigest() if raw else ""))
         self.keys.append(pairs)
         self.times.append(times)
@@ -329,6 +385,13 @@ class _Batch:
 def _encode_partition(a_path: str, b_path: str, p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _aligner(a_path, b_path, p)
+        gc.disable()             # what is remembered holds no cycles, and is large
+        try:
+            yield from encoded(known, batches)
+        finally:
+            gc.enable()
+
+    def encoded(known: Aligner, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         now, size = _Batch(), 0
         held: list[tuple] = []
