@@ -12,28 +12,30 @@ that runs again gives the same ids.  Each occurrence has a key of its own, a
 Exactness: no piece holds white space behind another character, so a text is
 cut before each run of spaces without changing any merge; likewise between two
 characters that no piece holds side by side.  A worker remembers, in a memory of
-bounded size, only what does not depend on keys: units, and for a unit and the
-candidates skipped so far the ids without further skips and the candidates that
-still come up.  Keys are tried on those for all occurrences at once; where one
-is skipped, the walk goes on from there, so the ids are the agenda's own.  Without dropout the ids equal the
-sentencepiece library's, but for the character U+2581, which the library
-cannot tell from a space; here it is written in byte pieces, so every text
+bounded size, only what does not depend on keys: a unit's symbols, its ids without
+skips and the candidates that come up on the way to them.  Keys are tried on those
+for all occurrences at once; an occurrence that skips one of them goes through the
+agenda itself, many of one length together: a row of a matrix each, one merge a
+round, candidates kept by their cost unless the key skips them.  Without dropout
+the ids equal the sentencepiece library's, but for the character U+2581, which the
+library cannot tell from a space; here it is written in byte pieces, so every text
 decodes to itself.
 
 Defined cases: NULL and empty text have no ids and decode to the empty text;
 texts of any length are read whole; a NULL ``doc_id`` is a key like any other;
-rows repeated under one id get equal ids; an empty table gives no rows; extra
-columns are ignored.
+rows repeated under one id get equal ids, unless :func:`showings` has numbered
+them; an empty table gives no rows; extra columns are ignored, one that is called
+``showing`` too.
 """
 
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -49,6 +51,9 @@ _GOLD, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93      # odd constants (fixed
 _SPACES = re.compile(" +[^ ]*")
 _PIECE = 1 << 20          # characters of text handled at a time
 _LONG = 32                # units of more characters are segmented each by itself
+_ROWS = 8192              # units whose agendas run together
+_NONE = 1 << 30           # the rank of a candidate that never comes up
+SHOWING = "__showing"     # column of a row's number among equal ones
 
 
 @dataclass(frozen=True)
@@ -56,7 +61,7 @@ class Params:
     dropout: float = 0.1
     seed: int = 7
     variants: int = 4             # a power of two; keeps the keys of seeds apart
-    remembered: int = 500_000     # segmentations that a worker remembers
+    remembered: int = 700_000     # words and units that a worker remembers
 
 
 class _Numbers:
@@ -65,7 +70,7 @@ class _Numbers:
     def __init__(self, kind: type) -> None:
         self.n, self.room = 0, np.zeros(1024, kind)
 
-    def add(self, values: list[int]) -> None:
+    def add(self, values) -> None:
         if self.n + len(values) > len(self.room):
             self.room = np.concatenate([self.room, np.zeros(
                 len(self.room) + len(values), self.room.dtype)])
@@ -76,6 +81,179 @@ class _Numbers:
         return self.room[:self.n]
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... (n of them) of every pair, in a row."""
+    stop = np.cumsum(n)
+    return np.repeat(first - stop + n, n) + np.arange(int(stop[-1]) if len(stop) else 0)
+
+
+class _Symbols:
+    """Pieces and characters as numbers, and what two neighbours merge into.
+
+    A piece has its id; a character that is no piece has a number behind them,
+    and stands for its bytes' ids."""
+
+    _BITS = 20
+
+    def __init__(self, rank: dict[str, tuple[float, int]], n_pieces: int,
+                 byte_id: list[int]) -> None:
+        self.n_pieces, self.byte_id = n_pieces, byte_id
+        self.char = {x: r[1] for x, r in rank.items() if len(x) == 1}
+        self.bytes_at, self.bytes_n, self.bytes_ids = _Numbers(np.int64), _Numbers(np.int64), \
+            _Numbers(np.uint32)
+        for piece in rank:
+            for c in piece:
+                self._number(c)
+        symbols = {**{x: r[1] for x, r in rank.items()}, **self.char}
+        costs = sorted({r[0] for r in rank.values()})
+        order = {c: i for i, c in enumerate(costs)}
+        self.rank = np.full(n_pieces, _NONE, np.int32)
+        pairs: dict[int, int] = {}
+        for piece, (cost, i) in rank.items():
+            self.rank[i] = order[cost]
+            for k in range(1, len(piece)):
+                a, b = symbols.get(piece[:k]), symbols.get(piece[k:])
+                if a is not None and b is not None:
+                    pairs[a << 21 | b] = i
+        # open addressing: a key's place, or the next free one behind it
+        self.keys = np.full((1 << self._BITS) + 64, -1, np.int64)
+        self.made = np.full(len(self.keys), -1, np.int32)
+        for key, i in pairs.items():
+            at = (key * _GOLD & _MASK) >> 64 - self._BITS
+            while self.keys[at] != -1:
+                at += 1
+            self.keys[at], self.made[at] = key, i
+
+    def _number(self, c: str) -> int:
+        found = self.char.get(c)
+        if found is None:
+            found = self.char[c] = self.n_pieces + self.bytes_at.n
+            ids = [self.byte_id[b] for b in c.encode("utf-8", "surrogatepass")]
+            self.bytes_at.add([self.bytes_ids.n])
+            self.bytes_n.add([len(ids)])
+            self.bytes_ids.add(ids)
+        return found
+
+    def of(self, unit: str) -> list[int]:
+        try:
+            return [self.char[c] for c in unit]
+        except KeyError:
+            return [self._number(c) for c in unit]
+
+    def merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The piece that two neighbours make, -1 if none."""
+        key = a.astype(np.int64) << 21 | b
+        at = ((key.astype(np.uint64) * np.uint64(_GOLD)) >> np.uint64(64 - self._BITS)
+              ).astype(np.int64)
+        there = self.keys[at]
+        out = np.where(there == key, self.made[at], -1)
+        left = np.nonzero((there != key) & (there != -1))
+        while len(left[0]):
+            at[left] += 1
+            there = self.keys[at[left]]
+            out[left] = np.where(there == key[left], self.made[at[left]], -1)
+            more = (there != key[left]) & (there != -1)
+            left = tuple(x[more] for x in left)
+        return out
+
+    def ids(self, symbols: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs of symbols (``n`` of each), and how many of each run."""
+        if not len(symbols) or symbols.max() < self.n_pieces:
+            return symbols.astype(np.uint32), n
+        other = symbols >= self.n_pieces
+        which = symbols[other] - self.n_pieces
+        size = np.ones(len(symbols), np.int64)
+        size[other] = self.bytes_n.all()[which]
+        at = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.uint32)
+        out[at[~other]] = symbols[~other]
+        out[_ranges(at[other], size[other])] = self.bytes_ids.all()[
+            _ranges(self.bytes_at.all()[which], size[other])]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
+        return out, np.diff(ends)
+
+
+def _skipped(keys: np.ndarray, code: np.ndarray, threshold: int) -> np.ndarray:
+    """Which candidates the keys skip."""
+    x = (keys ^ code) * np.uint64(_MIX)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX)
+    return (x >> np.uint64(31)) & np.uint64(0xFFFFFFFF) < np.uint64(threshold)
+
+
+def _code(i: np.ndarray, j: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The candidate that joins [i, j) and [j, k), as the keyed hash takes it."""
+    return (i * 1_000_003 + j * 8191 + k).astype(np.uint64) * np.uint64(_GOLD)
+
+
+def _agendas(symbols: _Symbols, rows: np.ndarray, keys: np.ndarray | None,
+             threshold: int) -> tuple[list, list]:
+    """The agendas of units of one length, a row of symbols each, run together.
+
+    In a round every row merges its cheapest candidate (the leftmost of equals),
+    so all rows still running have as many symbols; a row without a candidate is
+    done.  Returns (row numbers, their symbols) per round, and (row numbers, codes
+    of the candidates merged) per round."""
+    at = np.arange(len(rows))
+    width = rows.shape[1]
+    pos = np.broadcast_to(np.arange(width + 1), (len(rows), width + 1))
+
+    def candidates(a, b, i, j, k, which) -> tuple[np.ndarray, np.ndarray]:
+        made = symbols.merge(a, b)
+        rank = np.where(made >= 0, symbols.rank[made], _NONE)
+        if keys is not None:
+            key = keys[which] if a.ndim == 1 else keys[which][:, None]
+            rank[_skipped(key, _code(i, j, k), threshold)] = _NONE
+        return made, rank
+
+    done, merged = [], []
+    made, rank = candidates(rows[:, :-1], rows[:, 1:], pos[:, :-2], pos[:, 1:-1], pos[:, 2:], at)
+    while len(at):
+        if width == 1:
+            done.append((at, rows))
+            break
+        here = np.arange(len(at))
+        best = rank.argmin(axis=1)
+        going = rank[here, best] < _NONE
+        if not going.all():
+            done.append((at[~going], rows[~going]))
+            at, rows, pos, made, rank, best = (
+                x[going] for x in (at, rows, pos, made, rank, best))
+            if not len(at):
+                break
+            here = np.arange(len(at))
+        new = made[here, best]
+        merged.append((at, _code(pos[here, best], pos[here, best + 1], pos[here, best + 2])))
+        # the symbol right of the merged one goes, and the candidate between them
+        col, c = np.arange(width), best[:, None]
+        rows = np.take_along_axis(rows, col[:-1] + (col[:-1] > c), 1)
+        rows[here, best] = new
+        pos = np.take_along_axis(pos, col + (col > c), 1)
+        width -= 1
+        if width == 1:
+            continue
+        col = col[:width - 1]
+        made = np.take_along_axis(made, col + (col >= c), 1)
+        rank = np.take_along_axis(rank, col + (col >= c), 1)
+        for shift in (-1, 0):              # the candidates left and right of it
+            some = np.flatnonzero((best > 0) if shift else (best < width - 1))
+            if len(some):
+                x = best[some] + shift
+                made[some, x], rank[some, x] = candidates(
+                    rows[some, x], rows[some, x + 1], pos[some, x], pos[some, x + 1],
+                    pos[some, x + 2], at[some])
+    return done, merged
+
+
+def _in_rows(n: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]], kind: type,
+             ) -> np.ndarray:
+    """The parts' values row after row (``n`` of each row)."""
+    out = np.empty(int(n.sum()), kind)
+    first = np.cumsum(n) - n
+    for at, values in parts:
+        out[first[at][:, None] + np.arange(values.shape[1])] = values
+    return out
+
+
 def _occurrences(n: int, base: int) -> np.ndarray:
     """Keys of the units of a text, by their position."""
     x = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_GOLD)) ^ np.uint64(base)
@@ -108,8 +286,9 @@ class Model:
                 self.rank[piece] = (-sp.get_score(i), i)
                 self.bytes_of.append(piece.encode())
         self.beside = {piece[i:i + 2] for piece in self.rank for i in range(len(piece) - 1)}
-        self._forget()
+        self.symbols = _Symbols(self.rank, len(self.bytes_of), self.byte_id)
         self.threshold = int(p.dropout * (1 << 32))
+        self._forget()
 
     # ---- one unit ----
 
@@ -180,91 +359,139 @@ class Model:
     # ---- texts ----
 
     def _forget(self) -> None:
-        self.cuts: dict[str, list[str]] = {}             # word to units
-        self.roots: dict[str, int] = {}                  # unit to its state without skips
-        # by state: unit and skips, packed ids, number of candidates still to come
-        # and where they start in ``codes``, states after a skip of one of them
-        self.state: list[tuple[str, tuple[int, ...]]] = []
-        self.packed: list[bytes] = []
-        self.coming, self.first = _Numbers(np.int64), _Numbers(np.int64)
-        self.codes = _Numbers(np.uint64)
-        self.after: dict[tuple[int, int], int] = {}
-
-    def _new_state(self, unit: str, skips: tuple[int, ...]) -> int:
-        ids, seen = self._agenda(unit, 0, skips)
-        seen = seen[skips[-1] + 1:] if skips else seen
-        self.state.append((unit, skips))
-        self.packed.append(struct.pack(f"<{len(ids)}I", *ids))
-        self.coming.add([len(seen) if self.threshold else 0])
-        self.first.add([self.codes.n])
-        self.codes.add(seen)
-        return len(self.state) - 1
-
-    def _next_state(self, state: int, at: int) -> int:
-        """The state behind one where candidate ``at`` of those to come is skipped."""
-        found = self.after.get((state, at))
-        if found is None:
-            unit, skips = self.state[state]
-            found = self._new_state(unit, (*skips, (skips[-1] + 1 if skips else 0) + at))
-            self.after[state, at] = found
-        return found
-
-    def _units_of(self, words: list[str]) -> list[str]:
-        cuts = self.cuts
-        for w in set(words).difference(cuts):
-            cuts[w] = self._cut(" " + w)
-        return [u for w in words for u in cuts[w]]
-
-    def _ids(self, lists: list[tuple[list[str], int]]) -> list[bytes]:
-        """Ids of several unit lists, each with its key."""
-        if len(self.state) + len(self.cuts) > self.p.remembered:
+        self.word: dict[str, int] = {}                   # number of a word
+        # by word: its units' numbers
+        self.at_units, self.n_units = _Numbers(np.int64), _Numbers(np.int64)
+        self.all_units = _Numbers(np.int64)
+        self.number: dict[str, int] = {}                 # of a unit
+        self.unit: list[str] = []
+        # by number: symbols, ids without skips, codes of the candidates merged
+        self.at_symbols, self.n_symbols = _Numbers(np.int64), _Numbers(np.int64)
+        self.at_ids, self.n_ids = _Numbers(np.int64), _Numbers(np.int64)
+        self.at_codes, self.n_codes = _Numbers(np.int64), _Numbers(np.int64)
+        self.all_symbols, self.all_ids = _Numbers(np.int32), _Numbers(np.uint32)
+        self.all_codes = _Numbers(np.uint64)
+
+    def _segmented(self, at: np.ndarray, n: np.ndarray, keys: np.ndarray | None
+                   ) -> tuple[np.ndarray, ...]:
+        """Symbols of units (where their own start, how many), by the agenda: how many
+        are left of each, all in a row, how many candidates were merged, their codes."""
+        left, n_codes = np.ones(len(n), np.int64), np.zeros(len(n), np.int64)
+        rows, codes = [], []
+        for size in np.unique(n).tolist():
+            of = np.flatnonzero(n == size)
+            for i in range(0, len(of), _ROWS):
+                some = of[i:i + _ROWS]
+                start = self.all_symbols.all()[at[some][:, None] + np.arange(size)]
+                done, merged = _agendas(self.symbols, start, None if keys is None else keys[some],
+                                        self.threshold)
+                for which, values in done:
+                    left[some[which]] = values.shape[1]
+                    rows.append((some[which], values))
+                for turn, (which, code) in enumerate(merged):
+                    n_codes[some[which]] = turn + 1
+                    codes.append((some[which], turn, code))
+        flat = _in_rows(left, rows, np.int32)
+        out = np.empty(int(n_codes.sum()), np.uint64)
+        first = np.cumsum(n_codes) - n_codes
+        for which, turn, code in codes:
+            out[first[which] + turn] = code
+        return left, flat, n_codes, out
+
+    def _learn(self, units: list[str]) -> None:
+        """Remember units; long ones (segmented each occurrence anew) by name only."""
+        first = len(self.unit)
+        self.number.update(zip(units, range(first, first + len(units)), strict=True))
+        self.unit += units
+        short = [u if len(u) <= _LONG else "" for u in units]
+        symbols = [x for u in short for x in self.symbols.of(u)]
+        n = np.fromiter(map(len, short), np.int64, len(short))
+        at = self.all_symbols.n + np.cumsum(n) - n
+        self.all_symbols.add(symbols)
+        some = np.flatnonzero(n > 0)
+        left, flat, merged, codes = self._segmented(at[some], n[some], None)
+        flat, left = self.symbols.ids(flat, left)
+        for store, of, values, count in (
+                (self.all_ids, (self.at_ids, self.n_ids), flat, left),
+                (self.all_codes, (self.at_codes, self.n_codes), codes, merged)):
+            every = np.zeros(len(n), np.int64)
+            every[some] = count
+            of[0].add(store.n + np.cumsum(every) - every)
+            of[1].add(every)
+            store.add(values)
+        self.at_symbols.add(at)
+        self.n_symbols.add(n)
+
+    def _learn_words(self, words: list[str]) -> None:
+        cut = [self._cut(" " + w) for w in words]
+        fresh = set(chain.from_iterable(cut)).difference(self.number)
+        self._learn(list(fresh))
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        self.word.update(zip(words, range(len(self.word), len(self.word) + len(words)),
+                             strict=True))
+        self.at_units.add(self.all_units.n + np.cumsum(n) - n)
+        self.n_units.add(n)
+        self.all_units.add(list(map(self.number.__getitem__, chain.from_iterable(cut))))
+
+    def _units_of(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The units' numbers of several word lists, in a row, and how many of each
+        list; new words are learnt together."""
+        new = set().union(*lists).difference(self.word)
+        if new:
+            self._learn_words(list(new))
+        at = np.fromiter(map(self.word.__getitem__, chain.from_iterable(lists)), np.int64)
+        n = self.n_units.all()[at]
+        units = self.all_units.all()[_ranges(self.at_units.all()[at], n)]
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *map(len, lists)])]
+        return units, np.diff(ends)
+
+    def _ids(self, lists: list[tuple[list[str], int]]) -> list[np.ndarray]:
+        """Ids of several word lists, each with its key."""
+        if len(self.number) + len(self.word) > self.p.remembered:
             self._forget()
-        cut = [(self._units_of(words), base) for words, base in lists]
-        units = [u for us, _ in cut for u in us]
-        roots = self.roots
-        for u in set(units).difference(roots):
-            # long units are segmented by themselves, each occurrence anew
-            roots[u] = self._new_state(u, ()) if len(u) <= _LONG or not self.threshold else -1
-        now = np.fromiter(map(roots.__getitem__, units), np.int64, len(units))
-        which = np.concatenate([_occurrences(len(us), base) for us, base in cut]) \
-            if cut else np.zeros(0, np.uint64)
-        long_ = np.flatnonzero(now < 0).tolist()
-        now[long_] = 0
-        open_ = np.flatnonzero(self.coming.all()[now] > 0) if units and self.threshold else \
-            np.zeros(0, np.int64)
-        if long_:
-            open_ = np.setdiff1d(open_, long_)
-        key = self._key
-        keys = np.fromiter((key(units[i], v) for i, v in zip(
-            open_.tolist(), which[open_].tolist(), strict=True)), np.uint64, len(open_))
-        while len(open_):
-            n = self.coming.all()[now[open_]]
-            starts = np.cumsum(n) - n
-            at = np.arange(int(n.sum())) - np.repeat(starts, n)
-            x = self.codes.all()[np.repeat(self.first.all()[now[open_]], n) + at]
-            x = (np.repeat(keys, n) ^ x) * np.uint64(_MIX)
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX)
-            skip = (x >> np.uint64(31)) & np.uint64(0xFFFFFFFF) < np.uint64(self.threshold)
-            none = 1 << 30
-            hit = np.minimum.reduceat(np.where(skip, at, none), starts)
-            left = hit < none
-            open_, keys, hit = open_[left], keys[left], hit[left]
-            pairs, back = np.unique(now[open_] << 20 | hit, return_inverse=True)
-            then = np.array([self._next_state(p >> 20, p & 0xFFFFF) for p in pairs.tolist()],
-                            np.int64)
-            now[open_] = then[back] if len(open_) else now[open_]
-            more = self.coming.all()[now[open_]] > 0
-            open_, keys = open_[more], keys[more]
-        packed = list(map(self.packed.__getitem__, now.tolist())) if self.packed else \
-            [b""] * len(units)
-        for i in long_:
-            ids = self.merged(units[i], int(which[i]))
-            packed[i] = struct.pack(f"<{len(ids)}I", *ids)
-        out, a = [], 0
-        for us, _ in cut:
-            out.append(b"".join(packed[a:a + len(us)]))
-            a += len(us)
-        return out
+        now, of_list = self._units_of([words for words, _ in lists])
+        if not len(now):
+            return [np.zeros(0, "<u4") for _ in lists]
+        which = np.concatenate([_occurrences(k, base) for k, (_, base) in zip(
+            of_list.tolist(), lists, strict=True)])
+        n = self.n_ids.all()[now].copy()
+        long_ = np.flatnonzero(self.n_symbols.all()[now] == 0)
+        special: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []   # places, sizes, ids
+        if self.threshold:
+            open_ = np.flatnonzero(self.n_codes.all()[now] > 0)
+            seeds = which[open_] + np.uint64(self.p.seed * self.p.variants & _MASK)
+            keys = np.fromiter(map(xxhash.xxh64_intdigest, map(
+                self.unit.__getitem__, now[open_].tolist()), seeds.tolist()), np.uint64, len(open_))
+            if len(open_):
+                coming = self.n_codes.all()[now[open_]]
+                codes = self.all_codes.all()[_ranges(self.at_codes.all()[now[open_]], coming)]
+                skip = _skipped(np.repeat(keys, coming), codes, self.threshold)
+                hit = np.logical_or.reduceat(skip, np.cumsum(coming) - coming)
+                open_, keys = open_[hit], keys[hit]
+            if len(open_):
+                left, flat, _, _ = self._segmented(
+                    self.at_symbols.all()[now[open_]], self.n_symbols.all()[now[open_]], keys)
+                flat, left = self.symbols.ids(flat, left)
+                special.append((open_, left, flat))
+        if len(long_):
+            made = [self.merged(self.unit[int(now[i])], int(which[i])) for i in long_.tolist()]
+            special.append((long_, np.array(list(map(len, made)), np.int64),
+                            np.array([x for ids in made for x in ids], np.uint32)))
+        plain = np.ones(len(now), bool)
+        for places, sizes, _ in special:
+            n[places] = sizes
+            plain[places] = False
+        at = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), "<u4")
+        if plain.all():
+            out[:] = self.all_ids.all()[_ranges(self.at_ids.all()[now], n)]
+        else:
+            out[_ranges(at[plain], n[plain])] = self.all_ids.all()[
+                _ranges(self.at_ids.all()[now[plain]], n[plain])]
+            for places, sizes, ids in special:
+                out[_ranges(at[places], sizes)] = ids
+        ends = np.concatenate([at, [len(out)]])[np.concatenate([[0], np.cumsum(of_list)])]
+        return [out[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def _pieces_of(self, text: str, key: str) -> Iterator[tuple[list[str], int]]:
         """The text's words and the key, a stretch of it at a time."""
@@ -286,8 +513,8 @@ class Model:
 
     def encode(self, text: str, key: str = "") -> np.ndarray:
         """Ids of a text; ``key`` (say, the document's id) picks the skips."""
-        return np.frombuffer(b"".join(
-            b"".join(self._ids([p])) for p in self._pieces_of(text, key)), "<u4")
+        return np.concatenate([np.zeros(0, "<u4"), *(
+            ids for p in self._pieces_of(text, key) for ids in self._ids([p]))])
 
     def encode_many(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
         """The same for several texts; short ones are dealt with together."""
@@ -301,8 +528,8 @@ class Model:
                 held.append((i, next(self._pieces_of(text, key))))
                 size += len(text)
             if held and (size > _PIECE or i == len(texts) - 1):
-                for (j, _), raw in zip(held, self._ids([p for _, p in held]), strict=True):
-                    out[j] = np.frombuffer(raw, "<u4")
+                for (j, _), ids in zip(held, self._ids([p for _, p in held]), strict=True):
+                    out[j] = ids
                 held, size = [], 0
         return out
 
@@ -326,16 +553,16 @@ def _key(doc_id: int | None, showing: int = 0) -> str:
 
 
 def showings(docs: DataFrame) -> DataFrame:
-    """doc_id, text, showing: rows repeated under one id and text are numbered."""
+    """doc_id, text and a number (``SHOWING``) of rows repeated under one id and text."""
     same = Window.partitionBy("doc_id", "h").orderBy("h")
     text = F.col("text").cast("string")
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h")).select(
-        "doc_id", "text", (F.row_number().over(same) - 1).alias("showing"))
+        "doc_id", "text", (F.row_number().over(same) - 1).alias(SHOWING))
 
 
 def encode(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFrame:
     """doc_id, ids (array of int): a row per row of ``docs``.  Rows of one id differ
-    in their skips by the column ``showing`` (see :func:`showings`), if there."""
+    in their skips by the number that :func:`showings` has given them, if it has."""
     ship_code(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
@@ -349,7 +576,7 @@ def encode(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFrame:
             flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
-    showing = F.col("showing") if "showing" in docs.columns else F.lit(0)
+    showing = F.col(SHOWING) if SHOWING in docs.columns else F.lit(0)
     return docs.select("doc_id", run.asNondeterministic()(
         F.col("doc_id"), showing.cast("int"), text_bytes("text")).alias("ids"))
 
