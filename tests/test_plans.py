@@ -107,10 +107,10 @@ def test_building_plans_runs_no_jobs(spark, tables):
                                primary_keys=samples.PRIMARY_KEYS)
         subset.key_chain(tables, samples.META["lineitem"], samples.PRIMARY_KEYS,
                          driver_filter=building)
-        gen = mask.identity_generator()
+        gen = mask.identity_generator(samples.TEST_SEED)
         scrub_related(tables, samples.META["lineitem"], gen, driver_filter=building,
                       unique_keys=samples.UNIQUE_KEYS)
-        ident = mask.identity_table(tables["customer"], "c_custkey", unique=True)
+        ident = mask.identity_table(tables["customer"], "c_custkey", seed=samples.TEST_SEED, unique=True)
         scrub_related(tables, samples.META["orders"], ident, driver_filter=building,
                       unique_keys=samples.UNIQUE_KEYS)
         load.upsert(tables["orders"], tables["orders"], ["o_orderkey"])

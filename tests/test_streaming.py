@@ -12,7 +12,7 @@ def test_second_run_processes_only_new_files(spark, tables):
     meta = samples.META["lineitem"]
     building = F.col("c_mktsegment") == "BUILDING"
     rows = subset.extract_related(tables, meta, driver_filter=building)
-    gen = mask.identity_generator()
+    gen = mask.identity_generator(samples.TEST_SEED)
     link, pairs = mask.driver_link(tables, meta, samples.UNIQUE_KEYS, identity=gen,
                                    driver_filter=building)
     landing, out = stage_path(spark, "t-landing"), stage_path(spark, "t-out")

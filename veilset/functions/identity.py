@@ -6,23 +6,24 @@ its own.  All expressions are built-in functions; the card numbers carry a
 valid Luhn check digit (an unrolled sum of digits).
 
 Numbers that must differ from person to person (cards, national id, bank
-account) are a keyed permutation of the key, not a hash: whole-number keys
-below ``10 ** n`` never share an ``n``-digit number.  Other keys (text, or
-numbers beyond that) get hashed digits, as before.
-
-The seed is a secret: whoever knows it can compute a key's identity.  The
-default is for tests.
+account) are the key itself under format-preserving encryption (``fpe``), not a
+hash: whole-number keys below ``10 ** n`` never share an ``n``-digit number, and
+known pairs do not give away others.  Other keys (text, or numbers beyond that)
+get hashed digits, which may repeat, unless a dense number stands in for them
+(``operators.dense``).
+
+The seed is a secret without a default: whoever knows it can compute a key's
+identity.
 """
 
 from __future__ import annotations
 
-import hashlib
 import string
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEFAULT_SEED = "veilset-identity-1"
+from . import fpe
 
 # invented name and place lists for synthetic people
 FIRST_NAMES = ["Ada", "Ben", "Cleo", "Dan", "Eva", "Finn", "Gus", "Hana", "Ivo", "Jade",
@@ -47,21 +48,21 @@ FIELDS = ("id", "cm15", "cm13", "cm11", "cust_id", "first_nm", "mid_nm", "lst_nm
           "country", "email", "phone")
 
 
-def digest(key: Column, tag: str, seed: str = DEFAULT_SEED) -> Column:
+def digest(key: Column, tag: str, seed: str) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(seed), F.lit(tag), key.cast("string")), 256)
 
 
-def uniform(key: Column, tag: str, n: int, seed: str = DEFAULT_SEED) -> Column:
+def uniform(key: Column, tag: str, n: int, seed: str) -> Column:
     """An integer in [0, n) from the first 32 bits of the digest."""
     return F.conv(F.substring(digest(key, tag, seed), 1, 8), 16, 10).cast("bigint") % F.lit(n)
 
 
-def pick(key: Column, tag: str, values: list[str], seed: str = DEFAULT_SEED) -> Column:
+def pick(key: Column, tag: str, values: list[str], seed: str) -> Column:
     arr = F.array(*[F.lit(v) for v in values])
     return F.element_at(arr, (uniform(key, tag, len(values), seed) + 1).cast("int"))
 
 
-def digits(key: Column, tag: str, n: int, seed: str = DEFAULT_SEED) -> Column:
+def digits(key: Column, tag: str, n: int, seed: str) -> Column:
     """``n`` decimal digits, in chunks of at most 8 per digest."""
     parts, i = [], 0
     while n > 0:
@@ -73,40 +74,31 @@ def digits(key: Column, tag: str, n: int, seed: str = DEFAULT_SEED) -> Column:
     return F.concat(*parts)
 
 
-def permutation(tag: str, n: int, seed: str = DEFAULT_SEED) -> list[tuple[int, int]]:
-    """Factor and offset of the two rounds of ``unique_digits``: factors have
-    no divisor in common with 10 and keep every product within 64 bits."""
-    out = []
-    for turn in range(2):
-        h = int(hashlib.sha256(f"{seed}:{tag}:{turn}".encode()).hexdigest(), 16)
-        high = 9 * 10 ** (18 - n)
-        factor = high // 10 + h % (high - high // 10 - 10)
-        while factor % 2 == 0 or factor % 5 == 0:
-            factor += 1
-        out.append((factor, h // 10 ** 20 % 10 ** n))
-    return out
-
-
-def unique_digits(key: Column, tag: str, n: int, seed: str = DEFAULT_SEED) -> Column:
-    """``n`` decimal digits (at most 12), different for different whole-number
-    keys from 0 to ``10 ** n - 1``: multiplied and shifted modulo ``10 ** n``,
-    twice, with the digits reversed in between."""
+def unique_digits(key: Column, tag: str, n: int, seed: str,
+                  number: Column | None = None) -> Column:
+    """``n`` decimal digits (at most 18), different for different whole-number keys
+    from 0 to ``10 ** n - 1`` (for ``number`` in place of the key, if given)."""
     m = 10 ** n
-    (a, b), (c, d) = permutation(tag, n, seed)
-    k = key.cast("string").try_cast("bigint")
-    first = F.lpad(((k * F.lit(a) + F.lit(b)) % F.lit(m)).cast("string"), n, "0")
-    second = (F.reverse(first).cast("bigint") * F.lit(c) + F.lit(d)) % F.lit(m)
-    return F.when((k >= 0) & (k < m), F.lpad(second.cast("string"), n, "0")).otherwise(
+    k = number if number is not None else key.cast("string").try_cast("bigint")
+    inside = (k >= 0) & (k < m)
+    if number is None:          # '007' is not the key 7
+        inside = inside & (k.cast("string") == key.cast("string"))
+    made = fpe.encrypt_number(F.when(inside, k), m, seed, tag)
+    return F.when(inside, F.lpad(made.cast("string"), n, "0")).otherwise(
         digits(key, tag, n, seed))
 
 
 def luhn_complete(payload: Column, n: int) -> Column:
     """``payload`` (``n`` digits) followed by their Luhn check digit."""
-    total = F.lit(0)
-    for i in range(n):
-        d = F.substring(payload, n - i, 1).cast("int")
-        total = total + (d if i % 2 else F.when(d > 4, d * 2 - 9).otherwise(d * 2))
-    return F.concat(payload, ((10 - total % 10) % 10).cast("string"))
+    def completed(p: Column) -> Column:
+        total = F.lit(0)
+        for i in range(n):
+            d = F.substring(p, n - i, 1).cast("int")
+            total = total + (d if i % 2 else F.when(d > 4, d * 2 - 9).otherwise(d * 2))
+        return F.concat(p, ((10 - total % 10) % 10).cast("string"))
+
+    # bound to a variable: the payload is computed once, not once per digit
+    return F.element_at(F.transform(F.array(payload), completed), 1)
 
 
 def luhn_valid(number: Column) -> Column:
@@ -118,19 +110,20 @@ def luhn_valid(number: Column) -> Column:
     return F.aggregate(weighted, F.lit(0), lambda acc, x: acc + x) % 10 == 0
 
 
-def field(name: str, key: Column, seed: str = DEFAULT_SEED) -> Column:
-    """One identity field for ``key``."""
+def field(name: str, key: Column, seed: str, number: Column | None = None) -> Column:
+    """One identity field for ``key``; ``number`` (dense, one per key) makes the
+    unique numbers in place of the key."""
     s = seed
     if name == "id":
         return F.conv(F.substring(digest(key, "id", s), 1, 15), 16, 10).cast("bigint")
     if name == "cust_id":
         return key
     if name == "cm15":
-        return luhn_complete(F.concat(F.lit("37"), unique_digits(key, "cm15_", 12, s)), 14)
+        return luhn_complete(F.concat(F.lit("37"), unique_digits(key, "cm15_", 12, s, number)), 14)
     if name == "cm13":
-        return luhn_complete(F.concat(F.lit("4"), unique_digits(key, "cm13_", 11, s)), 12)
+        return luhn_complete(F.concat(F.lit("4"), unique_digits(key, "cm13_", 11, s, number)), 12)
     if name == "cm11":
-        return luhn_complete(F.concat(F.lit("6"), unique_digits(key, "cm11_", 9, s)), 10)
+        return luhn_complete(F.concat(F.lit("6"), unique_digits(key, "cm11_", 9, s, number)), 10)
     if name == "first_nm":
         return pick(key, "first", FIRST_NAMES, s)
     if name == "mid_nm":
@@ -140,13 +133,13 @@ def field(name: str, key: Column, seed: str = DEFAULT_SEED) -> Column:
     if name == "cm_dob":
         return F.date_add(F.lit("1940-01-01").cast("date"), uniform(key, "dob", 22000, s).cast("int"))
     if name == "nat_id":
-        return F.concat(F.lit("9"), unique_digits(key, "nid_", 8, s))
+        return F.concat(F.lit("9"), unique_digits(key, "nid_", 8, s, number))
     if name == "incom_self":
         return (uniform(key, "income", 180000, s) + 20000).cast("double")
     if name == "asset_am":
         return uniform(key, "asset", 5000000, s).cast("double")
     if name == "bank_acct_no":
-        return unique_digits(key, "bank_", 10, s)
+        return unique_digits(key, "bank_", 10, s, number)
     if name == "emplr_nm":
         return pick(key, "employer", EMPLOYERS, s)
     if name == "addr_line1":
@@ -177,8 +170,9 @@ def field(name: str, key: Column, seed: str = DEFAULT_SEED) -> Column:
     raise KeyError(f"unknown identity field {name!r}")
 
 
-def identity_columns(key: Column, fields=FIELDS, seed: str = DEFAULT_SEED) -> list[Column]:
-    return [field(f, key, seed).alias(f) for f in fields]
+def identity_columns(key: Column, fields, seed: str,
+                     number: Column | None = None) -> list[Column]:
+    return [field(f, key, seed, number).alias(f) for f in fields]
 
 
 class IdentityGenerator:
@@ -189,7 +183,9 @@ class IdentityGenerator:
     ``left`` agree), and the fields are derived next to the row that needs
     them."""
 
-    def __init__(self, seed: str = DEFAULT_SEED):
+    def __init__(self, seed: str):
+        if not seed:
+            raise ValueError("identities need a secret seed")
         self.seed = seed
 
     def field(self, name: str, key: Column) -> Column:

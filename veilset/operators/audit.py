@@ -64,18 +64,20 @@ def recorded(spark: SparkSession, request_id: str, job_type: str, path: str | No
 
 
 def gated_write(df: DataFrame, write: Callable[[DataFrame], object], *,
-                probe: bool = True) -> int:
-    """A2: an empty extract records 0 and encrypts nothing; otherwise the
-    write is counted.
+                probe: bool = True, undo: Callable[[], object] | None = None) -> int:
+    """A2: an empty extract records 0, encrypts nothing and leaves no files;
+    otherwise the write is counted.
 
     ``probe=True`` checks ``isEmpty`` first and writes nothing at all for an
     empty result: right for plans without a shuffle, where the probe stops at
     the first row.  For plans with shuffles (relational extracts) a probe
     would run every map stage once more, so ``probe=False`` writes in a single
-    counted pass (an empty result leaves an empty folder, no rows)."""
-    if probe and df.isEmpty():
-        return 0
-    return write_counted(df, write)
+    counted pass; ``undo`` then removes what an empty result has written (and
+    what an earlier run left there)."""
+    n = 0 if probe and df.isEmpty() else write_counted(df, write)
+    if not n and undo is not None:
+        undo()
+    return n
 
 
 def append_audit(record: DataFrame, path: str) -> None:

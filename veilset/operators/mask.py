@@ -11,7 +11,7 @@ Plan for a table ``T`` that is ``n`` hops from the driver::
            SELECT one mask expression per column
 
 With the identity generator the identity fields are expressions of the
-driver key, so no identity join exists at all.  A stored identity table joins
+driver key, evaluated on the link, so no identity join exists at all.  A stored identity table joins
 the driver rows (both keyed by the driver key) and its fields ride along the
 link; for a one-hop table it joins after the link instead, on T's own hop
 column, so T's join keeps a shuffle on both sides for AQE to split a hot key.
@@ -34,26 +34,33 @@ from ..catalog import ColumnMeta, TableMeta
 from ..functions import identity as idfn
 from ..functions.masks import choice_column, derived_fields, mask_json
 from ..functions.rules import Choice, identity_key, resolve, typed_constant_value
-from .subset import _check_edges, covers_key, driver_rows, q
+from .subset import _check_edges, covers_key, driver_rows, key_column, q, same_key
 
 ID = "__id_"
 DRIVER_KEY = "__driver_key"
 
 
-def identity_generator(seed: str = idfn.DEFAULT_SEED) -> idfn.IdentityGenerator:
+def identity_generator(seed: str) -> idfn.IdentityGenerator:
     """Identities as expressions of the driver key (no identity table, no join)."""
     return idfn.IdentityGenerator(seed)
 
 
-def identity_table(keys: DataFrame, key_col: str, *, seed: str = idfn.DEFAULT_SEED,
-                   fields: Sequence[str] = idfn.FIELDS, unique: bool = False) -> DataFrame:
+def identity_table(keys: DataFrame, key_col: str, *, seed: str,
+                   fields: Sequence[str] = idfn.FIELDS, unique: bool = False,
+                   numbers: DataFrame | None = None) -> DataFrame:
     """One synthetic person per key of ``keys[key_col]``.
 
     ``unique=True`` states the keys are already distinct (a primary key), which
-    saves the de-duplicating shuffle."""
-    k = keys.select(F.col(key_col).alias("__k")).dropna()
+    saves the de-duplicating shuffle.  ``numbers`` (``dense.dense_numbers`` of the
+    keys) lets keys that are no whole numbers have unique card, national and bank
+    numbers too: one per key, as the numbers are."""
+    k = keys.select(key_column(keys, key_col).alias("__k")).dropna()
     k = k if unique else k.distinct()
-    return k.select(*idfn.identity_columns(F.col("__k"), fields, seed))
+    if numbers is None:
+        return k.select(*idfn.identity_columns(F.col("__k"), fields, seed))
+    at = numbers.select(F.col(key_col).alias("__n"), F.col("number").alias("__number"))
+    k = k.join(at, k["__k"] == at["__n"])
+    return k.select(*idfn.identity_columns(F.col("__k"), fields, seed, F.col("__number")))
 
 
 # ---------------------------------------------------------------------------
@@ -139,16 +146,17 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
     # leaving no shuffle under it for AQE to split a hot key of T; the identity
     # is then joined after the link (``attach_identity``) instead of here
     late = not generated and len(groups) == 1
+    made: Sequence[str] = ()
     if generated:
         cur = cur.withColumn(MATCHED, F.lit(True))
-        fields = []
+        made, fields = fields, []
     elif late:
         fields = []
     else:
         ids = _identity_side(identity, meta, fields)
-        cur = cur.join(ids, cur[q(dtab, dcol)] == ids["__idkey"],
+        cur = cur.join(ids, same_key(cur, q(dtab, dcol), ids, "__idkey"),
                        "inner" if how == "inner" else "left").drop("__idkey")
-    cur = cur.withColumn(DRIVER_KEY, F.col(q(dtab, dcol)))
+    cur = cur.withColumn(DRIVER_KEY, key_column(cur, q(dtab, dcol)))
     carried = [DRIVER_KEY] + ([] if late else [MATCHED]) + [ID + f for f in fields]
     if late and [q(e.parent_table, e.parent_column) for e in last] == [q(dtab, dcol)]:
         # the hop column is the driver key: the identity joins T's own hop
@@ -161,9 +169,9 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
         hop = {e.child_column.lower(): e.child_column for e in group}
         cdf = tables[child].select(*[F.col(c).alias(q(child, c))
                                      for c in {**hop, **nxt}.values()])
-        cond = reduce(lambda a, b: a & b, [cur[q(e.parent_table, e.parent_column)]
-                                           == cdf[q(e.child_table, e.child_column)]
-                                           for e in group])
+        cond = reduce(lambda a, b: a & b, [
+            same_key(cur, q(e.parent_table, e.parent_column),
+                     cdf, q(e.child_table, e.child_column)) for e in group])
         unique = unique and covers_key(group[0].parent_table, [e.parent_column for e in group],
                                        unique_keys)
         cur = cur.join(cdf, cond, "inner").select(
@@ -171,12 +179,18 @@ def identity_link(tables: Mapping[str, DataFrame], meta: TableMeta, identity,
     pcols = [q(e.parent_table, e.parent_column) for e in last]
     unique = unique and covers_key(last[0].parent_table, [e.parent_column for e in last],
                                    unique_keys)
+    # one link row per key as keys are compared
+    cur = cur.select(*[key_column(cur, c).alias(c) for c in pcols],
+                     *[c for c in carried if c not in pcols])
     if unique:
         link = cur.select(*pcols, *carried)
     else:
         best = F.min(F.struct(*[F.col(c) for c in carried])).alias("__best")
         link = cur.groupBy(*pcols).agg(best).select(
             *pcols, *[F.col(f"__best.{c}").alias(c) for c in carried])
+    if made:
+        # generated fields once per parent key, not per row of T
+        link = link.withColumns({ID + f: identity.field(f, F.col(DRIVER_KEY)) for f in made})
     pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
     return link, pairs
 
@@ -224,7 +238,8 @@ def link_from_key_tables(levels: Mapping[str, DataFrame], meta: TableMeta,
         link = link.join(below, common, "inner")
     unique = all(covers_key(g[0].parent_table, [e.parent_column for e in g], unique_keys)
                  for g in groups)
-    link = link.select(*pcols, F.col(dkey).alias(DRIVER_KEY))
+    link = link.select(*[key_column(link, c).alias(c) for c in pcols],
+                       key_column(link, dkey).alias(DRIVER_KEY))
     if not unique:
         link = link.groupBy(*pcols).agg(F.min(DRIVER_KEY).alias(DRIVER_KEY))
     link = link.withColumn(MATCHED, F.lit(True))
@@ -245,16 +260,16 @@ def attach_identity(df: DataFrame, meta: TableMeta, identity: DataFrame | None,
             raise ValueError(f"{meta.table_name}: masking needs an identity table")
         if isinstance(identity, idfn.IdentityGenerator):
             dcol = meta.driver_column.split(",")[0].strip()
-            return df.withColumn(DRIVER_KEY, F.col(dcol))
+            return df.withColumn(DRIVER_KEY, key_column(df, dcol))
         ids = _identity_side(identity, meta, fields)
         dcol = meta.driver_column.split(",")[0].strip()
-        return df.join(ids, df[dcol] == ids["__idkey"], how).drop("__idkey")
-    cond = reduce(lambda a, b: a & b, [df[t] == link[k] for t, k in pairs])
+        return df.join(ids, same_key(df, dcol, ids, "__idkey"), how).drop("__idkey")
+    cond = reduce(lambda a, b: a & b, [same_key(df, t, link, k) for t, k in pairs])
     joined = df.join(link, cond, join or how).drop(*[k for _, k in pairs])
     if MATCHED not in link.columns:       # stored identity joined after the link
         ids = _identity_side(identity, meta, fields)
-        dk = joined[DRIVER_KEY] if DRIVER_KEY in link.columns else joined[pairs[0][0]]
-        joined = joined.join(ids, dk == ids["__idkey"],
+        dk = DRIVER_KEY if DRIVER_KEY in link.columns else pairs[0][0]
+        joined = joined.join(ids, same_key(joined, dk, ids, "__idkey"),
                              "inner" if how == "inner" else "left").drop("__idkey")
     if how == "inner":
         joined = joined.where(F.col(MATCHED).isNotNull())
@@ -268,14 +283,14 @@ def unmatched(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None,
     if link is None:
         ids = _identity_side(identity, meta, [])
         dcol = meta.driver_column.split(",")[0].strip()
-        return df.join(ids, df[dcol] == ids["__idkey"], "left_anti")
+        return df.join(ids, same_key(df, dcol, ids, "__idkey"), "left_anti")
     if MATCHED in link.columns:
         hit = link.where(F.col(MATCHED).isNotNull())
     else:
         ids = _identity_side(identity, meta, [])
-        dk = link[DRIVER_KEY] if DRIVER_KEY in link.columns else link[pairs[0][1]]
-        hit = link.join(ids, dk == ids["__idkey"], "left_semi")
-    cond = reduce(lambda a, b: a & b, [df[t] == hit[k] for t, k in pairs])
+        dk = DRIVER_KEY if DRIVER_KEY in link.columns else pairs[0][1]
+        hit = link.join(ids, same_key(link, dk, ids, "__idkey"), "left_semi")
+    cond = reduce(lambda a, b: a & b, [same_key(df, t, hit, k) for t, k in pairs])
     return df.join(hit, cond, "left_anti")
 
 
@@ -301,7 +316,9 @@ def scrub(df: DataFrame, meta: TableMeta, identity: DataFrame | None = None, *,
 
     if isinstance(identity, idfn.IdentityGenerator):
         def idf(f: str) -> Column:
-            return identity.field(f, F.col(DRIVER_KEY))
+            # the link may bring the field along
+            return F.col(ID + f) if link is not None and ID + f in link.columns \
+                else identity.field(f, F.col(DRIVER_KEY))
     else:
         def idf(f: str) -> Column:
             return F.col(ID + f)

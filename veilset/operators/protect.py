@@ -26,7 +26,7 @@ def binary_text(col: Column, max_chars: int | None = None) -> Column:
 
     The target type is a VARCHAR(1000); values longer than that are not cut
     (a silent prefix loses data) but reported by ``validate.validate_rows``
-    against the declared length.  ``max_chars`` cuts explicitly when a caller
+    (check ``max_length``) against the declared length, 1000 if none is.  ``max_chars`` cuts explicitly when a caller
     wants the bounded column instead."""
     text = col.cast("string")
     return text if max_chars is None else F.substring(text, 1, max_chars)
@@ -84,11 +84,11 @@ def null_default(df: DataFrame, value: str = "NA",
 # E1-E5
 
 def encrypted_key_columns(meta: TableMeta) -> list[str]:
-    """PII columns encrypted with the environment key on the way out:
-    primary keys and 15-digit card numbers, unless one-way hashed."""
-    return [c.name for c in meta.columns
-            if c.is_pii and (c.rule == "primary_pan_acct_nbr15" or c.is_pk)
-            and not c.is_key_hash]
+    """PII columns encrypted with the environment key on the way out: all that
+    the extract keeps (primary keys, the driver column, the column of the
+    highest-priority rule), unless one-way hashed."""
+    kept = kept_pii(meta)
+    return [c.name for c in meta.columns if c.name in kept and not c.is_key_hash]
 
 
 def encrypt_columns(df: DataFrame, columns: Sequence[str], key: bytes | str,

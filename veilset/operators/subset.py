@@ -23,15 +23,22 @@ de-duplicated with a partial (map-side) aggregate first.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import csvio
 from ..catalog import Edge, TableMeta
 from ..functions.predicates import request_filter
+from ..session import path_exists, remove_path, scratch_root
+from ..sinks.files import write_files
+from . import reconcile, runs
 
 JoinPairs = Sequence[tuple[str, str]]   # (column of the table, column of the key set)
 
@@ -60,8 +67,9 @@ def typed_keys(keys: DataFrame, pairs: JoinPairs, target: DataFrame, *,
 
     A NULL key matches nothing, as in any equi-join.  Text is compared without
     padding at its end (on the table's side too, see ``key_column``).  A key
-    that the column's type cannot hold exactly (1.7 for a whole number, text
-    that is no number) is an error: it must not match another key.
+    that the column's type cannot hold exactly (1.7 for a whole number, 1.234
+    for two digits behind the point, a time of day for a plain date, text that
+    is no number) is an error: it must not match another key.
     """
     tschema = target.schema
     cols = []
@@ -69,19 +77,49 @@ def typed_keys(keys: DataFrame, pairs: JoinPairs, target: DataFrame, *,
         c, own, want = F.col(k), keys.schema[k].dataType, tschema[t].dataType
         if isinstance(own, T.StringType):
             c = F.rtrim(c)          # key lists arrive right-padded
-        cast = c.cast(want)
-        if isinstance(own, T.FractionalType) and isinstance(want, T.IntegralType):
-            cast = F.when(c.isNull() | (cast == c), cast).otherwise(F.raise_error(F.concat(
-                F.lit(f"key for {t} is not a whole number: "), c.cast("string"))).cast(want))
-        cols.append(cast.alias(k))
+        cols.append(exact_cast(c, own, want, t).alias(k))
     out = keys.select(*cols).dropna(how="any")
     return out if unique else out.distinct()
 
 
+def exact_cast(c: Column, own: T.DataType, want: T.DataType, name: str) -> Column:
+    """``c`` (of type ``own``) as ``want``; a value that the type cannot hold
+    exactly is an error."""
+    if own == want or isinstance(want, T.StringType):
+        return c.cast(want)
+    cast = c.try_cast(want)
+    if isinstance(own, T.StringType):
+        # compare in a type that holds what the text says
+        if isinstance(want, T.DecimalType):
+            wide = T.DecimalType(38, 38 - (want.precision - want.scale))
+        elif isinstance(want, T.IntegralType):
+            wide = T.DecimalType(38, 18)
+        elif isinstance(want, T.DateType):
+            wide = T.TimestampNTZType()
+        else:
+            wide = want
+        kept = cast.cast(wide) == c.try_cast(wide)
+    else:
+        kept = cast.try_cast(own) == c
+    what = "is not a whole number" if isinstance(want, T.IntegralType) else \
+        f"cannot be held exactly as {want.simpleString()}"
+    return F.when(c.isNull() | kept, cast).otherwise(F.raise_error(F.concat(
+        F.lit(f"key for {name} {what}: "), c.cast("string"))).cast(want))
+
+
 def key_column(df: DataFrame, name: str) -> Column:
     """A table's key column as keys are compared with it: text unpadded."""
-    c = df[name]
-    return F.rtrim(c) if isinstance(df.schema[name].dataType, T.StringType) else c
+    return unpadded(df[name], df.schema[name].dataType)
+
+
+def unpadded(column: Column, dtype: T.DataType) -> Column:
+    """A key value as keys are compared: text without padding at its end."""
+    return F.rtrim(column) if isinstance(dtype, T.StringType) else column
+
+
+def same_key(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> Column:
+    """Equality of two tables' key columns, text compared without padding."""
+    return key_column(a, a_name) == key_column(b, b_name)
 
 
 IN_LIST_MAX = 1000      # values per IN list a source database accepts
@@ -95,6 +133,9 @@ def in_lists(column: Column | str, values: Sequence) -> Column:
     return reduce(lambda a, b: a | b, [col.isin(list(c)) for c in chunks])
 
 
+STRATEGIES = ("join", "isin", "runs")
+
+
 def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
               match: str = "tuple", strategy: str = "join",
               isin_limit: int = 1000, unique: bool = False) -> DataFrame:
@@ -112,6 +153,9 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
     source database: the distinct keys (one bounded collect, an error beyond
     ``isin_limit``) become IN lists of ``IN_LIST_MAX`` that are pushed into
     the scan.
+    strategy="runs" covers the first key column by a few intervals
+    (``runs.key_runs``) that are pushed into the scan before the exact join: for
+    key sets of any size that lie together.
     """
     if match not in ("tuple", "per_column"):
         raise ValueError(f"unknown match {match!r}")
@@ -120,8 +164,11 @@ def semi_join(df: DataFrame, keys: DataFrame, pairs: JoinPairs, *,
             df = semi_join(df, keys, [(t, k)], strategy=strategy, isin_limit=isin_limit)
         return df
     kset = typed_keys(keys, pairs, df, unique=unique)
-    if strategy not in ("join", "isin"):
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "runs":
+        t, k = pairs[0]
+        df = df.where(runs.in_runs(df[t], df.schema[t].dataType, runs.key_runs(kset, k)))
     if strategy == "isin" and len(pairs) == 1:
         # one bounded job: at most isin_limit + 1 distinct keys reach the driver
         probe = (kset.distinct() if unique else kset).limit(isin_limit + 1).collect()
@@ -156,22 +203,85 @@ def extract_rows(df: DataFrame, meta: TableMeta | None = None, *,
     return out
 
 
+LIMIT_IN_ONE_TASK = 100_000     # a limit up to here is merged in one task
+
+
 def apply_order_limit(df: DataFrame, meta: TableMeta | None = None, *,
-                      order: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+                      order: Sequence[str] = (), limit: int | None = None,
+                      one_task: int = LIMIT_IN_ONE_TASK) -> DataFrame:
     """``FETCH FIRST n ROWS``; with an order a top-k.
 
     Without an explicit order the primary key orders the rows, so the result
-    is deterministic (a bare limit would be any n rows).  Planned as
-    TakeOrderedAndProject: a per-partition top-k, then one merge of k rows
-    per partition.
+    is deterministic (a bare limit would be any n rows).  A limit up to
+    ``one_task`` is planned as TakeOrderedAndProject: a per-partition top-k, then
+    one merge of k rows per partition.  A larger one is cut by ranks (see
+    ``first_rows``), sorted again if an order was asked for.
     """
-    order = list(order or (meta.order if meta else ()) or (meta.primary_key if meta else ()))
+    wanted = list(order or (meta.order if meta else ()))
+    order = wanted or list((meta.primary_key if meta else ()))
     limit = limit if limit is not None else (meta.limit if meta else None)
     if limit is None:
         return df.orderBy(*order) if order else df
     if not order:
         raise ValueError("a row limit needs an order (or a primary key) to be deterministic")
-    return df.orderBy(*order).limit(int(limit))
+    if int(limit) <= one_task:
+        return df.orderBy(*order).limit(int(limit))
+    rows = first_rows(df, order, int(limit), one_task=one_task)
+    return rows.orderBy(*order) if wanted else rows
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int, *,
+               one_task: int = LIMIT_IN_ONE_TASK) -> DataFrame:
+    """The first ``n`` rows by ``order`` (ascending, NULLs first), in no task more
+    than a range of them.
+
+    The order columns alone are dealt out by range; the ranges' counts and ends (a
+    row per range, from one job) tell in which range rank ``n`` falls.  Ranges
+    before it are taken whole, by a comparison with its lower end that the scan
+    can use; in it the search goes on, until at most ``one_task`` rows are left to
+    rank or all of them are equal."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[F.col(c) for c in order])
+    types = T.StructType([df.schema[c] for c in order])
+
+    def end(row) -> Column:
+        return F.struct(*[F.lit(v).cast(f.dataType) for v, f in zip(row, types, strict=True)])
+
+    def upto(row) -> Column:
+        first = F.col(order[0])
+        near = first.isNull() if row[0] is None else \
+            first.isNull() | (first <= F.lit(row[0]).cast(types[0].dataType))
+        return near & (key <= end(row))
+
+    low = high = None          # rank n lies behind low, not behind high
+    left = n
+    while True:
+        some = df
+        if low is not None:
+            some = some.where(~(key <= end(low)))
+        if high is not None:
+            some = some.where(upto(high))
+        ranges = sorted(((r["lo"], r["hi"], r["n"]) for r in some.select(*order)
+                         .repartitionByRange(parts, *order)
+                         .select(key.alias("k"), F.spark_partition_id().alias("p"))
+                         .groupBy("p").agg(F.min("k").alias("lo"), F.max("k").alias("hi"),
+                                           F.count(F.lit(1)).alias("n")).collect()),
+                        key=lambda r: [(v is not None, v) for v in r[0]])
+        for lo, hi, rows in ranges:
+            if left < rows:
+                break
+            left -= rows
+            low = hi
+        else:                  # all rows up to here are wanted
+            return df if high is None else df.where(upto(high))
+        high = hi
+        if rows <= one_task or lo == hi:
+            break
+    rest = df.where(upto(high))
+    rest = rest if low is None else rest.where(~(key <= end(low)))
+    rest = rest.orderBy(*order).limit(left)
+    return rest if low is None else df.where(upto(low)).unionByName(rest)
 
 
 # ---------------------------------------------------------------------------
@@ -205,7 +315,8 @@ def _check_edges(meta: TableMeta) -> list[list[Edge]]:
 
 def driver_rows(tables: Mapping[str, DataFrame], meta: TableMeta, *,
                 driver_keys: DataFrame | None = None,
-                driver_filter: Column | None = None, match: str = "tuple") -> DataFrame:
+                driver_filter: Column | None = None, match: str = "tuple",
+                strategy: str = "join") -> DataFrame:
     """The driver table restricted by its key list and filter."""
     drv = tables[meta.driver_table.lower()]
     if driver_filter is not None:
@@ -213,7 +324,8 @@ def driver_rows(tables: Mapping[str, DataFrame], meta: TableMeta, *,
     if driver_keys is not None:
         dcols = [c.strip() for c in meta.driver_column.split(",")]
         kcols = driver_keys.columns[: len(dcols)]
-        drv = semi_join(drv, driver_keys, list(zip(dcols, kcols)), match=match)
+        drv = semi_join(drv, driver_keys, list(zip(dcols, kcols)), match=match,
+                        strategy=strategy)
     return drv
 
 
@@ -228,8 +340,8 @@ def covers_key(table: str, columns: Sequence[str],
 def _parent_key_set(tables: Mapping[str, DataFrame], meta: TableMeta,
                     groups: list[list[Edge]], driver_keys: DataFrame | None,
                     driver_filter: Column | None,
-                    primary_keys: Mapping[str, Sequence[str]] | None = None
-                    ) -> tuple[DataFrame, bool]:
+                    primary_keys: Mapping[str, Sequence[str]] | None = None,
+                    strategy: str = "join") -> tuple[DataFrame, bool]:
     """Parent-side columns of the last hop in ``groups`` and whether they are
     unique.
 
@@ -246,7 +358,8 @@ def _parent_key_set(tables: Mapping[str, DataFrame], meta: TableMeta,
         unique = covers_key(table, cols, primary_keys)
         return (out if unique else out.distinct()), unique
 
-    parent = driver_rows(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter)
+    parent = driver_rows(tables, meta, driver_keys=driver_keys, driver_filter=driver_filter,
+                         strategy=strategy)
     pkeys, unique = project(parent, groups[0])
     for i, group in enumerate(groups[:-1]):
         child_name = group[0].child_table.lower()
@@ -280,24 +393,28 @@ def hop_keys(tables: Mapping[str, DataFrame], meta: TableMeta, *,
 def extract_related(tables: Mapping[str, DataFrame], meta: TableMeta, *,
                     driver_keys: DataFrame | None = None,
                     driver_filter: Column | None = None,
-                    primary_keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                    primary_keys: Mapping[str, Sequence[str]] | None = None,
+                    strategy: str = "join") -> DataFrame:
     """Rows of the target table reached from the driver over all hops,
-    then the request's own filter.  One semi join per hop.
+    then the request's own filter.  One semi join per hop.  ``strategy`` is that
+    of the driver key list (see ``semi_join``); with ``runs`` the target's keys
+    are pushed as intervals too.
 
     ``primary_keys`` (table -> key columns) lets hops whose parent columns are
     a primary key skip de-duplication, so AQE can split hot keys of the
     (big) child side."""
     if meta.is_own_driver:
         return extract_rows(driver_rows(tables, meta, driver_keys=driver_keys,
-                                        driver_filter=driver_filter), meta)
+                                        driver_filter=driver_filter, strategy=strategy), meta)
     groups = _check_edges(meta)
     last = groups[-1]
     if last[0].child_table.lower() != meta.table_name.lower():
         raise ValueError("the last hop must end at the target table")
-    pkeys, _ = _parent_key_set(tables, meta, groups, driver_keys, driver_filter, primary_keys)
+    pkeys, _ = _parent_key_set(tables, meta, groups, driver_keys, driver_filter, primary_keys,
+                               strategy)
     pairs = [(e.child_column, q(e.parent_table, e.parent_column)) for e in last]
-    return extract_rows(semi_join(tables[meta.table_name.lower()], pkeys, pairs, unique=True),
-                        meta)
+    return extract_rows(semi_join(tables[meta.table_name.lower()], pkeys, pairs, unique=True,
+                                  strategy="runs" if strategy == "runs" else "join"), meta)
 
 
 def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,
@@ -311,8 +428,8 @@ def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,
     condition).  Before each join the next table is projected to its primary
     key, its hop columns and the columns the following hop needs, so only key
     columns are ever shuffled.  Result columns are ``table__column``; a
-    child's hop column equals its parent's and is kept once, under the
-    parent's name (``fold=True``) or under both names (``fold=False``, as key
+    child's hop column equals its parent's (text compared without padding at its
+    end) and is kept once, under the parent's name (``fold=True``) or under both names (``fold=False``, as key
     tables need every table's own key columns); the rows are distinct (A3).
     """
     groups = _check_edges(meta)
@@ -346,8 +463,9 @@ def key_chain(tables: Mapping[str, DataFrame], meta: TableMeta,
         child = tables[child_name].select(
             *[F.col(c).alias(q(child_name, c)) for c in needed(child_name)])
         cond = reduce(lambda a, b: a & b, [
-            chain[same.get(q(e.parent_table, e.parent_column), q(e.parent_table, e.parent_column))]
-            == child[q(e.child_table, e.child_column)]
+            same_key(chain, same.get(q(e.parent_table, e.parent_column),
+                                     q(e.parent_table, e.parent_column)),
+                     child, q(e.child_table, e.child_column))
             for e in group])
         # the child's hop columns equal the parent's: keep one copy
         for e in group:
@@ -385,20 +503,84 @@ def level_keys(chain: DataFrame, meta: TableMeta,
     return out
 
 
+def _level_signature(meta: TableMeta, primary_keys: Mapping[str, Sequence[str]],
+                     inputs: str) -> str:
+    """What a request's key tables depend on besides the data."""
+    hops = [[e.index, e.parent_table, e.parent_column, e.child_table, e.child_column]
+            for g in _check_edges(meta) for e in g]
+    keys = {t: list(k) for t, k in sorted(primary_keys.items())}
+    doc = [hops, meta.driver_table, meta.driver_column, keys, inputs]
+    return hashlib.sha256(json.dumps(doc).encode()).hexdigest()
+
+
+def _level_fingerprint(df: DataFrame) -> reconcile.Fingerprint:
+    """Of a key table as text, so that files without types compare too."""
+    return reconcile.fingerprint(df.select(*[
+        F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]))
+
+
+def _read_level(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    if fmt == "csv":
+        return spark.read.options(**csvio.READ).option("header", True).csv(path)
+    return spark.read.format(fmt).load(path)
+
+
+def level_is_good(spark: SparkSession, base: str, table: str, request_id: str,
+                  signature: str, fmt: str = "csv") -> bool:
+    """Whether ``base/<table>`` is this request's key table: its record names the
+    request and the hops, and its rows and fingerprint are those recorded."""
+    mark = f"{base}/_levels/{table}"
+    if not path_exists(spark, f"{mark}/_SUCCESS") or not path_exists(spark, f"{base}/{table}"):
+        return False
+    told = spark.read.schema(_LEVEL).parquet(mark).first()
+    if told is None or (told["request_id"], told["signature"]) != (request_id, signature):
+        return False
+    try:
+        got = _level_fingerprint(_read_level(spark, f"{base}/{table}", fmt))
+    except PySparkException:                         # not files of that kind
+        return False
+    return (got.rows, got.sum1, got.sum2) == (told["rows"], int(told["sum1"]), int(told["sum2"]))
+
+
+_LEVEL = "request_id string, signature string, rows bigint, sum1 string, sum2 string"
+
+
 def write_level_keys(chain: DataFrame, meta: TableMeta,
                      primary_keys: Mapping[str, Sequence[str]], base: str, *,
-                     fmt: str = "csv") -> dict[str, str]:
+                     fmt: str = "csv", inputs: str = "",
+                     written: list[str] | None = None) -> dict[str, str]:
     """K5: write each level's key table under ``base/<table>`` with dotted
-    ``TABLE.COLUMN`` headers; a level already present is left as it is.
+    ``TABLE.COLUMN`` headers.
+
+    A level is recorded below ``base/_levels`` with its request, a signature of
+    the hops (and of ``inputs``, say the driver keys), its rows and fingerprint.  A
+    level that is there and agrees with its record is left as it is; a stale, a
+    foreign or a half-written one is written again.  ``written`` (if given) gets
+    the tables written.
 
     The chain feeds one write per level, so it is computed once and
-    checkpointed to the shared checkpoint folder: its multi-hop lineage is
-    cut, and a lost executor costs a re-read, not a re-run of the joins."""
-    from ..session import scratch_root
-    from ..sinks.files import write_files
-    scratch_root(chain.sparkSession)          # a shared checkpoint dir must be set
+    checkpointed to the shared checkpoint folder (not at all if every level is
+    good): its multi-hop lineage is cut, and a lost executor costs a re-read, not
+    a re-run of the joins."""
+    spark = chain.sparkSession
+    signature = _level_signature(meta, primary_keys, inputs)
+    paths = {t: f"{base}/{t}" for t, _ in level_keys(chain, meta, primary_keys)}
+    bad = [t for t in paths
+           if not level_is_good(spark, base, t, meta.request_id, signature, fmt)]
+    if not bad:
+        return paths
+    scratch_root(spark)          # a shared checkpoint dir must be set
     chain = chain.checkpoint(eager=True)
-    paths = {}
     for table, keys in level_keys(chain, meta, primary_keys):
-        paths[table] = write_files(dotted(keys), f"{base}/{table}", fmt, mode="ignore")
+        if table not in bad:
+            continue
+        remove_path(spark, f"{base}/_levels/{table}")    # the record goes first, comes last
+        keys = dotted(keys)
+        write_files(keys, paths[table], fmt)
+        told = _level_fingerprint(keys)
+        spark.createDataFrame([(meta.request_id, signature, told.rows, str(told.sum1),
+                                str(told.sum2))], _LEVEL).coalesce(1).write.mode(
+            "overwrite").parquet(f"{base}/_levels/{table}")
+        if written is not None:
+            written.append(table)
     return paths

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..catalog import TableMeta
 from ..operators import audit, load, validate
@@ -35,23 +36,33 @@ def run_load(spark: SparkSession, path: str, meta: TableMeta, target, mode: str,
     check = fail_on_invalid if check_keys is None else check_keys
     with audit.recorded(spark, meta.request_id, "LOAD", audit_path) as done:
         stage = stage_path(spark, "load-split")
-        text = read_declared_text(spark, path, meta, fmt)
-        validate.write_typed_split(text, meta, stage)
-        rejected = spark.read.parquet(stage).where("status = 'rejected'")
-        kinds = rejected.groupBy("reject_column").count().collect()   # a row per column at most
-        if kinds and fail_on_invalid:
-            remove_path(spark, stage)
-            raise ValueError(f"{meta.table_name}: rows fail their metadata: " + ", ".join(
-                sorted(f"{r['reject_column']}={r['count']}" for r in kinds)))
-        if kinds:
-            write_files(rejected.drop("status", *meta.names), rejects_path, "parquet")
-        rows = spark.read.parquet(stage).where("status = 'good'").select(*meta.names)
-        if restore_map is not None and restore_column:
-            rows = load.restore_keys(rows, restore_map, restore_column)
-        if check and mode != "upsert" and meta.primary_key and \
-                not validate.duplicate_keys(rows, meta.primary_key).isEmpty():
-            remove_path(spark, stage)
-            raise ValueError(f"{meta.table_name}: the primary key {meta.primary_key} repeats")
-        done.records = load.load(spark, rows, target, mode, key=meta.primary_key, order=order)
-        remove_path(spark, stage)
+        try:
+            done.records = _load(spark, path, meta, target, mode, stage, fmt, restore_map,
+                                 restore_column, order, fail_on_invalid, rejects_path, check)
+        finally:
+            remove_path(spark, stage)         # production rows, however the job ends
     return done.record()
+
+
+def _load(spark: SparkSession, path: str, meta: TableMeta, target, mode: str, stage: str,
+          fmt: str, restore_map, restore_column, order, fail_on_invalid: bool,
+          rejects_path: str, check: bool) -> int:
+    text = read_declared_text(spark, path, meta, fmt)
+    validate.write_typed_split(text, meta, stage)
+    mark = validate.SplitNames.of(meta.names)
+    split = spark.read.parquet(stage)
+    rejected = split.where(F.col(mark.status) == "rejected")
+    # a row per column at most
+    kinds = rejected.groupBy(F.col(mark.column).alias("column")).count().collect()
+    if kinds and fail_on_invalid:
+        raise ValueError(f"{meta.table_name}: rows fail their metadata: " + ", ".join(
+            sorted(f"{r['column']}={r['count']}" for r in kinds)))
+    if kinds:
+        write_files(rejected.drop(mark.status, *meta.names), rejects_path, "parquet")
+    rows = split.where(F.col(mark.status) == "good").select(*meta.names)
+    if restore_map is not None and restore_column:
+        rows = load.restore_keys(rows, restore_map, restore_column)
+    if check and mode != "upsert" and meta.primary_key and \
+            not validate.duplicate_keys(rows, meta.primary_key).isEmpty():
+        raise ValueError(f"{meta.table_name}: the primary key {meta.primary_key} repeats")
+    return load.load(spark, rows, target, mode, key=meta.primary_key, order=order)

@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ..catalog import TableMeta
 from ..operators import audit, mask, subset
-from ..sinks.files import write_files
+from ..session import remove_path
+from ..sinks.files import stage_copy, write_files
+from ..sources.files import STAGE_SUFFIX, read_declared
 
 
 def scrub_related(tables: Mapping[str, DataFrame], meta: TableMeta,
@@ -41,12 +43,59 @@ def scrub_related(tables: Mapping[str, DataFrame], meta: TableMeta,
 
 
 def run_scrub(spark: SparkSession, rows: DataFrame, meta: TableMeta, out_path: str, *,
-              identity: DataFrame | None = None, link: DataFrame | None = None,
-              pairs=(), fmt: str = "parquet", how: str = "inner") -> DataFrame:
-    """Mask extracted rows and write them; returns the job's audit record."""
-    masked = mask.scrub(rows, meta, identity, link=link, pairs=pairs, how=how)
-    n = audit.write_counted(masked, lambda d: write_files(d, out_path, fmt))
-    return audit.audit_record(spark, meta.request_id, audit.STATUS_COMPLETE, "SCRUB", n)
+              identity=None, link: DataFrame | None = None,
+              pairs=(), fmt: str = "parquet", how: str = "inner",
+              unmatched_path: str | None = None, audit_path: str | None = None) -> DataFrame:
+    """Mask extracted rows and write them; returns the job's audit record.
+
+    Rows that have no identity are left out by the inner join: their primary keys
+    (nothing else, as they are not masked) are written to ``unmatched_path``, by
+    default ``<out_path>_unmatched``; no folder if there are none.  A table without
+    PII is copied to its stage ``<out_path>_stg``.  With ``audit_path`` the record
+    is appended there, with FAILED if the job fails."""
+    with audit.recorded(spark, meta.request_id, "SCRUB", audit_path) as done:
+        if not meta.has_pii:
+            done.records = audit.write_counted(
+                rows, lambda d: write_files(d, f"{out_path}{STAGE_SUFFIX}", fmt))
+            return done.record()
+        masked = mask.scrub(rows, meta, identity, link=link, pairs=pairs, how=how)
+        done.records = audit.write_counted(masked, lambda d: write_files(d, out_path, fmt))
+        if how == "inner" and mask.has_driver(meta) and (
+                link is not None or isinstance(identity, DataFrame)):
+            left_out = unmatched_path or f"{out_path}_unmatched"
+            missed = mask.unmatched(rows, meta, identity, link=link, pairs=pairs)
+            audit.gated_write(missed.select(*(meta.primary_key or [p[0] for p in pairs])),
+                              lambda d: write_files(d, left_out, fmt), probe=False,
+                              undo=lambda: remove_path(spark, left_out))
+    return done.record()
+
+
+def run_scrub_folder(spark: SparkSession, base: str, metas, *, identity=None, links=None,
+                     fmt: str = "csv", how: str = "inner",
+                     audit_path: str | None = None) -> dict[str, DataFrame]:
+    """The scrub job over a request's extracted files: ``base/<table>`` of every
+    table, read with its declared types, masked to ``base/<table>_final``; a table
+    without PII is copied as it is to ``base/<table>_stg``.
+
+    ``links`` maps a table to its identity link and join pairs (see
+    ``mask.driver_link`` and ``mask.link_from_key_tables``).  Returns the audit
+    record of each table."""
+    out = {}
+    for meta in metas:
+        name = meta.table_name.lower()
+        if not meta.has_pii:
+            with audit.recorded(spark, meta.request_id, "SCRUB", audit_path) as done:
+                copied = Observation("copied")
+                stage_copy(spark, f"{base}/{name}", f"{base}/{name}{STAGE_SUFFIX}", fmt,
+                           counted=copied)
+                done.records = int(copied.get["rows"])
+            out[name] = done.record()
+            continue
+        link, pairs = (links or {}).get(name, (None, ()))
+        rows = read_declared(spark, f"{base}/{name}", meta, fmt)
+        out[name] = run_scrub(spark, rows, meta, f"{base}/{name}_final", identity=identity,
+                              link=link, pairs=pairs, fmt=fmt, how=how, audit_path=audit_path)
+    return out
 
 
 def scrub_request(tables: Mapping[str, DataFrame], metas, identity=None, *,

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import samples
 from ..catalog import FilterSpec, TableMeta
+from ..functions.predicates import condition
 from ..operators import subset
 from ..registry import query
 from ..session import stage_path
@@ -308,3 +312,176 @@ _filter_query("filter_and", "orders", _AND_OR,
 _filter_query("filter_or", "orders", _AND_OR,
               "o_orderpriority = '1-URGENT' OR o_orderstatus = 'F' OR o_totalprice < 150000",
               operator="OR")
+
+
+# ---------------------------------------------------------------------------
+# exact literals and keys, key runs, hot keys, large limits, key levels
+
+_CMP_SCALE = [("eq", "=", ["1234.239"]), ("ne", "!=", ["1234.239"]), ("gt", ">", ["150000.239"]),
+              ("lt", "<", ["150000.239"]), ("ge", ">=", ["150000.235"]),
+              ("le", "<=", ["150000.235"]), ("far", "<", ["1e15"]), ("below", ">", ["-1e15"]),
+              ("between", "BETWEEN", ["99999.991", "150000.009"]),
+              ("listed", "IN", ["99999.991", "1"])]
+_KEY_SCALE = [("key_gt", ">", ["1000.5"]), ("key_lt", "<", ["1000.5"]), ("key_eq", "=", ["1000.5"]),
+              ("key_far", ">", ["9007199254740992.5"]), ("key_huge", "<=", ["1e30"])]
+
+
+@query("filter_cmp_scale", """
+SELECT o_orderkey, p = 1234.239 AS eq, p <> 1234.239 AS ne, p > 150000.239 AS gt,
+       p < 150000.239 AS lt, p >= 150000.235 AS ge, p <= 150000.235 AS le, true AS far,
+       true AS below, p BETWEEN 99999.991 AND 150000.009 AS between, p = 1 AS listed,
+       o_orderkey >= 1001 AS key_gt, o_orderkey <= 1000 AS key_lt, false AS key_eq,
+       false AS key_far, true AS key_huge
+FROM (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12, 2)) + CAST(0.24 AS DECIMAL(3, 2)) AS p
+      FROM orders)""")
+def filter_cmp_scale(spark, sf):
+    """literals between two values of the column's scale, and beyond its
+    range, on a decimal and on a whole number; NULL-free results per row."""
+    dec = T.DecimalType(12, 2)
+    o = _t(spark, sf)["orders"].select("o_orderkey", (F.col("o_totalprice").cast(dec) + F.lit(
+        "0.24").cast(T.DecimalType(3, 2))).cast(dec).alias("p"))
+    meta = TableMeta.from_document(samples.request("o", [
+        samples.col("o_orderkey", "NUMBER", 22, precision=18, pk=True),
+        samples.col("p", "NUMBER", 22, precision=12, scale=2)], driver=None))
+
+    def flag(column, cases):
+        return [condition(FilterSpec(column, op, tuple(v)), meta.column(column),
+                          o.schema[column].dataType).alias(name) for name, op, v in cases]
+
+    return o.select("o_orderkey", *flag("p", _CMP_SCALE), *flag("o_orderkey", _KEY_SCALE))
+
+
+@query("key_lossy_refused", """
+SELECT o_orderkey, 5 AS refused FROM orders WHERE o_orderkey % 3 = 0""")
+def key_lossy_refused(spark, sf):
+    """Keys wider than the column but of its values match it; a fraction, a
+    third digit behind the point (as number and as text), a time of day for a plain
+    date (as timestamp and as text) are refused, not matched to another key."""
+    dec = T.DecimalType(12, 2)
+    o = _t(spark, sf)["orders"].select(
+        "o_orderkey", F.col("o_totalprice").cast(dec).alias("price"),
+        F.to_date("o_orderdate").alias("day"))
+    some = o.where("o_orderkey % 3 = 0")
+    wide = some.select(F.col("o_orderkey").cast("decimal(30,4)").alias("k"))
+    late = F.to_timestamp("day") + F.expr("INTERVAL 10 HOURS")
+    lossy = [("o_orderkey", F.col("o_orderkey") + F.lit("0.5").cast("decimal(2,1)")),
+             ("price", F.col("price") + F.lit("0.004").cast("decimal(4,3)")),
+             ("price", (F.col("price") + F.lit("0.004").cast("decimal(4,3)")).cast("string")),
+             ("day", late), ("day", F.date_format(late, "yyyy-MM-dd HH:mm:ss"))]
+    refused = 0
+    for column, key in lossy:
+        try:
+            subset.semi_join(o, some.select(key.alias("k")), [(column, "k")]).count()
+        except PySparkException as e:
+            refused += "key for" in str(e)
+    return subset.semi_join(o, wide, [("o_orderkey", "k")]).select(
+        "o_orderkey", F.lit(refused).alias("refused"))
+
+
+_RUN_KEYS_SQL = """
+SELECT o_orderkey FROM orders, (SELECT max(o_orderkey) AS m FROM orders)
+WHERE (o_orderkey < m / 10 OR o_orderkey > m - m / 10) AND o_orderkey % 2 = 0"""
+
+
+@query("extract_key_runs", f"SELECT * FROM lineitem WHERE l_orderkey IN ({_RUN_KEYS_SQL})")
+def extract_key_runs(spark, sf):
+    """A key list at both ends of the key range, covered by intervals that
+    the scan takes as pushed filters before the exact join."""
+    t = _t(spark, sf)
+    top, o = t["orders"].agg(F.max("o_orderkey")).first()[0], F.col("o_orderkey")
+    keys = t["orders"].where(((o < top / 10) | (o > top - top / 10)) & (o % 2 == 0))
+    return subset.semi_join(t["lineitem"], keys.select(o.alias("k")), [("l_orderkey", "k")],
+                            strategy="runs")
+
+
+_HOT_SQL = """
+SELECT CASE WHEN l_partkey % 3 = 0 THEN 7 ELSE l_orderkey END AS b_order,
+       CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_linenumber END AS b_line,
+       l_partkey, l_suppkey, l_shipdate
+FROM lineitem"""
+_HOT_SMALL_SQL = """
+SELECT l_orderkey AS s_order, l_linenumber AS s_line, min(l_quantity) AS least
+FROM lineitem WHERE l_returnflag = 'R' OR l_orderkey = 7 GROUP BY l_orderkey, l_linenumber"""
+
+
+@query("join_hot_composite", f"""
+SELECT b.*, s.least, s.least IS NOT NULL AS semi, s.least IS NULL AS anti
+FROM ({_HOT_SQL}) b LEFT JOIN ({_HOT_SMALL_SQL}) s ON b_order = s_order AND b_line = s_line""")
+def join_hot_composite(spark, sf):
+    """A composite key that a third of the rows hold, its rows dealt
+    out over salts; left, semi and anti join."""
+    from ..operators.hot import split_join
+    li = _t(spark, sf)["lineitem"]
+    third = F.col("l_partkey") % 3 == 0
+    big = li.select(F.when(third, F.lit(7).cast("bigint")).otherwise(F.col("l_orderkey"))
+                    .alias("b_order"),
+                    F.when(third, F.lit(1).cast("int")).otherwise(F.col("l_linenumber"))
+                    .alias("b_line"), "l_partkey", "l_suppkey", "l_shipdate")
+    big = big.withColumn("b_line", F.col("b_line").cast(li.schema["l_linenumber"].dataType))
+    small = li.where("l_returnflag = 'R' OR l_orderkey = 7").groupBy(
+        F.col("l_orderkey").alias("s_order"), F.col("l_linenumber").alias("s_line")).agg(
+        F.min("l_quantity").alias("least"))
+    pairs = [("b_order", "s_order"), ("b_line", "s_line")]
+    left = split_join(big, small, pairs, "left").select(*big.columns, "least")
+    semi = split_join(big, small, pairs, "left_semi")
+    anti = split_join(big, small, pairs, "left_anti")
+    # both halves, marked, beside the left join they must agree with
+    halves = semi.select("*", F.lit(True).alias("semi")).unionByName(
+        anti.select("*", F.lit(False).alias("semi")))
+    group = [*big.columns]
+    n = halves.groupBy(*group, "semi").agg(F.count(F.lit(1)).alias("n"))
+    m = left.groupBy(*group, "least").agg(F.count(F.lit(1)).alias("m"))
+    cond = reduce(lambda a, b: a & b, [m[c].eqNullSafe(n[c]) for c in group], m["m"] == n["n"])
+    both = m.join(n, cond).select(*[m[c] for c in group], "least", "semi", "m")
+    return both.select("*", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("i")) \
+        .select(*group, "least", "semi", (~F.col("semi")).alias("anti"))
+
+
+@query("extract_limit_large", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM (
+  SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey)
+            AS n, count(*) OVER () AS every FROM lineitem)
+WHERE n <= every // 2""")
+def extract_limit_large(spark, sf):
+    """The first half of the table by date and key, cut at its rank by
+    ranges of the order columns; no task holds more than a range."""
+    li = _t(spark, sf)["lineitem"]
+    n = li.count() // 2
+    rows = subset.first_rows(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
+                                  "l_suppkey"], n, one_task=1000)
+    return rows.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("keys_level_resume", f"""
+SELECT 'customer,orders,lineitem' AS first, 'customer,orders,lineitem' AS stale,
+       'orders,lineitem' AS broken, '' AS good, count(*) AS keys
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM ({EXTRACT_2HOP_SQL}))""")
+def keys_level_resume(spark, sf):
+    """K5: levels of another request's driver filter are stale and written again; of
+    good levels, one whose files are foreign and one without its record are
+    written again and the others kept; good ones are kept.  The order of levels
+    written, and the keys of the last level in the end."""
+    from ..operators.subset import write_level_keys
+    from ..session import remove_path
+    from ..sinks.files import write_files
+    t, meta = _t(spark, sf), samples.META["lineitem"]
+    base, said = stage_path(spark, "levels"), {}
+
+    def run(step, filter_):
+        chain = subset.key_chain(t, meta, samples.PRIMARY_KEYS, driver_filter=filter_, fold=False)
+        written = []
+        paths = write_level_keys(chain, meta, samples.PRIMARY_KEYS, base, inputs=str(filter_),
+                                 written=written)
+        said[step] = ",".join(written)
+        return paths
+
+    run("first", F.col("c_mktsegment") == "AUTOMOBILE")
+    run("stale", driver())
+    write_files(t["customer"].limit(3), f"{base}/orders", "csv")
+    remove_path(spark, f"{base}/_levels/lineitem")
+    run("broken", driver())
+    paths = run("good", driver())
+    last = spark.read.option("header", True).csv(paths["lineitem"])
+    return last.agg(*[F.lit(v).alias(k) for k, v in said.items()],
+                    F.count_distinct("`LINEITEM.L_ORDERKEY`", "`LINEITEM.L_LINENUMBER`")
+                    .alias("keys"))

@@ -10,7 +10,8 @@ from .. import samples
 from ..operators import subset
 from ..registry import query
 from ..session import stage_path
-from ..sinks.files import stage_copy, write_files, write_table
+from ..sinks.files import stage_copy, write_files, write_sized, write_table
+from ..sources.splitcsv import read_csv_split
 from ..sources import files
 
 def driver():
@@ -173,3 +174,42 @@ def src_mixed_dir_below_stage(spark, sf):
     write_files(o.where(~late), f"{base}/part_parquet", "parquet")
     write_files(o, f"{base}/orders_stg", "parquet")
     return files.read_folder(spark, base, files.declared_schema(samples.META["orders"]))
+
+
+@query("src_csv_split", """
+SELECT doc_id, text, lang, source, n_chars FROM documents""")
+def src_csv_split(spark, sf):
+    """Texts of many lines in one CSV file, read by several tasks (splits far
+    smaller than the file), records over line and split borders put together."""
+    docs = samples.load_tables(spark, sf, ("documents",))["documents"]
+    path = write_files(docs.coalesce(1), stage_path(spark, "one-csv"), "csv")
+    key = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        out = read_csv_split(spark, path, docs.schema)
+        # splits are dealt out when the plan runs: written here, under the setting
+        kept = write_files(out, stage_path(spark, "split-read"), "parquet")
+    finally:
+        spark.conf.set(key, was)
+    return spark.read.parquet(kept)
+
+
+@query("sink_sized", """
+SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag END AS part, count(*) AS rows,
+       true AS within FROM lineitem
+GROUP BY ALL""")
+def sink_sized(spark, sf):
+    """K1: files of at most a tenth of the rows, partitioned by a column of which one
+    value holds a third of all rows; no value in more small files than tasks need."""
+    li = samples.load_tables(spark, sf, ("lineitem",))["lineitem"]
+    df = li.withColumn("part", F.when(F.col("l_orderkey") % 3 == 0, "hot")
+                       .otherwise(F.col("l_returnflag")))
+    path, most = stage_path(spark, "sized"), max(1, li.count() // 10)
+    n = write_sized(df, path, rows_per_file=most, partition_by=["part"])
+    back = spark.read.parquet(path)
+    of = back.groupBy("part", F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n"))
+    out = of.groupBy("part").agg(F.sum("n").alias("rows"), (
+        (F.max("n") <= most) & (F.count(F.lit(1)) <= F.ceil(F.sum("n") / most) + 8)).alias("within"))
+    return out if n == li.count() else out.limit(0)

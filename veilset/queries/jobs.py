@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from .. import samples
-from ..operators import load, mask
+from ..catalog import TableMeta
+from ..operators import load, mask, validate
 from ..plans.extract import run_extract
 from ..plans.load import run_load
 from ..plans.scrub import run_scrub
@@ -157,7 +161,6 @@ FROM (SELECT * FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25)""")
 def extract_job_ordered(spark, sf):
     """The limit follows the order of a PII column's own values, which the
     extract then leaves out."""
-    from dataclasses import replace
     meta = replace(samples.META["orders"], edges=(), relational=False, extract_type="F",
                    order=("o_totalprice", "o_orderkey"), limit=25)
     out = stage_path(spark, "ordered")
@@ -171,7 +174,6 @@ FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE {DRIVER_SQL
 def extract_job_encrypted(spark, sf):
     """E1 in the job: a primary key that is PII is written as ciphertext
     (``differs``: no cipher equals its plain value, and all are distinct)."""
-    from dataclasses import replace
     from ..operators import protect
     t = _t(spark, sf)
     meta = samples.META["orders"]
@@ -188,3 +190,152 @@ def extract_job_encrypted(spark, sf):
         "o_orderkey", "o_orderstatus",
         ((F.col("cipher") != F.col("o_orderkey").cast("string")) & (F.col("n") == 1))
         .alias("differs"))
+
+
+def _priced(t):
+    """orders with a price of two digits, as text with three in every seventh row."""
+    three = F.format_string("%d.%03d", F.col("o_orderkey"), (F.col("o_orderkey") % 9 + 1)
+                            .cast("int"))
+    two = F.format_string("%d.%02d0", F.col("o_orderkey"), (F.col("o_orderkey") % 90 + 10)
+                          .cast("int"))
+    return t["orders"].select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.when(
+        F.col("o_orderkey") % 7 == 0, three).otherwise(two).alias("price"))
+
+
+_PRICED = TableMeta.from_document(samples.request("priced", [
+    samples.col("o_orderkey", "NUMBER", 22, precision=18, pk=True),
+    samples.col("price", "NUMBER", 22, precision=18, scale=2)], driver=None))
+
+
+@query("load_job_scale_rejects", """
+SELECT o_orderkey, CAST(o_orderkey || '.' || (o_orderkey % 90 + 10) AS DOUBLE) AS price,
+       CAST(NULL AS VARCHAR) AS rejected FROM orders WHERE o_orderkey % 7 <> 0
+UNION ALL
+SELECT o_orderkey, NULL, o_orderkey || '.00' || (o_orderkey % 9 + 1)
+FROM orders WHERE o_orderkey % 7 = 0""")
+def load_job_scale_rejects(spark, sf):
+    """U8 + K8: a price with a third digit behind the point is rejected with its raw
+    value, not rounded; a third digit of zero is no loss."""
+    src = write_files(_priced(_t(spark, sf)), stage_path(spark, "priced"), "csv")
+    target = load.FileTarget(stage_path(spark, "target-priced"), "parquet")
+    rejects = stage_path(spark, "rejects")
+    run_load(spark, src, _PRICED, target, "full_refresh", fail_on_invalid=False,
+             rejects_path=rejects)
+    none = F.lit(None)
+    return target.read(spark).select(
+        "o_orderkey", F.col("price").cast("double"), none.cast("string").alias("rejected")) \
+        .unionAll(spark.read.parquet(rejects).select(
+            F.get_json_object("reject_row", "$.o_orderkey").cast("bigint"),
+            none.cast("double"), "reject_value"))
+
+
+_MARKED = TableMeta.from_document(samples.request("marked", [
+    samples.col("o_orderkey", "NUMBER", 22, precision=18, pk=True),
+    samples.col("status", "CHAR", 1), samples.col("rejects", "VARCHAR2", 30),
+    samples.col("Reject_Column", "INTEGER"), samples.col("reject_row", "VARCHAR2", 30)],
+    driver=None))
+
+
+@query("load_job_status_column", """
+SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS rejects,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 3 END AS "Reject_Column", 'r' AS reject_row,
+       o_orderkey % 5 = 0 AS refused
+FROM orders""")
+def load_job_status_column(spark, sf):
+    """U8: a table whose own columns are called as the job's marks; good rows and
+    rejects keep them."""
+    o = _t(spark, sf)["orders"]
+    bad = F.col("o_orderkey") % 5 == 0
+    text = o.select("o_orderkey", F.col("o_orderstatus").alias("status"),
+                    F.col("o_orderpriority").alias("rejects"),
+                    F.when(bad, "three").otherwise("3").alias("Reject_Column"),
+                    F.lit("r").alias("reject_row"))
+    src = write_files(text, stage_path(spark, "marked"), "csv")
+    target = load.FileTarget(stage_path(spark, "target-marked"), "parquet")
+    rejects = stage_path(spark, "rejects")
+    run_load(spark, src, _MARKED, target, "full_refresh", fail_on_invalid=False,
+             rejects_path=rejects)
+    mark = validate.SplitNames.of(_MARKED.names)
+    raw = F.from_json(mark.row, "o_orderkey string, status string, rejects string, "
+                                "Reject_Column string, reject_row string")
+    back = spark.read.parquet(rejects).where(F.col(mark.value) == "three").select(raw.alias("r"))
+    return target.read(spark).withColumn("refused", F.lit(False)).unionAll(back.select(
+        F.col("r.o_orderkey").cast("bigint"), "r.status", "r.rejects",
+        F.lit(None).cast("int"), "r.reject_row", F.lit(True)))
+
+
+@query("scrub_job_unmatched", f"""
+SELECT c_custkey, c_acctbal < 0 AS unmatched FROM customer""")
+def scrub_job_unmatched(spark, sf):
+    """J10 + K9 in the scrub job: rows without an identity are left out of the masked
+    files and their keys reported beside them."""
+    from .mask import _S
+    t = _t(spark, sf)
+    meta, out, log = samples.META["customer"], stage_path(spark, "scrubbed"), \
+        stage_path(spark, "audit")
+    ids = mask.identity_table(t["customer"].where("c_acctbal >= 0"), "c_custkey", seed=_S,
+                              unique=True)
+    run_scrub(spark, t["customer"], meta, out, identity=ids, audit_path=log)
+    told = spark.read.parquet(log).first()["records_processed"]
+    masked = spark.read.parquet(out)
+    report = masked.select("c_custkey", F.lit(False).alias("unmatched")).unionAll(
+        spark.read.parquet(f"{out}_unmatched").select("c_custkey", F.lit(True)))
+    return report if told == masked.count() else report.limit(0)
+
+
+@query("scrub_job_stage_copy", "SELECT p_partkey, p_name FROM part")
+def scrub_job_stage_copy(spark, sf):
+    """K7 in the scrub job: a table without PII is copied to its stage as it is."""
+    from ..plans.scrub import run_scrub_folder
+    t = samples.load_tables(spark, sf, ("part",))["part"].select("p_partkey", "p_name")
+    base = stage_path(spark, "request")
+    write_files(t, f"{base}/part", "csv")
+    meta = TableMeta.from_document(samples.request("part", [
+        samples.col("p_partkey", "NUMBER", 22, precision=18, pk=True),
+        samples.col("p_name", "VARCHAR2", 60)], driver=None))
+    done = run_scrub_folder(spark, base, [meta], fmt="csv")["part"].first()
+    out = read_declared(spark, f"{base}/part_stg", meta, "csv")
+    return out if done["records_processed"] == out.count() else out.limit(0)
+
+
+@query("scrub_job_failed", f"""
+SELECT '{samples.META['customer'].request_id}' AS request_id, 'FAILED' AS status,
+       'SCRUB' AS job_type, CAST(0 AS BIGINT) AS records_processed FROM region LIMIT 1""")
+def scrub_job_failed(spark, sf):
+    """K9: a scrub that fails (its source lacks a column) leaves a FAILED record."""
+    t, log = _t(spark, sf), stage_path(spark, "audit")
+    try:
+        run_scrub(spark, t["customer"].withColumnRenamed("c_acctbal", "x"),
+                  samples.META["customer"], stage_path(spark, "scrubbed"), identity=GENERATOR,
+                  audit_path=log)
+    except (PySparkException, KeyError):
+        pass
+    return spark.read.parquet(log)
+
+
+COLUMN_KEY = b"a column key of 32 bytes, sample"
+
+
+@query("extract_job_column_keys", f"""
+SELECT o_orderkey, o_orderstatus, true AS ciphered
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE {DRIVER_SQL})""")
+def extract_job_column_keys(spark, sf):
+    """E3 + E1 in the extract job: a key that the source stores under its own
+    column key is decrypted with that, then encrypted with the request's key."""
+    from ..functions import crypto
+    from ..operators import protect
+    t = _t(spark, sf)
+    meta = samples.META["orders"]
+    secret = replace(meta, columns=tuple(replace(
+        c, is_pii=True, is_encrypted=True, key_name="k1", use_iv=True)
+        if c.name == "o_orderkey" else c for c in meta.columns))
+    t["orders"] = t["orders"].withColumn("o_orderkey", crypto.encrypt(
+        F.col("o_orderkey"), COLUMN_KEY, "GCM"))
+    out = stage_path(spark, "encrypted")
+    run_extract(spark, t, secret, out, fmt="parquet", env_key=ENV_KEY, driver_filter=driver(),
+                primary_keys=samples.PRIMARY_KEYS, column_keys={"k1": COLUMN_KEY})
+    got = spark.read.parquet(out).select("o_orderkey", "o_orderstatus",
+                                         F.col("o_orderkey").alias("cipher"))
+    plain = protect.decrypt_columns(got, ["o_orderkey"], ENV_KEY, types={"o_orderkey": "bigint"})
+    return plain.select("o_orderkey", "o_orderstatus", (
+        F.col("cipher") != F.col("o_orderkey").cast("string")).alias("ciphered"))

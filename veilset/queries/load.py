@@ -7,7 +7,8 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from .. import samples
-from ..operators import audit, load, subset, validate
+from ..operators import audit, load, reconcile, subset, validate
+from ..operators.versioned import VersionedTarget
 from ..registry import query
 from ..session import stage_path
 from ..sinks.files import write_files
@@ -275,3 +276,58 @@ def gate_empty(spark, sf):
     path = stage_path(spark, "extract")
     n = audit.gated_write(rows, lambda d: write_files(d, path, "csv"))
     return audit.audit_record(spark, _REQ, audit.STATUS_COMPLETE, "EXTRACT", n)
+
+
+# ---------------------------------------------------------------------------
+# file-level upsert, reconciliation
+
+_NARROW = "o_orderkey <= (SELECT max(o_orderkey) FROM orders) // 20"
+
+
+@query("load_upsert_touched", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN {_NARROW} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority, 'kept' AS untouched
+FROM orders
+UNION ALL
+SELECT o_orderkey + {NEW_KEY_OFFSET}, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority, 'kept' FROM orders WHERE {_NARROW}""")
+def load_upsert_touched(spark, sf):
+    """K8 + J8 on files under a manifest: a twentieth of the keys is changed, as many
+    are new; only files that hold a changed key are rewritten, all others are the
+    same files as before."""
+    o = _t(spark, sf)["orders"]
+    top, rows = o.agg(F.max("o_orderkey"), F.count(F.lit(1))).first()
+    target = VersionedTarget(stage_path(spark, "versioned"), ("o_orderkey",),
+                             rows_per_file=max(1, rows // 40))
+    target.write(o, "overwrite")
+    before = {r["file"]: r["rows"] for r in target.index(spark).collect()}
+    narrow = o.where(F.col("o_orderkey") <= top // 20)
+    inc = narrow.withColumn("o_totalprice", F.col("o_totalprice") + 1).unionByName(
+        narrow.withColumn("o_orderkey", F.col("o_orderkey") + NEW_KEY_OFFSET))
+    report = {}
+    load.load(spark, inc, target, "upsert", key=["o_orderkey"], report=report)
+    after = {r["file"] for r in target.index(spark).collect()}
+    gone = set(before) - after
+    few = gone == set(report["rewritten"]) and 0 < len(gone) < len(before) // 2
+    return target.read(spark).withColumn("untouched", F.lit("kept" if few else "rewritten"))
+
+
+@query("load_reconcile", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 1 THEN 'lost' WHEN o_orderkey % 100 = 2 THEN 'changed'
+         WHEN o_orderkey % 100 = 3 THEN 'doubled' ELSE 'added' END AS status,
+       CAST(CASE WHEN o_orderkey < 0 THEN 0 ELSE 1 END AS BIGINT) AS expected_rows,
+       CAST(CASE WHEN o_orderkey % 100 = 1 THEN 0 WHEN o_orderkey % 100 = 3 THEN 2 ELSE 1 END
+            AS BIGINT) AS actual_rows
+FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 100 IN (1, 2, 3)
+      UNION ALL SELECT -o_orderkey - 1 FROM orders WHERE o_orderkey % 1000 = 0)""")
+def load_reconcile(spark, sf):
+    """A table with lost, changed, doubled and added rows against what was
+    loaded; a changed row differs in a NULL that moved to the next column."""
+    o = _t(spark, sf)["orders"].withColumn("o_clerk", F.lit(None).cast("string"))
+    k = F.col("o_orderkey") % 100
+    wrong = o.where(k != 1).withColumn("o_clerk", F.when(k == 2, F.col("o_orderpriority"))) \
+        .withColumn("o_orderpriority", F.when(k != 2, F.col("o_orderpriority")))
+    wrong = wrong.unionAll(wrong.where(k == 3)).unionAll(
+        o.where("o_orderkey % 1000 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1))
+    return reconcile.reconcile(o, wrong.repartition(7), ["o_orderkey"], buckets=64)

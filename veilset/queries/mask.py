@@ -10,10 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import samples
+from ..catalog import TableMeta
+from ..functions import fpe
 from ..functions import identity as idfn
+from ..functions.crypto import hmac_pads
 from ..operators import mask, subset
 from ..plans.scrub import scrub_related
 from ..registry import query
+from ..session import stage_path
 
 def driver():
     return F.col("c_mktsegment") == "BUILDING"
@@ -28,7 +32,7 @@ COVERED_SQL = "c_acctbal >= 0"
 # ---------------------------------------------------------------------------
 # identity generator in DuckDB SQL
 
-_S = idfn.DEFAULT_SEED
+_S = samples.TEST_SEED
 
 
 def _u(tag, n, k="k"):
@@ -50,11 +54,34 @@ def _digits(tag, n):
     return " || ".join(parts)
 
 
-def _unique(tag, n, k="k"):
-    (a, b), (c, d) = idfn.permutation(tag, n)
-    m = 10 ** n
-    first = f"lpad(CAST((CAST({k} AS BIGINT) * {a} + {b}) % {m} AS VARCHAR), {n}, '0')"
-    return f"lpad(CAST((CAST(reverse({first}) AS BIGINT) * {c} + {d}) % {m} AS VARCHAR), {n}, '0')"
+def fpe_sql(source, key, out, size, secret, tweak):
+    """``source`` with a column ``out``: ``key`` under format-preserving encryption
+    over ``size`` numbers (a power of ten), one nested SELECT per round."""
+    a, b = fpe.halves(size)
+    inner, outer = (f"from_hex('{x.hex()}')" for x in hmac_pads(secret))
+    sql = (f"(SELECT *, CAST({key} AS BIGINT) // {b} AS _l, CAST({key} AS BIGINT) % {b} AS _r "
+           f"FROM {source})")
+    for i in range(fpe.ROUNDS):
+        now, half, m = ("_l", "_r", a) if i % 2 == 0 else ("_r", "_l", b)
+        mac = (f"CAST('0x' || substr(sha256({outer} || unhex(sha256({inner} || encode("
+               f"'{tweak}:{i}:' || CAST({half} AS VARCHAR))))), 1, 15) AS BIGINT)")
+        sql = f"(SELECT * REPLACE (({now} + {mac} % {m}) % {m} AS {now}) FROM {sql})"
+    return f"(SELECT * EXCLUDE (_l, _r), _l * {b} + _r AS {out} FROM {sql})"
+
+
+_UNIQUE = {"cm15_": 12, "cm13_": 11, "cm11_": 9, "nid_": 8, "bank_": 10}
+
+
+def _numbers(source):
+    """``source`` (a column ``k``) with the unique digits of every tag."""
+    for tag, n in _UNIQUE.items():
+        source = fpe_sql(source, "k", f"u_{tag}", 10 ** n, _S, tag)
+    return source
+
+
+def _unique(tag, n):
+    assert _UNIQUE[tag] == n
+    return f"lpad(CAST(u_{tag} AS VARCHAR), {n}, '0')"
 
 
 def _luhn(col, length):
@@ -71,8 +98,9 @@ def _luhn(col, length):
 def identity_cte(source_sql: str) -> str:
     """``ids`` CTE: one identity per key ``k`` of ``source_sql``."""
     return f"""
-p AS (SELECT k, '37' || {_unique('cm15_', 12)} AS p15, '4' || {_unique('cm13_', 11)} AS p13,
-             '6' || {_unique('cm11_', 9)} AS p11 FROM ({source_sql})),
+n AS MATERIALIZED (SELECT * FROM {_numbers(f"({source_sql})")}),
+p AS (SELECT *, '37' || {_unique('cm15_', 12)} AS p15, '4' || {_unique('cm13_', 11)} AS p13,
+             '6' || {_unique('cm11_', 9)} AS p11 FROM n),
 ids AS (SELECT
   ('0x' || substr(sha256(concat_ws(':', '{_S}', 'id', CAST(k AS VARCHAR))), 1, 15))::BIGINT AS id,
   {_luhn('p15', 14)} AS cm15, {_luhn('p13', 12)} AS cm13, {_luhn('p11', 10)} AS cm11,
@@ -107,10 +135,10 @@ IDS_COVERED = identity_cte(f"SELECT c_custkey AS k FROM customer WHERE {COVERED_
 def _identity(t, covered_only=False):
     """Stored-style identity table (joined on the driver key)."""
     cust = t["customer"].where(covered()) if covered_only else t["customer"]
-    return mask.identity_table(cust, "c_custkey", unique=True)
+    return mask.identity_table(cust, "c_custkey", seed=_S, unique=True)
 
 
-GENERATOR = mask.identity_generator()      # identities as expressions of the key
+GENERATOR = mask.identity_generator(_S)      # identities as expressions of the key
 UKS = samples.UNIQUE_KEYS          # keys verified unique in the data
 
 
@@ -131,7 +159,10 @@ def mask_unique_numbers(spark, sf):
     """As many different numbers as keys."""
     names = {"cm15": "cm15", "cm13": "cm13", "cm11": "cm11", "nat_id": "nat_id",
              "bank_acct_no": "bank"}
-    ids = GENERATOR.table(_t(spark, sf)["orders"], "o_orderkey", ["cust_id", *names])
+    path = stage_path(spark, "numbers")          # made once, counted per column
+    GENERATOR.table(_t(spark, sf)["orders"], "o_orderkey", ["cust_id", *names]) \
+        .write.parquet(path)
+    ids = spark.read.parquet(path)
     return ids.agg(F.count_distinct("cust_id").alias("keys"),
                    *[F.count_distinct(f).alias(n) for f, n in names.items()])
 
@@ -405,7 +436,6 @@ def mask_request_two_paths(spark, sf):
 def mask_stream_2hop(spark, sf):
     """Extract files of line items land in a folder (two arrivals); the
     streaming scrub masks each file once and the output is read back."""
-    from ..session import stage_path
     from ..sinks.files import write_files
     from ..streaming.landing import start_scrub
     t = _t(spark, sf)
@@ -426,7 +456,6 @@ def mask_stream_2hop(spark, sf):
 def mask_stream_restart(spark, sf):
     """A second arrival, processed by a second call with the default
     checkpoint: it resumes beside its output, so every row is there once."""
-    from ..session import stage_path
     from ..sinks.files import write_files
     from ..streaming.landing import start_scrub
     t = _t(spark, sf)
@@ -458,6 +487,100 @@ def mask_request_shared_link(spark, sf):
 SELECT event_id, ts, user_id, event_type, value, '{"k":10}' AS props FROM events""")
 def mask_nested_no_driver(spark, sf):
     """M15 inside JSON: a PII attribute of a table without driver gets its
-    typed constant; the JSON schema is merged over the whole column."""
+    typed constant; no schema is gathered (values are VARIANT)."""
     ev = samples.load_tables(spark, sf, ("events",))["events"]
     return mask.scrub(ev, samples.META["events_nested"])
+
+
+# ---------------------------------------------------------------------------
+# format-preserving numbers, dense numbers, padded keys
+
+FPE_SIZE = 10 ** 9
+
+
+@query("mask_fpe_numbers", f"""
+SELECT o_orderkey, cipher, o_orderkey AS restored, true AS walked_restored, true AS walked_inside
+FROM {fpe_sql("orders", "o_orderkey", "cipher", FPE_SIZE, samples.TEST_SEED, "t")}""")
+def mask_fpe_numbers(spark, sf):
+    """Order keys under format-preserving encryption over nine digits,
+    and back; and over a domain that is no power of ten (cycle walking)."""
+    odd = 600_000_007
+    k = F.col("o_orderkey")
+    walked = fpe.encrypt_number(k, odd, _S, "w")
+    return _t(spark, sf)["orders"].select(
+        k, fpe.encrypt_number(k, FPE_SIZE, _S, "t").alias("cipher"), walked.alias("w")).select(
+        k, "cipher", fpe.decrypt_number(F.col("cipher"), FPE_SIZE, _S, "t").alias("restored"),
+        (fpe.decrypt_number(F.col("w"), odd, _S, "w") == k).alias("walked_restored"),
+        F.col("w").between(0, odd - 1).alias("walked_inside"))
+
+
+_TEXT_KEY = "'C' || CAST(c_custkey AS VARCHAR)"
+
+
+@query("identity_dense", f"""
+SELECT {_TEXT_KEY} AS key, row_number() OVER (ORDER BY {_TEXT_KEY}) - 1 AS number,
+       count(*) OVER () AS persons, count(*) OVER () AS cm15, count(*) OVER () AS nat_id,
+       count(*) OVER () AS bank
+FROM customer""")
+def identity_dense(spark, sf):
+    """Text keys numbered densely in key order, over any number of ranges; as
+    many different card, national and bank numbers as persons.  A second run over
+    half the keys first, then all, keeps the first half's numbers."""
+    from ..operators import dense
+    keys = _t(spark, sf)["customer"].select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("key"),
+        (F.col("c_custkey") % 2 == 0).alias("even"))
+    numbers = dense.dense_numbers(keys.repartition(3), "key")
+    again = dense.dense_numbers(keys, "key")
+    half = dense.dense_numbers(keys.where("even"), "key")
+    grown = dense.dense_numbers(keys, "key", known=half)
+    same = numbers.join(again.withColumnRenamed("number", "n2"), "key").where("number = n2")
+    kept = half.withColumnRenamed("number", "n3").join(grown, "key").where("number = n3")
+    whole = (numbers.count() == same.count() and half.count() == kept.count()
+             and grown.select("number").distinct().count() == numbers.count())
+    fields = ["cust_id", "cm15", "nat_id", "bank_acct_no"]
+    path = stage_path(spark, "numbers")          # made once, counted per column
+    mask.identity_table(keys, "key", seed=_S, fields=fields, numbers=numbers).write.parquet(path)
+    ids = spark.read.parquet(path)
+    n = ids.agg(F.count_distinct("cust_id").alias("persons"), F.count_distinct("cm15").alias("cm15"),
+                F.count_distinct("nat_id").alias("nat_id"),
+                F.count_distinct("bank_acct_no").alias("bank")).first()
+    out = numbers.select("key", "number", *[F.lit(n[c]).cast("bigint").alias(c) for c in n.asDict()])
+    return out if whole else out.limit(0)
+
+
+def _padded(t):
+    """customer and orders with text keys, the orders' padded as a CHAR column."""
+    text = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
+    parent = t["customer"].select(text.alias("p_key"), "c_mktsegment")
+    child = t["orders"].select(
+        "o_orderkey", F.rpad(F.concat(F.lit("C"), F.col("o_custkey").cast("string")), 16, " ")
+        .alias("c_key"), F.lit("a name").alias("name_first"))
+    return {"p": parent, "c": child}
+
+
+_PADDED = TableMeta.from_document(samples.request(
+    "c", [samples.col("o_orderkey", "NUMBER", 22, precision=18, pk=True),
+          samples.col("c_key", "CHAR", 16),
+          samples.col("name_first", "VARCHAR2", 20, pii=True,
+                      rule="secondary_pii_indv_name:first_name")],
+    driver=("p", "p_key"), edges=[("p", "p_key", "c", "c_key", 0)]))
+
+
+@query("scrub_padded_keys", f"""
+SELECT o_orderkey, rpad(k, 16, ' ') AS c_key,
+       {_pick('first', idfn.FIRST_NAMES)} AS name_first, true AS extracted, true AS chained
+FROM (SELECT o_orderkey, 'C' || CAST(o_custkey AS VARCHAR) AS k FROM orders
+      WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE {DRIVER_SQL}))""")
+def scrub_padded_keys(spark, sf):
+    """J2 + J5 + J7: a child whose CHAR keys are padded at their end; extract, key
+    chain and scrub find the same rows, and one person has one identity."""
+    t = _padded(_t(spark, sf))
+    pks = {"p": ["p_key"], "c": ["o_orderkey"]}
+    rows = subset.extract_related(t, _PADDED, driver_filter=driver(), primary_keys=pks)
+    chain = subset.key_chain(t, _PADDED, pks, driver_filter=driver())
+    masked = scrub_related(t, _PADDED, GENERATOR, driver_filter=driver(), unique_keys=pks)
+    rows = rows.select(F.col("o_orderkey").alias("x"), F.lit(True).alias("extracted"))
+    chain = chain.select(F.col("c__o_orderkey").alias("y"), F.lit(True).alias("chained"))
+    return masked.join(rows, F.col("o_orderkey") == F.col("x"), "full").join(
+        chain, F.col("o_orderkey") == F.col("y"), "full").drop("x", "y")

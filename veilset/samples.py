@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .catalog import TableMeta
 
+TEST_SEED = "veilset-identity-1"      # of the samples' identities; a real one is a secret
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")

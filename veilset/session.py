@@ -104,3 +104,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+
+
+def swap_path(spark: SparkSession, new: str, path: str, old: str) -> None:
+    """Put folder ``new`` in the place of ``path``, which (if there) becomes
+    ``old``; if the second rename fails, the first is taken back."""
+    sc = spark.sparkContext
+    new_p, at, old_p = (sc._jvm.org.apache.hadoop.fs.Path(x) for x in (new, path, old))
+    fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    had = fs.exists(at)
+    if had and not fs.rename(at, old_p):
+        raise RuntimeError(f"cannot rename {path}")
+    if not fs.rename(new_p, at):
+        if had:
+            fs.rename(old_p, at)
+        raise RuntimeError(f"cannot rename {new} to {path}")

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import csvio
 from ..catalog import TableMeta, normalise_name
+from ..functions.exact import altered
 
 KNOWN_FORMATS = ("csv", "parquet")
 STAGE_SUFFIX = "_stg"
@@ -32,8 +33,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 
     Declared columns are found by their name in the header, whatever its
     order; a file whose header differs from the first one's, a declared column
-    that is absent and a value that its type cannot hold are errors (see
-    ``validate`` for reading with rejects).  Without a header columns go by
+    that is absent and a value that its type cannot hold as it is (one digit too
+    many behind the point) are errors (see ``validate`` for reading with rejects).  Without a header columns go by
     position."""
     r = spark.read.options(**csvio.READ).option("header", header).options(**options)
     paths = paths if isinstance(paths, str) else list(paths)
@@ -50,10 +51,21 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
         return spark.createDataFrame([], schema)
     text = r.schema(T.StructType([T.StructField(c, T.StringType()) for c in found.columns]))
     return text.csv(paths).select(*[
-        F.col(f"`{by_name[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+        as_declared(F.col(f"`{by_name[f.name.lower()]}`"), f).alias(f.name)
         for f in schema.fields])
 
 
+def as_declared(raw: Column, field: T.StructField) -> Column:
+    """A value as its declared type, an error where that would round it."""
+    typed = raw.cast(field.dataType)
+    if not isinstance(field.dataType, (T.DecimalType, T.DateType)):
+        return typed
+    return F.when(altered(raw, raw.try_cast(field.dataType), field.dataType), F.raise_error(
+        F.concat(F.lit(f"{field.name} cannot hold as {field.dataType.simpleString()}: "),
+                 raw.cast("string")))
+        .cast(field.dataType)).otherwise(typed)
+
+
 def declared_schema(meta: TableMeta) -> T.StructType:
     """The table's StructType from its column metadata."""
     return meta.struct_type()
@@ -69,7 +81,7 @@ def read_declared(spark: SparkSession, path: str, meta: TableMeta, fmt: str = "c
     df = spark.read.format(fmt).load(path)
     return df.select(*[
         (F.col(f.name) if df.schema[f.name].dataType == f.dataType
-         else F.col(f.name).cast(f.dataType)).alias(f.name)
+         else as_declared(F.col(f.name), f)).alias(f.name)
         for f in schema.fields])
 
 
