@@ -158,3 +158,22 @@ def test_the_license_that_holds_another_wins():
     assert names(f"{prose(9)}\n{L.TEMPLATES['BSD-2-Clause-text']}\n{prose(9)}") == [
         "BSD-2-Clause-text"]
     assert names("GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n") == ["GPL-3.0-body"]
+
+
+def test_size_reduction_ranks_what_wording_cannot_tell_apart(monkeypatch):
+    """Two templates agree with the block in as many words and differ in one each;
+    the one that differs in the shorter word saves more bytes."""
+    base = ("anybody may copy this software under the following license provided that every "
+            "incomprehensibilities disclaimer and all notices stay whole in each of the {} it "
+            "goes to for as long as it is kept by them").split()
+    block = " ".join(base).format("places")
+    short = block.replace(" all notices", " two notices")
+    long_ = block.replace("incomprehensibilities", "characteristically")
+    two = {"A-long": long_, "B-short": short}
+    s = scanner(L.Params(differing=0.1), two)
+    both = {f[2]: f for t in two.items() for f in scanner(
+        L.Params(differing=0.1), dict([t])).scan(block)[1]}
+    assert both["A-long"][4] == both["B-short"][4] == 1
+    assert names(block, s) == ["B-short"]
+    monkeypatch.setattr(L.Scanner, "saved", lambda self, words, t: 10 ** 6)
+    assert names(block, scanner(L.Params(differing=0.1), two)) == ["A-long"]

@@ -143,3 +143,12 @@ def test_showings_differ(spark):
     got = P.encode(P.showings(docs), PATH).collect()
     assert len({tuple(r["ids"]) for r in got}) == 4
     assert sorted(r["doc_id"] for r in got) == [1, 1, 1, 2]
+
+
+def test_hashes_of_short_units_are_the_library_s():
+    for size in range(1, 32):
+        data = [bytes((7 * i + size * j) % 256 for j in range(size)) for i in range(20)]
+        lanes = np.frombuffer(b"".join(d.ljust(32, b"\0") for d in data), "<u8").reshape(-1, 4)
+        seeds = np.arange(20, dtype=np.uint64) * np.uint64(P._GOLD)
+        want = [P.xxhash.xxh64_intdigest(d, int(x)) for d, x in zip(data, seeds, strict=True)]
+        assert P.short_xxh64(lanes, size, seeds).tolist() == want

@@ -117,3 +117,15 @@ def test_keep_one_of_each_group(spark):
     got = [r["doc_id"] for r in kept.collect()]
     assert sorted(x for x in got if x is not None) == want
     assert got.count(None) == sum(m[0] is None for m in MESSY)
+
+
+def test_two_texts_under_one_id_are_two_documents(spark):
+    """Neither is lost, whichever group the other falls into."""
+    one = "the quick brown fox jumps over the lazy dog near the quiet river bank at dawn"
+    two = "completely different words stand here so that no fingerprint bit agrees by design"
+    docs = spark.createDataFrame([(1, one), (1, two), (2, one), (2, two), (3, two), (1, one)],
+                                 "doc_id long, text string")
+    got = sorted(map(tuple, simhash.keep_one(docs).collect()))
+    assert got == sorted([(1, one), (1, two)])
+    shifted = spark.createDataFrame([(5, one), (5, two), (4, one)], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(shifted).collect())) == [(4, one), (5, two)]

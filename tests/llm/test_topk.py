@@ -61,3 +61,12 @@ def test_blocks_below_the_kth_are_not_scored():
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_a_value_that_overflows_when_scaled_takes_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (20, [1e307, 1.0]), (1, [3e306, 0.0]), (2, [0.5, 1.0]),
+            (3, [-1.7e308, 1.0]), (4, [2.8e306, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, df.where("vec_id % 20 = 0")).collect()))
+    big = min(64 * math.floor(64 * 2.8e306), 2**63 - 1)
+    assert got == [(0, 1, 4, big), (0, 2, 2, 64 * 32 + 128 * 64)]

@@ -2,12 +2,13 @@
 
 A block that holds a license text compresses far better once the compressor
 has seen that text.  Each candidate block is compressed alone and with every
-template as zstandard's raw dictionary; templates are ranked by the bytes that
-they save, as a share of the template's own size, and those that save enough
-are confirmed by exact wording: the words of the template are aligned with the
-block's, and the words that differ must be few enough for the template's
-length, and on neither side (missing, added or changed) a word that tells
-licenses apart or a number.  Numbers of list items are no words.  A text that
+template as zstandard's raw dictionary; a template is a candidate if what it saves
+is enough, as a share of its own size, and candidates are confirmed by exact
+wording: the words of the template are aligned with the block's, and the words
+that differ must be few enough for the template's length, and on neither side
+(missing, added or changed) a word that tells licenses apart or a number.
+Confirmed templates that overlap are ranked by size reduction: the bytes that each
+saves the stretch it was found on.  Numbers of list items are no words.  A text that
 goes on as a longer license does where the template ends is not the template's.
 
 A candidate block is a run of lines from one that holds a cue word ("license",
@@ -22,10 +23,9 @@ Texts are scanned where they lie, in one pass with no shuffle; the templates
 are a parameter, small and sent with the code.
 
 Defined cases: NULL and empty texts have no blocks; a template found several
-times counts each time; of finds that
-overlap the one that agrees in most words stays (so a license that holds another
-one whole wins), then the one with fewer differences, then the smaller name; repeated rows are scanned
-each; an empty table gives no rows; extra columns are ignored.
+times counts each time; of finds that overlap the one that saves most bytes stays
+(so a license that holds another one whole wins), then the one with fewer
+differences, then the smaller name, then the first; repeated rows are scanned each; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -270,10 +270,14 @@ class Scanner:
                 wide.append([a, b])
         return [(a, text[a:b]) for a, b in wide]
 
+    def saved(self, words: list[str], template: tuple) -> int:
+        """Bytes that a template saves the words."""
+        data = " ".join(words).encode()
+        return len(self.plain.compress(data)) - len(template[2].compress(data))
+
     def saving(self, words: list[str], template: tuple) -> float:
         """What a template saves the words, as a share of its own size."""
-        data = " ".join(words).encode()
-        return (len(self.plain.compress(data)) - len(template[2].compress(data))) / template[3]
+        return self.saved(words, template) / template[3]
 
     def windows(self, cues: list[int], n: int, size: int) -> Iterator[tuple[int, int]]:
         """Stretches that hold every run of ``size`` words with a cue in it."""
@@ -320,10 +324,10 @@ class Scanner:
                         if tuple(words[a + j:a + j + 4]) in self.goes_on[t[0]]:
                             continue
                         every.add((place + placed[a + i][1], place + placed[a + j - 1][2], t[0],
-                                   round(saving, 6), n, len(t[1])))
-        # of finds that overlap: the most words in agreement, then the best wording
+                                   round(saving, 6), n, self.saved(words[a + i:a + j], t)))
+        # of finds that overlap: the most bytes saved, then the best wording
         kept: list[tuple] = []
-        for f in sorted(every, key=lambda f: (f[4] - f[5], f[4], f[2], f[0], -f[3])):
+        for f in sorted(every, key=lambda f: (-f[5], f[4], f[2], f[0], -f[3])):
             if all(f[1] <= k[0] or k[1] <= f[0] for k in kept):
                 kept.append(f[:5])
         return len(blocks), sorted(kept)

@@ -30,9 +30,11 @@ them; an empty table gives no rows; extra columns are ignored, one that is calle
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -87,6 +89,34 @@ def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - stop + n, n) + np.arange(int(stop[-1]) if len(stop) else 0)
 
 
+# XXH64's primes (fixed values)
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+    0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def short_xxh64(lanes: np.ndarray, size: int, seeds: np.ndarray) -> np.ndarray:
+    """XXH64 of strings of ``size`` bytes (under 32), a row of 8-byte lanes each,
+    padded with zeros, under a seed each."""
+    h = seeds + _P5 + np.uint64(size)
+    for i in range(size // 8):
+        h = _turned(h ^ _turned(lanes[:, i] * _P2, 31) * _P1, 27) * _P1 + _P4
+    rest = lanes[:, size // 8] if size % 8 else None
+    left = size % 8
+    if left >= 4:
+        h = _turned(h ^ (rest & np.uint64(0xFFFFFFFF)) * _P1, 23) * _P2 + _P3
+        rest, left = rest >> np.uint64(32), left - 4
+    for i in range(left):
+        h = _turned(h ^ (rest >> np.uint64(8 * i) & np.uint64(255)) * _P5, 11) * _P1
+    h = (h ^ h >> np.uint64(33)) * _P2
+    h = (h ^ h >> np.uint64(29)) * _P3
+    return h ^ h >> np.uint64(32)
+
+
 class _Symbols:
     """Pieces and characters as numbers, and what two neighbours merge into.
 
@@ -191,8 +221,8 @@ def _agendas(symbols: _Symbols, rows: np.ndarray, keys: np.ndarray | None,
 
     In a round every row merges its cheapest candidate (the leftmost of equals),
     so all rows still running have as many symbols; a row without a candidate is
-    done.  Returns (row numbers, their symbols) per round, and (row numbers, codes
-    of the candidates merged) per round."""
+    done.  Returns (row numbers, their symbols) per round, and without keys (row
+    numbers, codes of the candidates merged) per round."""
     at = np.arange(len(rows))
     width = rows.shape[1]
     pos = np.broadcast_to(np.arange(width + 1), (len(rows), width + 1))
@@ -222,7 +252,8 @@ def _agendas(symbols: _Symbols, rows: np.ndarray, keys: np.ndarray | None,
                 break
             here = np.arange(len(at))
         new = made[here, best]
-        merged.append((at, _code(pos[here, best], pos[here, best + 1], pos[here, best + 2])))
+        if keys is None:
+            merged.append((at, _code(pos[here, best], pos[here, best + 1], pos[here, best + 2])))
         # the symbol right of the merged one goes, and the candidate between them
         col, c = np.arange(width), best[:, None]
         rows = np.take_along_axis(rows, col[:-1] + (col[:-1] > c), 1)
@@ -371,6 +402,8 @@ class Model:
         self.at_codes, self.n_codes = _Numbers(np.int64), _Numbers(np.int64)
         self.all_symbols, self.all_ids = _Numbers(np.int32), _Numbers(np.uint32)
         self.all_codes = _Numbers(np.uint64)
+        # UTF-8 of units of under 32 bytes in lanes; 0 bytes stands for longer ones
+        self.size, self.lanes = _Numbers(np.int64), _Numbers(np.uint64)
 
     def _segmented(self, at: np.ndarray, n: np.ndarray, keys: np.ndarray | None
                    ) -> tuple[np.ndarray, ...]:
@@ -398,6 +431,19 @@ class Model:
             out[first[which] + turn] = code
         return left, flat, n_codes, out
 
+    def _keys(self, now: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """:meth:`_key` of many occurrences (units by number)."""
+        seeds = which + np.uint64(self.p.seed * self.p.variants & _MASK)
+        sizes = self.size.all()[now]
+        lanes = self.lanes.all().reshape(-1, 4)
+        out = np.empty(len(now), np.uint64)
+        for size in np.unique(sizes).tolist():
+            of = np.flatnonzero(sizes == size)
+            out[of] = short_xxh64(lanes[now[of]], size, seeds[of]) if size else np.fromiter(
+                map(xxhash.xxh64_intdigest, map(self.unit.__getitem__, now[of].tolist()),
+                    seeds[of].tolist()), np.uint64, len(of))
+        return out
+
     def _learn(self, units: list[str]) -> None:
         """Remember units; long ones (segmented each occurrence anew) by name only."""
         first = len(self.unit)
@@ -408,6 +454,10 @@ class Model:
         n = np.fromiter(map(len, short), np.int64, len(short))
         at = self.all_symbols.n + np.cumsum(n) - n
         self.all_symbols.add(symbols)
+        raw = [b if len(b) < 32 else b"" for b in (u.encode("utf-8", "surrogatepass")
+                                                   for u in units)]
+        self.size.add(list(map(len, raw)))
+        self.lanes.add(np.frombuffer(b"".join([b.ljust(32, b"\0") for b in raw]), "<u8"))
         some = np.flatnonzero(n > 0)
         left, flat, merged, codes = self._segmented(at[some], n[some], None)
         flat, left = self.symbols.ids(flat, left)
@@ -459,9 +509,7 @@ class Model:
         special: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []   # places, sizes, ids
         if self.threshold:
             open_ = np.flatnonzero(self.n_codes.all()[now] > 0)
-            seeds = which[open_] + np.uint64(self.p.seed * self.p.variants & _MASK)
-            keys = np.fromiter(map(xxhash.xxh64_intdigest, map(
-                self.unit.__getitem__, now[open_].tolist()), seeds.tolist()), np.uint64, len(open_))
+            keys = self._keys(now[open_], which[open_])
             if len(open_):
                 coming = self.n_codes.all()[now[open_]]
                 codes = self.all_codes.all()[_ranges(self.at_codes.all()[now[open_]], coming)]
@@ -548,6 +596,16 @@ def _model(path: str, p: Params) -> Model:
     return _MODELS[path, p]
 
 
+@contextmanager
+def _no_collector() -> Iterator[None]:
+    """What a model remembers holds no cycles, and is large to walk through."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def _key(doc_id: int | None, showing: int = 0) -> str:
     return f"{doc_id}#{showing}" if showing else str(doc_id)
 
@@ -569,9 +627,10 @@ def encode(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFrame:
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = _model(model_path, p)
         for doc_ids, shown, texts in batches:
-            found = model.encode_many(
-                [(t.as_py() or b"").decode() for t in texts],
-                [_key(d.as_py(), n.as_py()) for d, n in zip(doc_ids, shown, strict=True)])
+            with _no_collector():
+                found = model.encode_many(
+                    [(t.as_py() or b"").decode() for t in texts],
+                    [_key(d.as_py(), n.as_py()) for d, n in zip(doc_ids, shown, strict=True)])
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
@@ -611,8 +670,9 @@ def round_trip(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFr
         for doc_ids, texts in batches:
             cols: list[list] = [[] for _ in _TRIP]
             given = [t.as_py() or b"" for t in texts]
-            every = model.encode_many([t.decode() for t in given],
-                                      [_key(d.as_py()) for d in doc_ids])
+            with _no_collector():
+                every = model.encode_many([t.decode() for t in given],
+                                          [_key(d.as_py()) for d in doc_ids])
             for data, ids in zip(given, every, strict=True):
                 back = model.decode(ids.tolist())
                 row = (len(ids), zlib.crc32(ids), len(back.decode()), zlib.crc32(back),

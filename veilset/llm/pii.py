@@ -233,6 +233,27 @@ def _words_with(docs: DataFrame, base: DataFrame, p: Params) -> DataFrame:
     return each.join(several, "h").select("kind", "entity", "term", "h", F.col("h").alias("ctx"))
 
 
+_WORDS_OF_BITS = 1 << 18      # 64 bits each
+
+
+def _maybe_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``term`` may be among ``wanted``, so that the others need not be
+    shuffled to find out: a term's hash names one of 2**24 bits, set if a wanted
+    term has it.  The words that hold a bit (at most 2**18 rows of two numbers,
+    however many terms there are) are broadcast."""
+    def place(term: str) -> Column:
+        return F.pmod(F.xxhash64(term), F.lit(64 * _WORDS_OF_BITS))
+
+    bits = wanted.select(place("term").alias("at")).groupBy(
+        F.shiftright("at", 6).alias("of_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
+                                 (F.col("at") % 64).cast("int"))).alias("bits"))
+    rows = rows.withColumn("at", place("term"))
+    hit = rows.join(F.broadcast(bits), F.shiftright("at", 6) == F.col("of_word"))
+    return hit.where(F.call_function("shiftright", F.col("bits"), (F.col("at") % 64).cast("int"))
+                     .bitwiseAND(F.lit(1)) == 1).select("h", "term")
+
+
 def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFrame,
                 p: Params = Params()) -> DataFrame:
     """kind, entity, term, disclosure: the pairs at ``generalise_at`` or more.
@@ -256,7 +277,7 @@ def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFr
                       r"[^\p{L}\p{M}]+", -1)
     texts = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
                         .alias("h"), F.explode(F.array_distinct(letters)).alias("term"))
-    n_t = texts.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(
+    n_t = _maybe_among(texts, wanted).join(wanted, "term", "left_semi").distinct().groupBy("term").agg(
         F.count("*").alias("n_t"))
     both = F.least("n_te", "n_t", "n_e").cast("double")
     known = F.log2(F.lit(total) / F.col("n_e"))

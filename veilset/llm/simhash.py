@@ -232,16 +232,22 @@ def links(fps: DataFrame, p: Params = Params()) -> DataFrame:
             .mapInArrow(_link_groups(p.radius), "a long, b long"))
 
 
-def cluster(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: a row per row."""
-    fps = staged(docs.select("doc_id", _fingerprints(p)(text_bytes("text")).alias("fp")),
-                 "simhash-fp")
+def _placed(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+    """doc_id, h (of the text), fp per row; fp, root, component_id per fingerprint."""
+    text = text_bytes("text")
+    fps = staged(docs.select("doc_id", F.xxhash64(text).alias("h"),
+                             _fingerprints(p)(text).alias("fp")), "simhash-fp")
     distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     labels = components(links(distinct, p), "simhash-cc")
     placed = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = placed.join(ids, "root").select("fp", "component_id")
+    return fps, placed.join(ids, "root").select("fp", "root", "component_id")
+
+
+def cluster(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: a row per row."""
+    fps, of_fp = _placed(docs, p)
     return fps.join(of_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -249,10 +255,16 @@ def cluster(docs: DataFrame, p: Params = Params()) -> DataFrame:
 def keep_one(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The document with the smallest id of each group, with all its columns.
 
-    A row repeated under one ``doc_id`` stays once; rows without an id cannot
-    be told apart from each other and all stay."""
-    placed = cluster(docs, p)
-    first = placed.where("doc_id = component_id").select("doc_id").distinct()
-    packed = docs.select(F.col("doc_id").alias("id"), whole_row(docs))
-    kept = packed.join(first, F.col("id") == F.col("doc_id"), "left_semi").dropDuplicates(["id"])
-    return unpack_row(kept.unionAll(packed.where("id IS NULL")))
+    A group is told by its fingerprints, so two texts under one ``doc_id`` that are
+    not near each other are two documents: both stay if each is its group's first
+    (by id, then by a hash of the text).  A row repeated under one ``doc_id`` with
+    the same text stays once; rows without an id cannot be told apart from each
+    other and all stay."""
+    fps, of_fp = _placed(docs, p)
+    first = fps.where("doc_id IS NOT NULL").join(of_fp, "fp").groupBy("root").agg(
+        F.min(F.struct("doc_id", "h")).alias("x")).select("x.doc_id", "x.h").distinct()
+    packed = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text_bytes("text")).alias("own"),
+                         whole_row(docs))
+    kept = packed.join(first, (F.col("id") == F.col("doc_id")) & (F.col("own") == F.col("h")),
+                       "left_semi").dropDuplicates(["id", "own"])
+    return unpack_row(kept.drop("own").unionAll(packed.where("id IS NULL").drop("own")))

@@ -14,8 +14,8 @@ smaller id.  Queries travel to the groups in chunks, never the corpus to the
 queries; each (chunk, group) pair is one row of a join, bounded in size, and
 the best k of the groups are merged by a window per query.
 
-Defined cases: a vector that is NULL, or holds a NULL, a NaN or an infinity,
-or has a NULL id, takes no part; a missing dimension counts as zero; repeated
+Defined cases: a vector that is NULL, or holds a NULL, a NaN, an infinity or a
+number that becomes one when it is scaled, or has a NULL id, takes no part; a missing dimension counts as zero; repeated
 rows are candidates each; a query id that has several vectors uses the
 smallest of them; a query never meets rows of its own id; scores beyond 64
 bits are ranked exactly and returned as the nearest long; an empty table gives
@@ -205,7 +205,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, p: Params = Params()) -> DataF
     spark = vectors.sparkSession
     ship_code(spark)
     valid = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (
+            F.abs(x.cast("double") * p.scale) < float("inf")))
     clean = vectors.select("vec_id", "embedding").where(valid)
     n = clean.count()
     groups = max(1, -(-n // p.group))
