@@ -1,0 +1,210 @@
+"""Hot-key joins, key runs, large limits, split CSV files, sized sinks."""
+import random
+from collections import Counter
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from veilset import samples
+from veilset.catalog import FilterSpec, TableMeta
+from veilset.functions.predicates import condition
+from veilset.operators import hot, runs, subset, validate
+from veilset.session import stage_path
+from veilset.sinks.files import write_files, write_sized
+from veilset.sources import files
+from veilset.sources.splitcsv import read_csv_split, record_lines
+
+
+def bag(df):
+    return Counter(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("how", hot.HOWS)
+def test_split_join_equals_the_plain_join(spark, how):
+    big = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id") % 50)
+        .cast("long").alias("a"), (F.col("id") % 2).cast("string").alias("b"), "id")
+    small = spark.createDataFrame([(1, "0 ", "x"), (1, "1", "y"), (1, "1", "z"), (7, "1", "w"),
+                                   (None, "1", "n")], "c long, d string, e string")
+    plain = big.join(small, (big.a == small.c) & (big.b == F.rtrim(small.d)), how)
+    got = hot.split_join(big, small, [("a", "c"), ("b", "d")], how)
+    assert bag(got) == bag(plain) and got.columns == plain.columns
+
+
+def test_hot_rows_are_dealt_out(spark):
+    big = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+                                     .alias("a"))
+    assert 13_334 in hot.hot_keys(big, ["a"]).values()
+    small = spark.createDataFrame([(-1, "hot"), (5, "x")], "c long, e string")
+    for k, v in (("spark.sql.adaptive.enabled", "false"),
+                 ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(k, v)
+    try:
+        joined = hot.split_join(big, small, [("a", "c")], "left")
+        rows = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        plain = big.join(small, big.a == small.c, "left")
+        worst = max(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows[-1] <= 2 * rows[len(rows) // 2] < worst
+
+
+def test_key_runs_cover_every_key_at_the_widest_gaps(spark):
+    rnd = random.Random(2)
+    keys = sorted({x + 1000 * rnd.randrange(9) for x in rnd.sample(range(300), 120)})
+    df = spark.createDataFrame([(k,) for k in keys] * 2 + [(None,)], "k long").repartition(4)
+    for n in (1, 2, 5, 30, 1000):
+        got = runs.key_runs(df, "k", n)
+        assert len(got) <= n and got == sorted(got)
+        assert all(any(a <= k <= b for a, b in got) for k in keys)
+        gaps = sorted((b - a for a, b in zip(keys, keys[1:], strict=False)), reverse=True)
+        inside = keys[-1] - keys[0] - sum(gaps[:n - 1])
+        assert sum(b - a for a, b in got) == inside
+    assert runs.key_runs(df.limit(0), "k") == []
+
+
+def test_runs_are_pushed_and_keep_padded_text(spark, tables):
+    keys = tables["orders"].where("o_orderkey < 300 OR o_orderkey BETWEEN 900 AND 950").select(
+        F.col("o_orderkey").alias("k"))
+    df = subset.semi_join(tables["lineitem"], keys, [("l_orderkey", "k")], strategy="runs")
+    want = subset.semi_join(tables["lineitem"], keys, [("l_orderkey", "k")])
+    assert bag(df) == bag(want)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan and "rtrim" not in plan
+    text = ["A", "A  ", "A\x01", "AB", "B ", "b", "é ", "Z!"]
+    path = write_files(spark.createDataFrame([(t,) for t in text], "t string"),
+                       stage_path(spark, "t-runs"), "parquet")
+    stored = spark.read.parquet(path)
+    for some in (["A"], ["A\x01", "B"], ["é", "b"], ["Z!", "AB"]):
+        ks = spark.createDataFrame([(k,) for k in some], "k string")
+        got = subset.semi_join(stored, ks, [("t", "k")], strategy="runs")
+        assert sorted(r[0] for r in got.collect()) == sorted(
+            t for t in text if t.rstrip(" ") in some)
+        assert "LessThan(t" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [0, 1, 499, 500, 2000, 2999, 3000, 9999])
+def test_first_rows(spark, n):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id") % 7).alias("a"),
+        (-F.col("id")).alias("b"), "id").repartition(5)
+    got = subset.first_rows(df, ["a", "b"], n, one_task=50)
+    assert bag(got) == bag(df.orderBy("a", "b").limit(n))
+    ties = subset.first_rows(df, ["a"], n, one_task=50)
+    assert Counter(r["a"] for r in ties.collect()) == Counter(
+        r["a"] for r in df.orderBy("a").limit(n).collect())
+
+
+def test_a_large_limit_is_not_merged_in_one_task(spark, tables):
+    li = tables["lineitem"]
+    cut = subset.apply_order_limit(li, order=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+                                   limit=li.count() // 2, one_task=1)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert cut.count() == li.count() // 2
+    assert "TakeOrderedAndProject" not in plan and "Limit" not in plan
+    keys = [r[0] for r in cut.select("l_orderkey").collect()]
+    assert keys == sorted(keys)
+
+
+def odd_csv(rnd, n):
+    cell = lambda: "".join(rnd.choice(["a", "b,", '"', "\n", "\r\n", " ", "é", "", "xyz" * 9])
+                           for _ in range(rnd.randrange(9)))
+    return [(i, rnd.choice([None, "", cell()]), cell()) for i in range(n)]
+
+
+@pytest.mark.parametrize("split", [64, 700, 100_000])
+def test_split_csv_equals_the_whole_read(spark, split):
+    rows = odd_csv(random.Random(split), 900)
+    schema = "i long, s string, t string"
+    df = spark.createDataFrame(rows, schema)
+    path = stage_path(spark, "t-split")
+    write_files(df.coalesce(1), f"{path}/a", "csv")
+    write_files(df.limit(3), f"{path}/b", "csv")
+    key, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(split * 20))
+    spark.conf.set(cost, "1")
+    try:
+        got = read_csv_split(spark, f"{path}/a", df.schema)
+        assert bag(got) == Counter(rows)
+        if split < 100_000:
+            lines = record_lines(spark, f"{path}/a")
+            assert lines.select("record").count() == len(rows) + 1
+            text = spark.read.text(f"{path}/a")
+            assert text.groupBy(F.col("_metadata.file_block_start")).count().count() > 2
+        both = read_csv_split(spark, [f"{path}/a", f"{path}/b"], df.schema)
+        assert both.count() == len(rows) + df.limit(3).count()
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.unset(cost)
+
+
+def test_split_csv_errors(spark):
+    path = stage_path(spark, "t-split-bad")
+    spark.createDataFrame([('a,b\n1,"never closed\n' + "x\n" * 50,)], "v string").coalesce(1) \
+        .write.option("lineSep", "\n").text(path)
+    schema = spark.createDataFrame([], "a long, b string").schema
+    with pytest.raises(Exception, match="quote"):
+        read_csv_split(spark, path, schema, max_lines=20).collect()
+    two = stage_path(spark, "t-split-heads")
+    for name, head in (("a", "a,b"), ("b", "b,a")):
+        spark.createDataFrame([(f"{head}\n1,2",)], "v string").coalesce(1).write.text(f"{two}/{name}")
+    with pytest.raises(Exception, match="another header"):
+        read_csv_split(spark, [f"{two}/a", f"{two}/b"], schema).collect()
+    with pytest.raises(ValueError, match="not in the header"):
+        read_csv_split(spark, f"{two}/a", spark.createDataFrame([], "z long").schema)
+
+
+def test_sized_files(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string")).alias("p"),
+        "id")
+    path = stage_path(spark, "t-sized")
+    assert write_sized(df, path, rows_per_file=400, partition_by=["p"]) == 5000
+    back = spark.read.parquet(path)
+    sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= 400
+    assert bag(back.select(F.col("p").cast("string"), "id")) == bag(df)
+    with pytest.raises(ValueError):
+        write_sized(df, path, rows_per_file=0)
+
+
+NUMBERS = TableMeta.from_document(samples.request("n", [
+    samples.col("d", "NUMBER", 22, precision=6, scale=2),
+    samples.col("k", "NUMBER", 22, precision=18)], driver=None))
+
+
+@pytest.mark.parametrize("op", ["=", "!=", ">", "<", ">=", "<="])
+def test_literals_are_not_rounded(spark, op):
+    from decimal import Decimal
+    import operator
+    py = {"=": operator.eq, "!=": operator.ne, ">": operator.gt, "<": operator.lt,
+          ">=": operator.ge, "<=": operator.le}[op]
+    ds = [Decimal(x) for x in ("-9999.99", "-1.24", "-1.23", "0.00", "1.23", "1.24", "9999.99")]
+    ks = [-(2**62), -1, 0, 1, 2**53, 2**53 + 1, 2**62]
+    df = spark.createDataFrame(list(zip(ds, ks, strict=True)) + [(None, None)],
+                               "d decimal(6,2), k long")
+    for col, values, lits in (
+            ("d", ds, ["1.239", "1.24", "-1.231", "1.2400", "99999", "-1e9", "0", "1e-9"]),
+            ("k", ks, ["0.5", "-0.5", "9007199254740992.5", "9007199254740993", "1e30", "-1e30"])):
+        for lit in lits:
+            cond = condition(FilterSpec(col, op, (lit,)), NUMBERS.column(col), df.schema[col].dataType)
+            got = sorted(r[0] for r in df.where(cond).select(col).collect())
+            assert got == [v for v in values if py(Decimal(v), Decimal(lit))], (col, op, lit)
+
+
+def test_rounded_values_are_rejected_everywhere(spark):
+    meta = replace(NUMBERS, columns=tuple(replace(c, name="k") if c.name == "k" else c
+                                          for c in NUMBERS.columns))
+    raw = ["1.2", "1.23", "1.230", "1.2300000", "1.239", " 1.24 ", "1.239e0", "1.23e0", "12e-1",
+           "1e-3", "10000", "9999.99", "9999.994", "-0.001", "x", None]
+    good = {"1.2", "1.23", "1.230", "1.2300000", " 1.24 ", "1.23e0", "12e-1", "9999.99", None}
+    text = spark.createDataFrame([(r, str(i)) for i, r in enumerate(raw)], "d string, k string")
+    ok, rejected = validate.split_typed(text, meta)
+    assert {raw[r["k"]] for r in ok.collect()} == good
+    assert rejected.count() == len(raw) - len(good)
+    path = write_files(text.where("d = '1.239'"), stage_path(spark, "t-round"), "csv")
+    with pytest.raises(Exception, match="cannot hold"):
+        files.read_declared(spark, path, meta, "csv").collect()

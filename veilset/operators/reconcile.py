@@ -103,11 +103,14 @@ def reconcile(expected: DataFrame, actual: DataFrame, key: Sequence[str] | None
 
     ``lost`` (fewer rows, the others equal), ``added`` (rows of a new key, or new
     rows beside the old), ``doubled`` (known rows more often), ``changed`` (rows
-    lost and others added).  Without a key a row is its own key.  A column's type
+    lost and others added).  Without a key a row is its own key (a key holds no map).  A column's type
     must be the same on both sides.  Equal tables give no rows and are read once;
     beyond that only rows of differing buckets are grouped."""
     columns = list(columns or expected.columns)
     key = list(key or columns)
+    maps = [k for k in key if isinstance(expected.schema[k].dataType, T.MapType)]
+    if maps:
+        raise ValueError(f"rows cannot be grouped by maps {maps}: give a key without them")
     for c in columns:
         a, b = expected.schema[c].dataType, actual.schema[c].dataType
         if a != b:

@@ -239,7 +239,8 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int, *,
     row per range, from one job) tell in which range rank ``n`` falls.  Ranges
     before it are taken whole, by a comparison with its lower end that the scan
     can use; in it the search goes on, until at most ``one_task`` rows are left to
-    rank or all of them are equal."""
+    rank or all of them are equal.  With ``one_task=1`` and an order that tells all
+    rows apart, the result is a filter and nothing else."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[F.col(c) for c in order])
@@ -278,6 +279,8 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int, *,
         high = hi
         if rows <= one_task or lo == hi:
             break
+    if not left:               # the rank falls between two ranges: a plain filter
+        return df.where(F.lit(False) if low is None else upto(low))
     rest = df.where(upto(high))
     rest = rest if low is None else rest.where(~(key <= end(low)))
     rest = rest.orderBy(*order).limit(left)

@@ -444,11 +444,11 @@ SELECT l_orderkey, l_linenumber, l_quantity FROM (
 WHERE n <= every // 2""")
 def extract_limit_large(spark, sf):
     """The first half of the table by date and key, cut at its rank by
-    ranges of the order columns; no task holds more than a range."""
+    ranges of the order columns until it falls between two rows: a filter."""
     li = _t(spark, sf)["lineitem"]
     n = li.count() // 2
     rows = subset.first_rows(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
-                                  "l_suppkey"], n, one_task=1000)
+                                  "l_suppkey"], n, one_task=1)
     return rows.select("l_orderkey", "l_linenumber", "l_quantity")
 
 

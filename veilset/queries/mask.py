@@ -360,12 +360,15 @@ def _doc_json_sql(name_sql):
             "o.o_orderpriority || '\",\"status\":\"' || o.o_orderstatus || '\"}'")
 
 
-@query("mask_nested_json", f"""WITH {IDS_ALL}
+_DOC_JSON_SQL = f"""WITH {IDS_ALL}
 SELECT o.o_orderkey AS document_request_id, o.o_custkey AS cust_key,
        o.o_orderpriority AS journey_nm,
        {_doc_json_sql("concat_ws(' ', i.first_nm, i.mid_nm, i.lst_nm)")} AS request_f1
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN ids i ON i.cust_id = c.c_custkey
-WHERE c.{DRIVER_SQL}""")
+WHERE c.{DRIVER_SQL}"""
+
+
+@query("mask_nested_json", _DOC_JSON_SQL)
 def mask_nested_json(spark, sf):
     t = _t(spark, sf)
     t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
@@ -475,12 +478,21 @@ def mask_stream_restart(spark, sf):
 def mask_request_shared_link(spark, sf):
     """A request over orders and doc_request (both one hop from customer):
     their identity link is built once and checkpointed; the orders result."""
+    return _shared_link(spark, sf)["orders"]
+
+
+@query("mask_request_shared_docs", _DOC_JSON_SQL)
+def mask_request_shared_docs(spark, sf):
+    """The doc_request result of the same request."""
+    return _shared_link(spark, sf)["doc_request"]
+
+
+def _shared_link(spark, sf):
     from ..plans.scrub import scrub_request
     t = _t(spark, sf)
     t["doc_request"] = samples.doc_request_table(t["orders"], t["customer"])
-    out = scrub_request(t, [samples.META["orders"], samples.META["doc_request"]], GENERATOR,
-                        driver_filter=driver(), unique_keys=UKS)
-    return out["orders"]
+    return scrub_request(t, [samples.META["orders"], samples.META["doc_request"]], GENERATOR,
+                         driver_filter=driver(), unique_keys=UKS)
 
 
 @query("mask_nested_no_driver", """

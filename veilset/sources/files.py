@@ -27,15 +27,23 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
-             *, header: bool = True, **options) -> DataFrame:
+             *, header: bool = True, split: bool = False, **options) -> DataFrame:
     """CSV with a header row.  With a declared schema no inference pass is
     made; without one the schema is inferred (an extra pass over the files).
 
     Declared columns are found by their name in the header, whatever its
     order; a file whose header differs from the first one's, a declared column
     that is absent and a value that its type cannot hold as it is (one digit too
-    many behind the point) are errors (see ``validate`` for reading with rejects).  Without a header columns go by
-    position."""
+    many behind the point) are errors (see ``validate`` for reading with rejects).
+    Without a header columns go by position.
+
+    A record may span lines, so Spark reads a file in one task; ``split=True`` (with
+    a schema and a header) reads large files by many (``splitcsv``)."""
+    if split:
+        from .splitcsv import read_csv_split
+        if schema is None or not header or options:
+            raise ValueError("a split read needs a schema and a header, and takes no options")
+        return read_csv_split(spark, paths, schema)
     r = spark.read.options(**csvio.READ).option("header", header).options(**options)
     paths = paths if isinstance(paths, str) else list(paths)
     if schema is None:
