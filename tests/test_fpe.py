@@ -30,7 +30,7 @@ def plain(x, size, secret, tweak):
     return x
 
 
-@pytest.mark.parametrize("size", [2, 3, 10, 97, 1000, 1001, 4096, 10 ** 9, 10 ** 18, 999_999_937])
+@pytest.mark.parametrize("size", [2, 10, 97, 1001, 10 ** 9, 10 ** 18])
 def test_a_permutation_that_can_be_undone(spark, size):
     n = min(size, 1500)
     df = spark.range(n).select("id", fpe.encrypt_number(F.col("id"), size, "key", "t").alias("c"))
