@@ -236,22 +236,26 @@ def _words_with(docs: DataFrame, base: DataFrame, p: Params) -> DataFrame:
 _WORDS_OF_BITS = 1 << 18      # 64 bits each
 
 
-def _maybe_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose ``term`` may be among ``wanted``, so that the others need not be
-    shuffled to find out: a term's hash names one of 2**24 bits, set if a wanted
-    term has it.  The words that hold a bit (at most 2**18 rows of two numbers,
-    however many terms there are) are broadcast."""
-    def place(term: str) -> Column:
-        return F.pmod(F.xxhash64(term), F.lit(64 * _WORDS_OF_BITS))
-
-    bits = wanted.select(place("term").alias("at")).groupBy(
+def _maybe_among(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` with ``maybe`` (for the column ``h``; else ``maybe_<column>``): false
+    only where the column's value is surely not among ``wanted``, found out without
+    a shuffle.  A value's hash names one of 2**24 bits, set if a wanted value has
+    it; the words that hold a bit (at most 2**18 rows of two numbers, however many
+    values there are) are broadcast."""
+    mark = "maybe" if column == "h" else f"maybe_{column}"
+
+    def place() -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(64 * _WORDS_OF_BITS))
+
+    bits = wanted.select(place().alias("at")).groupBy(
         F.shiftright("at", 6).alias("of_word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
                                  (F.col("at") % 64).cast("int"))).alias("bits"))
-    rows = rows.withColumn("at", place("term"))
-    hit = rows.join(F.broadcast(bits), F.shiftright("at", 6) == F.col("of_word"))
-    return hit.where(F.call_function("shiftright", F.col("bits"), (F.col("at") % 64).cast("int"))
-                     .bitwiseAND(F.lit(1)) == 1).select("h", "term")
+    rows = rows.withColumn("at", place())
+    hit = rows.join(F.broadcast(bits), F.shiftright("at", 6) == F.col("of_word"), "left")
+    bit = F.call_function("shiftright", F.col("bits"), (F.col("at") % 64).cast("int"))
+    return hit.withColumn(mark, F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False))) \
+        .drop("at", "of_word", "bits")
 
 
 def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFrame,
@@ -275,10 +279,19 @@ def disclosures(docs: DataFrame, scan: DataFrame, base: DataFrame, terms: DataFr
     wanted = pairs.select("term").distinct()
     letters = F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))),
                       r"[^\p{L}\p{M}]+", -1)
-    texts = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-                        .alias("h"), F.explode(F.array_distinct(letters)).alias("term"))
-    n_t = _maybe_among(texts, wanted).join(wanted, "term", "left_semi").distinct().groupBy("term").agg(
-        F.count("*").alias("n_t"))
+    hashed = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+                         .alias("h"), letters.alias("w"))
+    again = scan.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    texts = _maybe_among(hashed, "h", again).select(
+        "h", "maybe", F.explode(F.array_distinct("w")).alias("term"))
+    texts = _maybe_among(texts, "term", wanted).where("maybe_term").drop("maybe_term")
+    # a text that is there once adds one to each of its words, summed up where it is
+    # read; only for texts that may be there more often do (text, word) pairs travel
+    once = texts.where("NOT maybe").groupBy("term").agg(F.count("*").alias("n"))
+    more = texts.where("maybe").select("h", "term").distinct().groupBy("term").agg(
+        F.count("*").alias("n"))
+    n_t = once.unionAll(more).join(wanted, "term", "left_semi").groupBy("term").agg(
+        F.sum("n").alias("n_t"))
     both = F.least("n_te", "n_t", "n_e").cast("double")
     known = F.log2(F.lit(total) / F.col("n_e"))
     share = F.when(known > 0, F.log2(F.lit(total) * both / (F.col("n_t") * F.col("n_e"))) / known)
