@@ -132,3 +132,37 @@ def test_mask_plan_description():
     assert plan["birth_mo"] == ["identity", "month", None]
     assert plan["marital_status"] == ["constant", None, "MARRIED"]
     assert plan["name_title"][0] == "null"
+
+
+def test_identity_numbers_are_made_by_many_tasks(spark):
+    """A small file is read by one task; the rows whose numbers are encrypted are dealt out."""
+    one = spark.range(0, 400, 1, 1).select(F.col("id").alias("c_custkey"))
+    made = mask.identity_table(one, "c_custkey", seed="s", unique=True, fields=["cust_id", "cm15"])
+    per_task = made.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) <= 100
+    again = mask.identity_table(one, "c_custkey", seed="s", fields=["cust_id", "cm15"])
+    assert sorted(made.collect()) == sorted(again.collect())
+    # fields without such numbers need no shuffle
+    plain = mask.identity_table(one, "c_custkey", seed="s", unique=True, fields=["cust_id", "city"])
+    assert plain.rdd.getNumPartitions() == 1
+
+
+def test_masked_numbers_are_made_by_many_tasks(spark):
+    """The own-driver scrub deals its rows out where numbers are encrypted, hot or NULL
+    driver keys included."""
+    cols = ["c_custkey", "bank_acct_no", "card_nbr", "marital_status"]
+    rows = spark.range(0, 400, 1, 1).select(
+        F.when(F.col("id") % 4 > 0, 7).when(F.col("id") % 8 > 0, F.col("id")).alias("c_custkey"),
+        *[F.lit("x").alias(c) for c in cols[1:]])
+    out = mask.scrub(rows, samples.META["member"], mask.identity_generator("s"))
+    per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) <= 100
+    by_key = {r["c_custkey"]: r for r in out.collect()}
+    assert out.count() == 400 and len(by_key) == 52
+    ids = {r["cust_id"]: r for r in mask.identity_table(
+        rows, "c_custkey", seed="s", fields=["cust_id", "cm15", "bank_acct_no"]).collect()}
+    assert all((r["card_nbr"], r["bank_acct_no"]) == (ids[k]["cm15"], ids[k]["bank_acct_no"])
+               for k, r in by_key.items() if k is not None)
+    few = mask.scrub(rows.select("c_custkey", "marital_status"), samples.META["member"],
+                     mask.identity_generator("s"))
+    assert few.rdd.getNumPartitions() == 1
