@@ -157,6 +157,48 @@ def test_split_csv_errors(spark):
         read_csv_split(spark, f"{two}/a", spark.createDataFrame([], "z long").schema)
 
 
+def test_a_split_file_is_in_no_task_as_a_whole(spark):
+    path = stage_path(spark, "t-split-spread")
+    rows = [(i, f"line {i}\nmore" if i % 3 else f"line {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "a long, b string")
+    write_files(df.coalesce(1), path, "csv")
+    conf = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1k",
+            "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = read_csv_split(spark, path, df.schema)
+        per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 3000 and max(per_task) < 1000
+        assert bag(got) == Counter(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_split_csv_query_writes_by_many_tasks(spark, monkeypatch):
+    from veilset.queries import io
+    paths, conf = [], {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+                       "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+
+    def kept(df, path, fmt, **options):
+        paths.append(path)
+        return write_files(df, path, fmt, **options)
+
+    monkeypatch.setattr(io, "write_files", kept)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = io.src_csv_split(spark, "/root/testdata/sf0.001")
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert bag(got) == bag(docs.select(got.columns))
+    assert spark.read.text(paths[0]).select(F.input_file_name()).distinct().count() > 2
+
+
 def test_sized_files(spark):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string")).alias("p"),

@@ -179,10 +179,11 @@ def src_mixed_dir_below_stage(spark, sf):
 @query("src_csv_split", """
 SELECT doc_id, text, lang, source, n_chars FROM documents""")
 def src_csv_split(spark, sf):
-    """Texts of many lines in one CSV file, read by several tasks (splits far
-    smaller than the file), records over line and split borders put together."""
+    """Texts of many lines in CSV files of adaptive execution's size (one, if they
+    are few), each read by several tasks (splits far smaller than the file), records
+    over line and split borders put together."""
     docs = samples.load_tables(spark, sf, ("documents",))["documents"]
-    path = write_files(docs.coalesce(1), stage_path(spark, "one-csv"), "csv")
+    path = write_files(docs.hint("rebalance"), stage_path(spark, "large-csv"), "csv")
     key = "spark.sql.files.maxPartitionBytes"
     was = spark.conf.get(key)
     spark.conf.set(key, "64k")

@@ -59,7 +59,10 @@ def record_lines(spark: SparkSession, paths: str | Sequence[str],
         (F.col("open") + F.sum(_quotes(F.col("line"))).over(so_far)) % 2).alias("open_after"),
         F.col("open"))
     starts = F.coalesce(F.lag("open_after").over(in_range), F.col("open")) == 0
-    rows = rows.select("file", "block", "nth", "line", "open_after", starts.alias("starts"))
+    # a file's first record is the first line of its first range
+    first = (F.col("block") == 0) & (F.row_number().over(in_range) == 1)
+    rows = rows.select("file", "block", "nth", "line", "open_after", starts.alias("starts"),
+                       first.alias("first"))
     rows = rows.withColumn("own", F.max(F.when(F.col("starts"), F.col("nth"))).over(so_far))
     # lines before a range's first start belong to the last record begun before it
     ends = rows.groupBy("file", "block").agg(
@@ -67,28 +70,22 @@ def record_lines(spark: SparkSession, paths: str | Sequence[str],
     ends = ends.select(F.col("file").alias("f"), F.col("block").alias("b"),
                        F.last("last", ignorenulls=True).over(before).alias("carried"))
     single = rows.where(F.col("starts") & (F.col("open_after") == 0)).select(
-        "file", "block", "nth", "line")
+        "file", "first", "line")
     longer = rows.where(~(F.col("starts") & (F.col("open_after") == 0)))
-    inside = longer.where("own IS NOT NULL").select("file", "block", "nth", "line", "own")
+    inside = longer.where("own IS NOT NULL").select("file", "block", "nth", "line", "first", "own")
     carried = longer.where("own IS NULL").join(
         ends, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).select(
-        "file", "block", "nth", "line", F.col("carried").alias("own"))
+        "file", "block", "nth", "line", "first", F.col("carried").alias("own"))
     many = inside.unionByName(carried).groupBy("file", "own").agg(
-        F.count(F.lit(1)).alias("n"), F.min("block").alias("block"),
+        F.count(F.lit(1)).alias("n"), F.max("first").alias("first"),
         F.sort_array(F.collect_list(F.struct("block", "nth", "line"))).alias("parts"))
     too_long = F.raise_error(F.concat(F.lit("a record has more lines than allowed, is a quote "
                                             "left open in "), F.col("file"))).cast("string")
-    many = many.select("file", "block", F.col("own").alias("nth"), F.when(
+    many = many.select("file", "first", F.when(
         F.col("n") > max_lines, too_long).otherwise(F.array_join(
             F.transform("parts", lambda p: p["line"]), "\n")).alias("line"))
-    every = single.unionByName(many)
-    # a file's first record: the least place in its first range
-    heads = every.where("block = 0").groupBy("file").agg(F.min("nth").alias("head"))
-    every = every.join(heads.select(F.col("file").alias("f"), "head"),
-                       F.col("file") == F.col("f"), "left")
-    text = F.regexp_replace("line", "\r$", "")
-    return every.select("file", (F.coalesce(F.col("nth") == F.col("head"), F.lit(False))
-                                 & (F.col("block") == 0)).alias("first"), text.alias("record"))
+    return single.unionByName(many).select(
+        "file", "first", F.regexp_replace("line", "\r$", "").alias("record"))
 
 
 def read_csv_split(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, *,
