@@ -81,3 +81,14 @@ def test_stored_identity_one_hop_splits_hot_key(spark, skew_conf):
         assert df.count() == t["orders"].count()
     finally:
         spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+
+
+def test_masked_rows_are_not_sorted_for_the_link(spark, skew_conf):
+    """The link is hashed: no task holds its share of the large table to sort it."""
+    t = samples.load_tables(spark, "/root/testdata/sf0.001", ("customer", "orders", "lineitem"))
+    df = scrub_related(t, samples.META["lineitem"], mask.identity_generator(samples.TEST_SEED),
+                       driver_filter=F.col("c_mktsegment").isNotNull(),
+                       unique_keys=samples.UNIQUE_KEYS)
+    join = _final_plan(df).split("ShuffledHashJoin", 1)
+    assert len(join) == 2 and "Sort " not in join[0]
+    assert df.count() == t["lineitem"].count()
