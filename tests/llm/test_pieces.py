@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -152,3 +153,32 @@ def test_hashes_of_short_units_are_the_library_s():
         seeds = np.arange(20, dtype=np.uint64) * np.uint64(P._GOLD)
         want = [P.xxhash.xxh64_intdigest(d, int(x)) for d, x in zip(data, seeds, strict=True)]
         assert P.short_xxh64(lanes, size, seeds).tolist() == want
+
+
+def test_words_are_cut_together_as_each_alone(model):
+    words = [" plain", "  two  spaces", " été", " 中文x", " a\U0001f600b", " \x00q▁r",
+             " ", " 12,345.67", " ..--..", " a"]
+    joins = {piece[i:i + 2] for piece in model.rank for i in range(len(piece) - 1)}
+    want = []
+    for w in words:
+        units = [w[0]]
+        for x, y in zip(w, w[1:]):
+            if x + y in joins:
+                units[-1] += y
+            else:
+                units.append(y)
+        want.append(units)
+    got, n = model._cut_many(words)
+    assert got == [u for units in want for u in units] and n.tolist() == list(map(len, want))
+    assert [model._cut(w) for w in words] == want
+
+
+def test_batches_are_taken_in_slices(monkeypatch):
+    monkeypatch.setattr(P, "_PIECE", 100)
+    texts = [None, b"", b"x" * 500, b"y" * 60, b"z" * 60, b"", b"w" * 10, None]
+    some = [tuple(c.to_pylist() for c in part) for part in P._slices(
+        pa.array(range(8)), pa.array(texts, pa.binary()))]
+    assert [i for ids, _ in some for i in ids] == list(range(8))
+    assert [t for _, part in some for t in part] == texts
+    assert [len(ids) for ids, _ in some] == [3, 2, 3]
+    assert not list(P._slices(pa.array([], pa.int64()), pa.array([], pa.binary())))

@@ -42,6 +42,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,6 +90,11 @@ def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - stop + n, n) + np.arange(int(stop[-1]) if len(stop) else 0)
 
 
+def _codes(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+
+
 # XXH64's primes (fixed values)
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
     0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
@@ -129,11 +135,14 @@ class _Symbols:
                  byte_id: list[int]) -> None:
         self.n_pieces, self.byte_id = n_pieces, byte_id
         self.char = {x: r[1] for x, r in rank.items() if len(x) == 1}
+        self.of_code = np.full(0x110000, -1, np.int32)       # the same by code point
         self.bytes_at, self.bytes_n, self.bytes_ids = _Numbers(np.int64), _Numbers(np.int64), \
             _Numbers(np.uint32)
         for piece in rank:
             for c in piece:
                 self._number(c)
+        for c, i in self.char.items():
+            self.of_code[ord(c)] = i
         symbols = {**{x: r[1] for x, r in rank.items()}, **self.char}
         costs = sorted({r[0] for r in rank.values()})
         order = {c: i for i, c in enumerate(costs)}
@@ -162,13 +171,18 @@ class _Symbols:
             self.bytes_at.add([self.bytes_ids.n])
             self.bytes_n.add([len(ids)])
             self.bytes_ids.add(ids)
+            self.of_code[ord(c)] = found
         return found
 
-    def of(self, unit: str) -> list[int]:
-        try:
-            return [self.char[c] for c in unit]
-        except KeyError:
-            return [self._number(c) for c in unit]
+    def of(self, text: str) -> np.ndarray:
+        """The symbols of a text's characters."""
+        codes = _codes(text)
+        found = self.of_code[codes]
+        if len(found) and found.min() < 0:
+            for c in np.unique(codes[found < 0]).tolist():
+                self._number(chr(c))
+            found = self.of_code[codes]
+        return found
 
     def merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece that two neighbours make, -1 if none."""
@@ -225,7 +239,7 @@ def _agendas(symbols: _Symbols, rows: np.ndarray, keys: np.ndarray | None,
     numbers, codes of the candidates merged) per round."""
     at = np.arange(len(rows))
     width = rows.shape[1]
-    pos = np.broadcast_to(np.arange(width + 1), (len(rows), width + 1))
+    pos = np.broadcast_to(np.arange(width + 1, dtype=np.int32), (len(rows), width + 1))
 
     def candidates(a, b, i, j, k, which) -> tuple[np.ndarray, np.ndarray]:
         made = symbols.merge(a, b)
@@ -316,7 +330,9 @@ class Model:
                 piece = piece.replace("\u2581", " ")
                 self.rank[piece] = (-sp.get_score(i), i)
                 self.bytes_of.append(piece.encode())
-        self.beside = {piece[i:i + 2] for piece in self.rank for i in range(len(piece) - 1)}
+        # pairs of characters that a piece holds side by side, as numbers; -1 is none
+        self.beside = np.array([-1, *sorted({ord(x) << 21 | ord(y) for piece in self.rank
+                                             for x, y in zip(piece, piece[1:])})], np.int64)
         self.symbols = _Symbols(self.rank, len(self.bytes_of), self.byte_id)
         self.threshold = int(p.dropout * (1 << 32))
         self._forget()
@@ -377,15 +393,23 @@ class Model:
 
     def _cut(self, word: str) -> list[str]:
         """The word's units: parts that no piece connects."""
-        beside, at, out = self.beside, 0, []
-        if beside.issuperset(map(add, word, word[1:])):
-            return [word]
-        for i in range(1, len(word)):
-            if word[i - 1:i + 1] not in beside:
-                out.append(word[at:i])
-                at = i
-        out.append(word[at:])
-        return out
+        return self._cut_many([word])[0]
+
+    def _cut_many(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The units of several words (not empty), in a row, and how many of each."""
+        text = "".join(words)
+        codes = _codes(text)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        pairs = codes[:-1] << 21 | codes[1:]
+        at = np.minimum(np.searchsorted(self.beside, pairs), len(self.beside) - 1)
+        cut = np.empty(len(codes), bool)
+        cut[1:] = self.beside[at] != pairs
+        cut[0] = True
+        cut[ends[:-1]] = True
+        starts = np.flatnonzero(cut)
+        n = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
+        first = starts.tolist()
+        return [text[i:j] for i, j in zip(first, [*first[1:], len(text)], strict=True)], n
 
     # ---- texts ----
 
@@ -450,7 +474,7 @@ class Model:
         self.number.update(zip(units, range(first, first + len(units)), strict=True))
         self.unit += units
         short = [u if len(u) <= _LONG else "" for u in units]
-        symbols = [x for u in short for x in self.symbols.of(u)]
+        symbols = self.symbols.of("".join(short))
         n = np.fromiter(map(len, short), np.int64, len(short))
         at = self.all_symbols.n + np.cumsum(n) - n
         self.all_symbols.add(symbols)
@@ -473,15 +497,13 @@ class Model:
         self.n_symbols.add(n)
 
     def _learn_words(self, words: list[str]) -> None:
-        cut = [self._cut(" " + w) for w in words]
-        fresh = set(chain.from_iterable(cut)).difference(self.number)
-        self._learn(list(fresh))
-        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        units, n = self._cut_many([" " + w for w in words])
+        self._learn(list(set(units).difference(self.number)))
         self.word.update(zip(words, range(len(self.word), len(self.word) + len(words)),
                              strict=True))
         self.at_units.add(self.all_units.n + np.cumsum(n) - n)
         self.n_units.add(n)
-        self.all_units.add(list(map(self.number.__getitem__, chain.from_iterable(cut))))
+        self.all_units.add(np.fromiter(map(self.number.__getitem__, units), np.int64, len(units)))
 
     def _units_of(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The units' numbers of several word lists, in a row, and how many of each
@@ -587,6 +609,19 @@ class Model:
         return raw[1:]
 
 
+def _slices(*columns: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
+    """A batch in slices of about ``_PIECE`` bytes of the last column's texts: what is
+    made of a slice is given back before the next one is read."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(columns[-1]), 0).to_numpy(zero_copy_only=False),
+                     dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        stop = min(int(np.searchsorted(ends, before + _PIECE)) + 1, len(ends))
+        yield tuple(c.slice(at, stop - at) for c in columns)
+        at = stop
+
+
 _MODELS: dict[tuple, Model] = {}       # per Python worker
 
 
@@ -626,13 +661,13 @@ def encode(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFrame:
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = _model(model_path, p)
-        for doc_ids, shown, texts in batches:
+        for doc_ids, shown, texts in chain.from_iterable(_slices(*b) for b in batches):
             with _no_collector():
                 found = model.encode_many(
                     [(t.as_py() or b"").decode() for t in texts],
                     [_key(d.as_py(), n.as_py()) for d, n in zip(doc_ids, shown, strict=True)])
             ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
+            flat = np.concatenate([*found, np.zeros(0, "<u4")]).view(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
     showing = F.col(SHOWING) if SHOWING in docs.columns else F.lit(0)
@@ -667,7 +702,7 @@ def round_trip(docs: DataFrame, model_path: str, p: Params = Params()) -> DataFr
                  "lossless:boolean>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = _model(model_path, p)
-        for doc_ids, texts in batches:
+        for doc_ids, texts in chain.from_iterable(_slices(*b) for b in batches):
             cols: list[list] = [[] for _ in _TRIP]
             given = [t.as_py() or b"" for t in texts]
             with _no_collector():
